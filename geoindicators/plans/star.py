@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from geoindicators.keys import Keys
 from geoindicators.operators.joins import bounded_broadcast
 
-KEYS = Keys()
+KEYS = Keys(non_residential=("05",))  # district 05 plays the non-residential one
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
