@@ -53,7 +53,7 @@ class Geography:
         # one size check for the whole dimension (reads at most bound + 1 rows per table)
         if self.small is None:
             tables = [self.districts, self.subs, self.district_aliases, self.sub_aliases, self.legacy]
-            self.small = all(t.limit(DIMENSION_MAX_ROWS + 1).count() <= DIMENSION_MAX_ROWS for t in tables)
+            self.small = all_within(tables, DIMENSION_MAX_ROWS)
 
     # -- integrity (V9) -------------------------------------------------------------
     def integrity(self) -> DataFrame:
@@ -85,6 +85,17 @@ class Geography:
         return _one_row(parts)
 
 
+def all_within(tables: list[DataFrame], bound: int) -> bool:
+    """True if every table has at most ``bound`` rows: ONE job, each table read
+    only up to ``bound + 1`` rows (scalar subqueries over limited scans)."""
+    probe = tables[0].limit(1).select(*[
+        t.limit(bound + 1).agg(F.count(F.lit(1))).scalar().alias(f"n{i}") for i, t in enumerate(tables)])
+    row = probe.first()
+    if row is None:  # the first table is empty; fall back to checking the others one by one
+        return all(t.limit(bound + 1).count() <= bound for t in tables)
+    return all(v <= bound for v in row)
+
+
 def _one_row(parts: dict) -> DataFrame:
     items = list(parts.items())
     name0, df0 = items[0]

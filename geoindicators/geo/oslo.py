@@ -187,7 +187,17 @@ def tables() -> dict[str, list[tuple]]:
             "sub_aliases": sub_aliases, "legacy": legacy}
 
 
+_CACHE: dict = {}
+
+
 def oslo_geography(spark: SparkSession) -> Geography:
+    """Built (and size-checked) once per session."""
+    if id(spark) not in _CACHE:
+        _CACHE[id(spark)] = _build(spark)
+    return _CACHE[id(spark)]
+
+
+def _build(spark: SparkSession) -> Geography:
     t = tables()
     return from_tables(spark, t["districts"], t["subs"], t["district_aliases"], t["sub_aliases"], t["legacy"],
                        city_id="00", city_name="Oslo i alt", unknown_id="99", unknown_name="Uten registrert adresse")

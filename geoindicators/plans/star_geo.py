@@ -17,7 +17,18 @@ UNKNOWN = ("99", "Uten registrert adresse")
 FIXED_DISTRICT_ALIASES = [("oslo i alt", "00"), ("uoppgitt", "99"), ("uten registrert adresse", "99")]
 
 
+_CACHE: dict = {}
+
+
 def star_geography(spark: SparkSession, sf: str) -> Geography:
+    """Built (and size-checked) once per session and source directory."""
+    key = (id(spark), sf)
+    if key not in _CACHE:
+        _CACHE[key] = _build(spark, sf)
+    return _CACHE[key]
+
+
+def _build(spark: SparkSession, sf: str) -> Geography:
     region = table(spark, sf, "region")
     nation = table(spark, sf, "nation")
     did = _district_id(F.col("r_regionkey"))
