@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoindicators.geo.dim import Geography
+from geoindicators.operators.joins import bounded_broadcast
 from geoindicators.plans.star import _district_id, table
 
 CITY = ("00", "Oslo i alt")
@@ -67,10 +68,10 @@ def raw_orders(spark: SparkSession, sf: str) -> DataFrame:
     customer = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf, "nation")
     region = table(spark, sf, "region")
-    geo = (nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
+    geo = (nation.join(bounded_broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
            .select("n_nationkey", "n_name", "r_regionkey", "r_name",
                    _district_id(F.col("r_regionkey")).alias("did")))
-    cg = customer.join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
+    cg = customer.join(bounded_broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
     return (orders.join(cg, F.col("o_custkey") == F.col("c_custkey"))
             .select("o_orderkey", "date", "prio", "status", "n_nationkey", "n_name", "r_regionkey", "r_name", "did")
             .withColumn("sub_num", F.when(F.col("prio") == "5-LOW", F.lit(9999))
