@@ -32,13 +32,14 @@ def facts(spark: SparkSession, sf: str, *extra: str) -> DataFrame:
 def line_facts(spark: SparkSession, sf: str, shift: int = 0) -> DataFrame:
     """Sub-district rows per order line, dated by ship year (+ ``shift``).
 
-    keys + ``quantity``, ``price``, ``line_status``, ``age`` (= p_size), ``category`` (= p_type).
+    keys + ``quantity``, ``price``, ``line_status``, ``flag`` (= l_returnflag), ``age`` (= p_size),
+    ``category`` (= p_type).
     """
     lineitem = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_partkey",
         (F.year("l_shipdate") + F.lit(shift)).cast("long").alias(K.date),
         F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("price"),
-        F.col("l_linestatus").alias("line_status"))
+        F.col("l_linestatus").alias("line_status"), F.col("l_returnflag").alias("flag"))
     part = table(spark, sf, "part").select("p_partkey", F.col("p_size").alias("age"),
                                            F.col("p_type").alias("category"))
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
@@ -46,7 +47,7 @@ def line_facts(spark: SparkSession, sf: str, shift: int = 0) -> DataFrame:
     joined = (lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
               .join(part, F.col("l_partkey") == F.col("p_partkey"))
               .join(geo, F.col("o_custkey") == F.col("c_custkey")))
-    return joined.select(*KEY_COLS, "quantity", "price", "line_status", "age", "category")
+    return joined.select(*KEY_COLS, "quantity", "price", "line_status", "flag", "age", "category")
 
 
 LINE_SQL = """
@@ -55,7 +56,7 @@ SELECT CAST(year(l.l_shipdate) + {shift} AS BIGINT) AS date,
        r.r_name AS district_name,
        lpad(CAST(r.r_regionkey + 1 AS VARCHAR), 2, '0') || lpad(CAST(n.n_nationkey AS VARCHAR), 2, '0') AS sub_id,
        n.n_name AS sub_name,
-       l.l_quantity AS quantity, l.l_extendedprice AS price, l.l_linestatus AS line_status,
+       l.l_quantity AS quantity, l.l_extendedprice AS price, l.l_linestatus AS line_status, l.l_returnflag AS flag,
        p.p_size AS age, p.p_type AS category
 FROM lineitem l
 JOIN orders o ON l.l_orderkey = o.o_orderkey

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _MODULES = ["geoindicators.plans.catalog_core", "geoindicators.plans.catalog_more",
-            "geoindicators.plans.catalog_docs", "geoindicators.plans.catalog_geo"]
+            "geoindicators.plans.catalog_docs", "geoindicators.plans.catalog_docs2",
+            "geoindicators.plans.catalog_geo"]
 
 
 def _load():

@@ -148,3 +148,41 @@ def to_json_documents(docs: DataFrame) -> DataFrame:
     """(name, json): name = id, else district; the published text of each document."""
     return docs.select(F.coalesce(F.col("id"), F.col("district")).alias("name"),
                        F.to_json(F.struct(*docs.columns)).alias("json"))
+
+
+def top_n_documents(df: DataFrame, category: str, data_points: Sequence[str], ranking: DataFrame,
+                    metadata: Metadata, keys: Keys = Keys(), status: bool = True, rank_col: str = "rank") -> DataFrame:
+    """Top-N documents: per district, one entry per top category in rank order.
+
+    ``ranking`` holds (district_id, category, rank) - e.g. from
+    ``operators.topn.top_n_categories``.  Status entries are
+    ``{geography, values: [{date, value, ratio} per data point]}`` for the newest
+    row; historic entries hold a year-ordered list per data point.
+    Meta carries only series and heading.
+    """
+    k = keys
+    rows = round_numeric(df, exclude=k.all())
+    ranked = rows.join(ranking.select(k.district_id, category, rank_col), [k.district_id, category])
+
+    def obj(dp: str) -> Column:
+        return F.struct(F.col(k.date).alias("date"), F.col(dp).cast("double").alias("value"),
+                        F.col(f"{dp}_ratio").cast("double").alias("ratio"))
+
+    if status:
+        values = F.max_by(F.array(*[obj(dp) for dp in data_points]), F.col(k.date))
+    else:
+        sorted_rows = F.array_sort(F.collect_list(F.struct(F.col(k.date).alias("_d"),
+                                                           *[obj(dp).alias(f"v{i}") for i, dp in enumerate(data_points)])))
+        def field(i: int):
+            return lambda x: x[f"v{i}"]
+        values = F.array(*[F.transform(sorted_rows, field(i)) for i in range(len(data_points))])
+    entries = (ranked.groupBy(k.district_id, category, rank_col)
+               .agg(values.alias("_values"), F.max(k.district_name).alias("_dname")))
+    meta = F.struct(F.array(*[F.lit(s if isinstance(s, str) else s.get("heading", "")) for s in metadata.series])
+                    .alias("series"), F.lit(metadata.heading).alias("heading"))
+    docs = entries.groupBy(k.district_id).agg(
+        F.array_sort(F.collect_list(F.struct(F.col(rank_col).alias("_r"), F.struct(
+            F.col(category).alias("geography"), F.col("_values").alias("values")).alias("_e")))).alias("_entries"),
+        F.max("_dname").alias("district"))
+    return docs.select(F.col(k.district_id).alias("id"), "district",
+                       F.transform("_entries", lambda x: x["_e"]).alias("data"), meta.alias("meta"))

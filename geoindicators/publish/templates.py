@@ -164,4 +164,60 @@ def as_json_array(g: Column) -> Column:
     )
 
 
-TEMPLATES = {"a": TemplateA, "b": TemplateB, "c": TemplateC, "h": TemplateH, "j": TemplateJ, "k": TemplateK}
+class TemplateE(Template):
+    """Age pyramid: per age ``{age, mann, kvinne, value = mann + kvinne, ratio = value / total, date}``.
+
+    Rows are one per (geography, age) with the two gender counts as columns
+    ``men`` / ``women`` (see ``operators.pivot.pivot_sum``); ``total`` is the
+    geography's population over all ages.  One year per geography is required.
+    The ``series`` argument is unused (the ages come from the rows).
+    """
+
+    def __init__(self, age: str = "age", men: str = "mann", women: str = "kvinne"):
+        self.age, self.men, self.women = age, men, women
+
+    def values(self, schema, series, keys=Keys()):
+        rows = F.array_sort(F.collect_list(F.struct(
+            F.col(self.age).alias("age"), F.coalesce(F.col(self.men), F.lit(0)).alias("mann"),
+            F.coalesce(F.col(self.women), F.lit(0)).alias("kvinne"), F.col(keys.date).alias("date"))))
+        years = F.collect_set(F.col(keys.date))
+        total = F.aggregate(rows, F.lit(0).cast("double"), lambda acc, x: acc + x["mann"] + x["kvinne"])
+        out = F.transform(rows, lambda x: F.struct(
+            x["age"].alias("age"), x["mann"].alias("mann"), x["kvinne"].alias("kvinne"),
+            (x["mann"] + x["kvinne"]).alias("value"),
+            F.try_divide(x["mann"] + x["kvinne"], total).alias("ratio"), x["date"].alias("date")))
+        return F.when(F.size(years) > 1, F.raise_error(F.lit("Template E needs exactly one year"))).otherwise(out)
+
+
+class TemplateFlow(Template):
+    """Moves per year: ``[{year, immigration: [...], emigration: [...]}, ...]``.
+
+    Rows are one per (geography, year, age group); ``series`` maps the six
+    measures: ``{"in": (between, within, to_from_city), "out": (...)}``; each
+    list holds ``{alder, mellomBydeler, innenforBydelen, tilFraOslo}`` per age
+    group in age-group order.  ``status=True`` gives only the newest year's object.
+    """
+
+    def __init__(self, age_group: str = "age_group", status: bool = False):
+        self.age_group, self.status = age_group, status
+
+    def values(self, schema, series, keys=Keys()):
+        inn, out = series["in"], series["out"]
+        rows = F.array_sort(F.collect_list(F.struct(
+            F.col(keys.date).alias("_d"), F.col(self.age_group).alias("_a"),
+            *[F.col(c).alias(f"i{i}") for i, c in enumerate(inn)],
+            *[F.col(c).alias(f"o{i}") for i, c in enumerate(out)])))
+        years = F.array_distinct(F.transform(rows, lambda x: x["_d"]))
+
+        def side(year, p):
+            return F.transform(F.filter(rows, lambda x: x["_d"] == year), lambda x: F.struct(
+                x["_a"].alias("alder"), x[f"{p}0"].alias("mellomBydeler"), x[f"{p}1"].alias("innenforBydelen"),
+                x[f"{p}2"].alias("tilFraOslo")))
+
+        per_year = F.transform(years, lambda y: F.struct(y.alias("year"), side(y, "i").alias("immigration"),
+                                                         side(y, "o").alias("emigration")))
+        return F.element_at(per_year, -1) if self.status else per_year
+
+
+TEMPLATES = {"a": TemplateA, "b": TemplateB, "c": TemplateC, "e": TemplateE, "flow": TemplateFlow,
+             "h": TemplateH, "j": TemplateJ, "k": TemplateK}
