@@ -1,0 +1,26 @@
+"""The published datasets as specifications (see ``spec``), looked up by name."""
+
+from __future__ import annotations
+
+from geoindicators.datasets.spec import DatasetSpec, run
+
+
+def registry() -> dict[str, DatasetSpec]:
+    from geoindicators.datasets import households, simple
+    specs = [*simple.SPECS, *households.SPECS]
+    try:
+        from geoindicators.datasets import composite
+        specs += composite.SPECS
+    except ImportError:
+        pass
+    return {s.name: s for s in specs}
+
+
+def get(name: str) -> DatasetSpec:
+    reg = registry()
+    if name not in reg:
+        raise ValueError(f"Unknown dataset: {name!r}")
+    return reg[name]
+
+
+__all__ = ["DatasetSpec", "get", "registry", "run"]

@@ -28,28 +28,39 @@ def _names(values: "Iterable[str] | Mapping[str, str]") -> list[tuple[str, str]]
 
 
 def pivot_sum(df: DataFrame, index: Iterable[str], column: str, value: str,
-              values: "Iterable[str] | Mapping[str, str]", fill: "int | float | None" = 0) -> DataFrame:
+              values: "Iterable[str] | Mapping[str, str]", fill: "int | float | None" = 0,
+              zero_absent_columns: bool = False) -> DataFrame:
     """Sum ``value`` per (index x category).
 
     ``values`` lists the categories, or maps category -> output column; several
     categories may map to one column (they are summed).  Absent cells are
     ``fill`` (``None`` keeps them NULL); present cells sum with nulls skipped.
+    With ``zero_absent_columns`` a category that occurs nowhere in the input
+    gives 0 in every row (one global flag per category, a scalar subquery).
     Rows with a null index key do not take part.
     """
     index = list(index)
     outputs: dict[str, list[str]] = {}
     for cat, out in _names(values):
         outputs.setdefault(out, []).append(cat)
+    base = df.filter(_not_null(index))
+    anywhere = None
+    if zero_absent_columns and fill is None:
+        anywhere = base.agg(F.struct(*[F.max(F.col(column).isin(cats)).alias(out)
+                                     for out, cats in outputs.items()]).alias("_p")).scalar()
     aggs = []
     for out, cats in outputs.items():
         hit = F.col(column).isin(cats)
         present = F.count(F.when(hit, F.lit(1))) > 0
         cell = F.coalesce(F.sum(F.when(hit, F.col(value))), F.lit(0))
         if fill is None:
-            aggs.append(F.when(present, cell).alias(out))
+            expr = F.when(present, cell)
+            if anywhere is not None:
+                expr = expr.when(F.coalesce(anywhere[out], F.lit(False)) == F.lit(False), F.lit(0))
+            aggs.append(expr.alias(out))
         else:
             aggs.append(F.when(present, cell).otherwise(F.lit(fill)).alias(out))
-    return df.filter(_not_null(index)).groupBy(*index).agg(*aggs)
+    return base.groupBy(*index).agg(*aggs)
 
 
 def pivot_mean(df: DataFrame, index: Iterable[str], column: str, value: str,
