@@ -62,7 +62,8 @@ def normalise(spec: DatasetSpec, raw: Mapping[str, DataFrame], geo: Geography) -
 
 
 def indicator_rows(spec: DatasetSpec, variant_name: str, raw: Mapping[str, DataFrame], geo: Geography) -> DataFrame:
-    v = spec.variant(variant_name)
+    """The rows a variant publishes, before alignment and templating (for inspection)."""
+    spec.variant(variant_name)
     return spec.prepare(normalise(spec, raw, geo), variant_name)
 
 
@@ -90,7 +91,8 @@ def run(spec: DatasetSpec, variant_name: str, raw: Mapping[str, DataFrame], geo:
         cat, n = v.top_n["category"], v.top_n["n"]
         ranking = top_n_categories(rows, cat, v.top_n.get("rank_by", "total"), n, k)
         return doc.top_n_documents(rows, cat, list(v.values), ranking, meta, k, status=v.align == STATUS)
-    return doc.build_documents(rows, v.template, list(v.values), meta, k, scale=scale_df)
+    values = v.values if isinstance(v.values, Mapping) else list(v.values)
+    return doc.build_documents(rows, v.template, values, meta, k, scale=scale_df)
 
 
 def _scale(rows: DataFrame, column: str, keys: Keys) -> DataFrame:

@@ -19,6 +19,7 @@ documents is a scalar subquery: computed once, no join.
 from __future__ import annotations
 
 import datetime
+import json
 from dataclasses import dataclass, field
 from typing import Sequence
 
@@ -44,11 +45,14 @@ class Metadata:
     help: str = DEFAULT_HELP
     scope: str = "bydel"
 
-    def column(self, scope: str | None = None, scale: Column | None = None) -> Column:
+    def series_column(self) -> Column:
+        """The series list as a VARIANT: entries may mix types (a subheading can be
+        text or ``false``) and ``to_json`` renders it verbatim."""
         series = [s if isinstance(s, dict) else {"heading": str(s), "subheading": ""} for s in self.series]
-        series_col = F.array(*[F.struct(F.lit(s.get("heading", "")).alias("heading"),
-                                        F.lit(s.get("subheading", "")).alias("subheading")) for s in series]) \
-            if series else F.array().cast("array<struct<heading:string,subheading:string>>")
+        return F.parse_json(F.lit(json.dumps(series, ensure_ascii=False)))
+
+    def column(self, scope: str | None = None, scale: Column | None = None) -> Column:
+        series_col = self.series_column()
         scale_col = scale if scale is not None else F.lit(None).cast(
             "struct<value:array<double>,ratio:array<double>>")
         return F.struct(
@@ -178,8 +182,7 @@ def top_n_documents(df: DataFrame, category: str, data_points: Sequence[str], ra
         values = F.array(*[F.transform(sorted_rows, field(i)) for i in range(len(data_points))])
     entries = (ranked.groupBy(k.district_id, category, rank_col)
                .agg(values.alias("_values"), F.max(k.district_name).alias("_dname")))
-    meta = F.struct(F.array(*[F.lit(s if isinstance(s, str) else s.get("heading", "")) for s in metadata.series])
-                    .alias("series"), F.lit(metadata.heading).alias("heading"))
+    meta = F.struct(metadata.series_column().alias("series"), F.lit(metadata.heading).alias("heading"))
     docs = entries.groupBy(k.district_id).agg(
         F.array_sort(F.collect_list(F.struct(F.col(rank_col).alias("_r"), F.struct(
             F.col(category).alias("geography"), F.col("_values").alias("values")).alias("_e")))).alias("_entries"),

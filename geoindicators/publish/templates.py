@@ -109,6 +109,10 @@ class TemplateH(Template):
                    for c in every}
 
         def per_series(group):
+            if not group:
+                return F.filter(F.transform(rows, lambda x: F.struct(x["_d"].alias("date"), *[
+                    F.lit(None).cast(numeric[c]).alias(c) for c in every])), lambda o: F.lit(False))
+
             def obj(x):
                 return F.struct(x["_d"].alias("date"), *[
                     (x[c] if c in group else F.lit(None)).cast(numeric[c]).alias(c) for c in every])
@@ -173,13 +177,21 @@ class TemplateE(Template):
     The ``series`` argument is unused (the ages come from the rows).
     """
 
-    def __init__(self, age: str = "age", men: str = "mann", women: str = "kvinne"):
-        self.age, self.men, self.women = age, men, women
+    def __init__(self, age: str = "age", men: str = "mann", women: str = "kvinne", ages: Sequence | None = None):
+        self.age, self.men, self.women, self.ages = age, men, women, ages
 
     def values(self, schema, series, keys=Keys()):
         rows = F.array_sort(F.collect_list(F.struct(
             F.col(self.age).alias("age"), F.coalesce(F.col(self.men), F.lit(0)).alias("mann"),
             F.coalesce(F.col(self.women), F.lit(0)).alias("kvinne"), F.col(keys.date).alias("date"))))
+        if self.ages is not None:
+            # every listed age appears, in list order; ages without rows count 0
+            by_age = F.map_from_entries(F.transform(rows, lambda x: F.struct(x["age"], x)))
+            year = F.max(F.col(keys.date))
+            zero = F.lit(0).cast(schema[self.men].dataType)
+            rows = F.transform(F.array(*[F.lit(a) for a in self.ages]), lambda a: F.coalesce(
+                F.try_element_at(by_age, a),
+                F.struct(a.alias("age"), zero.alias("mann"), zero.alias("kvinne"), year.alias("date"))))
         years = F.collect_set(F.col(keys.date))
         total = F.aggregate(rows, F.lit(0).cast("double"), lambda acc, x: acc + x["mann"] + x["kvinne"])
         out = F.transform(rows, lambda x: F.struct(

@@ -85,12 +85,12 @@ def _names_parent(raw: DataFrame, geo: Geography, measure: str, out: str) -> Dat
 
 def dode(raw: DataFrame, geo: Geography) -> DataFrame:
     """``År, Bydel, Delbydel, Antall døde``."""
-    return _names_parent(raw, geo, "Antall døde", "dode")
+    return _names_parent(raw, geo, "Antall døde", "antall_dode")
 
 
 def fodte(raw: DataFrame, geo: Geography) -> DataFrame:
     """``År, Bydel, Delbydel, Antall fødte``."""
-    return _names_parent(raw, geo, "Antall fødte", "fodte")
+    return _names_parent(raw, geo, "Antall fødte", "antall_fodte")
 
 
 # --- N8 death rates ---------------------------------------------------------------------------
