@@ -18,15 +18,21 @@ from pyspark.sql import functions as F
 DIMENSION_MAX_ROWS = 100_000
 
 
+_CHECKED: dict = {}
+
+
 def bounded_broadcast(dim: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
     """Broadcast ``dim`` only if it has at most ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows, so it stays cheap even when
     the table turns out to be large; beyond the bound the plain DataFrame is
-    returned and Spark/AQE pick a shuffle join.
+    returned and Spark/AQE pick a shuffle join.  The outcome is remembered per
+    session and plan, so a dimension used by many queries is checked once.
     """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    key = (id(dim.sparkSession), dim.semanticHash(), max_rows)
+    if key not in _CHECKED:
+        _CHECKED[key] = dim.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(dim) if _CHECKED[key] else dim
 
 
 def null_safe_on(left: DataFrame, right: DataFrame, keys: Iterable[str]) -> Column:

@@ -25,8 +25,16 @@ from geoindicators.operators.joins import bounded_broadcast
 KEYS = Keys(non_residential=("05",))  # district 05 plays the non-residential one
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The driver table ``name`` (read-only input): resolved once per session, so its
+    file listing and schema are not redone by every query that scans it."""
+    key = (id(spark), sf_dir, name)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _TABLES[key]
 
 
 def _district_id(regionkey: Column) -> Column:
