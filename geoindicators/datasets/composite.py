@@ -21,6 +21,7 @@ from geoindicators.operators import align, change, filters, joins, pivot, relati
 from geoindicators.operators.population import band_population
 from geoindicators.publish.templates import (TemplateA, TemplateB, TemplateC, TemplateE, TemplateFlow, TemplateG,
                                              TemplateH, TemplateK)
+from geoindicators.session import materialize
 from geoindicators.sources import normalise as N
 
 BEF = "befolkning-etter-kjonn-og-alder"
@@ -71,7 +72,7 @@ ALDER_DISTRIBUSJON = DatasetSpec(
 
 def population_with_changes(long: DataFrame, horizon: int = 10) -> DataFrame:
     """Population per geography with 1-year and ``horizon``-year change and change ratios."""
-    pop = _population(long)
+    pop = materialize(_population(long))   # small; read by three change operators
     on = [K.date, K.district_id, K.sub_id]
     ch = change.yoy_change(pop, "population", "change", K).select(*on, "change")
     ch_h = change.horizon_change(pop, "population", horizon, "change_10y", K)
@@ -338,7 +339,8 @@ def _totalt(inputs, variant):
     parts = [(iv, "ikke_vestlig_kort_ratio"), (edu, "lav_utdanning_ratio"),
              (poor, "antall_fattige_barnehusholdninger_ratio"), (emp, "antall_ikke_sysselsatte_ratio"),
              (neets, "neets_ratio"), (crowd, "antall_trangbodde_ratio")]
-    newest = [align.keep_newest(relative.add_relative_ratio(df, col, K)) for df, col in parts]
+    # each indicator is small once computed; the relative ratio reads it three times
+    newest = [align.keep_newest(relative.add_relative_ratio(materialize(df), col, K)) for df, col in parts]
     merged = joins.natural_join(*newest, how="inner")
     return merged.withColumn(K.date, F.lit(None).cast("int"))
 

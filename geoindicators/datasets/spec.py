@@ -22,6 +22,7 @@ from geoindicators.operators import align
 from geoindicators.operators.scale import scale_min_max
 from geoindicators.publish import document as doc
 from geoindicators.publish.templates import Template
+from geoindicators.session import materialize
 
 STATUS, HISTORIC = "status", "historic"
 
@@ -72,7 +73,8 @@ def run(spec: DatasetSpec, variant_name: str, raw: Mapping[str, DataFrame], geo:
     """Documents of one variant: (id, district, data, meta)."""
     v = spec.variant(variant_name)
     k = spec.keys
-    rows = spec.prepare(normalise(spec, raw, geo), variant_name)
+    # facts -> small indicator rows: computed once, then read by alignment, scale and documents
+    rows = materialize(spec.prepare(normalise(spec, raw, geo), variant_name))
     scale_df = None
     if v.scale and not v.scale_after_align:
         scale_df = _scale(rows, v.scale, k)
@@ -92,7 +94,7 @@ def run(spec: DatasetSpec, variant_name: str, raw: Mapping[str, DataFrame], geo:
         ranking = top_n_categories(rows, cat, v.top_n.get("rank_by", "total"), n, k)
         return doc.top_n_documents(rows, cat, list(v.values), ranking, meta, k, status=v.align == STATUS)
     values = v.values if isinstance(v.values, Mapping) else list(v.values)
-    return doc.build_documents(rows, v.template, values, meta, k, scale=scale_df)
+    return doc.build_documents(rows, v.template, values, meta, k, scale=scale_df, materialize_rows=False)
 
 
 def _scale(rows: DataFrame, column: str, keys: Keys) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from geoindicators.functions.nulls import round4
 from geoindicators.operators import align, change, pivot, population, rollup
+from geoindicators.session import materialize
 from geoindicators.plans.common import (FACT_SQL, K, KEY_COLS, conform, facts, line_facts, line_sql, r4,
                                         rollup_sql)
 
@@ -110,7 +111,7 @@ SELECT * FROM a WHERE date IN (SELECT date FROM a INTERSECT SELECT date FROM b)
 """)
 def historic_common_years(spark, sf):
     """Orders (1995..) aligned with shipments counted on next year's 1 January."""
-    a = rollup.aggregate(facts(spark, sf).select(*KEY_COLS, "n_orders", "revenue"), "sum", K)
+    a = materialize(rollup.aggregate(facts(spark, sf).select(*KEY_COLS, "n_orders", "revenue"), "sum", K))
     b = line_facts(spark, sf, shift=1)
     return conform(align.historic(a, b)[0])
 
@@ -120,7 +121,7 @@ WITH a AS ({_ROLLED}), b AS ({line_sql(-1)})
 SELECT * FROM a WHERE date = (SELECT max(date) FROM (SELECT date FROM a INTERSECT SELECT date FROM b))
 """)
 def status_latest_common_year(spark, sf):
-    a = rollup.aggregate(facts(spark, sf).select(*KEY_COLS, "n_orders", "revenue"), "sum", K)
+    a = materialize(rollup.aggregate(facts(spark, sf).select(*KEY_COLS, "n_orders", "revenue"), "sum", K))
     b = line_facts(spark, sf, shift=-1)
     return conform(align.status(a, b)[0])
 
@@ -133,7 +134,7 @@ _LINE_ROLLED = rollup_sql(line_sql(0), {"quantity": r4("coalesce(sum(quantity),
 WITH r AS ({_LINE_ROLLED}) SELECT * EXCLUDE (date) FROM r WHERE date = (SELECT max(date) FROM r)
 """)
 def keep_newest(spark, sf):
-    r = rollup.aggregate(line_facts(spark, sf).select(*KEY_COLS, "quantity", "price"), "sum", K)
+    r = materialize(rollup.aggregate(line_facts(spark, sf).select(*KEY_COLS, "quantity", "price"), "sum", K))
     return conform(align.keep_newest(r))
 
 
@@ -230,8 +231,9 @@ _POP_SQL = f"SELECT {KEYS_SQL}, CAST(sum(n_orders) AS BIGINT) AS population FROM
 
 
 def _population(spark, sf):
+    """Population per (year, sub-district): small, read by several change operators."""
     f = facts(spark, sf).select(*KEY_COLS, F.col("n_orders").alias("population"))
-    return rollup.presum(f, K)
+    return materialize(rollup.presum(f, K))
 
 
 @register("yoy_change", f"""
@@ -302,7 +304,7 @@ FROM r WHERE date > (SELECT max(date) FROM r) - 5
 """)
 def growth_history(spark, sf):
     """Last five years per geography as an ordered array, flattened for comparison."""
-    r = rollup.aggregate(facts(spark, sf).select(*KEY_COLS, "n_orders"), "sum", K)
+    r = materialize(rollup.aggregate(facts(spark, sf).select(*KEY_COLS, "n_orders"), "sum", K))
     h = change.growth_history(r, "n_orders", 5, K)
     flat = h.select(K.district_id, K.sub_id, F.posexplode("history").alias("ordinal", "h"))
     return conform(flat.select(K.district_id, K.sub_id, "ordinal", F.col("h.date").alias("date"),

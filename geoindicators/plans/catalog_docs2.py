@@ -12,6 +12,7 @@ from geoindicators.plans.catalog_docs import META, membership_sql
 from geoindicators.plans.common import FACT_SQL, K, KEY_COLS, conform, facts, line_facts, line_sql, r4, rollup_sql
 from geoindicators.publish import document as doc
 from geoindicators.publish.templates import TemplateE, TemplateFlow, TemplateG
+from geoindicators.session import materialize
 from geoindicators.sources import snapshots
 
 Q: dict = {}
@@ -92,7 +93,7 @@ FROM m JOIN h ON m.district_id = h.hd AND m.sub_id IS NOT DISTINCT FROM h.hs
 @register("template_g", _G_SQL)
 def template_g(spark, sf):
     """Template G: the newest value and the last five years' history of every geography."""
-    r = rollup.aggregate(facts(spark, sf).select(*KEY_COLS, "n_orders"), "sum", K)
+    r = materialize(rollup.aggregate(facts(spark, sf).select(*KEY_COLS, "n_orders"), "sum", K))
     hist = change.growth_history(r, "n_orders", 5, K)
     latest = align.keep_newest(r, drop_date=False)
     rows = joins.join_on(latest, hist, [K.district_id, K.sub_id], "left", null_safe=[K.sub_id])
@@ -216,7 +217,7 @@ FROM top
 def template_topn(spark, sf):
     """Top-N documents (historic): per district its three largest part types, each
     with its yearly quantity and share of the district's total."""
-    d = _topn_rows(spark, sf)
+    d = materialize(_topn_rows(spark, sf))
     ranking = topn.top_n_categories(d, "category", "quantity", 3, K)
     docs = doc.top_n_documents(d, "category", ["quantity"], ranking, META, K, status=False)
     e = docs.select(F.col("id").alias("doc_id"), "district", F.posexplode("data").alias("entry_pos", "e"))
@@ -237,7 +238,7 @@ FROM top WHERE date = (SELECT max(date) FROM top t2 WHERE t2.district_id = top.d
 """)
 def template_topn_status(spark, sf):
     """Top-N documents (status): the newest value of each top category."""
-    d = _topn_rows(spark, sf)
+    d = materialize(_topn_rows(spark, sf))
     ranking = topn.top_n_categories(d, "category", "quantity", 3, K)
     docs = doc.top_n_documents(d, "category", ["quantity"], ranking, META, K, status=True)
     e = docs.select(F.col("id").alias("doc_id"), F.posexplode("data").alias("entry_pos", "e"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from geoindicators.functions import nulls
 from geoindicators.operators import align, filters, joins, relative, rollup, scale, topn
 from geoindicators.plans.catalog_core import SUM_ORDERS, _URGENT_SQL
+from geoindicators.session import materialize
 from geoindicators.plans.common import (FACT_SQL, K, KEY_COLS, conform, facts, line_facts, line_sql, r4,
                                         rollup_sql, table)
 
@@ -32,7 +33,7 @@ def _urgent_rollup(spark, sf):
     urgent = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
     f = f.select(*KEY_COLS, F.when(urgent, 1).otherwise(0).cast("long").alias("n_urgent"),
                  F.when(urgent, 0).otherwise(1).cast("long").alias("n_other"))
-    return rollup.add_ratios(rollup.aggregate(f, "sum", K), ["n_urgent"], ["n_urgent", "n_other"])
+    return materialize(rollup.add_ratios(rollup.aggregate(f, "sum", K), ["n_urgent"], ["n_urgent", "n_other"]))
 
 
 URGENT_RATIO_SQL = f"""
@@ -56,7 +57,8 @@ FROM k WHERE top_rank <= 3
 def top_n_categories(spark, sf):
     """Three largest part types (by quantity) per district on its newest year."""
     lf = line_facts(spark, sf)
-    d = lf.groupBy(K.date, K.district_id, K.district_name, "category").agg(F.sum("quantity").alias("total"))
+    d = materialize(lf.groupBy(K.date, K.district_id, K.district_name, "category")
+                    .agg(F.sum("quantity").alias("total")))
     return conform(topn.top_n_categories(d, "category", "total", 3, K, rank_col="top_rank"))
 
 

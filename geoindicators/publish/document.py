@@ -30,6 +30,7 @@ from geoindicators.functions.nulls import round_numeric
 from geoindicators.keys import Keys
 from geoindicators.operators.filters import not_in_keep_null
 from geoindicators.publish.templates import Template
+from geoindicators.session import materialize
 
 DEFAULT_HELP = "Dette er en beskrivelse for hvordan dataene leses"
 
@@ -98,10 +99,18 @@ def _checked_name(name_col: str) -> Column:
 
 
 def build_documents(df: DataFrame, template: Template, series: Sequence, metadata: Metadata,
-                    keys: Keys = Keys(), scale: DataFrame | None = None, rounding: bool = True) -> DataFrame:
-    """Documents ``(id, district, data: array<entry>, meta)``; entry = (id, geography, values, avgRow, totalRow)."""
+                    keys: Keys = Keys(), scale: DataFrame | None = None, rounding: bool = True,
+                    materialize_rows: bool = True) -> DataFrame:
+    """Documents ``(id, district, data: array<entry>, meta)``; entry = (id, geography, values, avgRow, totalRow).
+
+    The indicator rows are read by several membership passes and a scalar
+    subquery; ``materialize_rows`` checkpoints them first so the work that
+    produced them runs once.
+    """
     k = keys
     rows = round_numeric(df, exclude=k.all()) if rounding else df
+    if materialize_rows:
+        rows = materialize(rows)
     schema = rows.schema
     values = template.values(schema, series, k)
     members = entry_rows(rows, k)

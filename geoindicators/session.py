@@ -53,3 +53,17 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     path = fallback or tempfile.mkdtemp(prefix="geo-ckpt-")
     sc.setCheckpointDir(path)
     return path
+
+
+def materialize(df):
+    """Write ``df`` to the checkpoint folder and continue from there (lineage cut).
+
+    Used at the point where big facts have become small indicator rows (years x
+    geographies): everything downstream (alignment, scale, several document
+    membership passes, scalar subqueries) then reads those rows instead of
+    re-running the fact scan and roll-up once per consumer.  Reliable
+    checkpoints live in the shared folder named by ``spark.checkpoint.dir``, so
+    they survive the loss of an executor.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
