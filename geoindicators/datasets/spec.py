@@ -69,8 +69,12 @@ def indicator_rows(spec: DatasetSpec, variant_name: str, raw: Mapping[str, DataF
 
 
 def run(spec: DatasetSpec, variant_name: str, raw: Mapping[str, DataFrame], geo: Geography,
-        published_date: str | None = None) -> DataFrame:
-    """Documents of one variant: (id, district, data, meta)."""
+        published_date: str | None = None, published_form: bool = False) -> DataFrame:
+    """Documents of one variant: (id, district, data, meta).
+
+    ``published_form`` renders template values that are heterogeneous lists in
+    the published JSON (template G) in that form instead of as typed structs.
+    """
     v = spec.variant(variant_name)
     k = spec.keys
     # facts -> small indicator rows: computed once, then read by alignment, scale and documents
@@ -94,7 +98,8 @@ def run(spec: DatasetSpec, variant_name: str, raw: Mapping[str, DataFrame], geo:
         ranking = top_n_categories(rows, cat, v.top_n.get("rank_by", "total"), n, k)
         return doc.top_n_documents(rows, cat, list(v.values), ranking, meta, k, status=v.align == STATUS)
     values = v.values if isinstance(v.values, Mapping) else list(v.values)
-    return doc.build_documents(rows, v.template, values, meta, k, scale=scale_df, materialize_rows=False)
+    return doc.build_documents(rows, v.template, values, meta, k, scale=scale_df, materialize_rows=False,
+                               published_form=published_form)
 
 
 def _scale(rows: DataFrame, column: str, keys: Keys) -> DataFrame:

@@ -92,6 +92,13 @@ def _entry(values: Column, geo: Column, name: Column, avg_row: Column, total_row
                     avg_row.alias("avgRow"), total_row.alias("totalRow"))
 
 
+def _by_kind_then_id(a: Column, b: Column) -> Column:
+    """Entry order (sub-districts by id, district, city); compares only the sort keys,
+    so entries holding VARIANT values sort too."""
+    return (F.when(a["_k"] < b["_k"], -1).when(a["_k"] > b["_k"], 1)
+            .when(a["_g"] < b["_g"], -1).when(a["_g"] > b["_g"], 1).otherwise(0))
+
+
 def _checked_name(name_col: str) -> Column:
     names = F.collect_set(F.col(name_col))
     return F.when(F.size(names) > 1, F.raise_error(F.lit("Multiple names for one geography id"))) \
@@ -100,7 +107,7 @@ def _checked_name(name_col: str) -> Column:
 
 def build_documents(df: DataFrame, template: Template, series: Sequence, metadata: Metadata,
                     keys: Keys = Keys(), scale: DataFrame | None = None, rounding: bool = True,
-                    materialize_rows: bool = True) -> DataFrame:
+                    materialize_rows: bool = True, published_form: bool = False) -> DataFrame:
     """Documents ``(id, district, data: array<entry>, meta)``; entry = (id, geography, values, avgRow, totalRow).
 
     The indicator rows are read by several membership passes and a scalar
@@ -113,6 +120,8 @@ def build_documents(df: DataFrame, template: Template, series: Sequence, metadat
         rows = materialize(rows)
     schema = rows.schema
     values = template.values(schema, series, k)
+    if published_form:
+        values = template.published(values)
     members = entry_rows(rows, k)
     entries = (
         members.groupBy("_doc", "_kind", "_geo")
@@ -126,7 +135,7 @@ def build_documents(df: DataFrame, template: Template, series: Sequence, metadat
     docs = (
         entries.groupBy("_doc")
         .agg(F.array_sort(F.collect_list(F.struct(F.col("_kind").alias("_k"), F.col("_geo").alias("_g"),
-                                                  entry.alias("_e")))).alias("_entries"),
+                                                  entry.alias("_e"))), _by_kind_then_id).alias("_entries"),
              F.max(F.when(F.col("_kind") == F.lit(DISTRICT), F.col("_name"))).alias("_district"))
     )
     # the city entry that closes every district document: one value, computed once

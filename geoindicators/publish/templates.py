@@ -43,6 +43,10 @@ class Template:
     def values(self, schema: T.StructType, series: Sequence, keys: Keys = Keys()) -> Column:
         raise NotImplementedError
 
+    def published(self, values: Column) -> Column:
+        """The values as published (identity unless the JSON form is not a typed list)."""
+        return values
+
 
 class TemplateA(Template):
     """Flat list, series-major then year: ``[{value, ratio?, date}, ...]``."""
@@ -158,6 +162,10 @@ class TemplateG(Template):
         return F.struct(F.array(*[status[s] for s in series]).alias("status"),
                         history.alias("history"), newest.alias("date"))
 
+    def published(self, values: Column) -> Column:
+        # a VARIANT holding the heterogeneous list; to_json writes it verbatim
+        return F.parse_json(as_json_array(values))
+
 
 def as_json_array(g: Column) -> Column:
     """Render a TemplateG struct as the published heterogeneous JSON list."""

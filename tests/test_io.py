@@ -86,3 +86,45 @@ def test_arrivals_recompute_dependents(spark, tmp_path):
     arrivals.run_available(spark, str(landing), {"dodsrater": schema}, on_arrival, checkpoint_root=ckpt)
     assert seen[-1] == ("dodsrater", ["levekaar_dodsrate"], 1)
     _ = F
+
+
+def test_layout_publish_and_recompute_on_arrival(spark, tmp_path):
+    from geoindicators.datasets.runner import Layout, publish, recompute_on_arrival
+    from geoindicators.geo.oslo import oslo_geography
+    from tests.dataset_fixtures import rows
+
+    landing = tmp_path / "landing"
+    schema, data = rows("neets")
+    src = landing / "neets"
+    src.mkdir(parents=True)
+    header = "Geografi_num;Geografi;aar;Andel NEETs (15-29 år);Antall NEETs"
+    _write(src / "2024.csv", header + "\n" + "\n".join(";".join("" if v is None else str(v) for v in r)
+                                                     for r in data) + "\n")
+    layout = Layout(str(landing), str(tmp_path / "intermediate"), str(tmp_path / "published"),
+                    read_options={"neets": {"schema": schema.replace("`", "").replace(
+                        "Andel NEETs (15-29 år) double", "`Andel NEETs (15-29 år)` double").replace(
+                        "Antall NEETs int", "`Antall NEETs` int")}})
+    geo = oslo_geography(spark)
+    out = publish(spark, layout, "neets", "status", geo, "2024-01-01", write_intermediate=True)
+    docs = {r.name: json.loads(r.json) for r in sinks.read_documents(spark, out).collect()}
+    assert set(docs) == {"00", "01", "03"}
+    assert os.path.isdir(tmp_path / "intermediate" / "neets")
+    handler = recompute_on_arrival(spark, layout, geo, "2024-01-01")
+    handler("neets", ["neets"], None, 0)
+    assert os.path.isdir(tmp_path / "published" / "neets" / "historisk")
+
+
+def test_template_g_published_form(spark):
+    from geoindicators.operators import change
+    from geoindicators.publish.templates import TemplateG
+    df = spark.createDataFrame([(y, "01", "A", "0101", "S", 10 + y - 2018) for y in range(2018, 2021)],
+                               "date int, district_id string, district_name string, sub_id string, sub_name string, "
+                               "population long")
+    r = rollup.aggregate(df, "sum", Keys())
+    hist = change.growth_history(r, "population", 10, Keys())
+    from geoindicators.operators.joins import join_on
+    latest = join_on(r.filter("date = 2020"), hist, ["district_id", "sub_id"], "left", null_safe=["sub_id"])
+    docs = doc.build_documents(latest, TemplateG(), ["population"], doc.Metadata("H", [], "2020-01-01"), Keys(),
+                               published_form=True)
+    got = {r.name: json.loads(r.json) for r in doc.to_json_documents(docs).collect()}
+    assert got["01"]["data"][0]["values"] == [12.0, [10.0, 11.0, 12.0], 2020]
