@@ -38,7 +38,7 @@ def line_facts(spark: SparkSession, sf: str, shift: int = 0) -> DataFrame:
     lineitem = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_partkey",
         (F.year("l_shipdate") + F.lit(shift)).cast("long").alias(K.date),
-        F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("price"),
+        F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").cast("decimal(18,2)").alias("price"),
         F.col("l_linestatus").alias("line_status"), F.col("l_returnflag").alias("flag"))
     part = table(spark, sf, "part").select("p_partkey", F.col("p_size").alias("age"),
                                            F.col("p_type").alias("category"))
@@ -56,7 +56,7 @@ SELECT CAST(year(l.l_shipdate) + {shift} AS BIGINT) AS date,
        r.r_name AS district_name,
        lpad(CAST(r.r_regionkey + 1 AS VARCHAR), 2, '0') || lpad(CAST(n.n_nationkey AS VARCHAR), 2, '0') AS sub_id,
        n.n_name AS sub_name,
-       l.l_quantity AS quantity, l.l_extendedprice AS price, l.l_linestatus AS line_status, l.l_returnflag AS flag,
+       l.l_quantity AS quantity, CAST(l.l_extendedprice AS DECIMAL(18, 2)) AS price, l.l_linestatus AS line_status, l.l_returnflag AS flag,
        p.p_size AS age, p.p_type AS category
 FROM lineitem l
 JOIN orders o ON l.l_orderkey = o.o_orderkey

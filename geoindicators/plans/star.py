@@ -76,7 +76,8 @@ def order_facts(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -
         "o_custkey",
         F.year("o_orderdate").cast("long").alias(KEYS.date),
         F.lit(1).cast("long").alias("n_orders"),
-        F.col("o_totalprice").alias("revenue"),
+        # money is summed exactly (decimal), so sums do not depend on the order of addition
+        F.col("o_totalprice").cast("decimal(18,2)").alias("revenue"),
         *extra,
     )
     facts = orders.join(customer_geo(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
@@ -92,7 +93,7 @@ SELECT CAST(year(o.o_orderdate) AS BIGINT) AS date,
        lpad(CAST(r.r_regionkey + 1 AS VARCHAR), 2, '0') || lpad(CAST(n.n_nationkey AS VARCHAR), 2, '0') AS sub_id,
        n.n_name AS sub_name,
        CAST(1 AS BIGINT) AS n_orders,
-       o.o_totalprice AS revenue,
+       CAST(o.o_totalprice AS DECIMAL(18, 2)) AS revenue,
        o.o_orderstatus, o.o_orderpriority, o.o_custkey
 FROM orders o
 JOIN customer c ON o.o_custkey = c.c_custkey

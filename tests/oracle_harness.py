@@ -43,7 +43,7 @@ def _norm(v):
             return None
         if v == int(v) and abs(v) < 1e15:
             return int(v)
-        return round(v, 9)
+        return v if os.environ.get("ORACLE_EXACT") else round(v, 9)
     if hasattr(v, "item"):
         return _norm(v.item())
     return v
