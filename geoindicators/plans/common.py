@@ -42,11 +42,12 @@ def line_facts(spark: SparkSession, sf: str, shift: int = 0) -> DataFrame:
         F.col("l_linestatus").alias("line_status"), F.col("l_returnflag").alias("flag"))
     part = table(spark, sf, "part").select("p_partkey", F.col("p_size").alias("age"),
                                            F.col("p_type").alias("category"))
+    # orders get their geography first (an orders-sized shuffle), so lineitem is shuffled only twice:
+    # once to meet its order, once to meet its part
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    geo = star.customer_geo(spark, sf)
-    joined = (lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-              .join(part, F.col("l_partkey") == F.col("p_partkey"))
-              .join(geo, F.col("o_custkey") == F.col("c_custkey")))
+    order_geo = orders.join(star.customer_geo(spark, sf), F.col("o_custkey") == F.col("c_custkey"))
+    joined = (lineitem.join(order_geo, F.col("l_orderkey") == F.col("o_orderkey"))
+              .join(part, F.col("l_partkey") == F.col("p_partkey")))
     return joined.select(*KEY_COLS, "quantity", "price", "line_status", "flag", "age", "category")
 
 
