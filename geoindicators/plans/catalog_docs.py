@@ -74,7 +74,8 @@ FROM v
 """)
 def template_a(spark, sf):
     """Template A documents (flat value list, series-major then year), flattened."""
-    docs = doc.build_documents(_urgent_rollup(spark, sf), TemplateA(), ["n_urgent", "n_other"], META, K)
+    docs = doc.build_documents(_urgent_rollup(spark, sf), TemplateA(), ["n_urgent", "n_other"], META, K,
+                               materialize_rows=False)
     return conform(doc.flatten_values(docs))
 
 
@@ -92,7 +93,8 @@ FROM v
 """)
 def template_c(spark, sf):
     """Template C documents (one value list per series), flattened."""
-    docs = doc.build_documents(_urgent_rollup(spark, sf), TemplateC(), ["n_urgent", "n_other"], META, K)
+    docs = doc.build_documents(_urgent_rollup(spark, sf), TemplateC(), ["n_urgent", "n_other"], META, K,
+                               materialize_rows=False)
     e = docs.select(F.col("id").alias("doc_id"), F.explode("data").alias("e"))
     s = e.select("doc_id", F.col("e.id").alias("geo_id"), F.col("e.geography").alias("geography"),
                  F.col("e.avgRow").alias("avg_row"), F.col("e.totalRow").alias("total_row"),
@@ -164,7 +166,7 @@ def template_k(spark, sf):
     """Template K on the newest year: ratios relative to the district and to the city."""
     rel = align.keep_newest(relative.add_relative_ratio(_urgent_rollup(spark, sf), "n_urgent_ratio", K),
                             drop_date=False)
-    docs = doc.build_documents(rel, TemplateK(), ["n_urgent"], META, K)
+    docs = doc.build_documents(rel, TemplateK(), ["n_urgent"], META, K, materialize_rows=False)
     return conform(doc.flatten_values(docs, ("districtRatio", "osloRatio")))
 
 
@@ -184,7 +186,8 @@ FROM e LEFT JOIN names ON e.doc_id = names.doc_id
 """)
 def documents_district(spark, sf):
     """Entry list of every document: sub-districts by id, the district, the city."""
-    docs = doc.build_documents(_urgent_rollup(spark, sf), TemplateA(), ["n_urgent", "n_other"], META, K)
+    docs = doc.build_documents(_urgent_rollup(spark, sf), TemplateA(), ["n_urgent", "n_other"], META, K,
+                               materialize_rows=False)
     e = docs.select(F.col("id").alias("doc_id"), "district", F.col("meta.scope").alias("scope"),
                     F.posexplode("data").alias("entry_pos", "e"))
     return conform(e.select("doc_id", "district", "entry_pos", F.col("e.id").alias("geo_id"),
@@ -201,7 +204,8 @@ FROM m WHERE doc_id = '00' GROUP BY geo_id, geography, kind, doc_id
 """)
 def documents_city(spark, sf):
     """The city document: every residential district at district level, then the city."""
-    docs = doc.build_documents(_urgent_rollup(spark, sf), TemplateA(), ["n_urgent"], META, K)
+    docs = doc.build_documents(_urgent_rollup(spark, sf), TemplateA(), ["n_urgent"], META, K,
+                               materialize_rows=False)
     city = docs.filter(F.col("id") == K.city_id).select(F.explode("data").alias("e"))
     return conform(city.select(
         F.col("e.id").alias("geo_id"), F.col("e.geography").alias("geography"),

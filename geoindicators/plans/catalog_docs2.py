@@ -97,7 +97,7 @@ def template_g(spark, sf):
     hist = change.growth_history(r, "n_orders", 5, K)
     latest = align.keep_newest(r, drop_date=False)
     rows = joins.join_on(latest, hist, [K.district_id, K.sub_id], "left", null_safe=[K.sub_id])
-    docs = doc.build_documents(rows, TemplateG(), ["n_orders"], META, K)
+    docs = doc.build_documents(rows, TemplateG(), ["n_orders"], META, K, materialize_rows=False)
     e = _explode_entries(docs)
     base = ["doc_id", "geo_id", "geography", "avg_row", "total_row"]
     status = e.select(*base, F.lit("status").alias("part"), F.posexplode("vals.status").alias("ordinal", "value"),

@@ -52,4 +52,4 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     [latest] = align.status(materialize(r))
     meta = Metadata(heading="Urgent orders", series=[{"heading": "Urgent", "subheading": ""}],
                     published_date="2026-01-01")
-    return build_documents(latest, TemplateA(), ["n_urgent"], meta, K)
+    return build_documents(latest, TemplateA(), ["n_urgent"], meta, K, materialize_rows=False)
