@@ -12,10 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoindicators.datasets.households import EDUCATION, LAV_UTDANNING, education_levels
+from geoindicators.datasets.households import EDUCATION, education_levels
 from geoindicators.datasets.simple import BOLIGTYPER, KEYS, S
 from geoindicators.datasets.spec import HISTORIC, STATUS, DatasetSpec, Variant
-from geoindicators.functions.nulls import row_sum_skip, safe_div
+from geoindicators.functions.nulls import row_sum_skip
 from geoindicators.keys import OSLO_KEYS as K
 from geoindicators.operators import align, change, filters, joins, pivot, relative, rollup
 from geoindicators.operators.population import band_population
@@ -357,4 +357,3 @@ LEVEKAR_TOTALT = DatasetSpec(
 
 SPECS = [ALDER_DISTRIBUSJON, FOLKEMENGDE, BEFOLKNINGSUTVKL, FLYTTEHYPPIGHET, BOTID_IKKE_VESTLIGE,
          INNVANDRER_BEFOLKNING, KOMMUNALE_BOLIGER, LANDBAKGRUNN, IKKE_SYSSELSATTE, LEVEKAR_TOTALT]
-_ = (LAV_UTDANNING, safe_div)

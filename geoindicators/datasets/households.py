@@ -11,7 +11,7 @@ from geoindicators.datasets.simple import KEYS, S, _only
 from geoindicators.datasets.spec import HISTORIC, STATUS, DatasetSpec, Variant
 from geoindicators.functions.nulls import row_sum_propagate, row_sum_skip
 from geoindicators.keys import OSLO_KEYS as K
-from geoindicators.operators import filters, pivot, rollup
+from geoindicators.operators import pivot, rollup
 from geoindicators.publish.templates import TemplateA, TemplateB, TemplateC, TemplateJ
 from geoindicators.sources import normalise as N
 
@@ -190,4 +190,3 @@ LEVEKAR_LAV_UTDANNING = DatasetSpec(
                           HISTORIC)})
 
 SPECS = [HUSHOLDNING_MED_BARN, HUSHOLDNINGSTYPER, INNVANDRING_UNDER16, TRANGBODDHET, LEVEKAR_LAV_UTDANNING]
-_ = filters

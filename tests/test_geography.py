@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from geoindicators.geo import resolve as R
 from geoindicators.geo.oslo import oslo_geography
@@ -92,4 +91,3 @@ def test_add_district_id(spark, geo):
     df = spark.createDataFrame([("030101",), ("0301",)], "id string")
     out = [r.district for r in R.add_district_id(df, "id", geo).collect()]
     assert out == ["01"]
-    _ = F

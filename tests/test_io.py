@@ -3,7 +3,6 @@ import os
 import time
 
 import pytest
-from pyspark.sql import functions as F
 
 from geoindicators.keys import Keys
 from geoindicators.operators import rollup
@@ -85,7 +84,6 @@ def test_arrivals_recompute_dependents(spark, tmp_path):
     _write(landing / "dodsrater" / "2025.csv", "aar;Bydel;v\n2025;Alna;1.5\n")
     arrivals.run_available(spark, str(landing), {"dodsrater": schema}, on_arrival, checkpoint_root=ckpt)
     assert seen[-1] == ("dodsrater", ["levekaar_dodsrate"], 1)
-    _ = F
 
 
 def test_layout_publish_and_recompute_on_arrival(spark, tmp_path):
