@@ -23,18 +23,32 @@ from pyspark.sql import types as T
 
 from geoindicators.keys import Keys
 
+NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+
 
 def _value_type(schema: T.StructType, series: Sequence[str]) -> str:
-    fractional = any(isinstance(schema[s].dataType, (T.DoubleType, T.FloatType, T.DecimalType))
-                     for s in series if s in schema.fieldNames())
+    """Common type of the series values: long, double, or (for non-numeric values) their own type."""
+    types = [schema[s].dataType for s in series if s in schema.fieldNames()]
+    if types and not all(isinstance(t, NUMERIC) for t in types):
+        return types[0].simpleString()
+    fractional = any(isinstance(t, (T.DoubleType, T.FloatType, T.DecimalType)) for t in types)
     return "double" if fractional else "long"
 
 
-def _ratio(schema: T.StructType, s: str) -> Column:
+def _ratio_type(schema: T.StructType, series: Sequence[str]) -> str:
+    """Ratios are doubles; non-numeric ratio columns keep their own type."""
+    for s in series:
+        name = f"{s}_ratio"
+        if name in schema.fieldNames() and not isinstance(schema[name].dataType, NUMERIC):
+            return schema[name].dataType.simpleString()
+    return "double"
+
+
+def _ratio(schema: T.StructType, s: str, rt: str = "double") -> Column:
     name = f"{s}_ratio"
     if name in schema.fieldNames():
-        return F.col(name).cast("double")
-    return F.lit(None).cast("double")
+        return F.col(name).cast(rt)
+    return F.lit(None).cast(rt)
 
 
 class Template:
@@ -52,10 +66,10 @@ class TemplateA(Template):
     """Flat list, series-major then year: ``[{value, ratio?, date}, ...]``."""
 
     def values(self, schema, series, keys=Keys()):
-        vt = _value_type(schema, series)
+        vt, rt = _value_type(schema, series), _ratio_type(schema, series)
         items = [
             F.struct(F.lit(i).alias("_s"), F.col(keys.date).alias("_d"),
-                     F.col(s).cast(vt).alias("value"), _ratio(schema, s).alias("ratio"),
+                     F.col(s).cast(vt).alias("value"), _ratio(schema, s, rt).alias("ratio"),
                      F.col(keys.date).alias("date"))
             for i, s in enumerate(series)
         ]
@@ -84,7 +98,7 @@ class TemplateC(Template):
     """List of lists: one ``[{value, ratio?, date}, ...]`` per series."""
 
     def values(self, schema, series, keys=Keys()):
-        vt = _value_type(schema, series)
+        vt, rt = _value_type(schema, series), _ratio_type(schema, series)
         cols = [c for s in series for c in (s, f"{s}_ratio")]
         rows = _sorted_rows(schema, cols, keys)
 
@@ -92,7 +106,7 @@ class TemplateC(Template):
             has_ratio = f"{s}_ratio" in schema.fieldNames()
             return F.transform(rows, lambda x: F.struct(
                 x[s].cast(vt).alias("value"),
-                (x[f"{s}_ratio"].cast("double") if has_ratio else F.lit(None).cast("double")).alias("ratio"),
+                (x[f"{s}_ratio"].cast(rt) if has_ratio else F.lit(None).cast(rt)).alias("ratio"),
                 x["_d"].alias("date")))
 
         return F.array(*[per_series(s) for s in series])
@@ -126,14 +140,19 @@ class TemplateH(Template):
         return F.array(*[per_series(g) for g in series])
 
 
+def _keep_numeric_double(schema: T.StructType, name: str) -> Column:
+    t = schema[name].dataType
+    return F.col(name).cast("double") if isinstance(t, NUMERIC) else F.col(name)
+
+
 class TemplateK(Template):
     """Flat, series-major: ``{districtRatio, osloRatio}`` from ``<s>_ratio_district``/``<s>_ratio_oslo``."""
 
     def values(self, schema, series, keys=Keys()):
         items = [
             F.struct(F.lit(i).alias("_s"), F.col(keys.date).alias("_d"),
-                     F.col(f"{s}_ratio_district").cast("double").alias("districtRatio"),
-                     F.col(f"{s}_ratio_oslo").cast("double").alias("osloRatio"))
+                     _keep_numeric_double(schema, f"{s}_ratio_district").alias("districtRatio"),
+                     _keep_numeric_double(schema, f"{s}_ratio_oslo").alias("osloRatio"))
             for i, s in enumerate(series)
         ]
         ordered = F.array_sort(F.flatten(F.collect_list(F.array(*items))))
