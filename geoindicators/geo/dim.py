@@ -54,6 +54,40 @@ class Geography:
         if self.small is None:
             tables = [self.districts, self.subs, self.district_aliases, self.sub_aliases, self.legacy]
             self.small = all_within(tables, DIMENSION_MAX_ROWS)
+        self._lookups: dict[str, DataFrame] = {}
+
+    # -- lookup tables (prepared once; small ones are materialized so every lookup
+    #    broadcasts a ready table instead of re-running the joins that build it) ----------
+    def _lookup_table(self, name: str, build) -> DataFrame:
+        if name not in self._lookups:
+            table = build()
+            if self.small:
+                from geoindicators.session import materialize
+                table = materialize(table)
+            self._lookups[name] = table
+        return self._lookups[name]
+
+    def district_table(self) -> DataFrame:
+        """(district_id, district_name)."""
+        return self._lookup_table("districts", lambda: self.districts)
+
+    def sub_table(self) -> DataFrame:
+        """(sub_id, sub_name, parent_id)."""
+        return self._lookup_table("subs", lambda: self.subs.select(
+            "sub_id", "sub_name", F.col("district_id").alias("parent_id")))
+
+    def sub_alias_table(self) -> DataFrame:
+        """(alias, sub_id, sub_name, parent_id)."""
+        return self._lookup_table("sub_aliases", lambda: self.sub_aliases.join(self.sub_table(), "sub_id"))
+
+    def district_alias_table(self) -> DataFrame:
+        """(alias, district_id, district_name)."""
+        return self._lookup_table("district_aliases",
+                                  lambda: self.district_aliases.join(self.district_table(), "district_id"))
+
+    def legacy_table(self) -> DataFrame:
+        """(old_id, sub_id, sub_name, parent_id)."""
+        return self._lookup_table("legacy", lambda: self.legacy.join(self.sub_table(), "sub_id"))
 
     # -- integrity (V9) -------------------------------------------------------------
     def integrity(self) -> DataFrame:

@@ -56,22 +56,22 @@ def sub_id_key(c) -> Column:
 
 
 def _sub_table(geo: Geography) -> DataFrame:
-    return geo.subs.select("sub_id", "sub_name", F.col("district_id").alias("parent_id"))
+    return geo.sub_table()
 
 
 def _sub_alias_table(geo: Geography) -> DataFrame:
-    return geo.sub_aliases.join(_sub_table(geo), "sub_id")
+    return geo.sub_alias_table()
 
 
 def _district_alias_table(geo: Geography) -> DataFrame:
-    return geo.district_aliases.join(geo.districts, "district_id")
+    return geo.district_alias_table()
 
 
 # --- G1..G5: single lookups ------------------------------------------------------------
 
 def by_district_id(df, col, geo, tag=None):
     tag = tag or _tag()
-    return _lookup(df, _c(col).cast("string"), geo.districts, "district_id", tag, geo), tag
+    return _lookup(df, _c(col).cast("string"), geo.district_table(), "district_id", tag, geo), tag
 
 
 def by_district_name(df, col, geo, tag=None):
@@ -106,8 +106,7 @@ def by_legacy_id(df, col, geo, tag=None):
     dtype = df.schema[col].dataType if isinstance(col, str) else T.StringType()
     key = (_c(col) if isinstance(dtype, T.StringType)
            else zfill(_c(col).try_cast("long").cast("string"), 3))
-    legacy = geo.legacy.join(_sub_table(geo), "sub_id")
-    return _lookup(df, key, legacy, "old_id", tag, geo), tag
+    return _lookup(df, key, geo.legacy_table(), "old_id", tag, geo), tag
 
 
 def _finish(df: DataFrame, keys: Keys, did: Column, dname: Column, sid: Column, sname: Column,
