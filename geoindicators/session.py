@@ -69,3 +69,32 @@ def materialize(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scale_conf(total_cores: int) -> dict[str, str]:
+    """SQL settings for a large cluster (runtime-settable; see ``apply_unset``).
+
+    Shuffles start with ~3 partitions per core and AQE coalesces them to
+    ~256 MB each, which keeps each task's sort/aggregation buffers within executor
+    memory; AQE also splits skewed join partitions (a key holding a third of the
+    rows) and turns joins into broadcasts when a side turns out to be small.
+    """
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+        "spark.sql.shuffle.partitions": str(max(200, 3 * total_cores)),
+        "spark.sql.files.maxPartitionBytes": "256m",
+    }
+
+
+def apply_unset(spark: SparkSession, conf: dict[str, str]) -> dict[str, str]:
+    """Set the given SQL settings only where the session has no value of its own."""
+    applied = {}
+    for key, value in conf.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+            applied[key] = value
+    return applied
