@@ -309,3 +309,50 @@ def round4(spark, sf):
     return o.select("o_orderkey", nulls.round4(F.col("o_totalprice") / 7).alias("price_7th"),
                     nulls.round4(F.col("o_totalprice") * 0.00015).alias("tiny"),
                     nulls.round4(F.col("o_orderkey").cast("double") / 20000 + 0.00005).alias("edge"))
+
+
+# --- P10 / P13 / A8 / A11 / A14 ------------------------------------------------------------------
+
+@register("drop_null_rows", f"""
+SELECT date, sub_id, o_orderkey AS order_key, {r4("late_revenue")} AS late_revenue
+FROM (SELECT *, CASE WHEN date >= 1997 THEN revenue END AS late_revenue
+      FROM ({FACT_SQL.replace("o.o_orderpriority, o.o_custkey", "o.o_orderpriority, o.o_custkey, o.o_orderkey")}))
+WHERE late_revenue IS NOT NULL
+""")
+def drop_null_rows(spark, sf):
+    """Rows with a missing measure are dropped (``dropna`` on a subset)."""
+    f = facts(spark, sf, "o_orderkey").withColumn(
+        "late_revenue", F.when(F.col(K.date) >= 1997, F.col("revenue")))
+    kept = filters.drop_nulls(f.select(K.date, K.sub_id, F.col("o_orderkey").alias("order_key"), "late_revenue"),
+                              "any", ["late_revenue"])
+    return conform(kept)
+
+
+@register("population_totals", f"""
+SELECT date, district_id, sub_id, CAST(sum(n_orders) AS BIGINT) AS population
+FROM ({FACT_SQL}) GROUP BY date, district_id, sub_id
+""")
+def population_totals(spark, sf):
+    """Totals per (year, district, sub-district) over every category."""
+    from geoindicators.operators import population
+    f = facts(spark, sf).select(*KEY_COLS, "n_orders")
+    return conform(population.total_population(f, "n_orders", K))
+
+
+@register("district_level_only", f"""
+WITH r AS ({rollup_sql(f"SELECT * FROM ({FACT_SQL}) WHERE district_id NOT IN ('05')",
+                       {"n_orders": "CAST(coalesce(sum(n_orders), 0) AS BIGINT)"})})
+SELECT * FROM r WHERE sub_id IS NULL
+""")
+def district_level_only(spark, sf):
+    """Roll up without the non-residential district, keep district and city rows."""
+    f = facts(spark, sf).select(*KEY_COLS, "n_orders")
+    return conform(rollup.district_only(f, "sum", K, ignore_districts=["05"]))
+
+
+@register("distinct_geographies", f"""
+SELECT DISTINCT district_id, sub_id FROM ({FACT_SQL})
+""")
+def distinct_geographies(spark, sf):
+    """The district / sub-district pairs present in the facts."""
+    return filters.distinct_keys(facts(spark, sf), [K.district_id, K.sub_id])
