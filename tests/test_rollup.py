@@ -66,3 +66,21 @@ def test_district_city_totals_and_city_total(spark):
     assert ("00", "x", 3) in t and ("00", "y", 5) in t and len(t) == 5
     c = rows(rollup.add_city_total(df, "cat", Keys()), "district_id", "cat", "v")
     assert ("00", "x", 3) in c and len(c) == 5
+
+
+def test_hot_geography_with_a_third_of_the_rows(spark):
+    """One sub-district holds a third of the facts: the roll-up still combines map-side and sums right."""
+    n = 30_000
+    df = spark.range(n).select(
+        F.lit(2020).alias("date"),
+        F.when(F.col("id") % 3 == 0, F.lit("01")).otherwise(F.lpad((F.col("id") % 7 + 2).cast("string"), 2, "0"))
+        .alias("district_id"),
+        F.lit("D").alias("district_name"),
+        F.when(F.col("id") % 3 == 0, F.lit("0101")).otherwise(F.concat(F.lit("09"), (F.col("id") % 50).cast("string")))
+        .alias("sub_id"),
+        F.lit("S").alias("sub_name"),
+        F.lit(1).cast("long").alias("a"))
+    out = rollup.aggregate(df.repartition(8), "sum", Keys())
+    hot = out.filter((F.col("sub_id") == "0101")).first().a
+    city = out.filter(F.col("district_id") == "00").first().a
+    assert hot == n // 3 and city == n
