@@ -35,6 +35,10 @@ def duck(sf_dir: str):
     return con
 
 
+# Spark simple type name -> DuckDB type name of the same values
+SQL_TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "int": "INTEGER"}
+
+
 def _norm(v):
     if v is None or v is pd.NA or v is pd.NaT:
         return None
@@ -65,12 +69,18 @@ def compare(spark, con, name, fn, sql, sf_dir):
     t1 = time.time()
     if sql is None:
         return {"name": name, "ok": None, "rows": len(spdf), "spark_s": round(t1 - t0, 2)}
-    opdf = con.sql(sql).df()
+    rel = con.sql(sql)
+    opdf = rel.df()
+    spark_types = {f.name: SQL_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in sdf.schema.fields}
+    duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
     scols, srows = _rows(spdf)
     ocols, orows = _rows(opdf)
     res = {"name": name, "rows": len(spdf), "oracle_rows": len(opdf), "spark_s": round(t1 - t0, 2)}
     if scols != ocols:
         res.update(ok=False, why=f"columns {scols} vs {ocols}")
+    elif spark_types != duck_types:
+        res.update(ok=False, why=f"types {spark_types} vs {duck_types}")
     elif srows != orows:
         only_s = list((srows - orows).elements())[:3]
         only_o = list((orows - srows).elements())[:3]
