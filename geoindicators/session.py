@@ -44,7 +44,10 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is kept.
     The fallback (a fresh temporary folder) is only for local runs and tests.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session: the server's spark.checkpoint.dir applies
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir()
     if current:
         return current
