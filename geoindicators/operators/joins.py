@@ -99,3 +99,21 @@ def semi_join_present(df: DataFrame, other: DataFrame, column: str, null_matches
     present = other.select(F.col(column).alias("_k")).distinct()
     cond = df[column].eqNullSafe(present["_k"]) if null_matches else df[column] == present["_k"]
     return df.join(present, cond, "left_semi")
+
+
+def salted_join(left: DataFrame, right: DataFrame, keys: Iterable[str], salts: int = 16,
+                how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` when one key of ``left`` may hold a large share of its rows.
+
+    Each left row gets a salt in ``[0, salts)`` from a hash of the whole row
+    (deterministic, so a retried task reproduces it) and each right row is
+    repeated once per salt (``explode``, not a cross join), so a hot key is
+    spread over ``salts`` tasks.  Use it where AQE skew-join splitting is not
+    available; results equal the plain join.  ``how`` is ``inner`` or ``left``.
+    """
+    if how not in ("inner", "left", "left_outer"):
+        raise ValueError("salted_join supports inner and left joins")
+    keys = list(keys)
+    salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)))
+    salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")

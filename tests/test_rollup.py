@@ -84,3 +84,15 @@ def test_hot_geography_with_a_third_of_the_rows(spark):
     hot = out.filter((F.col("sub_id") == "0101")).first().a
     city = out.filter(F.col("district_id") == "00").first().a
     assert hot == n // 3 and city == n
+
+
+def test_salted_join_equals_plain_join_on_a_hot_key(spark):
+    from geoindicators.operators.joins import salted_join
+    facts = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50).alias("k"),
+                                     F.col("id").alias("v"))
+    dim = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+    plain = sorted(tuple(r) for r in facts.join(dim, "k").collect())
+    salted = sorted(tuple(r) for r in salted_join(facts, dim, ["k"], salts=8).select("k", "v", "w").collect())
+    assert salted == plain and len(plain) == 3000
+    left = salted_join(facts, dim.filter("k < 10"), ["k"], salts=4, how="left")
+    assert left.count() == 3000
