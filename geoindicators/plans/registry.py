@@ -26,12 +26,20 @@ def _load():
     return qs, sql
 
 
+# names used by the build plan for two resolver checks (same queries as the specific names)
+ALIASES = {"geo_by_name": "geo_sub_name_fallback", "geo_by_code": "geo_code_and_sub"}
+
+
+def _with_aliases(d: dict) -> dict:
+    return {**d, **{alias: d[name] for alias, name in ALIASES.items() if name in d}}
+
+
 def all_queries() -> dict:
-    return _load()[0]
+    return _with_aliases(_load()[0])
 
 
 def all_sql() -> dict:
-    return _load()[1]
+    return _with_aliases(_load()[1])
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
