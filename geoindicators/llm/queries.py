@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from geoindicators.llm.exact_dedup import exact_dedup
+from geoindicators.llm.langid import identify_language, train_language_model
+from geoindicators.llm.toxicity import score_toxicity, train_toxicity_model
 from geoindicators.llm.url_filter import judge_urls
+from geoindicators.llm.warc import read_warc, write_warc
 
 #: Fixed rules (host, path, verdict) of the url query.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -20,12 +23,28 @@ def op1_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup(_read(spark, sf, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _read(spark, sf, "documents")
+    return score_toxicity(docs, train_toxicity_model(docs, _read(spark, sf, "labels")))
+
+
+def op4_warc(spark: SparkSession, sf: str) -> DataFrame:
+    folder, manifest = write_warc(_read(spark, sf, "pages"))
+    return read_warc(folder, manifest).drop("url")
+
+
 def op7_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return judge_urls(_read(spark, sf, "pages"), rules)
 
 
-Q = {"op1_exact_dedup": op1_exact_dedup, "op7_url_filter": op7_url_filter}
+def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _read(spark, sf, "documents")
+    return identify_language(docs, train_language_model(docs))
+
+
+Q = {"op1_exact_dedup": op1_exact_dedup, "op3_toxicity": op3_toxicity, "op4_warc": op4_warc, "op7_url_filter": op7_url_filter,
+     "op9_language_id": op9_language_id}
 
 SQL = {
     "op1_exact_dedup": r"""
@@ -33,6 +52,13 @@ SQL = {
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = min(doc_id) OVER w AS kept, sha256(t) AS text_sha256
         FROM n WINDOW w AS (PARTITION BY t)""",
+    "op4_warc": r"""
+        WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+             q AS (SELECT page_id, octet_length(encode(t)) AS n, sha1(t) AS d, max(page_id) OVER (PARTITION BY t) AS m FROM p)
+        SELECT page_id, n AS payload_bytes, d AS payload_digest,
+               CASE WHEN n >= 1000 AND m <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= 1000 AND m <> page_id THEN m END AS refers_to
+        FROM q""",
     "op7_url_filter": r"""
         WITH u AS (SELECT page_id,
                      translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
