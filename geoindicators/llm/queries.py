@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from geoindicators.llm.exact_dedup import exact_dedup
+from geoindicators.llm.html_wrapper import extract_main_text
 from geoindicators.llm.langid import identify_language, train_language_model
 from geoindicators.llm.toxicity import score_toxicity, train_toxicity_model
 from geoindicators.llm.url_filter import judge_urls
@@ -23,6 +24,10 @@ def op1_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup(_read(spark, sf, "documents"))
 
 
+def op2_html_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    return extract_main_text(_read(spark, sf, "pages"))
+
+
 def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = _read(spark, sf, "documents")
     return score_toxicity(docs, train_toxicity_model(docs, _read(spark, sf, "labels")))
@@ -43,7 +48,7 @@ def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return identify_language(docs, train_language_model(docs))
 
 
-Q = {"op1_exact_dedup": op1_exact_dedup, "op3_toxicity": op3_toxicity, "op4_warc": op4_warc, "op7_url_filter": op7_url_filter,
+Q = {"op1_exact_dedup": op1_exact_dedup, "op2_html_main_text": op2_html_main_text, "op3_toxicity": op3_toxicity, "op4_warc": op4_warc, "op7_url_filter": op7_url_filter,
      "op9_language_id": op9_language_id}
 
 SQL = {

@@ -140,17 +140,12 @@ def write_warc(pages: DataFrame, path: str | None = None, id_col: str = "page_id
             shard, filled = shard + 1, 0
         filled += mass.get(c, 0)
         shard_of.append(shard)
-    # run-length form of cell -> shard: the first cell of each shard
-    starts = [i for i, s in enumerate(shard_of) if i == 0 or s != shard_of[i - 1]]
-    borders = spark.sparkContext.broadcast(starts)
-
     large = narrow.where(F.col("size") >= min_revisit)
     last = large.groupBy("digest", "size").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct(F.col("id").isNotNull(), "id"))["id"].alias("refers_to"))
     refs = large.join(last.where("n > 1").drop("n"), ["digest", "size"]).where(~F.col("id").eqNullSafe(F.col("refers_to"))).distinct()
-    number = F.pandas_udf(_shard_number(borders), "int")
     both = rows.select("id", "digest", F.lit(1).alias("tag"), "size", "url", "body", F.lit(None).cast("long").alias("refers_to")).unionByName(
         refs.select("id", "digest", F.lit(0).alias("tag"), "size", "refers_to"), allowMissingColumns=True)
-    both = both.withColumn("shard", number(cell))
+    both = both.withColumn("shard", F.get(F.lit(shard_of), cell))
     both = both.repartition(shard + 1, "shard").sortWithinPartitions("shard", "id", "digest", "tag")
 
     def write(batches):
@@ -183,16 +178,6 @@ def write_warc(pages: DataFrame, path: str | None = None, id_col: str = "page_id
     return base, spark.read.schema(_MANIFEST).json(manifest)
 
 
-def _shard_number(borders):
-    import numpy as np
-    import pandas as pd
-
-    def number(cell: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(borders.value, cell.to_numpy(), "right") - 1).astype("int32")
-
-    return number
-
-
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
     kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64()}
     fields = [(n, kinds[k]) for n, k in (x.split() for x in schema.split(", "))]
