@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,3 +49,19 @@ def with_row_id(df: DataFrame, name: str = "_rid") -> DataFrame:
 
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package where they can't by themselves: added once per context as a zip, as with --py-files."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    sc = spark.sparkContext
+    known = [os.path.abspath(p) for p in [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)] if p]
+    if root in known or any(f.endswith("geoindicators-package.zip") for f in sc.listFiles):
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="package-"), "geoindicators-package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(os.path.join(root, "geoindicators")):
+            for n in names:
+                if n.endswith(".py"):
+                    z.write(os.path.join(folder, n), os.path.relpath(os.path.join(folder, n), root))
+    sc.addPyFile(path)

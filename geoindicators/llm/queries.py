@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from geoindicators.llm.common import ship_package
 from geoindicators.llm.exact_dedup import exact_dedup
 from geoindicators.llm.html_wrapper import extract_main_text
 from geoindicators.llm.langid import identify_language, train_language_model
@@ -17,6 +18,7 @@ URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.exam
 
 
 def _read(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 

@@ -139,3 +139,13 @@ def counted(row: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     new[1:] = (row[1:] != row[:-1]) | (key[1:] != key[:-1])
     at = np.flatnonzero(new)
     return row[at], key[at], np.diff(np.append(at, len(row)))
+
+
+def counted48(row: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``counted``, for fewer than 65,536 rows and the upper 48 bits of the keys, by one sort of single values."""
+    both = np.sort((row.astype(U) << U(48)) | (key >> U(16)))
+    new = np.ones(len(both), dtype=bool)
+    new[1:] = both[1:] != both[:-1]
+    at = np.flatnonzero(new)
+    both = both[at]
+    return (both >> U(48)).astype(np.int64), both & U((1 << 48) - 1), np.diff(np.append(at, len(row)))
