@@ -28,6 +28,7 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -409,15 +410,15 @@ def extract_main_text(pages: DataFrame, wrappers: DataFrame | None = None, id_co
     """
     if wrappers is None:
         wrappers = infer_wrappers(pages, url_col, html_col)
-    own = pages.select(F.col(id_col), F.col(url_col).alias("url"), url_host(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
-    id_type = own.schema[id_col].dataType.simpleString()
+    own = pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("url"), url_host(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
+    id_type = own.schema["_id"].dataType.simpleString()
 
     def extract(batches):
         for b in batches:
             texts = []
-            for page, nodes, constant in zip(b["html"], b["nodes"], b["constant"], strict=True):
-                w = _compiled(nodes, tuple(constant) if constant is not None else ()) if isinstance(nodes, str) else None
-                texts.append(main_text(page, w))
-            yield pd.DataFrame({id_col: b[id_col], "url": b["url"], "text": texts, "n_chars": [len(t) for t in texts]})
+            for page, nodes, constant in zip(*(b.column(c).to_pylist() for c in ("html", "nodes", "constant")), strict=True):
+                texts.append(main_text(page, _compiled(nodes, tuple(constant or ())) if nodes else None))
+            yield pa.RecordBatch.from_arrays([b.column("_id"), b.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
+                                             names=[id_col, "url", "text", "n_chars"])
 
-    return own.join(wrappers, "host", "left").mapInPandas(extract, f"`{id_col}` {id_type}, url string, text string, n_chars long")
+    return own.join(wrappers, "host", "left").mapInArrow(extract, f"`{id_col}` {id_type}, url string, text string, n_chars long")

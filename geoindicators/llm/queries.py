@@ -8,6 +8,10 @@ from geoindicators.llm.common import ship_package
 from geoindicators.llm.exact_dedup import exact_dedup
 from geoindicators.llm.html_wrapper import extract_main_text
 from geoindicators.llm.langid import identify_language, train_language_model
+from geoindicators.llm.minhash_dedup import near_dedup
+from geoindicators.llm.packing import pack_documents
+from geoindicators.llm.paragraph_dedup import repeated_passages
+from geoindicators.llm.tiling import contaminated
 from geoindicators.llm.toxicity import score_toxicity, train_toxicity_model
 from geoindicators.llm.url_filter import judge_urls
 from geoindicators.llm.warc import read_warc, write_warc
@@ -40,18 +44,35 @@ def op4_warc(spark: SparkSession, sf: str) -> DataFrame:
     return read_warc(folder, manifest).drop("url")
 
 
+def op5_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return pack_documents(_read(spark, sf, "documents"))
+
+
+def op6_paragraph_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return repeated_passages(_read(spark, sf, "documents"))
+
+
 def op7_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return judge_urls(_read(spark, sf, "pages"), rules)
 
 
+def op8_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return contaminated(_read(spark, sf, "documents"), _read(spark, sf, "benchmark"))
+
+
 def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = _read(spark, sf, "documents")
     return identify_language(docs, train_language_model(docs))
 
 
-Q = {"op1_exact_dedup": op1_exact_dedup, "op2_html_main_text": op2_html_main_text, "op3_toxicity": op3_toxicity, "op4_warc": op4_warc, "op7_url_filter": op7_url_filter,
-     "op9_language_id": op9_language_id}
+def op10_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dedup(_read(spark, sf, "documents"))
+
+
+Q = {"op1_exact_dedup": op1_exact_dedup, "op2_html_main_text": op2_html_main_text, "op3_toxicity": op3_toxicity, "op4_warc": op4_warc, "op5_best_fit_packing": op5_best_fit_packing,
+     "op6_paragraph_dedup": op6_paragraph_dedup, "op7_url_filter": op7_url_filter, "op8_decontamination": op8_decontamination,
+     "op9_language_id": op9_language_id, "op10_minhash_near_dedup": op10_minhash_near_dedup}
 
 SQL = {
     "op1_exact_dedup": r"""

@@ -255,3 +255,9 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
                 names=[id_col, "held_out", "score", "predicted", "evidence"])
 
     return own.mapInArrow(score, f"`{id_col}` {id_type}, held_out boolean, score double, predicted int, evidence array<string>")
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The documents scored under ``threshold`` by a model trained on ``labels``; ids must be unique and not null."""
+    scores = score_toxicity(docs, train_toxicity_model(docs, labels, id_col, text_col), id_col, text_col, threshold)
+    return docs.join(scores.where("predicted = 1").select(id_col), id_col, "left_anti").select(docs.columns)

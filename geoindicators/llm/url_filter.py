@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -110,11 +110,11 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
 
     def judge(batches):
         for b in batches:
-            found = {hp: trie.value.find(*hp) or (None, default) for hp in set(zip(b["host"], b["path"], strict=True))}
-            hits = [found[hp] for hp in zip(b["host"], b["path"], strict=True)]
-            yield b.assign(rule=pd.Series([h[0] for h in hits], dtype=object, index=b.index),
-                           verdict=pd.Series([h[1] for h in hits], dtype=object, index=b.index))
+            urls = list(zip(b.column("host").to_pylist(), b.column("path").to_pylist(), strict=True))
+            found = {hp: trie.value.find(*hp) or (None, default) for hp in set(urls)}
+            rule, verdict = [pa.array([found[u][i] for u in urls], pa.string()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*b.columns, rule, verdict], names=["page_id", "host", "path", "rule", "verdict"])
 
     urls = _urls(pages, id_col, url_col)
     id_type = urls.schema["page_id"].dataType.simpleString()
-    return urls.mapInPandas(judge, f"page_id {id_type}, host string, path string, rule string, verdict string")
+    return urls.mapInArrow(judge, f"page_id {id_type}, host string, path string, rule string, verdict string")
