@@ -32,6 +32,10 @@ OVRIGE = "Øvrige befolkning"
 IKKE_VESTLIG = "Asia, Afrika, Latin-Amerika og Øst-Europa utenfor EU"
 
 
+def _is_status(variant: str) -> bool:
+    return variant.endswith("status")
+
+
 def _aligned(variant: str, *dfs: DataFrame) -> list[DataFrame]:
     return (align.status if variant.endswith("status") else align.historic)(*dfs, date=K.date)
 
@@ -53,19 +57,22 @@ def _sub_keys_join(left: DataFrame, right: DataFrame, keys=(K.district_id, K.dat
 # --- D01 age distribution ------------------------------------------------------------------------
 
 AGES = [str(i) for i in range(0, 121)]
+GENDERS = ["mann", "kvinne"]
 
 
 def _alder(inputs, variant):
-    [long] = align.status(inputs[BEF], date=K.date)
-    long = long.withColumn("alder", F.col("alder").cast("string"))
-    wide = pivot.pivot_sum(long, [*KEYS, "alder"], "kjonn", "antall", {1: "mann", 2: "kvinne"}, fill=0)
-    return rollup.aggregate(wide, "sum", K, extra=["alder"])
+    # rows without an age count in the total, under an age that the published list doesn't hold
+    long = inputs[BEF].withColumn("alder", F.coalesce(F.col("alder").cast("string"), F.lit("uoppgitt")))
+    wide = pivot.pivot_sum(long, [*KEYS, "alder"], "kjonn", "antall", {1: "mann", 2: "kvinne"}, fill=None)
+    wide = wide.withColumns({f"n_{c}": F.col(c).isNotNull().cast("int") for c in GENDERS}).fillna(0, GENDERS)
+    [rows] = align.status(materialize(rollup.aggregate(wide, "sum", K, extra=["alder"])), date=K.date)
+    return rows
 
 
 _HA = "Aldersdistribusjon fordelt på kjønn"
 ALDER_DISTRIBUSJON = DatasetSpec(
     "alder_distribusjon_status", [BEF], {BEF: N.befolkning}, _alder,
-    {"status": Variant(TemplateE(age="alder", ages=AGES), [], _HA, [S(_HA)], None)})
+    {"status": Variant(TemplateE(age="alder", ages=AGES, present=[f"n_{c}" for c in GENDERS]), [], _HA, [S(_HA)], None)})
 
 
 # --- D09 population ----------------------------------------------------------------------------------
@@ -82,8 +89,7 @@ def population_with_changes(long: DataFrame, horizon: int = 10) -> DataFrame:
 
 
 def _folkemengde(inputs, variant):
-    [long] = align.historic(inputs[BEF], date=K.date)
-    df = population_with_changes(long)
+    df = inputs["base"]
     if variant == "historisk-prosent":
         return df.filter(F.col("change").isNotNull() & F.col("change_ratio").isNotNull())
     if variant == "nokkeltall":
@@ -94,7 +100,8 @@ def _folkemengde(inputs, variant):
 
 
 FOLKEMENGDE = DatasetSpec(
-    "folkemengde", [BEF], {BEF: N.befolkning}, _folkemengde,
+    "folkemengde", [BEF], {BEF: N.befolkning}, _folkemengde, rows_key=lambda variant: variant,
+    base=lambda inputs: population_with_changes(inputs[BEF].filter(F.col(K.date).isNotNull())), variants=
     {"historisk": Variant(TemplateB(), ["population"], "Folkemengde utvikling historisk", [], None),
      "historisk-prosent": Variant(TemplateB(), ["change"], "Folkemengde utvikling historisk prosent", [], None),
      "nokkeltall": Variant(TemplateG("history"), ["population", "change", "change_10y"],
@@ -148,18 +155,21 @@ _FLOW = {"in": ["innflytting_mellom_bydeler", "innflytting_innenfor_bydelen", "i
          "out": ["utflytting_mellom_bydeler", "utflytting_innenfor_bydelen", "utflytting_fra_oslo"]}
 
 
-def _flytting(inputs, variant):
+def _flytting(inputs):
     on = [K.date, K.district_name, K.district_id, N.AGE_GROUP]
     df = inputs["flytting-fra-etter-alder"].join(inputs["flytting-til-etter-alder"], on)
     df = df.withColumns({K.sub_id: F.lit(None).cast("string"), K.sub_name: F.lit(None).cast("string")})
-    r = rollup.aggregate(df, "sum", K, extra=[N.AGE_GROUP])
-    return _aligned(variant, r)[0]
+    return rollup.aggregate(df, "sum", K, extra=[N.AGE_GROUP])
+
+
+def _flytting_aligned(inputs, variant):
+    return _aligned(variant, inputs["base"])[0]
 
 
 FLYTTEHYPPIGHET = DatasetSpec(
     "flyttehyppighet_totalt", ["flytting-fra-etter-alder", "flytting-til-etter-alder"],
-    {"flytting-fra-etter-alder": N.flytting_fra, "flytting-til-etter-alder": N.flytting_til}, _flytting,
-    {"status": Variant(TemplateFlow(N.AGE_GROUP, status=True), _FLOW, "Flytting etter alder", [S("Flytting")], None),
+    {"flytting-fra-etter-alder": N.flytting_fra, "flytting-til-etter-alder": N.flytting_til}, _flytting_aligned,
+    rows_key=_is_status, base=_flytting, variants={"status": Variant(TemplateFlow(N.AGE_GROUP, status=True), _FLOW, "Flytting etter alder", [S("Flytting")], None),
      "historisk": Variant(TemplateFlow(N.AGE_GROUP), _FLOW, "Flytting etter alder", [S("Flytting")], None)})
 
 
@@ -167,7 +177,7 @@ FLYTTEHYPPIGHET = DatasetSpec(
 
 def ikke_vestlig_kort(long: DataFrame) -> DataFrame:
     """Short-residence non-western immigrants per (year, sub-district), rolled up."""
-    cat = F.concat_ws("|", F.col("botid"), F.col("landbakgrunn"))
+    cat = F.concat(F.col("botid"), F.lit("|"), F.col("landbakgrunn"))
     w = pivot.pivot_sum(long.withColumn("_cat", cat), KEYS, "_cat", "antall",
                         {f"{KORT}|{IKKE_VESTLIG}": "ikke_vestlig_kort"}, fill=0)
     return rollup.aggregate(w, {"ikke_vestlig_kort": "sum"}, K)
@@ -224,7 +234,7 @@ for _n, _c, _h in [("kort", "short", "Innvandrer med kort botid (<=5 år)"),
     _IB[f"{_n}_historisk"] = Variant(TemplateB(), [_c], _h, [], None)
 
 INNVANDRER_BEFOLKNING = DatasetSpec(
-    "innvandrer_befolkning", ["botid", BEF], {"botid": N.botid, BEF: _befolkning_r7}, _innvandrer, _IB)
+    "innvandrer_befolkning", ["botid", BEF], {"botid": N.botid, BEF: _befolkning_r7}, _innvandrer, _IB, rows_key=_is_status)
 
 
 # --- D14 municipal housing ---------------------------------------------------------------------------------
@@ -247,8 +257,8 @@ def _kommunale(inputs, variant):
 _H14 = "Kommunale boliger av boligmassen i alt"
 KOMMUNALE_BOLIGER = DatasetSpec(
     "kommunale_boliger", ["kommunale-boliger", "boligmengde-etter-boligtype"],
-    {"kommunale-boliger": N.kommunale_boliger, "boligmengde-etter-boligtype": N.boligmengde}, _kommunale,
-    {"status": Variant(TemplateA(), ["antall_boliger"], _H14, [], None, scale="antall_boliger"),
+    {"kommunale-boliger": N.kommunale_boliger, "boligmengde-etter-boligtype": N.boligmengde}, _kommunale, rows_key=_is_status,
+    variants={"status": Variant(TemplateA(), ["antall_boliger"], _H14, [], None, scale="antall_boliger"),
      "historisk": Variant(TemplateB(), ["antall_boliger"], _H14, [], None, scale="antall_boliger")})
 
 
@@ -315,9 +325,9 @@ TOTALT_VALUES = ["ikke_vestlig_kort", "lav_utdanning", "antall_fattige_barnehush
 
 def _totalt(inputs, variant):
     pop_long = inputs[BEF]
-    # short-stay non-western immigrants (Norway excluded, then the non-western group)
+    # short-stay non-western immigrants
     botid = inputs["botid-ikke-vestlige"]
-    botid = botid.filter(filters.not_equal_keep_null("landbakgrunn", "Norge"))
+    botid = botid.filter(F.col("landbakgrunn") == IKKE_VESTLIG)  # before the pivot: no rows, no zeros
     iv = _with_population(ikke_vestlig_kort(botid), pop_long, "ikke_vestlig_kort")
     # low education: both sums skip missing levels here
     edu = education_levels(inputs["lav-utdanning"])
@@ -353,7 +363,7 @@ LEVEKAR_TOTALT = DatasetSpec(
     {"botid-ikke-vestlige": N.botid_ikke_vestlige, "lav-utdanning": N.lav_utdanning,
      "fattige-husholdninger": N.fattige_husholdninger, "sysselsatte": N.sysselsatte, BEF: N.befolkning,
      "neets": N.neets, "trangbodde": lambda raw, geo: N.trangbodde(raw, geo, require_district=False)},
-    _totalt, {"status": Variant(TemplateK(), TOTALT_VALUES, "", _S20, None)})
+    _totalt, {"status": Variant(TemplateK(), TOTALT_VALUES, "", _S20, None)}, intermediate=False)
 
 SPECS = [ALDER_DISTRIBUSJON, FOLKEMENGDE, BEFOLKNINGSUTVKL, FLYTTEHYPPIGHET, BOTID_IKKE_VESTLIGE,
          INNVANDRER_BEFOLKNING, KOMMUNALE_BOLIGER, LANDBAKGRUNN, IKKE_SYSSELSATTE, LEVEKAR_TOTALT]

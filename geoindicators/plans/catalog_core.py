@@ -105,28 +105,42 @@ def ratios(spark, sf):
 _ROLLED = rollup_sql(FACT_SQL, SUM_ORDERS)
 
 
-@register("historic_common_years", f"""
-WITH a AS ({_ROLLED}), b AS ({line_sql(1)})
-SELECT * FROM a WHERE date IN (SELECT date FROM a INTERSECT SELECT date FROM b)
-""")
+def _line_rolled(shift: int) -> str:
+    return rollup_sql(line_sql(shift, parts=False), {"quantity": r4("coalesce(sum(quantity), 0)")})
+
+
+def _both_sql(where: str, shift: int) -> str:
+    return f"""
+WITH a AS ({_ROLLED}), b AS ({_line_rolled(shift)}), common AS (SELECT date FROM a INTERSECT SELECT date FROM b)
+SELECT 'orders' AS source, {KEYS_SQL}, CAST(n_orders AS DOUBLE) AS value FROM a WHERE {where}
+UNION ALL SELECT 'lines', {KEYS_SQL}, CAST(quantity AS DOUBLE) FROM b WHERE {where}
+"""
+
+
+def _two_sources(spark, sf, shift):
+    """Orders and (year-shifted) shipments, each rolled up once: small rows, read again for their years."""
+    a = materialize(rollup.aggregate(facts(spark, sf).select(*KEY_COLS, "n_orders"), "sum", K))
+    b = materialize(rollup.aggregate(line_facts(spark, sf, shift, parts=False).select(*KEY_COLS, "quantity"), "sum", K))
+    return a, b
+
+
+def _both(a, b):
+    return conform(a.select(F.lit("orders").alias("source"), *KEY_COLS, F.col("n_orders").cast("double").alias("value"))
+                   .unionByName(b.select(F.lit("lines").alias("source"), *KEY_COLS, F.col("quantity").cast("double").alias("value"))))
+
+
+@register("historic_common_years", _both_sql("date IN (SELECT date FROM common)", 1))
 def historic_common_years(spark, sf):
-    """Orders (1995..) aligned with shipments counted on next year's 1 January."""
-    a = materialize(rollup.aggregate(facts(spark, sf).select(*KEY_COLS, "n_orders", "revenue"), "sum", K))
-    b = line_facts(spark, sf, shift=1)
-    return conform(align.historic(a, b)[0])
+    """Orders (1995..) aligned with shipments counted on next year's 1 January: both inputs, common years only."""
+    return _both(*align.historic(*_two_sources(spark, sf, 1)))
 
 
-@register("status_latest_common_year", f"""
-WITH a AS ({_ROLLED}), b AS ({line_sql(-1)})
-SELECT * FROM a WHERE date = (SELECT max(date) FROM (SELECT date FROM a INTERSECT SELECT date FROM b))
-""")
+@register("status_latest_common_year", _both_sql("date = (SELECT max(date) FROM common)", -1))
 def status_latest_common_year(spark, sf):
-    a = materialize(rollup.aggregate(facts(spark, sf).select(*KEY_COLS, "n_orders", "revenue"), "sum", K))
-    b = line_facts(spark, sf, shift=-1)
-    return conform(align.status(a, b)[0])
+    return _both(*align.status(*_two_sources(spark, sf, -1)))
 
 
-_LINE_ROLLED = rollup_sql(line_sql(0), {"quantity": r4("coalesce(sum(quantity), 0)"),
+_LINE_ROLLED = rollup_sql(line_sql(0, parts=False), {"quantity": r4("coalesce(sum(quantity), 0)"),
                                         "price": r4("coalesce(sum(price), 0)")})
 
 
@@ -134,7 +148,7 @@ _LINE_ROLLED = rollup_sql(line_sql(0), {"quantity": r4("coalesce(sum(quantity),
 WITH r AS ({_LINE_ROLLED}) SELECT * EXCLUDE (date) FROM r WHERE date = (SELECT max(date) FROM r)
 """)
 def keep_newest(spark, sf):
-    r = materialize(rollup.aggregate(line_facts(spark, sf).select(*KEY_COLS, "quantity", "price"), "sum", K))
+    r = materialize(rollup.aggregate(line_facts(spark, sf, parts=False).select(*KEY_COLS, "quantity", "price"), "sum", K))
     return conform(align.keep_newest(r))
 
 

@@ -62,9 +62,9 @@ FROM m
 def template_e(spark, sf):
     """Template E on the newest year: quantity per part size ("age") split by
     line status ("gender"), with each size's share of the geography's total."""
-    [lf] = align.status(line_facts(spark, sf))
-    wide = pivot.pivot_sum(lf, [*KEY_COLS, "age"], "line_status", "quantity", {"O": "mann", "F": "kvinne"}, fill=0)
-    r = rollup.aggregate(wide, "sum", K, extra=["age"])
+    wide = pivot.pivot_sum(line_facts(spark, sf), [*KEY_COLS, "age"], "line_status", "quantity", {"O": "mann", "F": "kvinne"}, fill=0)
+    # rolled up first: the newest year is then found, and picked, among small rows
+    [r] = align.status(materialize(rollup.aggregate(wide, "sum", K, extra=["age"])))
     docs = doc.build_documents(r, TemplateE(), [], META, K)
     e = _explode_entries(docs)
     v = e.select("doc_id", "geo_id", "geography", "avg_row", "total_row", F.posexplode("vals").alias("ordinal", "v"))

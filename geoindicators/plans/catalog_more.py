@@ -110,7 +110,7 @@ _A_SQL = rollup_sql(FACT_SQL, {"n_orders": "CAST(coalesce(sum(n_orders), 0) AS B
 
 
 def _b_sql(shift):
-    return rollup_sql(line_sql(shift), {"quantity": r4("coalesce(sum(quantity), 0)")})
+    return rollup_sql(line_sql(shift, parts=False), {"quantity": r4("coalesce(sum(quantity), 0)")})
 
 
 _PROMO_SQL = rollup_sql(f"SELECT * FROM ({line_sql(0)}) WHERE category = 'PROMO'",
@@ -123,7 +123,7 @@ def _a(spark, sf):
 
 
 def _b(spark, sf, shift=0):
-    return rollup.aggregate(line_facts(spark, sf, shift).select(*KEY_COLS, "quantity"), "sum", K)
+    return rollup.aggregate(line_facts(spark, sf, shift, parts=False).select(*KEY_COLS, "quantity"), "sum", K)
 
 
 def _promo(spark, sf):
@@ -161,7 +161,7 @@ _POP_SUB_SQL = (f"SELECT {KEYS_SQL}, CAST(sum(n_orders) AS BIGINT) AS population
 
 @register("shifted_year_join", f"""
 WITH p AS ({_POP_SUB_SQL}),
-e AS (SELECT date - 1 AS date, sub_id, sum(quantity) AS quantity FROM ({line_sql(0)}) GROUP BY date, sub_id)
+e AS (SELECT date - 1 AS date, sub_id, sum(quantity) AS quantity FROM ({line_sql(0, parts=False)}) GROUP BY date, sub_id)
 SELECT p.date, p.sub_id, p.district_id, p.population, {r4("e.quantity")} AS quantity,
        {r4("e.quantity / nullif(p.population, 0)")} AS per_capita
 FROM p JOIN e ON p.date = e.date AND p.sub_id = e.sub_id
@@ -169,7 +169,7 @@ FROM p JOIN e ON p.date = e.date AND p.sub_id = e.sub_id
 def shifted_year_join(spark, sf):
     """A year-end measure moved one year back, joined on (year, sub-district)."""
     pop = rollup.presum(facts(spark, sf).select(*KEY_COLS, F.col("n_orders").alias("population")), K)
-    e = (align.shift_years(line_facts(spark, sf), -1)
+    e = (align.shift_years(line_facts(spark, sf, parts=False), -1)
          .groupBy(K.date, K.sub_id).agg(F.sum("quantity").alias("quantity")))
     j = pop.join(e, [K.date, K.sub_id])
     return conform(j.select(K.date, K.sub_id, K.district_id, "population", "quantity",
@@ -221,7 +221,7 @@ def category_city_total(spark, sf):
 
 
 @register("flow_totals", f"""
-WITH d AS (SELECT date, district_id, district_name, line_status, quantity FROM ({line_sql(0)}))
+WITH d AS (SELECT date, district_id, district_name, line_status, quantity FROM ({line_sql(0, parts=False)}))
 SELECT date, district_id, district_name, line_status, {r4("sum(quantity)")} AS quantity FROM d
 GROUP BY date, district_id, district_name, line_status
 UNION ALL
@@ -229,7 +229,7 @@ SELECT date, '00', 'Oslo i alt', line_status, {r4("sum(quantity)")} FROM d GROUP
 """)
 def flow_totals(spark, sf):
     """District and city totals for a source without a sub-district level."""
-    d = line_facts(spark, sf).select(K.date, K.district_id, K.district_name, "line_status", "quantity")
+    d = line_facts(spark, sf, parts=False).select(K.date, K.district_id, K.district_name, "line_status", "quantity")
     return conform(rollup.district_city_totals(d, K, extra=["line_status"]))
 
 

@@ -29,14 +29,14 @@ def facts(spark: SparkSession, sf: str, *extra: str) -> DataFrame:
     return star.order_facts(spark, sf, tuple(extra))
 
 
-def line_facts(spark: SparkSession, sf: str, shift: int = 0) -> DataFrame:
+def line_facts(spark: SparkSession, sf: str, shift: int = 0, parts: bool = True) -> DataFrame:
     """Sub-district rows per order line, dated by ship year (+ ``shift``).
 
-    keys + ``quantity``, ``price``, ``line_status``, ``flag`` (= l_returnflag), ``age`` (= p_size),
-    ``category`` (= p_type).
+    keys + ``quantity``, ``price``, ``line_status``, ``flag`` (= l_returnflag) and, with ``parts``, ``age``
+    (= p_size) and ``category`` (= p_type).  Without it lineitem is shuffled once, to meet its order.
     """
     lineitem = table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_partkey",
+        "l_orderkey", *(["l_partkey"] if parts else []),
         (F.year("l_shipdate") + F.lit(shift)).cast("long").alias(K.date),
         F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").cast("decimal(18,2)").alias("price"),
         F.col("l_linestatus").alias("line_status"), F.col("l_returnflag").alias("flag"))
@@ -46,8 +46,10 @@ def line_facts(spark: SparkSession, sf: str, shift: int = 0) -> DataFrame:
     # once to meet its order, once to meet its part
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     order_geo = orders.join(star.customer_geo(spark, sf), F.col("o_custkey") == F.col("c_custkey"))
-    joined = (lineitem.join(order_geo, F.col("l_orderkey") == F.col("o_orderkey"))
-              .join(part, F.col("l_partkey") == F.col("p_partkey")))
+    joined = lineitem.join(order_geo, F.col("l_orderkey") == F.col("o_orderkey"))
+    if not parts:
+        return joined.select(*KEY_COLS, "quantity", "price", "line_status", "flag")
+    joined = joined.join(part, F.col("l_partkey") == F.col("p_partkey"))
     return joined.select(*KEY_COLS, "quantity", "price", "line_status", "flag", "age", "category")
 
 
@@ -57,19 +59,20 @@ SELECT CAST(year(l.l_shipdate) + {shift} AS BIGINT) AS date,
        r.r_name AS district_name,
        lpad(CAST(r.r_regionkey + 1 AS VARCHAR), 2, '0') || lpad(CAST(n.n_nationkey AS VARCHAR), 2, '0') AS sub_id,
        n.n_name AS sub_name,
-       l.l_quantity AS quantity, CAST(l.l_extendedprice AS DECIMAL(18, 2)) AS price, l.l_linestatus AS line_status, l.l_returnflag AS flag,
-       p.p_size AS age, p.p_type AS category
+       l.l_quantity AS quantity, CAST(l.l_extendedprice AS DECIMAL(18, 2)) AS price, l.l_linestatus AS line_status, l.l_returnflag AS flag
+       {part_columns}
 FROM lineitem l
 JOIN orders o ON l.l_orderkey = o.o_orderkey
-JOIN part p ON l.l_partkey = p.p_partkey
+{part_join}
 JOIN customer c ON o.o_custkey = c.c_custkey
 JOIN nation n ON c.c_nationkey = n.n_nationkey
 JOIN region r ON n.n_regionkey = r.r_regionkey
 """
 
 
-def line_sql(shift: int = 0) -> str:
-    return LINE_SQL.format(shift=shift)
+def line_sql(shift: int = 0, parts: bool = True) -> str:
+    return LINE_SQL.format(shift=shift, part_columns=", p.p_size AS age, p.p_type AS category" if parts else "",
+                           part_join="JOIN part p ON l.l_partkey = p.p_partkey" if parts else "")
 
 
 def r4(expr: str) -> str:

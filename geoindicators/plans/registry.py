@@ -9,37 +9,24 @@ from pyspark.sql import functions as F
 
 _MODULES = ["geoindicators.plans.catalog_core", "geoindicators.plans.catalog_more",
             "geoindicators.plans.catalog_docs", "geoindicators.plans.catalog_docs2",
-            "geoindicators.plans.catalog_geo"]
+            "geoindicators.plans.catalog_geo", "geoindicators.plans.catalog_datasets"]
 
 
 def _load():
     qs, sql = {}, {}
     for m in _MODULES:
-        try:
-            mod = importlib.import_module(m)
-        except ModuleNotFoundError as e:
-            if e.name == m:
-                continue
-            raise
+        mod = importlib.import_module(m)
         qs.update(mod.Q)
         sql.update(mod.SQL)
     return qs, sql
 
 
-# names used by the build plan for two resolver checks (same queries as the specific names)
-ALIASES = {"geo_by_name": "geo_sub_name_fallback", "geo_by_code": "geo_code_and_sub"}
-
-
-def _with_aliases(d: dict) -> dict:
-    return {**d, **{alias: d[name] for alias, name in ALIASES.items() if name in d}}
-
-
 def all_queries() -> dict:
-    return _with_aliases(_load()[0])
+    return _load()[0]
 
 
 def all_sql() -> dict:
-    return _with_aliases(_load()[1])
+    return _load()[1]
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:

@@ -6,8 +6,8 @@ order measures = indicators, ``o_orderstatus`` / ``o_orderpriority`` = categorie
 * district id = ``lpad(r_regionkey + 1, 2, '0')`` (the +1 keeps clear of the
   city id ``00``), sub-district id = district id || ``lpad(n_nationkey, 2, '0')``.
 
-Plan shape (what ``explain`` shows): the two geography tables are joined and
-broadcast after a size check; customer is projected to (custkey, nationkey) and
+Plan shape (what ``explain`` shows): the two geography tables are joined and, being
+under Spark's byte threshold, broadcast; customer is projected to (custkey, nationkey) and
 joined to it map-side; orders are projected to the needed columns only (the
 scan's ``ReadSchema``) and joined to customers by key - a shuffle join that AQE
 turns into a broadcast when customers are small and splits when one customer is
@@ -20,21 +20,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoindicators.keys import Keys
-from geoindicators.operators.joins import bounded_broadcast
 
 KEYS = Keys(non_residential=("05",))  # district 05 plays the non-residential one
 
 
-_TABLES: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The driver table ``name`` (read-only input): resolved once per session, so its
-    file listing and schema are not redone by every query that scans it."""
-    key = (id(spark), sf_dir, name)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return _TABLES[key]
+    """The driver table ``name`` (read-only input)."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _district_id(regionkey: Column) -> Column:
@@ -47,7 +39,7 @@ def geo_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
     did = _district_id(F.col("r_regionkey"))
     return (
-        nation.join(bounded_broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
+        nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
             F.col("n_nationkey"),
             did.alias(KEYS.district_id),
@@ -66,7 +58,7 @@ def district_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customer_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    dim = bounded_broadcast(geo_dim(spark, sf_dir))
+    dim = geo_dim(spark, sf_dir)
     return customer.join(dim, F.col("c_nationkey") == F.col("n_nationkey")).drop("c_nationkey", "n_nationkey")
 
 

@@ -8,8 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoindicators.geo.dim import Geography
-from geoindicators.operators.joins import bounded_broadcast
+from geoindicators.geo.dim import Geography, local_table
 from geoindicators.plans.star import _district_id, table
 
 CITY = ("00", "Oslo i alt")
@@ -18,29 +17,18 @@ UNKNOWN = ("99", "Uten registrert adresse")
 FIXED_DISTRICT_ALIASES = [("oslo i alt", "00"), ("uoppgitt", "99"), ("uten registrert adresse", "99")]
 
 
-_CACHE: dict = {}
-
-
 def star_geography(spark: SparkSession, sf: str) -> Geography:
-    """Built (and size-checked) once per session and source directory."""
-    key = (id(spark), sf)
-    if key not in _CACHE:
-        _CACHE[key] = _build(spark, sf)
-    return _CACHE[key]
-
-
-def _build(spark: SparkSession, sf: str) -> Geography:
     region = table(spark, sf, "region")
     nation = table(spark, sf, "nation")
     did = _district_id(F.col("r_regionkey"))
     districts = region.select(did.alias("district_id"), F.col("r_name").alias("district_name")).unionByName(
-        spark.createDataFrame([CITY, UNKNOWN], "district_id string, district_name string"))
+        local_table(spark, [CITY, UNKNOWN], "district_id string, district_name string"))
     lowered = F.lower(F.col("r_name"))
     district_aliases = (
         region.select(F.concat(F.lit("bydel "), lowered).alias("alias"), did.alias("district_id"))
         .unionByName(region.select(F.concat(F.lit("bydel "), F.regexp_replace(lowered, " ", "")).alias("alias"),
                                    did.alias("district_id")))
-        .unionByName(spark.createDataFrame(FIXED_DISTRICT_ALIASES, "alias string, district_id string"))
+        .unionByName(local_table(spark, FIXED_DISTRICT_ALIASES, "alias string, district_id string"))
         .distinct()
     )
     nr = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -68,10 +56,10 @@ def raw_orders(spark: SparkSession, sf: str) -> DataFrame:
     customer = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf, "nation")
     region = table(spark, sf, "region")
-    geo = (nation.join(bounded_broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
+    geo = (nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
            .select("n_nationkey", "n_name", "r_regionkey", "r_name",
                    _district_id(F.col("r_regionkey")).alias("did")))
-    cg = customer.join(bounded_broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
+    cg = customer.join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
     return (orders.join(cg, F.col("o_custkey") == F.col("c_custkey"))
             .select("o_orderkey", "date", "prio", "status", "n_nationkey", "n_name", "r_regionkey", "r_name", "did")
             .withColumn("sub_num", F.when(F.col("prio") == "5-LOW", F.lit(9999))
