@@ -1,10 +1,10 @@
 """Year alignment across sources.
 
-The year tables built here hold one row per distinct year (pre-aggregated
-map-side, so their size is bounded by the calendar, not by the data).  A set of
-years is applied with a left-semi join (AQE sees its runtime size and broadcasts
-it, so the facts are filtered in place without being shuffled); a single year is
-a scalar subquery evaluated once and used as a filter literal.
+The years of an input are pre-aggregated map-side to one row per distinct year, so
+their number is bounded by the calendar, not by the data.  A set of years is a scalar
+subquery (one array) and a single year one value; both filter the rows in place, so
+nothing is shuffled by year.  Callers pass rows that are small already (rolled up and
+materialized), because finding the years reads the input once more.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ def common_years(*dfs: DataFrame, date: str = "date") -> DataFrame:
 
 def historic(*dfs: DataFrame, date: str = "date") -> list[DataFrame]:
     """Restrict every input to the years present in ALL inputs (may be empty)."""
-    common = common_years(*dfs, date=date)
-    return [d.join(common, date, "left_semi") for d in dfs]
+    common = common_years(*dfs, date=date).agg(F.collect_list(date)).scalar()
+    return [d.filter(F.array_contains(common, F.col(date))) for d in dfs]
 
 
 def latest_common_year(*dfs: DataFrame, date: str = "date") -> DataFrame:

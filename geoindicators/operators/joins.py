@@ -1,4 +1,8 @@
-"""Joins: size-checked broadcast lookups, null-safe natural joins, semi-joins.
+"""Joins: null-safe natural joins, semi-joins, salted joins.
+
+Nothing here forces a broadcast: dimension tables are small Parquet scans or local
+relations, whose bytes Spark knows, and AQE broadcasts other sides when their
+shuffled size turns out to be under the threshold.
 
 Null keys match null keys in the indicator contract (a district row has a null
 sub-district on both sides of a join), so every key comparison here is
@@ -13,28 +17,6 @@ from typing import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A geography dimension holds one row per district / sub-district / alias:
-# hundreds of rows, never data-sized.  Anything larger is joined by shuffle.
-DIMENSION_MAX_ROWS = 100_000
-
-
-_CHECKED: dict = {}
-
-
-def bounded_broadcast(dim: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
-    """Broadcast ``dim`` only if it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap even when
-    the table turns out to be large; beyond the bound the plain DataFrame is
-    returned and Spark/AQE pick a shuffle join.  The outcome is remembered per
-    session and plan, so a dimension used by many queries is checked once.
-    """
-    key = (id(dim.sparkSession), dim.semanticHash(), max_rows)
-    if key not in _CHECKED:
-        _CHECKED[key] = dim.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(dim) if _CHECKED[key] else dim
-
-
 def null_safe_on(left: DataFrame, right: DataFrame, keys: Iterable[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 

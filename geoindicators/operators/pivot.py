@@ -37,13 +37,13 @@ def pivot_sum(df: DataFrame, index: Iterable[str], column: str, value: str,
     ``fill`` (``None`` keeps them NULL); present cells sum with nulls skipped.
     With ``zero_absent_columns`` a category that occurs nowhere in the input
     gives 0 in every row (one global flag per category, a scalar subquery).
-    Rows with a null index key do not take part.
+    Rows with a null index key or category do not take part.
     """
     index = list(index)
     outputs: dict[str, list[str]] = {}
     for cat, out in _names(values):
         outputs.setdefault(out, []).append(cat)
-    base = df.filter(_not_null(index))
+    base = df.filter(_not_null([*index, column]))
     anywhere = None
     if zero_absent_columns and fill is None:
         anywhere = base.agg(F.struct(*[F.max(F.col(column).isin(cats)).alias(out)
@@ -69,7 +69,7 @@ def pivot_mean(df: DataFrame, index: Iterable[str], column: str, value: str,
     index = list(index)
     aggs = [F.avg(F.when(F.col(column) == F.lit(cat), F.col(value).cast("double"))).alias(out)
             for cat, out in _names(values)]
-    return df.filter(_not_null(index)).groupBy(*index).agg(*aggs)
+    return df.filter(_not_null([*index, column])).groupBy(*index).agg(*aggs)
 
 
 def pivot_regroup(df: DataFrame, column: str, value_columns: Iterable[str],
@@ -86,7 +86,7 @@ def pivot_regroup(df: DataFrame, column: str, value_columns: Iterable[str],
         for v in value_columns:
             name = out if len(value_columns) == 1 else f"{v}_{out}"
             aggs.append(F.coalesce(F.sum(F.when(F.col(column) == F.lit(cat), F.col(v))), F.lit(0)).alias(name))
-    return df.filter(_not_null(keys)).groupBy(*keys).agg(*aggs)
+    return df.filter(_not_null([*keys, column])).groupBy(*keys).agg(*aggs)
 
 
 def group_sum(df: DataFrame, index: Iterable[str], value_columns: Iterable[str]) -> DataFrame:

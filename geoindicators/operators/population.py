@@ -17,13 +17,13 @@ MAX_AGE = 120
 
 
 def band_population(df: DataFrame, age: str = "age", value: str = "count", min_age: int = 0,
-                    max_age: int = 200, keys: Keys = Keys(), out: str = "population") -> DataFrame:
-    """Population per (year, geography) for ages ``min_age..min(max_age, 120)``, all genders.
+                    max_age: int = 200, keys: Keys = Keys(), out: str = "population", oldest: int = MAX_AGE) -> DataFrame:
+    """Population per (year, geography) for ages ``min_age..min(max_age, oldest)``, all genders.
 
-    Ages absent from the data simply contribute nothing.  Rows with a null key
+    ``oldest`` is the last age of the published tables (120); ages beyond it belong to no band.  Ages absent from the data simply contribute nothing.  Rows with a null key
     are ignored.
     """
-    hi = min(max_age, MAX_AGE)
+    hi = min(max_age, oldest)
     group = keys.all()
     cond = F.col(age).between(min_age, hi)
     for c in group:
@@ -33,6 +33,6 @@ def band_population(df: DataFrame, age: str = "age", value: str = "count", min_a
 
 def total_population(df: DataFrame, value: str = "count", keys: Keys = Keys(),
                      out: str = "population") -> DataFrame:
-    """Population per (year, district, sub-district) over all ages and genders."""
+    """Population per (year, district, sub-district) over all ages and genders; rows with a null key form no group."""
     group = [keys.date, keys.district_id, keys.sub_id]
-    return df.groupBy(*group).agg(coalesced_sum(value).alias(out))
+    return df.dropna(subset=group).groupBy(*group).agg(coalesced_sum(value).alias(out))

@@ -1,13 +1,13 @@
 """Three-level roll-up (sub-district -> district -> city) and its relatives.
 
-``aggregate`` is the core operator.  For distributive aggregates (sum) the three
-levels come out of ONE scan with ``GROUPING SETS``: every task pre-aggregates
-its rows map-side, so the shuffle carries at most (years x geographies x extra
-categories) rows per task whatever the input size, and a hot geography holding
-a third of the rows costs no more than any other.  For non-distributive or
-strict aggregates the city level is defined over district results, so the roll-up
-is staged: sub-district and district come from the base rows, the city from the
-(small) district result.
+``aggregate`` is the core operator.  For distributive aggregates (sum) it works in
+two stages: the facts are aggregated once at the finest key (null sub-districts
+kept), map-side first, so the shuffle carries at most (years x geographies x extra
+categories) rows per task whatever the input size, and a hot geography holding a
+third of the rows costs no more than any other.  The three levels then come out
+of those small rows with ``GROUPING SETS``; no fact row is ever expanded.  For
+non-distributive or strict aggregates sub-district and district come from the base
+rows and the city from the (small) district result.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from geoindicators.functions.nulls import coalesced_sum, numeric_columns, row_sum_skip, safe_div, strict_sum
 from geoindicators.keys import Keys
+from geoindicators.session import materialize
 
 AggSpec = "str | Callable[[Column], Column]"
 
@@ -41,7 +42,10 @@ def _resolve_config(df: DataFrame, keys: Keys, extra: list[str], config) -> dict
     measures = numeric_columns(df, exclude=group_cols)
     if isinstance(config, str) or callable(config):
         return {m: config for m in measures}
-    return {m: how for m, how in config.items() if m in measures}
+    wrong = [m for m in config if m not in measures]
+    if wrong:
+        raise ValueError(f"Not numeric measures of the input: {wrong} (measures: {measures})")
+    return dict(config)
 
 
 def _non_null(cols: Iterable[str]) -> Column:
@@ -62,7 +66,8 @@ def aggregate(df: DataFrame, config: "str | Mapping[str, AggSpec]" = "sum", keys
 
     * ``config``: ``"sum"`` for every numeric non-key column, or a mapping
       column -> ``"sum" | "strict" | "min" | "max" | "mean" | callable``.
-      Only numeric non-key columns are aggregated; others are dropped.
+      ``"sum"`` for all leaves out non-numeric columns; a mapping that names a column
+      that is absent or not numeric is an error.
     * ``extra``: further dimensions kept at every level.
     * Null rule: rows with a null date, district id/name or extra dimension
       are ignored; rows with a null sub-district count at district and city
@@ -84,6 +89,8 @@ def aggregate(df: DataFrame, config: "str | Mapping[str, AggSpec]" = "sum", keys
     aggs = [_agg_expr(m, how) for m, how in cfg.items()]
 
     sets = [sub_set, district_set, city_set] if distributive else [sub_set, district_set]
+    if distributive:
+        base = base.groupBy(*sub_set).agg(*aggs)
     grouped = (
         base.groupingSets(sets, *sub_set)
         .agg(*aggs, F.grouping(k.sub_id).alias("_g_sub"), F.grouping(k.district_id).alias("_g_district"))
@@ -125,7 +132,12 @@ def presum(df: DataFrame, keys: Keys = Keys(), extra: Iterable[str] = ()) -> Dat
 
 
 def add_city_total(df: DataFrame, category: str, keys: Keys = Keys()) -> DataFrame:
-    """Append a city row per (date, category) summing the district rows."""
+    """Append a city row per (date, category) summing the district rows.
+
+    The district rows (years x districts x categories) are written once, so that what made them runs
+    once for the two readers.
+    """
+    df = materialize(df)
     group = [keys.date, category]
     measures = numeric_columns(df, exclude=[*keys.all(), category])
     city = (df.filter(_non_null(group)).groupBy(*group)
@@ -140,7 +152,8 @@ def district_city_totals(df: DataFrame, keys: Keys = Keys(), extra: Iterable[str
     k = keys
     district_set = [k.date, k.district_id, k.district_name, *extra]
     measures = numeric_columns(df, exclude=[*k.all(), *extra])
-    base = df.filter(_non_null(district_set)).select(*district_set, *measures)
+    base = (df.filter(_non_null(district_set)).groupBy(*district_set)
+            .agg(*[coalesced_sum(m).alias(m) for m in measures]))
     grouped = (base.groupingSets([district_set, [k.date, *extra]], *district_set)
                .agg(*[coalesced_sum(m).alias(m) for m in measures],
                     F.grouping(k.district_id).alias("_g_district")))

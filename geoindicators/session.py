@@ -9,11 +9,16 @@ cluster names none (``ensure_checkpoint_dir``).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
 
 
+# checkpoint folders made here because none was named: gone with the machine, so nothing lasting goes there
+TEMPORARY: set[str] = set()
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app: str = "geoindicators", extra: dict | None = None) -> SparkSession:
     builder = (
@@ -41,13 +46,11 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the cluster's checkpoint directory; set a local one only if unset.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is kept.
-    The fallback (a fresh temporary folder) is only for local runs and tests.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is kept; without it this is an
+    error there, because executors don't see the driver's folders.  The fallback (a fresh temporary
+    folder) is for a local master only.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # a remote (Connect) session: the server's spark.checkpoint.dir applies
-        return spark.conf.get("spark.checkpoint.dir", "")
+    sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -55,7 +58,11 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if named:
         sc.setCheckpointDir(named)
         return named
+    if not fallback and not re.match(r"local(\[|$)", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = fallback or tempfile.mkdtemp(prefix="geo-ckpt-")
+    if not fallback:
+        TEMPORARY.add(path)
     sc.setCheckpointDir(path)
     return path
 
