@@ -18,10 +18,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoindicators.operators.joins import DIMENSION_MAX_ROWS
+
+# what a lookup table may hold to be handed to the tasks as a local relation
+MAX_ROWS = 100_000
+MAX_BYTES = 8 << 20
 
 
 def norm(c: Column) -> Column:
@@ -47,49 +51,49 @@ class Geography:
     unknown_id: str = "99"
     unknown_name: str = "Uten registrert adresse"
     district_code_prefix: str = "301"          # 301XX = district XX
-    small: bool | None = None
 
     def __post_init__(self):
-        # one size check for the whole dimension (reads at most bound + 1 rows per table)
-        if self.small is None:
-            tables = [self.districts, self.subs, self.district_aliases, self.sub_aliases, self.legacy]
-            self.small = all_within(tables, DIMENSION_MAX_ROWS)
         self._lookups: dict[str, DataFrame] = {}
 
-    # -- lookup tables (prepared once; small ones are materialized so every lookup
-    #    broadcasts a ready table instead of re-running the joins that build it) ----------
-    def _lookup_table(self, name: str, build) -> DataFrame:
+    # -- lookup tables: built once per geography ----------------------------------------
+    def _lookup(self, name: str, table: DataFrame) -> DataFrame:
+        """The table as a local relation if it is small, so that Spark knows its bytes and broadcasts it
+        instead of shuffling the facts; a larger one stays a plan, joined as Spark sees fit.  Reads at most
+        ``MAX_ROWS + 1`` rows; both rows and bytes are checked."""
         if name not in self._lookups:
-            table = build()
-            if self.small:
-                from geoindicators.session import materialize
-                table = materialize(table)
-            self._lookups[name] = table
+            rows = table.limit(MAX_ROWS + 1).toArrow()
+            small = rows.num_rows <= MAX_ROWS and rows.nbytes <= MAX_BYTES
+            self._lookups[name] = table.sparkSession.createDataFrame(rows, table.schema) if small else table
         return self._lookups[name]
 
     def district_table(self) -> DataFrame:
         """(district_id, district_name)."""
-        return self._lookup_table("districts", lambda: self.districts)
+        return self._lookup("districts", self.districts)
 
     def sub_table(self) -> DataFrame:
         """(sub_id, sub_name, parent_id)."""
-        return self._lookup_table("subs", lambda: self.subs.select(
-            "sub_id", "sub_name", F.col("district_id").alias("parent_id")))
+        return self._lookup("subs", self.subs.select("sub_id", "sub_name", F.col("district_id").alias("parent_id")))
 
     def sub_alias_table(self) -> DataFrame:
         """(alias, sub_id, sub_name, parent_id)."""
-        return self._lookup_table("sub_aliases", lambda: self.sub_aliases.join(self.sub_table(), "sub_id"))
+        return self._lookup("sub_aliases", self.sub_aliases.join(self.sub_table(), "sub_id"))
 
     def district_alias_table(self) -> DataFrame:
         """(alias, district_id, district_name)."""
-        return self._lookup_table("district_aliases",
-                                  lambda: self.district_aliases.join(self.district_table(), "district_id"))
+        return self._lookup("district_aliases", self.district_aliases.join(self.district_table(), "district_id"))
 
     def legacy_table(self) -> DataFrame:
         """(old_id, sub_id, sub_name, parent_id)."""
-        return self._lookup_table("legacy", lambda: self.legacy.join(self.sub_table(), "sub_id"))
+        return self._lookup("legacy", self.legacy.join(self.sub_table(), "sub_id"))
 
     # -- integrity (V9) -------------------------------------------------------------
+    def check(self) -> "Geography":
+        """Raise if ``integrity`` finds anything (one small job); returns the geography."""
+        found = {k: n for k, n in self.integrity().first().asDict().items() if n}
+        if found:
+            raise ValueError(f"Geography dimension is not consistent: {found}")
+        return self
+
     def integrity(self) -> DataFrame:
         """One row of violation counts; all must be 0.
 
@@ -119,17 +123,6 @@ class Geography:
         return _one_row(parts)
 
 
-def all_within(tables: list[DataFrame], bound: int) -> bool:
-    """True if every table has at most ``bound`` rows: ONE job, each table read
-    only up to ``bound + 1`` rows (scalar subqueries over limited scans)."""
-    probe = tables[0].limit(1).select(*[
-        t.limit(bound + 1).agg(F.count(F.lit(1))).scalar().alias(f"n{i}") for i, t in enumerate(tables)])
-    row = probe.first()
-    if row is None:  # the first table is empty; fall back to checking the others one by one
-        return all(t.limit(bound + 1).count() <= bound for t in tables)
-    return all(v <= bound for v in row)
-
-
 def _one_row(parts: dict) -> DataFrame:
     items = list(parts.items())
     name0, df0 = items[0]
@@ -139,10 +132,17 @@ def _one_row(parts: dict) -> DataFrame:
     return out
 
 
+def local_table(spark: SparkSession, rows, schema: str) -> DataFrame:
+    """A small table of strings as a local relation, whose size Spark knows (so joins to it broadcast)."""
+    names = [f.split()[0] for f in schema.split(", ")]
+    columns = list(zip(*rows, strict=True)) or [()] * len(names)
+    return spark.createDataFrame(pa.table({n: pa.array(c, pa.string()) for n, c in zip(names, columns, strict=True)}), schema)
+
+
 def from_tables(spark: SparkSession, districts, subs, district_aliases, sub_aliases, legacy, **kw) -> Geography:
     """Build from DataFrames or lists of tuples (same column order as documented)."""
     def df(x, schema):
-        return x if isinstance(x, DataFrame) else spark.createDataFrame(list(x), schema)
+        return x if isinstance(x, DataFrame) else local_table(spark, x, schema)
     return Geography(
         districts=df(districts, "district_id string, district_name string"),
         subs=df(subs, "sub_id string, sub_name string, district_id string"),

@@ -1,7 +1,7 @@
 """The Oslo geography dimension (districts, sub-districts, aliases, legacy ids).
 
 The lists below are fixed values: the published ids and names the documents
-must carry.  Aliases and legacy ids are derived from them by rule.
+must carry.  The other aliases are the lower-cased names.
 """
 
 from __future__ import annotations
@@ -158,11 +158,104 @@ sentrum, marka og uten registrert adresse;9999
 # the unknown address has two ids; its name resolves to this one (fixed value)
 UNKNOWN_SUB_BY_NAME = "9999"
 
-# --- fixed values: legacy 3-digit ids "DDs" -> "DD0s" for the first s sub-districts of
-# each district that existed under the old numbering, plus the unknown address ----------------
-LEGACY_COUNTS = {"01": 7, "02": 7, "03": 5, "04": 5, "05": 8, "06": 5, "07": 7, "08": 8, "09": 4, "10": 5,
-                 "11": 6, "12": 7, "13": 6, "14": 6, "15": 6, "16": 1, "17": 1}
-LEGACY_EXTRA = {"999": "9901"}
+# --- fixed values: legacy 3-digit ids (old id;sub-district id) ------------------------------
+LEGACY = """
+011;0101
+012;0102
+013;0103
+014;0104
+015;0105
+016;0106
+017;0107
+021;0201
+022;0202
+023;0203
+024;0204
+025;0205
+026;0206
+027;0207
+031;0301
+032;0302
+033;0303
+034;0304
+035;0305
+041;0401
+042;0402
+043;0403
+044;0404
+045;0405
+051;0501
+052;0502
+053;0503
+054;0504
+055;0505
+056;0506
+057;0507
+058;0508
+061;0601
+062;0602
+063;0603
+064;0604
+065;0605
+071;0701
+072;0702
+073;0703
+074;0704
+075;0705
+076;0706
+077;0707
+081;0801
+082;0802
+083;0803
+084;0804
+085;0805
+086;0806
+087;0807
+088;0808
+091;0901
+092;0902
+093;0903
+094;0904
+101;1001
+102;1002
+103;1003
+104;1004
+105;1005
+111;1101
+112;1102
+113;1103
+114;1104
+115;1105
+116;1106
+121;1201
+122;1202
+123;1203
+124;1204
+125;1205
+126;1206
+127;1207
+131;1301
+132;1302
+133;1303
+134;1304
+135;1305
+136;1306
+141;1401
+142;1402
+143;1403
+144;1404
+145;1405
+146;1406
+151;1501
+152;1502
+153;1503
+154;1504
+155;1505
+156;1506
+161;1601
+171;1701
+999;9901
+"""
 
 
 def _pairs(text: str) -> list[tuple[str, str]]:
@@ -181,23 +274,11 @@ def tables() -> dict[str, list[tuple]]:
         else:
             by_alias.setdefault(key, sid)
     sub_aliases = list(by_alias.items()) + _pairs(SUB_ALIASES)
-    legacy = [(f"{int(d)}{s}".zfill(3), f"{d}0{s}") for d, n in LEGACY_COUNTS.items() for s in range(1, n + 1)]
-    legacy += list(LEGACY_EXTRA.items())
     return {"districts": districts, "subs": subs, "district_aliases": district_aliases,
-            "sub_aliases": sub_aliases, "legacy": legacy}
-
-
-_CACHE: dict = {}
+            "sub_aliases": sub_aliases, "legacy": _pairs(LEGACY)}
 
 
 def oslo_geography(spark: SparkSession) -> Geography:
-    """Built (and size-checked) once per session."""
-    if id(spark) not in _CACHE:
-        _CACHE[id(spark)] = _build(spark)
-    return _CACHE[id(spark)]
-
-
-def _build(spark: SparkSession) -> Geography:
     t = tables()
     return from_tables(spark, t["districts"], t["subs"], t["district_aliases"], t["sub_aliases"], t["legacy"],
                        city_id="00", city_name="Oslo i alt", unknown_id="99", unknown_name="Uten registrert adresse")

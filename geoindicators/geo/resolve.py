@@ -34,11 +34,8 @@ def _c(c) -> Column:
 def _lookup(df: DataFrame, key: Column, table: DataFrame, table_key: str, tag: str, geo: Geography) -> DataFrame:
     """Left-join ``table`` on ``key``; its columns come back as ``<tag>_<name>``.
 
-    The dimension is broadcast when its size check passed (``geo.small``);
-    otherwise Spark/AQE choose the join."""
+    Spark broadcasts the dimension while its bytes are under the threshold; beyond it AQE chooses the join."""
     renamed = table.select(*[F.col(c).alias(f"{tag}_{c}") for c in table.columns])
-    if geo.small:
-        renamed = F.broadcast(renamed)
     left = df.withColumn(f"{tag}__key", key)
     out = left.join(renamed, F.col(f"{tag}__key") == F.col(f"{tag}_{table_key}"), "left")
     return out.drop(f"{tag}__key")
@@ -307,7 +304,7 @@ def district_id_for_name(df: DataFrame, col, geo: Geography, out: str = "distric
     named = (F.when(text.startswith(geo.district_title_prefix) | text.isin(list(geo.special_district_names)), text)
              .otherwise(F.concat(F.lit(geo.district_title_prefix), text)))
     tag = _tag()
-    table = geo.district_aliases
+    table = geo.district_alias_table()
     df = _lookup(df, norm(named), table, "alias", tag, geo)
     return (df.withColumn(out, F.when(F.col(f"{tag}_district_id").isNull() & text.isNotNull(),
                                       F.raise_error(F.concat(F.lit("Unknown district: "), text)))
