@@ -2,18 +2,12 @@
 
 from __future__ import annotations
 
-from geoindicators.datasets.spec import DatasetSpec, run
+from geoindicators.datasets.spec import DatasetSpec, run, run_all
 
 
 def registry() -> dict[str, DatasetSpec]:
-    from geoindicators.datasets import households, simple
-    specs = [*simple.SPECS, *households.SPECS]
-    try:
-        from geoindicators.datasets import composite
-        specs += composite.SPECS
-    except ImportError:
-        pass
-    return {s.name: s for s in specs}
+    from geoindicators.datasets import composite, households, simple
+    return {s.name: s for s in [*simple.SPECS, *households.SPECS, *composite.SPECS]}
 
 
 def get(name: str) -> DatasetSpec:
@@ -23,4 +17,4 @@ def get(name: str) -> DatasetSpec:
     return reg[name]
 
 
-__all__ = ["DatasetSpec", "get", "registry", "run"]
+__all__ = ["DatasetSpec", "get", "registry", "run", "run_all"]

@@ -2,24 +2,24 @@
 
 ``Layout`` names the three roots.  ``publish`` reads the newest snapshot of
 every source the dataset needs from ``landing/<source>/``, optionally writes the
-resolved canonical rows to ``intermediate/<source>/`` (the reference's
-intermediate area), builds one variant's documents and overwrites
-``published/<dataset>/<variant>/``.  ``recompute_on_arrival`` is the
-``on_arrival`` handler for ``streaming.arrivals.watch``: a new file in a landing
-directory republishes every variant of every dataset that reads it.
+resolved canonical rows to ``intermediate/<dataset>/<source>/`` (Parquet by year; two
+datasets may resolve one source by different rules), builds the variants' documents
+and overwrites ``published/<dataset>/<variant>/``.  ``recompute_arrived`` does so for
+every dataset that reads a source with new files (``streaming.arrivals``).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from typing import Mapping
+from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from geoindicators import datasets
-from geoindicators.datasets.spec import normalise, run
+from geoindicators.datasets.spec import normalise, run_all
 from geoindicators.geo.dim import Geography
 from geoindicators.sources import sinks, snapshots
+from geoindicators.streaming import arrivals
 
 
 @dataclass(frozen=True)
@@ -44,25 +44,37 @@ def read_sources(spark: SparkSession, layout: Layout, sources) -> dict[str, Data
     return out
 
 
-def publish(spark: SparkSession, layout: Layout, dataset: str, variant: str, geo: Geography,
-            published_date: str | None = None, write_intermediate: bool = False) -> str:
-    """Build and write one variant; returns the output directory."""
+def publish_dataset(spark: SparkSession, layout: Layout, dataset: str, geo: Geography, published_date: str | None = None,
+                    write_intermediate: bool = False, variants: Sequence[str] | None = None,
+                    on_invalid: str = "error") -> dict[str, str]:
+    """Build and write a dataset's variants (default: all) from one pass over its sources; returns their directories.
+
+    The geography's integrity is checked first: an alias that maps to two geographies would fan out rows.
+    """
+    geo.check()
     spec = datasets.get(dataset)
     raw = read_sources(spark, layout, spec.sources)
-    if write_intermediate:
+    if write_intermediate and spec.intermediate:
         for source, df in normalise(spec, raw, geo).items():
-            sinks.write_intermediate(df, f"{layout.intermediate}/{source}")
-    out = f"{layout.published}/{dataset}/{variant}"
-    sinks.write_documents(run(spec, variant, raw, geo, published_date, published_form=True), out)
+            sinks.write_intermediate(df, f"{layout.intermediate}/{dataset}/{source}")
+    out = {}
+    for variant, docs in run_all(spec, raw, geo, published_date, True, variants, on_invalid).items():
+        out[variant] = f"{layout.published}/{dataset}/{variant}"
+        sinks.write_documents(docs, out[variant])
     return out
 
 
-def recompute_on_arrival(spark: SparkSession, layout: Layout, geo: Geography, published_date: str | None = None):
-    """``on_arrival`` handler: republish every variant of the datasets that depend on the source."""
-    def handler(source: str, dependents: list[str], new_rows: DataFrame, batch_id: int) -> None:
-        for name in dependents:
-            spec = datasets.get(name)
-            for i, variant in enumerate(spec.variants):
-                # the intermediate copy is written once per dataset, by its first variant
-                publish(spark, layout, name, variant, geo, published_date, write_intermediate=(i == 0))
-    return handler
+def publish(spark: SparkSession, layout: Layout, dataset: str, variant: str, geo: Geography,
+            published_date: str | None = None, write_intermediate: bool = False) -> str:
+    """Build and write one variant; returns the output directory."""
+    return publish_dataset(spark, layout, dataset, geo, published_date, write_intermediate, [variant])[variant]
+
+
+def recompute_arrived(spark: SparkSession, layout: Layout, geo: Geography, schemas: Mapping[str, object],
+                      checkpoint_root: str, published_date: str | None = None, quiet_seconds: float = 0) -> list[str]:
+    """Publish every dataset that reads a source with new files, each once, one after the other; returns their names."""
+    def publish_one(dataset: str) -> None:
+        publish_dataset(spark, layout, dataset, geo, published_date, write_intermediate=True)
+
+    return arrivals.recompute_available(spark, layout.landing, schemas, publish_one, checkpoint_root,
+                                        fmt=layout.fmt, quiet_seconds=quiet_seconds)

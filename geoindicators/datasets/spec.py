@@ -4,8 +4,10 @@ A dataset names its landing sources, the normaliser of each (raw snapshot ->
 canonical rows, see ``sources.normalise``), a ``prepare`` step (pivot, derive,
 roll up, ratios) and its published variants.  A variant picks the year
 alignment (latest common year or all common years), the template, the series and
-the chart metadata.  ``run`` turns raw inputs into documents; nothing is
-computed until the documents are written.
+the chart metadata.  ``run`` turns raw inputs into the documents of one variant,
+``run_all`` into those of all variants.  Both write the indicator rows (small: years x
+geographies) to the checkpoint folder as soon as they are called, so the facts are
+read once however many variants, alignments and template passes follow.
 """
 
 from __future__ import annotations
@@ -48,6 +50,11 @@ class DatasetSpec:
     prepare: Callable[..., DataFrame]    # (inputs: dict[str, DataFrame], variant: str) -> indicator rows
     variants: Mapping[str, Variant]
     keys: Keys = OSLO_KEYS
+    # the rows a variant shares with others: same key, same rows (default: all variants share them)
+    rows_key: Callable[[str], object] = lambda variant: None
+    # computed once from the inputs and handed to ``prepare`` in their place as {"base": rows}
+    base: Callable[[dict], DataFrame] | None = None
+    intermediate: bool = True            # whether a run keeps the normalised sources
 
     def variant(self, name: str) -> Variant:
         if name not in self.variants:
@@ -65,20 +72,49 @@ def normalise(spec: DatasetSpec, raw: Mapping[str, DataFrame], geo: Geography) -
 def indicator_rows(spec: DatasetSpec, variant_name: str, raw: Mapping[str, DataFrame], geo: Geography) -> DataFrame:
     """The rows a variant publishes, before alignment and templating (for inspection)."""
     spec.variant(variant_name)
-    return spec.prepare(normalise(spec, raw, geo), variant_name)
+    return _rows(spec, normalise(spec, raw, geo), variant_name)
+
+
+def _rows(spec: DatasetSpec, inputs: dict[str, DataFrame], variant_name: str) -> DataFrame:
+    if spec.base is not None:
+        inputs = {"base": inputs["base"] if "base" in inputs else materialize(spec.base(inputs))}
+    return spec.prepare(inputs, variant_name)
+
+
+def run_all(spec: DatasetSpec, raw: Mapping[str, DataFrame], geo: Geography, published_date: str | None = None,
+            published_form: bool = False, variants: Sequence[str] | None = None,
+            on_invalid: str = "error") -> dict[str, DataFrame]:
+    """Documents of several variants (default: all): the sources are normalised, joined and rolled up once
+    for all variants that share their rows."""
+    inputs = normalise(spec, raw, geo)
+    if spec.base is not None:
+        inputs = {"base": materialize(spec.base(inputs))}
+    shared: dict = {}
+    out = {}
+    for name in variants if variants is not None else spec.variants:
+        spec.variant(name)
+        key = spec.rows_key(name)
+        if key not in shared:
+            shared[key] = materialize(_rows(spec, inputs, name))
+        out[name] = documents(spec, name, shared[key], published_date, published_form, on_invalid)
+    return out
 
 
 def run(spec: DatasetSpec, variant_name: str, raw: Mapping[str, DataFrame], geo: Geography,
-        published_date: str | None = None, published_form: bool = False) -> DataFrame:
+        published_date: str | None = None, published_form: bool = False, on_invalid: str = "error") -> DataFrame:
     """Documents of one variant: (id, district, data, meta).
 
     ``published_form`` renders template values that are heterogeneous lists in
     the published JSON (template G) in that form instead of as typed structs.
     """
+    return run_all(spec, raw, geo, published_date, published_form, [variant_name], on_invalid)[variant_name]
+
+
+def documents(spec: DatasetSpec, variant_name: str, rows: DataFrame, published_date: str | None = None,
+              published_form: bool = False, on_invalid: str = "error") -> DataFrame:
+    """Documents of one variant from the dataset's (materialized) indicator rows."""
     v = spec.variant(variant_name)
     k = spec.keys
-    # facts -> small indicator rows: computed once, then read by alignment, scale and documents
-    rows = materialize(spec.prepare(normalise(spec, raw, geo), variant_name))
     scale_df = None
     if v.scale and not v.scale_after_align:
         scale_df = _scale(rows, v.scale, k)
@@ -99,7 +135,7 @@ def run(spec: DatasetSpec, variant_name: str, raw: Mapping[str, DataFrame], geo:
         return doc.top_n_documents(rows, cat, list(v.values), ranking, meta, k, status=v.align == STATUS)
     values = v.values if isinstance(v.values, Mapping) else list(v.values)
     return doc.build_documents(rows, v.template, values, meta, k, scale=scale_df, materialize_rows=False,
-                               published_form=published_form)
+                               published_form=published_form, on_invalid=on_invalid)
 
 
 def _scale(rows: DataFrame, column: str, keys: Keys) -> DataFrame:

@@ -30,6 +30,7 @@ from geoindicators.functions.nulls import round_numeric
 from geoindicators.keys import Keys
 from geoindicators.operators.filters import not_in_keep_null
 from geoindicators.publish.templates import Template
+from geoindicators.publish.validate import assert_finite, assert_ratios, series_columns
 from geoindicators.session import materialize
 
 DEFAULT_HELP = "Dette er en beskrivelse for hvordan dataene leses"
@@ -54,8 +55,8 @@ class Metadata:
 
     def column(self, scope: str | None = None, scale: Column | None = None) -> Column:
         series_col = self.series_column()
-        scale_col = scale if scale is not None else F.lit(None).cast(
-            "struct<value:array<double>,ratio:array<double>>")
+        # without a scale the published metadata holds an empty list
+        scale_col = scale if scale is not None else F.parse_json(F.lit("[]"))
         return F.struct(
             F.lit(self.heading).alias("heading"),
             series_col.alias("series"),
@@ -107,15 +108,22 @@ def _checked_name(name_col: str) -> Column:
 
 def build_documents(df: DataFrame, template: Template, series: Sequence, metadata: Metadata,
                     keys: Keys = Keys(), scale: DataFrame | None = None, rounding: bool = True,
-                    materialize_rows: bool = True, published_form: bool = False) -> DataFrame:
+                    materialize_rows: bool = True, published_form: bool = False,
+                    on_invalid: str = "error") -> DataFrame:
     """Documents ``(id, district, data: array<entry>, meta)``; entry = (id, geography, values, avgRow, totalRow).
 
+    Every residential district of the data has a document that closes with the district's own entry
+    (without values if the data holds only its sub-districts) and the city's.  ``on_invalid`` says what
+    happens to non-finite numbers and to ratios whose denominator was zero: ``"error"`` fails,
+    ``"null"`` publishes the value without them.
+
     The indicator rows are read by several membership passes and a scalar
     subquery; ``materialize_rows`` checkpoints them first so the work that
     produced them runs once.
     """
     k = keys
-    rows = round_numeric(df, exclude=k.all()) if rounding else df
+    rows = assert_ratios(assert_finite(df, on_invalid=on_invalid), series_columns(series), on_invalid)
+    rows = round_numeric(rows, exclude=k.all()) if rounding else rows
     if materialize_rows:
         rows = materialize(rows)
     schema = rows.schema
@@ -136,8 +144,18 @@ def build_documents(df: DataFrame, template: Template, series: Sequence, metadat
         entries.groupBy("_doc")
         .agg(F.array_sort(F.collect_list(F.struct(F.col("_kind").alias("_k"), F.col("_geo").alias("_g"),
                                                   entry.alias("_e"))), _by_kind_then_id).alias("_entries"),
-             F.max(F.when(F.col("_kind") == F.lit(DISTRICT), F.col("_name"))).alias("_district"))
+             F.max("_dname").alias("_district"))
     )
+    # a district that has sub-district rows only: its own entry has the template's values of no rows
+    if template.no_rows:
+        no_values = rows.filter(F.lit(False)).agg(values.alias("v")).scalar()
+        own_entry = _entry(no_values, F.col("_doc"), F.col("_district"), F.lit(True), F.lit(False))
+    else:
+        own_entry = F.when(F.lit(True), F.raise_error(F.concat(F.lit("No district rows: "), F.col("_doc")))).cast(
+            entries.select(entry.alias("e")).schema["e"].dataType)
+    own = F.struct(F.lit(DISTRICT).alias("_k"), F.col("_doc").alias("_g"), own_entry.alias("_e"))
+    has_own = is_city_doc | F.exists("_entries", lambda x: x["_k"] == F.lit(DISTRICT))
+    docs = docs.withColumn("_entries", F.when(has_own, F.col("_entries")).otherwise(F.concat(F.col("_entries"), F.array(own))))
     # the city entry that closes every district document: one value, computed once
     city_rows = rows.filter(F.col(k.district_id) == F.lit(k.city_id))
     city_entry = city_rows.agg(

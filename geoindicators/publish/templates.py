@@ -52,7 +52,11 @@ def _ratio(schema: T.StructType, s: str, rt: str = "double") -> Column:
 
 
 class Template:
-    """Base: ``values(schema, series, keys)`` -> aggregate Column."""
+    """Base: ``values(schema, series, keys)`` -> aggregate Column.
+
+    ``no_rows``: the values of a geography without rows are defined (empty lists)."""
+
+    no_rows = True
 
     def values(self, schema: T.StructType, series: Sequence, keys: Keys = Keys()) -> Column:
         raise NotImplementedError
@@ -167,19 +171,25 @@ class TemplateG(Template):
     ``struct<status: array<double>, history: array<double>, date>`` and
     ``as_json_array`` renders the published form.  The history column must hold
     an ``array<struct<date, value>>`` (see ``operators.change.growth_history``).
-    The status values come from the geography's row at its newest year.
+    The status values come from the geography's row at its newest year; exactly one
+    such row is required.
     """
 
+    no_rows = False
+
     def __init__(self, history_column: str = "history"):
         self.history_column = history_column
 
     def values(self, schema, series, keys=Keys()):
-        newest = F.max(keys.date)
-        status = F.max_by(F.struct(*[F.col(s).cast("double").alias(s) for s in series]), F.col(keys.date))
-        history = F.first(F.transform(F.col(self.history_column), lambda h: h["value"].cast("double")),
-                          ignorenulls=True)
-        return F.struct(F.array(*[status[s] for s in series]).alias("status"),
-                        history.alias("history"), newest.alias("date"))
+        rows = F.array_sort(F.collect_list(F.struct(
+            F.col(keys.date).alias("_d"), *[F.col(s).cast("double").alias(f"s{i}") for i, s in enumerate(series)],
+            F.transform(F.col(self.history_column), lambda h: h["value"].cast("double")).alias("h"))))
+        newest = F.filter(rows, lambda x: x["_d"] == F.array_max(F.transform(rows, lambda y: y["_d"])))
+        row = F.when(F.size(newest) == 1, F.get(newest, 0)).otherwise(
+            F.raise_error(F.lit("Template G needs exactly one row at the newest year")))
+        return F.struct(F.array(*[row[f"s{i}"] for i in range(len(series))]).alias("status"),
+                        F.get(F.filter(F.transform(rows, lambda x: x["h"]), lambda h: h.isNotNull()), 0).alias("history"),
+                        row["_d"].alias("date"))
 
     def published(self, values: Column) -> Column:
         # a VARIANT holding the heterogeneous list; to_json writes it verbatim
@@ -200,17 +210,23 @@ class TemplateE(Template):
 
     Rows are one per (geography, age) with the two gender counts as columns
     ``men`` / ``women`` (see ``operators.pivot.pivot_sum``); ``total`` is the
-    geography's population over all ages.  One year per geography is required.
-    The ``series`` argument is unused (the ages come from the rows).
+    geography's population over all its rows, also of ages that ``ages`` doesn't list.
+    Exactly one year per geography is required, and both genders: ``present`` names two columns
+    that count the source rows of each gender.  The ``series`` argument is unused (the ages come
+    from the rows).
     """
 
-    def __init__(self, age: str = "age", men: str = "mann", women: str = "kvinne", ages: Sequence | None = None):
-        self.age, self.men, self.women, self.ages = age, men, women, ages
+    no_rows = False
+
+    def __init__(self, age: str = "age", men: str = "mann", women: str = "kvinne", ages: Sequence | None = None,
+                 present: Sequence[str] | None = None):
+        self.age, self.men, self.women, self.ages, self.present = age, men, women, ages, present
 
     def values(self, schema, series, keys=Keys()):
         rows = F.array_sort(F.collect_list(F.struct(
             F.col(self.age).alias("age"), F.coalesce(F.col(self.men), F.lit(0)).alias("mann"),
             F.coalesce(F.col(self.women), F.lit(0)).alias("kvinne"), F.col(keys.date).alias("date"))))
+        total = F.aggregate(rows, F.lit(0).cast("double"), lambda acc, x: acc + x["mann"] + x["kvinne"])
         if self.ages is not None:
             # every listed age appears, in list order; ages without rows count 0
             by_age = F.map_from_entries(F.transform(rows, lambda x: F.struct(x["age"], x)))
@@ -220,12 +236,14 @@ class TemplateE(Template):
                 F.try_element_at(by_age, a),
                 F.struct(a.alias("age"), zero.alias("mann"), zero.alias("kvinne"), year.alias("date"))))
         years = F.collect_set(F.col(keys.date))
-        total = F.aggregate(rows, F.lit(0).cast("double"), lambda acc, x: acc + x["mann"] + x["kvinne"])
         out = F.transform(rows, lambda x: F.struct(
             x["age"].alias("age"), x["mann"].alias("mann"), x["kvinne"].alias("kvinne"),
             (x["mann"] + x["kvinne"]).alias("value"),
             F.try_divide(x["mann"] + x["kvinne"], total).alias("ratio"), x["date"].alias("date")))
-        return F.when(F.size(years) > 1, F.raise_error(F.lit("Template E needs exactly one year"))).otherwise(out)
+        checked = F.when(F.size(years) != 1, F.raise_error(F.lit("Template E needs exactly one year")))
+        for c in self.present or ():
+            checked = checked.when(F.coalesce(F.sum(c), F.lit(0)) == 0, F.raise_error(F.lit(f"Template E needs both genders: no {c}")))
+        return checked.otherwise(out)
 
 
 class TemplateFlow(Template):
@@ -255,7 +273,7 @@ class TemplateFlow(Template):
 
         per_year = F.transform(years, lambda y: F.struct(y.alias("year"), side(y, "i").alias("immigration"),
                                                          side(y, "o").alias("emigration")))
-        return F.element_at(per_year, -1) if self.status else per_year
+        return F.try_element_at(per_year, F.lit(-1)) if self.status else per_year
 
 
 TEMPLATES = {"a": TemplateA, "b": TemplateB, "c": TemplateC, "e": TemplateE, "flow": TemplateFlow,

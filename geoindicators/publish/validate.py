@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from typing import Iterable
+from typing import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,11 +29,25 @@ def assert_finite(df: DataFrame, columns: Iterable[str] | None = None, on_invali
         .otherwise(F.col(c)) for c in cols})
 
 
-def assert_finite_json(js: DataFrame, column: str = "json") -> DataFrame:
-    """V6 on rendered documents: Spark writes non-finite doubles as NaN/Infinity tokens."""
-    bad = F.col(column).rlike(r'(:|\[|,)\s*"?(NaN|-?Infinity)"?\s*(,|\]|\})')
-    return js.withColumn(column, F.when(bad, F.raise_error(F.lit("Out of range float values are not JSON compliant")))
-                         .otherwise(F.col(column)))
+def series_columns(series) -> list[str]:
+    """The column names in a template's series argument (a list, nested lists or a mapping of lists)."""
+    if isinstance(series, str):
+        return [series]
+    items = series.values() if isinstance(series, Mapping) else series
+    return [c for x in items for c in series_columns(x)]
+
+
+def assert_ratios(df: DataFrame, columns: Iterable[str], on_invalid: str = "error") -> DataFrame:
+    """V6 for ratios: a value with a ratio column has a ratio.
+
+    Division by zero gives NULL in the plan; where the value itself is there, that would be a non-finite
+    number in the published document.  ``on_invalid="null"`` publishes the value without the ratio.
+    """
+    pairs = [(c, f"{c}_ratio") for c in columns if c in df.columns and f"{c}_ratio" in df.columns]
+    if on_invalid == "null" or not pairs:
+        return df
+    return df.withColumns({r: F.when(F.col(c).isNotNull() & F.col(r).isNull(), F.raise_error(F.lit(f"Out of range float value in {r}")))
+                           .otherwise(F.col(r)) for c, r in pairs})
 
 
 def assert_single_name(df: DataFrame, id_col: str, name_col: str) -> DataFrame:

@@ -9,7 +9,7 @@ Headers are the sources' own (fixed values).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geoindicators.functions.nulls import clean_number
@@ -24,10 +24,22 @@ def _year(df: DataFrame, col: str = "År") -> DataFrame:
     return df.withColumn(K.date, F.col(f"`{col}`").cast("int"))
 
 
-def _out(df: DataFrame, measures: dict[str, str] | list[str]) -> DataFrame:
-    if isinstance(measures, dict):
-        return df.select(*KEYS, *[F.col(f"`{src}`").alias(dst) for src, dst in measures.items()])
-    return df.select(*KEYS, *measures)
+# fixed values: output columns that hold labels; all other columns are measures
+LABELS = frozenset(["boligtype", "botid", "innvandringskategori", "landbakgrunn", "barn", "husholdningstype", "alder",
+                    "utdanning", "enhetstype", "nivaa", "kjonn", "kategori"])
+
+
+def _measure(df: DataFrame, src: str, dst: str) -> Column:
+    """A column under its output name; a measure read as text becomes a number (counts whole, blanks NULL)."""
+    c = F.col(f"`{src}`")
+    if dst in LABELS or df.schema[src].dataType.simpleString() != "string":
+        return c.alias(dst)
+    number = F.regexp_replace(c, r"[\s\u00a0]", "").try_cast("double")
+    return (number.cast("long") if dst.startswith("antall") else number).alias(dst)
+
+
+def _out(df: DataFrame, measures: dict[str, str]) -> DataFrame:
+    return df.select(*KEYS, *[_measure(df, src, dst) for src, dst in measures.items()])
 
 
 def _resolved_district(df: DataFrame) -> DataFrame:
@@ -135,7 +147,8 @@ def fattige_husholdninger(raw: DataFrame, geo: Geography) -> DataFrame:
 
 def _flytting(raw: DataFrame, geo: Geography, district_col: str, labels: dict) -> DataFrame:
     from geoindicators.operators.pivot import pivot_sum
-    df = R.district_by_name(_year(raw, "aargang"), district_col, geo, K).withColumn(AGE_GROUP, F.col("aldgr5"))
+    df = R.district_by_name(_year(raw, "aargang"), district_col, geo, K)
+    df = df.withColumns({AGE_GROUP: F.col("aldgr5"), "antall": _measure(df, "antall", "antall")})
     return pivot_sum(_resolved_district(df), [K.date, K.district_id, K.district_name, AGE_GROUP],
                      "til_fra_bydel", "antall", labels, fill=0)
 
@@ -208,7 +221,7 @@ def landbakgrunn(raw: DataFrame, geo: Geography) -> DataFrame:
     """``År, Bydel, Innvandringskategori, Landbakgrunn, Antall personer`` (R10), long."""
     df = _resolved_district(R.district_by_name(_year(raw), "Bydel", geo, K))
     return df.select(K.date, K.district_id, K.district_name, F.col("Innvandringskategori").alias("kategori"),
-                     F.col("Landbakgrunn").alias("landbakgrunn"), F.col("`Antall personer`").alias("antall"))
+                     F.col("Landbakgrunn").alias("landbakgrunn"), _measure(df, "Antall personer", "antall"))
 
 
 # --- N19 education (low) -------------------------------------------------------------------------------

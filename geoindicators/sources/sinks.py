@@ -1,11 +1,11 @@
 """Sinks: intermediate tables and published documents.
 
-* ``write_intermediate``: the resolved, canonical source table (";"-separated
-  CSV with header, like the reference's intermediate area, or Parquet, the
-  native form), partitioned by year so later reads prune by year.
+* ``write_intermediate``: the resolved, canonical source table as Parquet partitioned
+  by year, so later reads prune by year, or as ";"-separated CSV with header
+  (``fmt="csv"``, ``partition_by=()`` for plain files).
 * ``write_documents``: one JSON document per district (plus the city), each in
-  its own ``name=<id>`` partition directory.  Non-finite numbers are rejected in
-  the plan before anything is written.
+  its own ``name=<id>`` partition directory.  ``build_documents`` rejects non-finite
+  numbers on the typed columns.
 """
 
 from __future__ import annotations
@@ -14,11 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoindicators.publish.document import to_json_documents
-from geoindicators.publish.validate import assert_finite_json
 
 
-def write_intermediate(df: DataFrame, path: str, fmt: str = "csv", sep: str = ";",
-                       partition_by: tuple[str, ...] = ()) -> None:
+def write_intermediate(df: DataFrame, path: str, fmt: str = "parquet", sep: str = ";",
+                       partition_by: tuple[str, ...] = ("date",)) -> None:
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -30,7 +29,7 @@ def write_intermediate(df: DataFrame, path: str, fmt: str = "csv", sep: str = ";
 
 def write_documents(docs: DataFrame, output_dir: str) -> None:
     """One UTF-8 JSON text per document, under ``output_dir/name=<id or district>/``."""
-    js = assert_finite_json(to_json_documents(docs))
+    js = to_json_documents(docs)
     js.repartition("name").write.mode("overwrite").partitionBy("name").text(output_dir)
 
 

@@ -9,6 +9,7 @@ file contents are never read to find the newest file, and only that one path
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,28 +34,36 @@ def resolve_input(spark: SparkSession, input_dir: str, pattern: str = "*") -> st
     try:
         newest = (list_snapshots(spark, input_dir, pattern)
                   .orderBy(F.col("modificationTime").desc(), F.col("path").desc()).select("path").first())
-    except Exception as e:  # a missing directory is the same condition as an empty one
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            newest = None
-        else:
+    except AnalysisException as e:  # a missing directory is the same condition as an empty one
+        if e.getCondition() != "PATH_NOT_FOUND":
             raise
+        newest = None
     if newest is None:
         raise NoSnapshotError(f"No snapshot files matching {pattern!r} in {input_dir}")
     return newest.path
 
 
+def _text_ids(schema: "T.StructType | str", names: tuple[str, ...]) -> T.StructType:
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    return T.StructType([T.StructField(f.name, T.StringType() if f.name in names else f.dataType, f.nullable) for f in schema.fields])
+
+
 def read_snapshot(spark: SparkSession, path: str, fmt: str = "csv", schema: "T.StructType | str | None" = None,
                   date_column: str | None = "aar", sep: str = ";", header: bool = True,
                   string_columns: tuple[str, ...] = ID_COLUMNS) -> DataFrame:
-    """Read one snapshot: explicit schema (or header with ids as strings), year column renamed to ``date``.
+    """Read one snapshot, year column renamed to ``date``.
 
-    NaN is normalised to NULL on ingest.
+    Without a ``schema`` every CSV column is text exactly as written, so ids keep their leading
+    zeros and no extra pass guesses types; the normalisers cast years and measures.  With one, the
+    id columns (``string_columns``) of a CSV file are read as text whatever the schema says.  NaN is
+    normalised to NULL on ingest.
     """
     reader = spark.read.format(fmt)
     if fmt == "csv":
         reader = reader.option("sep", sep).option("header", header).option("encoding", "UTF-8")
-        if schema is None:
-            reader = reader.option("inferSchema", True)
+        if schema is not None:
+            schema = _text_ids(schema, string_columns)
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.load(path)

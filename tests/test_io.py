@@ -46,7 +46,9 @@ def test_write_intermediate_and_documents(spark, tmp_path):
                                "date int, district_id string, district_name string, sub_id string, sub_name string, "
                                "a long, b long")
     sinks.write_intermediate(df, str(tmp_path / "silver"))
-    back = spark.read.option("sep", ";").option("header", True).csv(str(tmp_path / "silver"))
+    assert spark.read.parquet(str(tmp_path / "silver")).first().sub_name == "Grønland"
+    sinks.write_intermediate(df, str(tmp_path / "silver-csv"), "csv", partition_by=())
+    back = spark.read.option("sep", ";").option("header", True).csv(str(tmp_path / "silver-csv"))
     assert back.first().sub_name == "Grønland"
     r = rollup.add_ratios(rollup.aggregate(df, "sum", Keys()), ["a"], ["a", "b"])
     docs = doc.build_documents(r, TemplateA(), ["a"], doc.Metadata("H", [], "2020-01-01"), Keys())
@@ -86,30 +88,97 @@ def test_arrivals_recompute_dependents(spark, tmp_path):
     assert seen[-1] == ("dodsrater", ["levekaar_dodsrate"], 1)
 
 
-def test_layout_publish_and_recompute_on_arrival(spark, tmp_path):
-    from geoindicators.datasets.runner import Layout, publish, recompute_on_arrival
-    from geoindicators.geo.oslo import oslo_geography
+def _land(landing, source, columns, name="2024.csv"):
+    from tests.dataset_fixtures import rows
+    _, data = rows(source)
+    src = landing / source
+    src.mkdir(parents=True, exist_ok=True)
+    _write(src / name, ";".join(columns) + "\n" + "\n".join(";".join("" if v is None else str(v) for v in r) for r in data) + "\n")
+
+
+def _columns(source):
+    import re
+
     from tests.dataset_fixtures import rows
+    return [q or p for q, p in re.findall(r"(?:`([^`]+)`|(\w+)) (?:int|double|string|long)", rows(source)[0])]
+
+
+def test_layout_publish_reads_text_and_keeps_intermediate_per_dataset(spark, tmp_path):
+    from geoindicators.datasets.runner import Layout, publish
+    from geoindicators.geo.oslo import oslo_geography
 
     landing = tmp_path / "landing"
-    schema, data = rows("neets")
-    src = landing / "neets"
-    src.mkdir(parents=True)
-    header = "Geografi_num;Geografi;aar;Andel NEETs (15-29 år);Antall NEETs"
-    _write(src / "2024.csv", header + "\n" + "\n".join(";".join("" if v is None else str(v) for v in r)
-                                                     for r in data) + "\n")
-    layout = Layout(str(landing), str(tmp_path / "intermediate"), str(tmp_path / "published"),
-                    read_options={"neets": {"schema": schema.replace("`", "").replace(
-                        "Andel NEETs (15-29 år) double", "`Andel NEETs (15-29 år)` double").replace(
-                        "Antall NEETs int", "`Antall NEETs` int")}})
+    _land(landing, "neets", _columns("neets"))
+    layout = Layout(str(landing), str(tmp_path / "intermediate"), str(tmp_path / "published"))
     geo = oslo_geography(spark)
     out = publish(spark, layout, "neets", "status", geo, "2024-01-01", write_intermediate=True)
     docs = {r.name: json.loads(r.json) for r in sinks.read_documents(spark, out).collect()}
     assert set(docs) == {"00", "01", "03"}
-    assert os.path.isdir(tmp_path / "intermediate" / "neets")
-    handler = recompute_on_arrival(spark, layout, geo, "2024-01-01")
-    handler("neets", ["neets"], None, 0)
-    assert os.path.isdir(tmp_path / "published" / "neets" / "historisk")
+    kept = spark.read.parquet(str(tmp_path / "intermediate" / "neets" / "neets"))
+    assert dict(kept.dtypes)["antall"] == "bigint" and dict(kept.dtypes)["andel"] == "double"
+
+
+def test_both_sources_of_a_dataset_landing_together_publish_it_once(spark, tmp_path):
+    from geoindicators.streaming.arrivals import dependents, recompute_available
+
+    landing = tmp_path / "landing"
+    sources = ["flytting-fra-etter-alder", "flytting-til-etter-alder"]
+    for s in sources:
+        _land(landing, s, _columns(s))
+    schemas = {s: ", ".join(f"`{c}` string" for c in _columns(s)) for s in sources}
+    published = []
+    root = str(tmp_path / "state")
+    got = recompute_available(spark, str(landing), schemas, published.append, root)
+    assert got == published == sorted(set(dependents()[sources[0]]) | set(dependents()[sources[1]]))
+    assert len(published) == len(set(published))
+    assert recompute_available(spark, str(landing), schemas, published.append, root) == []
+    # a publish that fails is done again
+    _land(landing, sources[0], _columns(sources[0]), "2025.csv")
+
+    def fail(name):
+        raise RuntimeError(name)
+    with pytest.raises(RuntimeError):
+        recompute_available(spark, str(landing), schemas, fail, root)
+    assert recompute_available(spark, str(landing), schemas, published.append, root) == sorted(dependents()[sources[0]])
+
+
+def test_arrivals_need_a_known_source_and_a_lasting_folder(spark, tmp_path, monkeypatch):
+    with pytest.raises(ValueError, match="No dataset reads"):
+        arrivals.watch(spark, str(tmp_path), {"nope": "a int"}, lambda *a: None, checkpoint_root=str(tmp_path / "c"))
+    monkeypatch.setattr(arrivals, "TEMPORARY", {"/"})   # as if the session's folder were a temporary one
+    with pytest.raises(ValueError, match="lasting"):
+        arrivals.watch(spark, str(tmp_path), {"neets": "a int"}, lambda *a: None)
+
+
+def test_snapshot_ids_keep_leading_zeros_without_a_schema(spark, tmp_path):
+    p = tmp_path / "s.csv"
+    _write(p, "aar;delbydel_id;bydel_id;v\n2020;0101;01;1.5\n")
+    r = snapshots.read_snapshot(spark, str(p)).first()
+    assert (r.delbydel_id, r.bydel_id, r.date) == ("0101", "01", "2020")
+    r = snapshots.read_snapshot(spark, str(p), schema="aar int, delbydel_id int, bydel_id int, v double").first()
+    assert (r.delbydel_id, r.bydel_id, r.v) == ("0101", "01", 1.5)
+
+
+def _one_district(spark, rows):
+    return spark.createDataFrame(rows, "date int, district_id string, district_name string, sub_id string, sub_name string, a long, a_ratio double")
+
+
+def test_district_with_sub_rows_only_has_its_own_entry(spark):
+    df = _one_district(spark, [(2020, "01", "Bydel A", "0101", "S", 3, 0.5), (2020, "00", "Oslo i alt", None, None, 3, 0.5)])
+    docs = doc.build_documents(df, TemplateA(), ["a"], doc.Metadata("H", [], "2020-01-01"), Keys())
+    d = {r.name: json.loads(r.json) for r in doc.to_json_documents(docs).collect()}["01"]
+    assert d["district"] == "Bydel A" and d["meta"]["scale"] == []
+    assert [(e["id"], e["geography"], e["values"] == [], e["avgRow"], e["totalRow"]) for e in d["data"]] == [
+        ("0101", "S", False, False, False), ("01", "Bydel A", True, True, False), ("00", "Oslo i alt", False, False, True)]
+
+
+def test_zero_denominator_is_not_published_silently(spark):
+    df = _one_district(spark, [(2020, "01", "NaN", None, None, 3, None), (2020, "00", "Oslo i alt", None, None, 3, 0.5)])
+    meta = doc.Metadata("H", [], "2020-01-01")
+    with pytest.raises(Exception, match="Out of range float value in a_ratio"):
+        doc.build_documents(df, TemplateA(), ["a"], meta, Keys(), materialize_rows=False).collect()
+    docs = doc.build_documents(df, TemplateA(), ["a"], meta, Keys(), on_invalid="null")
+    assert {r.name: json.loads(r.json) for r in doc.to_json_documents(docs).collect()}["01"]["district"] == "NaN"
 
 
 def test_template_g_published_form(spark):
