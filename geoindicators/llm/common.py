@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WHITE = r"[\x20\x09-\x0D]+"
+NOT_WHITE = r"[^\x20\x09-\x0D]"
 
 
 def shared_dir(spark: SparkSession) -> str:

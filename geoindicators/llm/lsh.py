@@ -7,8 +7,9 @@ bucket is the nodes of one key.
 * A larger bucket is dealt anew by further independent samples of its nodes ("fine" keys): nodes that met by a shared
   passage part, near copies stay together.  Small fine buckets give all their pairs.
 * In a large fine bucket every node is paired with three leaders (least, greatest, and least by a hash).  Nodes that are
-  similar to none of them form the bucket anew with new leaders, until it is small or empty.  No node is dropped and
-  no bucket is capped; the pairs grow with the nodes, not with their square.
+  similar to none of them meet again: up to ``REST_SMALL`` of them give all their pairs, more are dealt by the next set of
+  fine keys or, after the last set, get new leaders, round by round.  No node is dropped and no bucket is capped; the
+  pairs grow with the nodes, not with their square.
 
 Verification is exact on the nodes' profiles.  Pairs are dealt by (leader, salt), a salt holding some hundred pairs,
 and streamed: a task holds one leader's profile at a time, so a leader with very many members is many tasks.
@@ -19,6 +20,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +29,16 @@ from geoindicators.llm.common import parts, table
 from geoindicators.llm.graph import components
 
 SMALL = 12
+REST_SMALL = 64
 PAIRS_PER_SALT = 256
+FINE_SETS = 2
+
+
+def fine_sets(keys: np.ndarray) -> pa.Array:
+    """The fine keys of each node (a row) as FINE_SETS lists."""
+    n, width = len(keys), keys.shape[1] // FINE_SETS
+    inner = pa.ListArray.from_arrays(pa.array(np.arange(n * FINE_SETS + 1) * width, pa.int32()), pa.array(keys.ravel(), pa.int64()))
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * FINE_SETS, pa.int32()), inner)
 
 
 def _sizes(members: DataFrame) -> DataFrame:
@@ -38,7 +49,7 @@ def _sizes(members: DataFrame) -> DataFrame:
 
 
 def _all_pairs(members: DataFrame) -> DataFrame:
-    """(a, b), a < b, of every bucket; buckets hold SMALL nodes at most."""
+    """(a, b), a < b, of every bucket; for buckets of a bounded number of nodes."""
     own = members.groupBy("key").agg(F.sort_array(F.collect_set("cls")).alias("s"))
     return own.select(F.posexplode("s").alias("i", "b"), "s").where("i > 0").select(F.explode(F.slice("s", F.lit(1), F.col("i"))).alias("a"), "b")
 
@@ -83,30 +94,37 @@ def verify(pairs: DataFrame, profiles: DataFrame, similar: Callable[[bytes, byte
 def near_links(bands: DataFrame, profile_of: Callable[[DataFrame], DataFrame], similar: Callable[[bytes, bytes], bool]) -> DataFrame:
     """Verified links (a, b) between nodes; bands: (cls, keys), each node once.
 
-    profile_of(nodes: DataFrame (cls)) -> (cls, profile binary, fine array<bigint>).
+    profile_of(nodes: DataFrame (cls)) -> (cls, profile binary, fine array<array<bigint>>: sets of fine keys).
     """
     found = table(_in_buckets(bands.select("cls", F.explode("keys").alias("key"))), "members")
     profiles = table(profile_of(found.select("cls").distinct()), "profiles")
     small, large = found.where(F.col("n") <= SMALL), found.where(F.col("n") > SMALL)
-    fine = large.select("cls", "key").join(profiles.select("cls", F.posexplode("fine").alias("j", "f")), "cls").select(
-        "cls", F.xxhash64("key", "j", "f").alias("key"))
-    fine = table(_in_buckets(fine.distinct()), "fine")
+
+    def dealt(members: DataFrame, level: int) -> DataFrame:
+        keys = profiles.select("cls", F.posexplode(F.get("fine", F.lit(level))).alias("j", "f"))
+        each = members.select("cls", "key").join(keys, "cls").select("cls", F.xxhash64("key", "j", "f").alias("key"))
+        return table(_in_buckets(each.distinct()), "fine")
+
+    fine = dealt(large, 0)
     crowd = fine.where(F.col("n") > SMALL)
     pairs = _all_pairs(small.select("key", "cls")).unionByName(_all_pairs(fine.where(F.col("n") <= SMALL).select("key", "cls"))).unionByName(_leader_pairs(crowd))
-    links = [verify(pairs, profiles, similar)]
-    tested = crowd
-    while not tested.isEmpty():
-        # nodes that are similar to none of their bucket's leaders meet again with new leaders
-        joined = _leader_pairs(tested).withColumnRenamed("a", "l").withColumnRenamed("b", "cls").join(
-            links[-1].select(F.col("a").alias("l"), F.col("b").alias("cls")), ["l", "cls"], "left_semi")
-        each = tested.select("key", "cls", F.explode(F.array("l1", "l2", "l3")).alias("l")).where("cls != l")
-        matched = each.join(joined, ["l", "cls"], "left_semi").select("key", "cls").distinct()
-        rest = tested.where("cls != l1 and cls != l2 and cls != l3").select("key", "cls").join(matched, ["key", "cls"], "left_anti")
-        rest = table(_in_buckets(rest), "rest")
+    links, level = [verify(pairs, profiles, similar)], 0
+    while True:
+        # nodes of a crowd that are similar to none of its leaders
+        each = crowd.select("key", "cls", F.explode(F.array("l1", "l2", "l3")).alias("l")).where("cls != l")
+        matched = each.join(links[-1].select(F.col("a").alias("l"), F.col("b").alias("cls")), ["l", "cls"], "left_semi").select("key", "cls").distinct()
+        rest = table(crowd.where("cls != l1 and cls != l2 and cls != l3").select("key", "cls").join(matched, ["key", "cls"], "left_anti"), "rest")
         if rest.isEmpty():
             break
-        tested = rest.where(F.col("n") > SMALL)
-        links.append(verify(_all_pairs(rest.where(F.col("n") <= SMALL).select("key", "cls")).unionByName(_leader_pairs(tested)), profiles, similar))
+        rest = table(_in_buckets(rest), "rest")
+        pairs, crowd = _all_pairs(rest.where(F.col("n") <= REST_SMALL).select("key", "cls")), rest.where(F.col("n") > REST_SMALL)
+        level += 1
+        if level < FINE_SETS and not crowd.isEmpty():
+            rest = dealt(crowd, level)
+            pairs, crowd = pairs.unionByName(_all_pairs(rest.where(F.col("n") <= REST_SMALL).select("key", "cls"))), rest.where(F.col("n") > REST_SMALL)
+        links.append(verify(pairs.unionByName(_leader_pairs(crowd)), profiles, similar))
+        if crowd.isEmpty():
+            break
     return reduce(DataFrame.unionByName, links)
 
 

@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoindicators.llm.common import WHITE, table, with_row_id
-from geoindicators.llm.lsh import near_classes
+from geoindicators.llm.common import NOT_WHITE, table, with_row_id
+from geoindicators.llm.lsh import FINE_SETS, fine_sets, near_classes
 from geoindicators.llm.tokens import U, counted48, mix, shingles, split_words, text_chunks
 
 SHINGLE = 5
@@ -124,16 +124,16 @@ def _lists(bands: np.ndarray) -> pa.Array:
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One row per input row: id_col, cluster_id (least id of the class), cluster_size, kept, n_links.
 
-    Texts that are equal after lower-casing and white-space normalisation are one node; n_links is the number of
+    Texts that are equal after lower-casing are one node; n_links is the number of
     verified links of the row's node to other nodes.  Null texts and texts without a word have no shingle: each is a
     class of its own.  Of a class the row with the least id stays (null ids last; of repeated ids one row).  An empty
     table gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession
-    plain = F.trim(F.regexp_replace(F.lower(F.coalesce(F.col(text_col), F.lit(""))), WHITE, " "))
-    own = docs.select(F.col(id_col).alias("_id"), plain.alias("_t")).withColumn("cls", F.md5(F.encode("_t", "UTF-8")))
-    ids = table(with_row_id(own.select("_id", F.when(F.col("_t") != "", F.col("cls")).alias("cls"))), "ids")
-    texts = own.where("_t != ''").select("cls", "_t")
+    own = docs.select(F.col(id_col).alias("_id"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("_t")).withColumn("cls", F.md5(F.encode("_t", "UTF-8")))
+    words = F.col("_t").rlike(NOT_WHITE)
+    ids = table(with_row_id(own.select("_id", F.when(words, F.col("cls")).alias("cls"))), "ids")
+    texts = own.where(words).select("cls", "_t")
     idf = idf_table(own.select("_t"))
     shared = spark.sparkContext.broadcast(idf)
 
@@ -143,13 +143,13 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 yield pa.RecordBatch.from_arrays([b.column("cls").take(pa.array(at)), _lists(bands)], names=["cls", "keys"])
 
     def profile(batches):
-        more = range(BANDS * ROWS, (BANDS + FINE_BANDS) * ROWS)
+        more = range(BANDS * ROWS, (BANDS + FINE_SETS * FINE_BANDS) * ROWS)
         for b in batches:
             for at, bands, blobs in _signatures(b.column("_t"), shared.value, more, ROWS, profile=True):
-                yield pa.RecordBatch.from_arrays([b.column("cls").take(pa.array(at)), pa.array(blobs, pa.binary()), _lists(bands)], names=["cls", "profile", "fine"])
+                yield pa.RecordBatch.from_arrays([b.column("cls").take(pa.array(at)), pa.array(blobs, pa.binary()), fine_sets(bands)], names=["cls", "profile", "fine"])
 
     def profile_of(nodes: DataFrame) -> DataFrame:
-        made = texts.join(nodes, "cls", "left_semi").mapInArrow(profile, "cls string, profile binary, fine array<bigint>")
+        made = texts.join(nodes, "cls", "left_semi").mapInArrow(profile, "cls string, profile binary, fine array<array<bigint>>")
         return made.groupBy("cls").agg(F.first("profile").alias("profile"), F.first("fine").alias("fine"))
 
     signed = texts.mapInArrow(sign, "cls string, keys array<bigint>")

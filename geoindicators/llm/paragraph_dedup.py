@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoindicators.llm.common import table, with_row_id
-from geoindicators.llm.lsh import near_classes
+from geoindicators.llm.lsh import FINE_SETS, fine_sets, near_classes
 from geoindicators.llm.tokens import U, Words, mix, shingles, split_words, text_chunks
 
 SHINGLE = 5
@@ -166,11 +166,10 @@ def _profiles(batches):
             if not len(own):
                 continue
             key = _shingle_keys(w)
-            fine = _bands(key, a, z - SHINGLE + 1, range(BANDS * ROWS, (BANDS + FINE_BANDS) * ROWS), ROWS)
+            fine = _bands(key, a, z - SHINGLE + 1, range(BANDS * ROWS, (BANDS + FINE_SETS * FINE_BANDS) * ROWS), ROWS)
             blobs = [np.unique(key[i:j - SHINGLE + 1]).astype("<u8").tobytes() for i, j in zip(a, z, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cls[at + own]), pa.array(blobs, pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1) * fine.shape[1], pa.int32()), pa.array(fine.ravel(), pa.int64()))], names=["cls", "profile", "fine"])
+                [pa.array(cls[at + own]), pa.array(blobs, pa.binary()), fine_sets(fine)], names=["cls", "profile", "fine"])
 
 
 def _spans(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -206,7 +205,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         text = docs.select(F.col(id_col).alias("_id"), F.encode(F.col(text_col), "UTF-8").alias("_b"))
         found = text.join(where, text["_id"].eqNullSafe(where["_id"])).select(
             "cls", F.expr("substring(_b, cast(start + 1 as int), cast(end - start as int))").cast("string").alias("_p"))
-        made = found.mapInArrow(_profiles, "cls bigint, profile binary, fine array<bigint>")
+        made = found.mapInArrow(_profiles, "cls bigint, profile binary, fine array<array<bigint>>")
         return made.groupBy("cls").agg(F.first("profile").alias("profile"), F.first("fine").alias("fine"))
 
     _, comps = near_classes(bands, profile_of, lambda p, q: jaccard(p, q) >= threshold)
