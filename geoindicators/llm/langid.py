@@ -13,6 +13,7 @@ one gather per subword.  The sample reaches the driver as hashed counts, at most
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -36,6 +37,28 @@ def held_out(id_col: str):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
+def even_sample(rows: DataFrame, class_col: str, most: int, quota: dict | None = None) -> DataFrame:
+    """At most ``most`` rows (_id, class_col), dealt evenly over the classes, chosen by a hash of the id.
+
+    The classes are counted first; each row then passes if its hash falls under its class's share (with a margin), so
+    what is ranked is a little more than the quota of each class, however many rows a class has.
+    """
+    sizes = {r[0]: r["n"] for r in rows.groupBy(class_col).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), class_col).limit(most).collect()}
+    if quota is None:
+        quota, left = {}, most
+        for i, c in enumerate(sorted(sizes, key=lambda c: (sizes[c], str(c)))):
+            quota[c] = min(sizes[c], left // (len(sizes) - i))
+            left -= quota[c]
+    passes = [((F.col(class_col) == c) & (F.pmod(F.xxhash64(F.lit(17), F.col("_id").cast("string")), F.lit(1 << 30)) < int(min(1.0, (1.3 * quota[c] + 30) / n) * (1 << 30))))
+              for c, n in sizes.items() if quota.get(c)]
+    if not passes:
+        return rows.limit(0)
+    order = [F.xxhash64(F.col("_id").cast("string")), F.col("_id")]
+    near = rows.where(reduce(lambda a, b: a | b, passes))
+    ranked = near.withColumn("_k", F.row_number().over(Window.partitionBy(class_col).orderBy(*order)))
+    return ranked.where(reduce(lambda a, b: a | b, [(F.col(class_col) == c) & (F.col("_k") <= q) for c, q in quota.items()])).drop("_k")
+
+
 def _grams(data: np.ndarray, offsets: np.ndarray):
     """For each order: bucket of the n-gram at each place, and the row borders among the valid places."""
     letters = _LETTER[data]
@@ -127,9 +150,7 @@ def train_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """Fit on at most ``max_train`` rows that are not held out, with a text and a language, dealt evenly over the languages."""
     own = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"), F.col(lang_col).cast("string").alias("_l"))
     own = own.where(F.col("_id").isNotNull() & F.col("_l").isNotNull() & F.col("_t").isNotNull() & ~held_out("_id"))
-    order = [F.xxhash64(F.col("_id").cast("string")), F.col("_id")]
-    ranked = own.select("_id", "_l").withColumn("_k", F.row_number().over(Window.partitionBy("_l").orderBy(*order))).where(F.col("_k") <= max_train)
-    chosen = ranked.orderBy("_k", *order).limit(max_train).drop("_k", "_l").distinct()
+    chosen = even_sample(own.select("_id", "_l"), "_l", max_train).select("_id").distinct()
 
     def count(batches):
         for b in batches:

@@ -131,6 +131,8 @@ def seed_hash(words: np.ndarray, k: int) -> np.ndarray:
 
 def _tile_chunk(index: _Index, data, offsets, min_coverage: float):
     """(row, item, tiles) of the documents of a slice that cover an item."""
+    if not index.sizes:
+        return
     w = split_words(data, offsets, NOT_WORD)
     own = w.hash >> U(2)
     hits_t, hits_s, hits_k = [], [], []

@@ -1,7 +1,7 @@
 """Toxicity: nearest labelled examples by exact TF-IDF cosine over a block-max inverted index.
 
-Terms are lower-cased words and the 4- and 5-byte beginnings of longer words (so inflected forms meet),
-as 64-bit hashes.  From the labelled rows a bounded sample is drawn (``max_positive`` and ``max_negative`` rows;
+Terms are lower-cased words and the 5-, 6- and 7-byte beginnings of longer words (so inflected forms meet), as 64-bit
+hashes, each also as "occurs twice" and "occurs three times".  From the labelled rows a bounded sample is drawn (``max_positive`` and ``max_negative`` rows;
 of near-identical ones, told by a min-hash of their 5-word shingles, one).  The ``max_terms`` terms with the
 largest chi-square in favour of label 1 make the vocabulary.  Their document frequencies are counted over
 all documents, whole texts.
@@ -25,13 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from geoindicators.llm.langid import held_out
+from geoindicators.llm.langid import even_sample, held_out
 from geoindicators.llm.tokens import NOT_WORD, U, counted, mix, prefix_hash, shingles, split_words, text_chunks
 
 MAX_POSITIVE = 1500
 MAX_NEGATIVE = 3000
 MAX_TERMS = 384
 MIN_TERM_ROWS = 4
+BEGINNINGS = (5, 6, 7)
 BLOCK = 64
 NEAREST = 9
 THRESHOLD = 0.3
@@ -39,8 +40,26 @@ THRESHOLD = 0.3
 
 def _terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     words = split_words(data, offsets, NOT_WORD)
-    found = [(words.row, words.hash), prefix_hash(data, words, 4), prefix_hash(data, words, 5)]
-    return np.concatenate([r for r, _ in found]), np.concatenate([h for _, h in found])
+    found = [(words.row, words.hash), *(prefix_hash(data, words, n) for n in BEGINNINGS)]
+    # the two lowest bits are free for the level of a term: once, twice, three times
+    return np.concatenate([r for r, _ in found]), np.concatenate([h for _, h in found]) & ~U(3)
+
+
+def _levels(row: np.ndarray, term: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, term with its level, weight) of counted terms."""
+    parts = [(row, term, 1 + np.log(n))] + [(row[n > k], term[n > k] | U(k), np.ones(int((n > k).sum()))) for k in (1, 2)]
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def _known(vocabulary: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, place in the sorted vocabulary, weight) of the vocabulary's terms in a slice."""
+    row, term = _terms(data, offsets)
+    base = np.unique(vocabulary & ~U(3))
+    at = np.minimum(np.searchsorted(base, term), len(base) - 1)
+    row, term, weight = _levels(*counted(row[base[at] == term], term[base[at] == term]))
+    at = np.minimum(np.searchsorted(vocabulary, term), len(vocabulary) - 1)
+    hit = vocabulary[at] == term
+    return row[hit], at[hit], weight[hit]
 
 
 @dataclass
@@ -63,11 +82,8 @@ class ToxicityModel:
         if not len(self.terms):
             return out
         for first, _, data, offsets in text_chunks(texts):
-            row, term = _terms(data, offsets)
-            at = np.minimum(np.searchsorted(self.terms, term), len(self.terms) - 1)
-            known = self.terms[at] == term
-            r, t, n = counted(row[known], at[known])
-            out[first + r, t] = (1 + np.log(n)) * self.idf[t]
+            row, term, weight = _known(self.terms, data, offsets)
+            out[first + row, term] = weight * self.idf[term]
         norm = np.sqrt((out * out).sum(axis=1, keepdims=True))
         return out / np.where(norm > 0, norm, 1)
 
@@ -130,11 +146,9 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
     """(_id, _y, _t): the labelled sample, lower-cased whole texts."""
     y = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y")).where(
         F.col("_id").isNotNull() & F.col("_y").isin(0, 1) & ~held_out("_id")).groupBy("_id").agg(F.max("_y").alias("_y"))
-    order = [F.xxhash64(F.col("_id").cast("string")), F.col("_id")]
-    ranked = y.withColumn("_k", F.row_number().over(Window.partitionBy("_y").orderBy(*order)))
-    chosen = ranked.where(((F.col("_y") == 1) & (F.col("_k") <= most[1])) | ((F.col("_y") == 0) & (F.col("_k") <= most[0])))
+    chosen = even_sample(y, "_y", sum(most.values()), most)
     texts = docs.select(F.col(id_col).alias("_id"), F.lower(F.col(text_col)).alias("_t"))
-    return texts.join(F.broadcast(chosen.drop("_k")), "_id")
+    return texts.join(F.broadcast(chosen), "_id")
 
 
 def _marked(batches):
@@ -142,7 +156,9 @@ def _marked(batches):
     for b in batches:
         texts = pa.array(b["_t"], pa.large_string())
         for first, rows, data, offsets in text_chunks(texts):
-            row, term, _ = counted(*_terms(data, offsets))
+            row, term, _ = _levels(*counted(*_terms(data, offsets)))
+            order = np.argsort(row, kind="stable")
+            row, term = row[order], term[order]
             at = np.searchsorted(row, np.arange(rows + 1))
             srow, key = shingles(split_words(data, offsets))
             marks = []
@@ -191,10 +207,7 @@ def train_toxicity_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_
             for _, size, data, offsets in text_chunks(batch.column(0)):
                 rows += size
                 if width:
-                    row, term = _terms(data, offsets)
-                    at = np.minimum(np.searchsorted(known.value, term), width - 1)
-                    hit = known.value[at] == term
-                    df += np.bincount(np.unique(row[hit] * width + at[hit]) % width, minlength=width)
+                    df += np.bincount(_known(known.value, data, offsets)[1], minlength=width)
         place = np.arange(-1, width)
         yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(np.concatenate([[rows], df]))], names=["place", "n"])
 
