@@ -20,7 +20,7 @@ def components(edges: DataFrame) -> DataFrame:
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     size = _shape(edges)
     while True:
-        edges = table(_small_star(table(_large_star(edges), "edges")), "edges")
+        edges = table(_small_star(_large_star(edges)), "edges")
         if (now := _shape(edges)) == size:
             break
         size = now

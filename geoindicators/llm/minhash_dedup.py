@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoindicators.llm.common import NOT_WHITE, table, with_row_id
-from geoindicators.llm.lsh import FINE_SETS, fine_sets, near_classes
+from geoindicators.llm.lsh import FINE_SETS, Profiles, fine_sets, near_classes
 from geoindicators.llm.tokens import U, counted48, mix, shingles, split_words, text_chunks
 
 SHINGLE = 5
@@ -99,22 +99,14 @@ def _signatures(texts, idf: np.ndarray, samples: range, rows: int, profile: bool
         yield first + present, np.stack(bands, axis=1), blobs
 
 
-def _open(profile: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n = len(profile) // 6
-    return np.frombuffer(profile, "<u4", n), np.frombuffer(profile, "<u2", n, 4 * n)
+def profiles(idf: np.ndarray, threshold: float = THRESHOLD) -> Profiles:
+    """Profiles of (shingle, occurrences), weighted by the idf."""
+    def unpack(profile: bytes) -> tuple[np.ndarray, np.ndarray]:
+        n = len(profile) // 6
+        key, count = np.frombuffer(profile, "<u4", n), np.frombuffer(profile, "<u2", n, 4 * n)
+        return key, count * idf[key & np.uint32(FEATURES - 1)].astype(np.float64)
 
-
-def weighted_jaccard(p: bytes, q: bytes, idf: np.ndarray) -> float:
-    """Sum of the lesser weights over the sum of the greater ones."""
-    (pk, pn), (qk, qn) = _open(p), _open(q)
-    pw, qw = pn * idf[pk & (FEATURES - 1)].astype(np.float64), qn * idf[qk & (FEATURES - 1)].astype(np.float64)
-    low, high = sorted((pw.sum(), qw.sum()))
-    if low < 0.5 * high:
-        return 0.0 if not low else low / high / 2  # below any useful threshold
-    at = np.minimum(np.searchsorted(qk, pk), len(qk) - 1)
-    hit = qk[at] == pk
-    both = np.minimum(pw[hit], qw[at[hit]]).sum()
-    return float(both / (low + high - both))
+    return Profiles(unpack, threshold)
 
 
 def _lists(bands: np.ndarray) -> pa.Array:
@@ -122,10 +114,9 @@ def _lists(bands: np.ndarray) -> pa.Array:
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """One row per input row: id_col, cluster_id (least id of the class), cluster_size, kept, n_links.
+    """One row per input row: id_col, cluster_id (least id of the class), cluster_size, kept.
 
-    Texts that are equal after lower-casing are one node; n_links is the number of
-    verified links of the row's node to other nodes.  Null texts and texts without a word have no shingle: each is a
+    Texts that are equal after lower-casing are one node; classes are the components of the verified links.  Null texts and texts without a word have no shingle: each is a
     class of its own.  Of a class the row with the least id stays (null ids last; of repeated ids one row).  An empty
     table gives no rows; other columns are ignored.
     """
@@ -133,7 +124,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     own = docs.select(F.col(id_col).alias("_id"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("_t")).withColumn("cls", F.md5(F.encode("_t", "UTF-8")))
     words = F.col("_t").rlike(NOT_WHITE)
     ids = table(with_row_id(own.select("_id", F.when(words, F.col("cls")).alias("cls"))), "ids")
-    texts = own.where(words).select("cls", "_t")
+    texts = own.where(words).select("_id", "cls", "_t")
     idf = idf_table(own.select("_t"))
     shared = spark.sparkContext.broadcast(idf)
 
@@ -149,23 +140,24 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 yield pa.RecordBatch.from_arrays([b.column("cls").take(pa.array(at)), pa.array(blobs, pa.binary()), fine_sets(bands)], names=["cls", "profile", "fine"])
 
     def profile_of(nodes: DataFrame) -> DataFrame:
-        made = texts.join(nodes, "cls", "left_semi").mapInArrow(profile, "cls string, profile binary, fine array<array<bigint>>")
+        # one row of each class: the key holds the id, so a class with very many copies is no hot key
+        chosen = ids.join(nodes, "cls", "left_semi").groupBy("cls").agg(F.min("_id").alias("_id"))
+        same = (texts["cls"] == chosen["cls"]) & texts["_id"].eqNullSafe(chosen["_id"])
+        made = texts.join(chosen, same, "left_semi").select("cls", "_t").mapInArrow(profile, "cls string, profile binary, fine array<array<bigint>>")
         return made.groupBy("cls").agg(F.first("profile").alias("profile"), F.first("fine").alias("fine"))
 
-    signed = texts.mapInArrow(sign, "cls string, keys array<bigint>")
+    signed = texts.select("cls", "_t").mapInArrow(sign, "cls string, keys array<bigint>")
     bands = table(signed.groupBy("cls").agg(F.first("keys").alias("keys")), "bands")
-    links, comps = near_classes(bands, profile_of, lambda p, q: weighted_jaccard(p, q, shared.value) >= threshold)
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    known = comps.join(degree, "node", "left").withColumnRenamed("node", "cls")
-    rows = ids.join(known, "cls", "left")
+    comps = near_classes(bands, profile_of, profiles(idf, threshold))
+    rows = ids.join(comps.withColumnRenamed("node", "cls"), "cls", "left")
     group = F.coalesce("comp", "cls", F.concat(F.lit("row "), F.col("_rid").cast("string")))
-    rows = table(rows.select("_rid", "_id", group.alias("_g"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "classed")
+    rows = table(rows.select("_rid", "_id", group.alias("_g")), "classed")
     least = F.min(F.struct(F.col("_id").isNull().alias("last"), F.col("_id").alias("id"), F.col("_rid").alias("rid")))
     stats = table(rows.groupBy("_g").agg(F.count(F.lit(1)).alias("n"), least.alias("k")).where("n > 1"), "class-sizes")
     out = rows.join(stats, "_g", "left")
     return out.select(F.col("_id").alias(id_col), F.when(F.col("n").isNull(), F.col("_id")).otherwise(F.col("k.id")).alias("cluster_id"),
                       F.coalesce("n", F.lit(1)).cast("long").alias("cluster_size"),
-                      (F.col("n").isNull() | (F.col("_rid") == F.col("k.rid"))).alias("kept"), F.col("n_links").cast("long").alias("n_links"))
+                      (F.col("n").isNull() | (F.col("_rid") == F.col("k.rid"))).alias("kept"))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

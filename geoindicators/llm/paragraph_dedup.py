@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoindicators.llm.common import table, with_row_id
-from geoindicators.llm.lsh import FINE_SETS, fine_sets, near_classes
+from geoindicators.llm.lsh import FINE_SETS, Profiles, fine_sets, near_classes
 from geoindicators.llm.tokens import U, Words, mix, shingles, split_words, text_chunks
 
 SHINGLE = 5
@@ -143,11 +143,10 @@ def _batch(rid, at, w: Words, offsets, first, last, content, keys, piece: bool)
         names=["_rid", "start", "end", "n_words", "piece", "cls", "keys"])
 
 
-def jaccard(p: bytes, q: bytes) -> float:
-    """Of two sorted arrays of distinct 64-bit shingles."""
-    a, b = np.frombuffer(p, "<u8"), np.frombuffer(q, "<u8")
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both / max(1, len(a) + len(b) - both)
+def unpack(profile: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """A profile of sorted distinct 64-bit shingles, each of weight 1."""
+    key = np.frombuffer(profile, "<u8")
+    return key, np.ones(len(key))
 
 
 def _profiles(batches):
@@ -173,18 +172,39 @@ def _profiles(batches):
 
 
 def _spans(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Join the overlapping places of one document that are alike (all removed, or all first places); the leftmost names the first document."""
-    out, ends = [], {}
-    for r in pdf.sort_values(["start", "end", "first_doc_id"]).itertuples():
-        at = ends.get(r.removed)
-        if at is not None and r.start <= out[at][2]:
-            out[at][2] = max(out[at][2], r.end)
+    """Join the overlapping places of one document: those to be removed, and what they leave of the first places.
+
+    The leftmost place of a span names the first document.
+    """
+    out = []
+    for removed in (True, False):
+        spans: list = []
+        for r in pdf[pdf["removed"] == removed].sort_values(["start", "end", "first_doc_id"]).itertuples():
+            if spans and r.start <= spans[-1][1]:
+                spans[-1][1] = max(spans[-1][1], r.end)
+            else:
+                spans.append([r.start, r.end, r.first_doc_id])
+        if removed:
+            cuts = spans
         else:
-            ends[r.removed] = len(out)
-            out.append([r.doc_rid, r.start, r.end, r.removed, r.first_doc_id])
+            spans = [piece for x in spans for piece in _without(x, cuts)]
+        out += [(pdf["doc_rid"].iloc[0], a, z, removed, first) for a, z, first in spans]
     return pd.DataFrame(out, columns=["doc_rid", "start", "end", "removed", "first_doc_id"])
 
 
+def _without(span: list, cuts: list) -> list:
+    """The parts of a span outside the cuts (sorted, disjoint)."""
+    start, end, first = span
+    out = []
+    for a, z, _ in cuts:
+        if z <= start or a >= end:
+            continue
+        if a > start:
+            out.append([start, a, first])
+        start = max(start, z)
+    return [*out, [start, end, first]] if start < end else out
+
+
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One row per repeated span: id_col, start, end (bytes of the UTF-8 text, end exclusive), removed, first_doc_id.
 
@@ -208,7 +228,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         made = found.mapInArrow(_profiles, "cls bigint, profile binary, fine array<array<bigint>>")
         return made.groupBy("cls").agg(F.first("profile").alias("profile"), F.first("fine").alias("fine"))
 
-    _, comps = near_classes(bands, profile_of, lambda p, q: jaccard(p, q) >= threshold)
+    comps = near_classes(bands, profile_of, Profiles(unpack, threshold))
     comps = comps.withColumnRenamed("node", "cls")
     # classes of equal text in two rows or more, and linked ones
     equal = units.groupBy("cls").agg(F.min("_rid").alias("a"), F.max("_rid").alias("b")).where("a != b").select("cls")
