@@ -39,7 +39,7 @@ def _split(rows: DataFrame, width: int) -> DataFrame:
     rows = rows.withColumns({"_digit": F.substring("_rest", 1, width), "_end": F.length("_rest") <= width})
     key = ["_gid", "_digit", "_end"]
     groups = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.min("_rid").alias("_new"))
-    groups = groups.where("_n > 1").drop("_n")
+    groups = table(groups.where("_n > 1").drop("_n"), "groups")  # else its exchange serves the join too, and AQE can't split a hot key
     return rows.join(groups, key).select(
         "_rid", F.col("_new").alias("_gid"), "_id",
         F.when(~F.col("_end"), F.expr(f"substring(_rest, {width + 1})")).alias("_rest"), "_end")
