@@ -21,12 +21,11 @@ one representative of each colliding paragraph.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoindicators.llm.common import table, with_row_id
+from geoindicators.llm.common import parts, table, with_row_id
 from geoindicators.llm.lsh import FINE_SETS, Profiles, fine_sets, near_classes
 from geoindicators.llm.tokens import U, Words, mix, shingles, split_words, text_chunks
 
@@ -171,25 +170,48 @@ def _profiles(batches):
                 [pa.array(cls[at + own]), pa.array(blobs, pa.binary()), fine_sets(fine)], names=["cls", "profile", "fine"])
 
 
-def _spans(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Join the overlapping places of one document: those to be removed, and what they leave of the first places.
-
-    The leftmost place of a span names the first document.
-    """
-    out = []
+def _spans(places: list[tuple]) -> list[tuple]:
+    """Join the overlapping places (start, end, removed, first) of one document, sorted: those to be removed, and what they
+    leave of the first places.  The leftmost place of a span names the first document."""
+    out, cuts = [], []
     for removed in (True, False):
         spans: list = []
-        for r in pdf[pdf["removed"] == removed].sort_values(["start", "end", "first_doc_id"]).itertuples():
-            if spans and r.start <= spans[-1][1]:
-                spans[-1][1] = max(spans[-1][1], r.end)
+        for start, end, gone, first in places:
+            if gone != removed:
+                continue
+            if spans and start <= spans[-1][1]:
+                spans[-1][1] = max(spans[-1][1], end)
             else:
-                spans.append([r.start, r.end, r.first_doc_id])
+                spans.append([start, end, first])
         if removed:
             cuts = spans
         else:
             spans = [piece for x in spans for piece in _without(x, cuts)]
-        out += [(pdf["doc_rid"].iloc[0], a, z, removed, first) for a, z, first in spans]
-    return pd.DataFrame(out, columns=["doc_rid", "start", "end", "removed", "first_doc_id"])
+        out += [(a, z, removed, first) for a, z, first in spans]
+    return out
+
+
+def _document_spans(batches):
+    """Spans of rows (doc_rid, start, end, removed, first_doc_id) sorted by document and place; holds one document's places."""
+    rid, places = None, []
+
+    def batch(done):
+        rows = [(r, *x) for r, own in done for x in _spans(own)]
+        columns = list(zip(*rows, strict=True)) or [()] * 5
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.string()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_rid", "start", "end", "removed", "first_doc_id"])
+
+    for b in batches:
+        done = []
+        for r, *place in zip(*(b.column(c).to_pylist() for c in ("doc_rid", "start", "end", "removed", "first_doc_id")), strict=True):
+            if r != rid:
+                if places:
+                    done.append((rid, places))
+                rid, places = r, []
+            places.append(tuple(place))
+        yield batch(done)
+    if places:
+        yield batch([(rid, places)])
 
 
 def _without(span: list, cuts: list) -> list:
@@ -241,6 +263,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     hits = hits.join(first, "class").select(
         F.col("_rid").alias("doc_rid"), "start", "end", F.col("f.id").cast("string").alias("first_doc_id"),
         (~((F.col("_rid") == F.col("f.rid")) & (F.col("start") == F.col("f.start")))).alias("removed"))
-    spans = hits.groupBy("doc_rid").applyInPandas(_spans, "doc_rid bigint, start bigint, end bigint, removed boolean, first_doc_id string")
+    placed = hits.repartition(parts(docs.sparkSession), "doc_rid").sortWithinPartitions("doc_rid", "start", "end", "first_doc_id")
+    spans = placed.mapInArrow(_document_spans, "doc_rid bigint, start bigint, end bigint, removed boolean, first_doc_id string")
     return spans.join(ids, spans["doc_rid"] == ids["_rid"]).select(
         F.col("_id").alias(id_col), "start", "end", "removed", F.col("first_doc_id").cast(id_type).alias("first_doc_id"))
