@@ -22,7 +22,8 @@ def yoy_change(df: DataFrame, value: str, out: str = "change", keys: Keys = Keys
 
     Rows without a sub-district get NULL (they form no group).
     """
-    w = Window.partitionBy(keys.sub_id).orderBy(keys.date)
+    # rows without a sub-district have no series; the year keeps them from meeting in one partition
+    w = Window.partitionBy(keys.sub_id, F.when(F.col(keys.sub_id).isNull(), F.col(keys.date))).orderBy(keys.date)
     diff = F.col(value) - F.lag(value).over(w)
     return df.withColumn(out, F.when(F.col(keys.sub_id).isNotNull(), diff))
 
@@ -42,7 +43,8 @@ def horizon_years(df: DataFrame, horizon: int = 10, date: str = "date") -> DataF
 
 def horizon_set(df: DataFrame, horizon: int = 10, date: str = "date") -> DataFrame:
     """Keep only the newest year and the year ``horizon`` years earlier."""
-    return df.join(horizon_years(df, horizon, date), date, "left_semi")
+    pair = horizon_years(df, horizon, date).agg(F.collect_list(date)).scalar()
+    return df.filter(F.array_contains(pair, F.col(date)))
 
 
 def horizon_change(df: DataFrame, value: str, horizon: int = 10, out: str = "change_10y",
