@@ -141,7 +141,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def profile_of(nodes: DataFrame) -> DataFrame:
         # one row of each class: the key holds the id, so a class with very many copies is no hot key
-        chosen = ids.join(nodes, "cls", "left_semi").groupBy("cls").agg(F.min("_id").alias("_id"))
+        chosen = ids.groupBy("cls").agg(F.min("_id").alias("_id")).join(nodes, "cls", "left_semi")
         same = (texts["cls"] == chosen["cls"]) & texts["_id"].eqNullSafe(chosen["_id"])
         made = texts.join(chosen, same, "left_semi").select("cls", "_t").mapInArrow(profile, "cls string, profile binary, fine array<array<bigint>>")
         return made.groupBy("cls").agg(F.first("profile").alias("profile"), F.first("fine").alias("fine"))
