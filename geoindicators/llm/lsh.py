@@ -10,10 +10,11 @@ bucket is the nodes of one key.
   open nodes and a block of all nodes, builds an inverted index over the latter and emits a spanning forest of the
   links it finds.  So a bucket's components come out exact.
 * A bucket of more than ``CROWD`` nodes with open ones is first dealt anew by further independent samples of its nodes
-  ("fine" keys): nodes that met by a shared passage part, near copies stay together.
+  ("fine" keys).  That only finds links early: nodes known to be in the bucket's largest component are done, and those
+  still open are compared in blocks as in any other bucket.
 
 No node is dropped and no bucket is capped.  What a bucket of n nodes costs grows with n as long as they are near copies; o open
-nodes cost o x n / ``BLOCK`` profile rows.
+nodes cost o x n / ``BLOCK`` profile rows, at any size.
 
 Pairs are verified on the nodes' profiles, dealt by (leader, salt), a salt holding some hundred pairs, and streamed: a
 task holds one leader's profile at a time, so a leader with very many members is many tasks.
@@ -47,8 +48,8 @@ def fine_sets(keys: np.ndarray) -> pa.Array:
 
 
 def _in_buckets(members: DataFrame) -> DataFrame:
-    """(key, cls, open, n, leader) of the nodes that share their key with another, one of them open."""
-    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("open").alias("some"), F.min("cls").alias("leader"))
+    """(key, cls, open, n, leader) of the nodes that share their key with another, one of them open; a leader isn't open if any node isn't."""
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("open").alias("some"), F.min(F.struct("open", "cls"))["cls"].alias("leader"))
     # written, so that the join below has an exchange on either side that AQE can split at a hot key
     sizes = table(sizes.where("n > 1 and some").drop("some"), "buckets")
     return members.join(sizes, "key").select("key", "cls", "open", "n", "leader")
@@ -179,6 +180,23 @@ def compare_blocks(rest: DataFrame, profiles: DataFrame, how: Profiles) -> DataF
     return table(dealt.mapInArrow(compare, f"a {name}, b {name}"), "links")
 
 
+def _found_early(crowds: DataFrame, profiles: DataFrame, how: Profiles) -> DataFrame:
+    """Links between the nodes of crowded buckets that share a fine key; crowds: (key, cls, open)."""
+    keys = profiles.select("cls", F.posexplode(F.flatten("fine")).alias("j", "f"))
+    dealt = crowds.join(keys, "cls").groupBy(F.xxhash64("key", "j", "f").alias("key"), "cls").agg(F.max("open").alias("open"))
+    found = table(_in_buckets(dealt), "members")
+    return verify(_all_pairs(found.where(F.col("n") <= SMALL)).unionByName(_leader_pairs(found.where(F.col("n") > SMALL))), profiles, how)
+
+
+def _still_open(crowds: DataFrame, links: DataFrame) -> DataFrame:
+    """(key, cls, open) of crowded buckets: open are the nodes that no links join with the bucket's largest component."""
+    comps = components(links).withColumnRenamed("node", "cls")
+    known = table(crowds.select("key", "cls").join(comps, "cls", "left").select("key", "cls", F.coalesce("comp", "cls").alias("comp")), "known")
+    sizes = known.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m"))
+    largest = table(sizes.groupBy("key").agg(F.max(F.struct("m", "comp"))["comp"].alias("largest")), "largest")
+    return known.join(largest, "key").select("key", "cls", (F.col("comp") != F.col("largest")).alias("open"))
+
+
 def near_links(bands: DataFrame, profile_of: Callable[[DataFrame], DataFrame], how: Profiles) -> DataFrame:
     """Verified links (a, b) between nodes; bands: (cls, keys), each node once.
 
@@ -186,21 +204,17 @@ def near_links(bands: DataFrame, profile_of: Callable[[DataFrame], DataFrame], h
     """
     found = table(_in_buckets(bands.select(F.explode("keys").alias("key"), "cls", F.lit(True).alias("open"))), "members")
     profiles = table(profile_of(found.select("cls").distinct()), "profiles")
-    links = []
-    for level in range(FINE_SETS + 1):
-        large = found.where(F.col("n") > SMALL)
-        links.append(verify(_all_pairs(found.where(F.col("n") <= SMALL)).unionByName(_leader_pairs(large)), profiles, how))
-        matched = links[-1].select(F.col("a").alias("leader"), F.col("b").alias("cls"), F.lit(True).alias("hit")).distinct()
-        rest = large.join(matched, ["leader", "cls"], "left").select("key", "cls", "n", (F.col("open") & F.col("hit").isNull() & (F.col("cls") != F.col("leader"))).alias("open"))
-        rest = table(rest, "rest")
-        crowd = F.col("n") > CROWD if level < FINE_SETS else F.lit(False)
-        links.append(compare_blocks(rest.where(~crowd), profiles, how))
-        rest = rest.where(crowd)
-        if rest.where("open").isEmpty():
-            break
-        keys = profiles.select("cls", F.posexplode(F.get("fine", F.lit(level))).alias("j", "f"))
-        dealt = rest.join(keys, "cls").groupBy(F.xxhash64("key", "j", "f").alias("key"), "cls").agg(F.max("open").alias("open"))
-        found = table(_in_buckets(dealt), "members")
+    large = found.where(F.col("n") > SMALL)
+    links = [verify(_all_pairs(found.where(F.col("n") <= SMALL)).unionByName(_leader_pairs(large)), profiles, how)]
+    matched = links[0].select(F.col("a").alias("leader"), F.col("b").alias("cls"), F.lit(True).alias("hit")).distinct()
+    rest = large.join(matched, ["leader", "cls"], "left").select("key", "cls", "n", (F.col("hit").isNull() & (F.col("cls") != F.col("leader"))).alias("open"))
+    rest = table(rest, "rest")
+    crowds = rest.where(F.col("n") > CROWD)
+    if not crowds.where("open").isEmpty():
+        links.append(_found_early(crowds, profiles, how))
+        crowds = _still_open(crowds, links[0].unionByName(links[1]))
+    rest = rest.where(F.col("n") <= CROWD).drop("n").unionByName(crowds.select("key", "cls", "open"))
+    links.append(compare_blocks(rest, profiles, how))
     return reduce(DataFrame.unionByName, links)
 
 

@@ -114,3 +114,29 @@ def test_components_match_brute_force(spark):
         got = {r.node: r.comp for r in components(df).collect()}
         want = groups([p for p in pairs if p[0] != p[1]], {x for p in pairs if p[0] != p[1] for x in p})
         assert got == want
+
+
+def test_crowded_buckets_are_compared_whole(spark, monkeypatch):
+    """All links between nodes that share a band are joined, also where the fine keys miss or mislead."""
+    monkeypatch.setattr(lsh, "SMALL", 3)
+    monkeypatch.setattr(lsh, "BLOCK", 8)
+    monkeypatch.setattr(lsh, "CROWD", 10)
+    rng = random.Random(23)
+    how = lsh.Profiles(lambda p: (np.frombuffer(p, "<i8"), np.ones(len(p) // 8)), 0.8)
+    nodes, i = {}, 0
+    for _ in range(30):   # groups of near copies, of which some fine keys are met by all and others by none
+        stem = [rng.randrange(1 << 40) for _ in range(40)]
+        for _ in range(rng.randrange(1, 5)):
+            nodes[i] = sorted({*stem[rng.randrange(4):], *(rng.randrange(1 << 40) for _ in range(rng.randrange(3)))})
+            i += 1
+    bands = {c: [c % 2] for c in nodes}
+
+    def similar(p, q):
+        return len({*p} & {*q}) >= 0.8 * len({*p} | {*q})
+    want = groups([(a, b) for a in nodes for b in nodes if a < b and bands[a] == bands[b] and similar(nodes[a], nodes[b])], nodes)
+    for fine in (lambda c: [[c + 10], [c + 10]], lambda c: [[rng.randrange(3), 7], [rng.randrange(5), c + 10]]):
+        rows = [(c, np.array(p, "<i8").tobytes(), fine(c)) for c, p in nodes.items()]
+        profiles = spark.createDataFrame([(c, bytearray(p), f) for c, p, f in rows], "cls long, profile binary, fine array<array<long>>")
+        keys = spark.createDataFrame([(c, b) for c, b in bands.items()], "cls long, keys array<long>")
+        links = [(r.a, r.b) for r in lsh.near_links(keys, lambda own, p=profiles: p.join(own, "cls", "left_semi"), how).collect()]
+        assert groups(links, nodes) == want
