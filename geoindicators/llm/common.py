@@ -48,6 +48,17 @@ def with_row_id(df: DataFrame, name: str = "_rid") -> DataFrame:
     return df.select(F.monotonically_increasing_id().alias(name), "*")
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """(_rid, _doc): the rows as structs, with a written row id; verdicts go by it, as ids may repeat or be null."""
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_doc"))
+    return table(with_row_id(rows), "numbered")
+
+
+def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """The documents of ``numbered`` rows whose row id isn't in ``gone`` (_rid)."""
+    return rows.join(gone.select("_rid"), "_rid", "left_anti").select("_doc.*")
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoindicators.llm.common import WHITE, table, with_row_id
+from geoindicators.llm.common import WHITE, numbered, table, with_row_id, without
 
 FIRST_DIGIT = 256
 WIDEN = 4
@@ -57,6 +57,14 @@ def radix_groups(prepared: DataFrame, first_digit: int = FIRST_DIGIT) -> DataFra
             return reduce(DataFrame.unionByName, ended)
 
 
+def _members(prepared: DataFrame, first_digit: int) -> DataFrame:
+    """(_rid, _n, _keep) of the rows (_rid, _id, _body) with an equal one: group size, and the row that stays."""
+    members = table(radix_groups(prepared, first_digit), "members")
+    first = F.min(F.struct(F.col("_id").isNull().alias("last"), F.col("_id").alias("id"), F.col("_rid").alias("rid")))
+    stats = members.groupBy("_gid").agg(F.count(F.lit(1)).alias("_n"), first.alias("_keep"))
+    return members.join(stats, "_gid").select("_rid", "_n", "_keep")
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 first_digit: int = FIRST_DIGIT) -> DataFrame:
     """One row per input row: id_col, keep_id, group_size, kept, text_sha256.
@@ -68,10 +76,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     prepared = table(with_row_id(docs.select(F.col(id_col).alias("_id"), normalised(F.col(text_col)).alias("_t"))).select(
         "_rid", "_id", F.encode("_t", "UTF-8").alias("_body"),
         F.sha2(F.encode("_t", "UTF-8"), 256).alias("text_sha256")), "exact")
-    members = table(radix_groups(prepared.drop("text_sha256"), first_digit), "members")
-    first = F.min(F.struct(F.col("_id").isNull().alias("last"), F.col("_id").alias("id"), F.col("_rid").alias("rid")))
-    stats = members.groupBy("_gid").agg(F.count(F.lit(1)).alias("_n"), first.alias("_keep"))
-    members = members.join(stats, "_gid").select("_rid", "_n", "_keep")
+    members = _members(prepared.drop("text_sha256"), first_digit)
     return prepared.select("_rid", "_id", "text_sha256").join(members, "_rid", "left").select(
         F.col("_id").alias(id_col),
         F.when(F.col("_n").isNull(), F.col("_id")).otherwise(F.col("_keep.id")).alias("keep_id"),
@@ -80,6 +85,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``exact_dedup`` keeps; ids must be unique and not null."""
-    verdicts = exact_dedup(docs, id_col, text_col).where("not kept").select(id_col)
-    return docs.join(verdicts, id_col, "left_anti").select(docs.columns)
+    """The rows of ``docs`` that ``exact_dedup`` keeps, row by row: ids may repeat or be null."""
+    rows = numbered(docs)
+    prepared = rows.select("_rid", F.col("_doc")[id_col].alias("_id"), F.encode(normalised(F.col("_doc")[text_col]), "UTF-8").alias("_body"))
+    return without(rows, _members(prepared, FIRST_DIGIT).where("_rid != _keep.rid"))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoindicators.llm.common import NOT_WHITE, table, with_row_id
+from geoindicators.llm.common import NOT_WHITE, numbered, table, with_row_id, without
 from geoindicators.llm.lsh import FINE_SETS, Profiles, fine_sets, near_classes
 from geoindicators.llm.tokens import U, counted48, mix, shingles, split_words, text_chunks
 
@@ -120,10 +120,30 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     class of its own.  Of a class the row with the least id stays (null ids last; of repeated ids one row).  An empty
     table gives no rows; other columns are ignored.
     """
-    spark = docs.sparkSession
-    own = docs.select(F.col(id_col).alias("_id"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("_t")).withColumn("cls", F.md5(F.encode("_t", "UTF-8")))
+    own = _nodes(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")))
+    out = _classed(own, table(with_row_id(own.select("_id", _class())), "ids"), threshold)
+    return out.select(F.col("_id").alias(id_col), F.when(F.col("n").isNull(), F.col("_id")).otherwise(F.col("k.id")).alias("cluster_id"),
+                      F.coalesce("n", F.lit(1)).cast("long").alias("cluster_size"), _kept())
+
+
+def _nodes(rows: DataFrame) -> DataFrame:
+    """Rows with _t lower-cased, null as empty, and its digest cls."""
+    return rows.withColumn("_t", F.lower(F.coalesce("_t", F.lit("")))).withColumn("cls", F.md5(F.encode("_t", "UTF-8")))
+
+
+def _class():
+    """The digest of a text with a word."""
+    return F.when(F.col("_t").rlike(NOT_WHITE), F.col("cls")).alias("cls")
+
+
+def _kept():
+    return (F.col("n").isNull() | (F.col("_rid") == F.col("k.rid"))).alias("kept")
+
+
+def _classed(own: DataFrame, ids: DataFrame, threshold: float) -> DataFrame:
+    """(_rid, _id, n, k) of all rows: size and least row of the class, null where the row is alone; own: (_id, _t, cls), ids: (_rid, _id, cls)."""
+    spark = own.sparkSession
     words = F.col("_t").rlike(NOT_WHITE)
-    ids = table(with_row_id(own.select("_id", F.when(words, F.col("cls")).alias("cls"))), "ids")
     texts = own.where(words).select("_id", "cls", "_t")
     idf = idf_table(own.select("_t"))
     shared = spark.sparkContext.broadcast(idf)
@@ -154,13 +174,11 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = table(rows.select("_rid", "_id", group.alias("_g")), "classed")
     least = F.min(F.struct(F.col("_id").isNull().alias("last"), F.col("_id").alias("id"), F.col("_rid").alias("rid")))
     stats = table(rows.groupBy("_g").agg(F.count(F.lit(1)).alias("n"), least.alias("k")).where("n > 1"), "class-sizes")
-    out = rows.join(stats, "_g", "left")
-    return out.select(F.col("_id").alias(id_col), F.when(F.col("n").isNull(), F.col("_id")).otherwise(F.col("k.id")).alias("cluster_id"),
-                      F.coalesce("n", F.lit(1)).cast("long").alias("cluster_size"),
-                      (F.col("n").isNull() | (F.col("_rid") == F.col("k.rid"))).alias("kept"))
+    return rows.join(stats, "_g", "left").select("_rid", "_id", "n", "k")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that ``near_dedup`` keeps; ids must be unique and not null."""
-    gone = near_dedup(docs, id_col, text_col, threshold).where("not kept").select(id_col)
-    return docs.join(gone, id_col, "left_anti").select(docs.columns)
+    """The rows of ``docs`` that ``near_dedup`` keeps, row by row: ids may repeat or be null."""
+    rows = numbered(docs)
+    own = _nodes(rows.select("_rid", F.col("_doc")[id_col].alias("_id"), F.col("_doc")[text_col].alias("_t")))
+    return without(rows, _classed(own, table(own.select("_rid", "_id", _class()), "ids"), threshold).where(~_kept()))

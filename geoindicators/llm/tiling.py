@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from geoindicators.llm.common import numbered, without
 from geoindicators.llm.tokens import NOT_WORD, U, mix, split_words, text_chunks
 
 MIN_MATCH = 4
@@ -223,6 +224,7 @@ def _typed(values: list, kind: str) -> pa.Array:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
-    """The documents that cover no benchmark item."""
-    bad = contaminated(docs, benchmark, id_col, **kw).select(id_col).distinct()
-    return docs.join(bad, id_col, "left_anti").select(docs.columns)
+    """The documents that cover no benchmark item, row by row: ids may repeat or be null."""
+    rows = numbered(docs)
+    own = rows.select("_rid", F.col("_doc")[kw.pop("text_col", "text")].alias("text"))
+    return without(rows, contaminated(own, benchmark, "_rid", **kw).select("_rid").distinct())

@@ -271,6 +271,15 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The documents scored under ``threshold`` by a model trained on ``labels``; ids must be unique and not null."""
-    scores = score_toxicity(docs, train_toxicity_model(docs, labels, id_col, text_col), id_col, text_col, threshold)
-    return docs.join(scores.where("predicted = 1").select(id_col), id_col, "left_anti").select(docs.columns)
+    """The documents scored under ``threshold`` by a model trained on ``labels``, row by row: ids may repeat or be null."""
+    model = train_toxicity_model(docs, labels, id_col, text_col)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    lowered = "_" * (1 + max(len(c) for c in docs.columns))  # a name that no column has
+
+    def under(batches):
+        for b in batches:
+            m = shared.value
+            kept = m.score(*m.nearest(m.vectors(b.column(lowered)))) < threshold
+            yield pa.RecordBatch.from_arrays(b.columns[:-1], names=b.schema.names[:-1]).filter(pa.array(kept))
+
+    return docs.withColumn(lowered, F.lower(F.col(text_col))).mapInArrow(under, docs.schema)
