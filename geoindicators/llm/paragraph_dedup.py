@@ -4,18 +4,22 @@ A paragraph is a line of ``MIN_WORDS`` words or more.  It is signed by the min-h
 ``BANDS`` bands of ``ROWS``; at a Jaccard similarity of 0.8 a pair misses all bands with probability 0.003.  Colliding
 paragraphs are verified exactly, and the components of the verified links are the classes (``lsh``).
 
-Passages are also set into the running text of longer paragraphs, where no line border tells them.  So a paragraph
-also gives pieces of ``PIECE`` words, each beginning at an anchor chosen by winnowing: of every ``WINDOW`` places in a
-row the one with the least hash of three words.  Anchors depend on the words around them only, and any passage of
-PIECE + WINDOW - 1 = 51 words in a line holds a whole piece, so it gives that piece wherever it stands.  Equal
-pieces form a class.
+Passages are also set into running text, where no line border tells them, and across line ends.  So the words of a
+document, line ends as white space, also give pieces of ``PIECE`` words, each beginning at an anchor chosen by
+winnowing: of every ``WINDOW`` places in a row the one with the least hash of three words.  Anchors depend on the words
+around them only, and any passage of PIECE + WINDOW - 1 = 51 words holds a whole piece, so it gives that piece
+wherever it stands.
+
+Pieces in two documents or more are seeds: every run of PIECE words that begins less than WINDOW places before or after
+one is compared by a 96-bit hash, and equal runs form a class.  A shared passage of 51 words or more has a seed within
+reach of each of its places, so its runs cover it from the first word to the last, whichever documents share it.
 
 A class counts if it occurs in two documents or more.  Its first place (least document, then position) stays, the
 others are to be removed; overlapping places in a document are joined into spans.
 
 Scale: a unit is one narrow row; counting and joining go by its 64-bit content hash with map-side aggregation, so a line
 that a third of the documents share is one row per task, and its hand-out a skewed join for AQE.  Texts travel only for
-one representative of each colliding paragraph.
+one representative of each colliding paragraph, and for documents with a seed.  Runs are a row a word, only around seeds.
 """
 
 from __future__ import annotations
@@ -112,23 +116,53 @@ def _units(batches):
         for at, _, data, offsets in text_chunks(b.column("_t"), _CHUNK):
             w = split_words(data, offsets)
             first, last = _paragraphs(w, data)
-            if not len(first):
-                continue
             place = _shingle_keys(w)
-            keys = _bands(place, first, last - SHINGLE + 1, range(BANDS * ROWS), ROWS)
-            yield _batch(rid, at, w, offsets, first, last, _content(w.hash, first, last), keys, False)
+            if len(first):
+                keys = _bands(place, first, last - SHINGLE + 1, range(BANDS * ROWS), ROWS)
+                yield _batch(rid, at, w, offsets, first, last, _content(w.hash, first, last), keys, False)
             a = _anchors(w, first, last)
             if len(a):
-                content = mix(sum(place[a + i] * _STEP[i + 5] for i in range(0, PIECE, SHINGLE)) ^ U(PIECE))
-                yield _batch(rid, at, w, offsets, a, a + PIECE, content, np.zeros((len(a), 0), np.int64), True)
+                yield _batch(rid, at, w, offsets, a, a + PIECE, _run_hash(place, a), np.zeros((len(a), 0), np.int64), True)
+
+
+def _run_hash(place: np.ndarray, a: np.ndarray, turn: int = 0) -> np.ndarray:
+    """64-bit hash of the PIECE words from each place ``a``; another one for each ``turn``."""
+    return mix(sum(place[a + i] * _STEP[i + 5 + turn] for i in range(0, PIECE, SHINGLE)) ^ U(PIECE))
+
+
+def _runs(batches):
+    """_rid, _id, start, end (bytes), cls, more (content hashes) of the runs of PIECE words around the seeds, ``at`` their first bytes."""
+    for b in batches:
+        seeds = b.column("at")
+        for at, rows, data, offsets in text_chunks(b.column("_t"), _CHUNK):
+            w = split_words(data, offsets)
+            border = w.first()
+            own = seeds.slice(at, rows)
+            n = np.diff(own.offsets.to_numpy())
+            row = np.repeat(np.arange(rows), n)
+            seed = np.searchsorted(w.start, own.flatten().to_numpy() + offsets[row])
+            # a place is in reach if more stretches have begun than ended
+            step = np.zeros(len(w.hash) + 1, np.int64)
+            np.add.at(step, np.maximum(seed - WINDOW + 1, border[row]), 1)
+            np.add.at(step, np.maximum(np.minimum(seed + WINDOW - 1, border[row + 1] - PIECE), seed) + 1, -1)
+            a = np.flatnonzero(np.cumsum(step[:-1]) > 0)
+            if not len(a):
+                continue
+            place, line = _shingle_keys(w), w.row[a]
+            more = _shingle_keys(w, PIECE)
+            take = pa.array(at + line)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("_rid").take(take), b.column("_id").take(take), pa.array((w.start[a] - offsets[line]).astype(np.int64)),
+                 pa.array((w.end[a + PIECE - 1] - offsets[line]).astype(np.int64)), pa.array(_run_hash(place, a).view(np.int64)),
+                 pa.array((_run_hash(more, a, 1) >> U(32)).astype(np.uint32).view(np.int32))], names=["_rid", "_id", "start", "end", "cls", "more"])
 
 
-def _shingle_keys(w: Words) -> np.ndarray:
-    """Shingle hash at each word (runs over borders are never asked for)."""
+def _shingle_keys(w: Words, turn: int = 0) -> np.ndarray:
+    """Shingle hash at each word (runs over borders are never asked for); another one for each ``turn``."""
     n = len(w.hash) - SHINGLE + 1
     out = np.zeros(len(w.hash), dtype=U)
     if n > 0:
-        out[:n] = mix(sum(w.hash[i:n + i] * _STEP[i] for i in range(SHINGLE)))
+        out[:n] = mix(sum(w.hash[i:n + i] * _STEP[i + turn] for i in range(SHINGLE)))
     return out
 
 
@@ -231,7 +265,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """One row per repeated span: id_col, start, end (bytes of the UTF-8 text, end exclusive), removed, first_doc_id.
 
     removed: another document (or an earlier place) has the passage first; first_doc_id is that document's id.  Rows
-    with removed false are the first places.  Null and empty texts and lines under ``MIN_WORDS`` words give no units; a
+    with removed false are the first places.  Null and empty texts give no units; a
     repeated row is a document of its own; null ids sort last.  An empty table gives no rows; other columns are ignored.
     """
     own = with_row_id(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")))
@@ -252,17 +286,30 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     comps = near_classes(bands, profile_of, Profiles(unpack, threshold))
     comps = comps.withColumnRenamed("node", "cls")
+    lines = units.where("not piece")
     # classes of equal text in two rows or more, and linked ones
-    equal = units.groupBy("cls").agg(F.min("_rid").alias("a"), F.max("_rid").alias("b")).where("a != b").select("cls")
+    equal = lines.groupBy("cls").agg(F.min("_rid").alias("a"), F.max("_rid").alias("b")).where("a != b").select("cls")
     several = table(equal.unionByName(comps.select("cls")).distinct(), "repeated")
-    hits = units.select("_rid", "start", "end", "n_words", "cls").join(several, "cls").join(comps, "cls", "left")
-    hits = hits.join(ids, "_rid").select("_rid", "_id", "start", "end", "n_words", F.coalesce("comp", "cls").alias("class"))
+    hits = lines.select("_rid", "start", "end", "cls").join(several, "cls").join(comps, "cls", "left")
+    hits = hits.join(ids, "_rid").select("_rid", "_id", "start", "end", F.coalesce("comp", "cls").alias("class"))
     hits = table(hits, "hits")
     place = F.struct(F.col("_id").isNull().alias("last"), F.col("_id").alias("id"), F.col("_rid").alias("rid"), F.col("start").alias("start"))
     first = table(hits.groupBy("class").agg(F.min(place).alias("f")), "firsts")
-    hits = hits.join(first, "class").select(
-        F.col("_rid").alias("doc_rid"), "start", "end", F.col("f.id").cast("string").alias("first_doc_id"),
-        (~((F.col("_rid") == F.col("f.rid")) & (F.col("start") == F.col("f.start")))).alias("removed"))
+    # runs of words around the pieces that two rows or more have
+    pieces = units.where("piece").select("_rid", "start", "cls")
+    seeds = table(pieces.groupBy("cls").agg(F.min("_rid").alias("a"), F.max("_rid").alias("b")).where("a != b").select("cls"), "seeds")
+    seeded = table(pieces.join(seeds, "cls").groupBy("_rid").agg(F.collect_list("start").alias("at")), "seeded")
+    runs = own.where("_t is not null").join(seeded, "_rid").select("_rid", "_id", "_t", "at")
+    runs = table(runs.mapInArrow(_runs, f"_rid bigint, _id {id_type}, start bigint, end bigint, cls bigint, more int"), "runs")
+    same = runs.groupBy("cls", "more").agg(F.min("_rid").alias("a"), F.max("_rid").alias("b"), F.min(place).alias("f")).where("a != b")
+    same = table(same.select("cls", "more", "f"), "run-firsts")
+
+    def judged(places: DataFrame) -> DataFrame:
+        return places.select(
+            F.col("_rid").alias("doc_rid"), "start", "end", F.col("f.id").cast("string").alias("first_doc_id"),
+            (~((F.col("_rid") == F.col("f.rid")) & (F.col("start") == F.col("f.start")))).alias("removed"))
+
+    hits = judged(hits.join(first, "class")).unionByName(judged(runs.join(same, ["cls", "more"])))
     placed = hits.repartition(parts(docs.sparkSession), "doc_rid").sortWithinPartitions("doc_rid", "start", "end", "first_doc_id")
     spans = placed.mapInArrow(_document_spans, "doc_rid bigint, start bigint, end bigint, removed boolean, first_doc_id string")
     return spans.join(ids, spans["doc_rid"] == ids["_rid"]).select(
