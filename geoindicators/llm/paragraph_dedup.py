@@ -120,7 +120,8 @@ def _units(batches):
             if len(first):
                 keys = _bands(place, first, last - SHINGLE + 1, range(BANDS * ROWS), ROWS)
                 yield _batch(rid, at, w, offsets, first, last, _content(w.hash, first, last), keys, False)
-            a = _anchors(w, first, last)
+            border = w.first()
+            a = _anchors(w, border[:-1], border[1:])
             if len(a):
                 yield _batch(rid, at, w, offsets, a, a + PIECE, _run_hash(place, a), np.zeros((len(a), 0), np.int64), True)
 

@@ -40,3 +40,20 @@ def test_removed_spans_are_the_whole_shared_runs(spark):
     want = brute_covered(rows)
     assert {i for i, _ in want} == {i for i, _ in rows if i >= 1000 and i % 10}
     assert removed_words(rows, repeated_passages(messy(spark, rows)).collect()) == want
+
+
+def test_passages_across_line_ends(spark):
+    rng = random.Random(42)
+
+    def wrapped(w, width):
+        return "\n".join(" ".join(w[i:i + width]) for i in range(0, len(w), width))
+    rows = [(i, wrapped(words(rng, 100), 13)) for i in range(10)]
+    for k in range(20):   # lines of 12 to 15 words, wrapped elsewhere in each copy
+        passage = words(rng, rng.randrange(51, 90))
+        for c in range(2):
+            rows.append((1000 + 10 * k + c, wrapped(words(rng, rng.randrange(60)) + passage + words(rng, rng.randrange(60)), 12 + rng.randrange(4))))
+    rows += [(2000, wrapped(words(rng, 200), 13))]
+    rows += [(2001, rows[-1][1])]
+    want = brute_covered(rows)
+    assert {i for i, _ in want} == {1001 + 10 * k for k in range(20)} | {2001}
+    assert removed_words(rows, repeated_passages(messy(spark, rows)).collect()) == want
