@@ -10,7 +10,8 @@ which the article region is a group.
 
 Extraction matches each page against its host's wrapper and takes the text slots of the article group without
 the boilerplate elements inside (menus, notices, adverts, forms, comments).  Hosts whose wrapper has
-no article element take all slots outside boilerplate elements whose text differs between pages.
+no article element take all slots outside boilerplate elements whose text differs between pages; copies of a page count as
+one, and a page never loses all its text.
 
 Scale: skeletons and slot statistics are aggregated map-side, folded per (host, salt) and then per host; a page's
 html is read twice and shuffled only if the wrappers outgrow Spark's broadcast threshold (a plain join, skew
@@ -19,10 +20,10 @@ left to AQE).
 
 from __future__ import annotations
 
+import hashlib
 import html as htmllib
 import json
 import re
-import zlib
 from collections import Counter, defaultdict
 from dataclasses import dataclass
 from functools import lru_cache
@@ -355,11 +356,16 @@ def main_text(page: str | None, wrapper: Wrapper | None) -> str:
     if any(t.kind == "start" and t.name in CONTAINERS for t in toks):
         return "\n\n".join(x for _, x, inside, bad in found if inside and not bad)
     constant = wrapper.constant if wrapper else frozenset()
-    return "\n\n".join(x for p, x, _, bad in found if not bad and p not in constant)
+    own = [(p, x) for p, x, _, bad in found if not bad]
+    return "\n\n".join([x for p, x in own if p not in constant] or [x for _, x in own])
+
+
+def _digest(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode(errors="replace"), digest_size=8).digest(), "big", signed=True)
 
 
 def _observed(batches):
-    """(host, kind, what, least, most, n): skeletons and, for pages without an article element, slot texts."""
+    """(host, kind, what, body, least, most, n): skeletons and, for pages without an article element, slot texts by body, the digest of all of them."""
     for b in batches:
         forms, texts = Counter(), defaultdict(list)
         for host, page in zip(b["host"], b["html"], strict=True):
@@ -368,12 +374,13 @@ def _observed(batches):
             toks = tokens(page)
             forms[host, json.dumps(skeleton(toks))] += 1
             if not any(t.kind == "start" and t.name in CONTAINERS for t in toks):
-                for path, text, _, bad in slots(toks):
-                    if not bad:
-                        texts[host, path].append(zlib.crc32(text.encode()))
-        rows = [(h, "skeleton", s, 0, 0, n) for (h, s), n in forms.items()]
-        rows += [(h, "slot", p, min(v), max(v), len(v)) for (h, p), v in texts.items()]
-        yield pd.DataFrame(rows, columns=["host", "kind", "what", "least", "most", "n"])
+                own = [(path, text) for path, text, _, bad in slots(toks) if not bad]
+                body = _digest(json.dumps(own))
+                for path, text in own:
+                    texts[host, path, body].append(_digest(text))
+        rows = [(h, "skeleton", s, 0, 0, 0, n) for (h, s), n in forms.items()]
+        rows += [(h, "slot", p, body, min(v), max(v), 1) for (h, p, body), v in texts.items()]
+        yield pd.DataFrame(rows, columns=["host", "kind", "what", "body", "least", "most", "n"])
 
 
 def _fold_group(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -386,13 +393,16 @@ def _fold_group(pdf: pd.DataFrame) -> pd.DataFrame:
 def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(host, nodes as JSON, constant slot paths): one union-free expression per host."""
     own = pages.select(url_host(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
-    seen = own.mapInPandas(_observed, "host string, kind string, what string, least long, most long, n long")
-    seen = table(seen.groupBy("host", "kind", "what").agg(F.min("least").alias("least"), F.max("most").alias("most"), F.sum("n").alias("n")), "skeletons")
+    seen = own.mapInPandas(_observed, "host string, kind string, what string, body long, least long, most long, n long")
+    seen = table(seen.groupBy("host", "kind", "what", "body").agg(F.min("least").alias("least"), F.max("most").alias("most"), F.sum("n").alias("n")), "skeletons")
     forms = seen.where("kind = 'skeleton'").select("host", F.col("what").alias("nodes"), "n")
     schema = "host string, nodes string, n long"
     salted = forms.withColumn("_salt", F.crc32("nodes") % FOLD_SALTS).groupBy("host", "_salt").applyInPandas(_fold_group, schema)
     folded = salted.groupBy("host").applyInPandas(_fold_group, schema).drop("n")
-    fixed = seen.where("kind = 'slot' and n >= 3 and least = most").groupBy("host").agg(F.sort_array(F.collect_set("what")).alias("constant"))
+    # a row of each distinct page; pages without a host have no template in common
+    paths = seen.where("kind = 'slot' and host is not null and host != ''").groupBy("host", "what").agg(
+        F.count(F.lit(1)).alias("pages"), F.min("least").alias("least"), F.max("most").alias("most"))
+    fixed = paths.where("pages >= 3 and least = most").groupBy("host").agg(F.sort_array(F.collect_set("what")).alias("constant"))
     return table(folded.join(fixed, "host", "left"), "wrappers")
 
 

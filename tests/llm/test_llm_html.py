@@ -95,3 +95,21 @@ def test_a_very_long_page(spark):
     page = "<article>" + "".join(f"<p>block {i}</p>" for i in range(30_000)) + "</article>"
     [(text, n)] = run(spark, [(1, "http://long/", page)]).values()
     assert text.count("\n\n") == 29_999 and n == len(text)
+
+
+def test_copies_and_equal_blocks_without_an_article_element_keep_their_text(spark):
+    def page(title, *blocks):
+        return f"<html><body><div><h1>{title}</h1>" + "".join(f"<p>{b}</p>" for b in blocks) + "<section>All rights reserved</section></div></body></html>"
+    copied = page("Title", "Only block")
+    rows = [(i, f"http://copies.example/{i}", copied) for i in range(4)]                       # one page, four times
+    rows += [(10, "http://blocks.example/1", page("Again", "same", "same", "same"))]            # equal blocks on one page
+    rows += [(20 + i, f"http://own.example/{i}", page(f"Title {i}", f"block {i}")) for i in range(3)]
+    rows += [(30, "http://own.example/9", "<html><body><div><section>All rights reserved</section></div></body></html>")]
+    rows += [(40 + i, None, page("No url", f"block {i}")) for i in range(3)]                   # no host: no template
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text.split("\n\n") for r in H.extract_main_text(pages).collect()}
+    assert all(got[i] == ["Title", "Only block", "All rights reserved"] for i in range(4))
+    assert got[10] == ["Again", "same", "same", "same", "All rights reserved"]
+    assert all(got[20 + i] == [f"Title {i}", f"block {i}"] for i in range(3))                  # the constant slot is template
+    assert got[30] == ["All rights reserved"]
+    assert all(got[40 + i] == ["No url", f"block {i}", "All rights reserved"] for i in range(3))
