@@ -2,8 +2,9 @@
 
 The dimension is an *input* (a handful of small tables), not code: any
 region -> sub-region hierarchy works.  Each table has one row per geography or
-alias - hundreds of rows at most - so the whole dimension is broadcast once
-after a size check and every lookup is a map-side hash join.
+alias, hundreds of rows at most, so after a size check the whole dimension becomes
+one key dictionary (``geo.dictionary``): every lookup is an expression on it, and a
+resolver's plan has no join.  A larger dimension stays a plan and is joined.
 
 Tables (all ids are strings):
 
@@ -17,15 +18,19 @@ Tables (all ids are strings):
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from geoindicators.geo.dictionary import KeyDictionary
 
-# what a lookup table may hold to be handed to the tasks as a local relation
+# what the five tables together may hold to become one dictionary in the plan
 MAX_ROWS = 100_000
 MAX_BYTES = 8 << 20
+DISTRICT_COLUMNS = ("district_id", "district_name")
+SUB_COLUMNS = (*DISTRICT_COLUMNS, "sub_id", "sub_name", "parent_id")
 
 
 def norm(c: Column) -> Column:
@@ -51,40 +56,84 @@ class Geography:
     unknown_id: str = "99"
     unknown_name: str = "Uten registrert adresse"
     district_code_prefix: str = "301"          # 301XX = district XX
+    # the five tables' rows where they were given as lists: the dictionary then needs no job
+    local_rows: dict[str, list[tuple]] | None = None
 
     def __post_init__(self):
-        self._lookups: dict[str, DataFrame] = {}
-
-    # -- lookup tables: built once per geography ----------------------------------------
-    def _lookup(self, name: str, table: DataFrame) -> DataFrame:
-        """The table as a local relation if it is small, so that Spark knows its bytes and broadcasts it
-        instead of shuffling the facts; a larger one stays a plan, joined as Spark sees fit.  Reads at most
-        ``MAX_ROWS + 1`` rows; both rows and bytes are checked."""
-        if name not in self._lookups:
-            rows = table.limit(MAX_ROWS + 1).toArrow()
-            small = rows.num_rows <= MAX_ROWS and rows.nbytes <= MAX_BYTES
-            self._lookups[name] = table.sparkSession.createDataFrame(rows, table.schema) if small else table
-        return self._lookups[name]
-
-    def district_table(self) -> DataFrame:
-        """(district_id, district_name)."""
-        return self._lookup("districts", self.districts)
-
-    def sub_table(self) -> DataFrame:
-        """(sub_id, sub_name, parent_id)."""
-        return self._lookup("subs", self.subs.select("sub_id", "sub_name", F.col("district_id").alias("parent_id")))
-
-    def sub_alias_table(self) -> DataFrame:
-        """(alias, sub_id, sub_name, parent_id)."""
-        return self._lookup("sub_aliases", self.sub_aliases.join(self.sub_table(), "sub_id"))
-
-    def district_alias_table(self) -> DataFrame:
-        """(alias, district_id, district_name)."""
-        return self._lookup("district_aliases", self.district_aliases.join(self.district_table(), "district_id"))
-
-    def legacy_table(self) -> DataFrame:
-        """(old_id, sub_id, sub_name, parent_id)."""
-        return self._lookup("legacy", self.legacy.join(self.sub_table(), "sub_id"))
+        self._dictionary: KeyDictionary | None = None
+        self._too_large = False
+
+    # -- lookups: built once per geography ----------------------------------------------
+    def table(self, kind: str) -> DataFrame:
+        """(key, *columns) of one kind of lookup key.
+
+        A sub-district comes with its own district (null if that is unknown).  A district name is an alias, or one
+        without its prefix ("Frogner" for "bydel frogner") where that isn't an alias itself."""
+        d = self.districts.select("district_id", "district_name")
+        if kind == "district":
+            return d.select(F.col("district_id").alias("key"), "district_id", "district_name")
+        if kind in ("district_alias", "district_name"):
+            aliases = self.district_aliases.join(d, "district_id").select(F.col("alias").alias("key"), "district_id", "district_name")
+            if kind == "district_alias":
+                return aliases
+            short = aliases.where(F.col("key").startswith(self.district_name_prefix)).withColumn("key", F.substring("key", len(self.district_name_prefix) + 1, 1 << 20))
+            return aliases.unionByName(short.join(aliases.select("key"), "key", "left_anti"))
+        subs = self.subs.select("sub_id", "sub_name", F.col("district_id").alias("parent_id")).join(
+            d, F.col("parent_id") == F.col("district_id"), "left")
+        if kind == "sub":
+            return subs.select(F.col("sub_id").alias("key"), *SUB_COLUMNS)
+        if kind == "sub_alias":
+            return self.sub_aliases.join(subs, "sub_id").select(F.col("alias").alias("key"), *SUB_COLUMNS)
+        return self.legacy.join(subs, "sub_id").select(F.col("old_id").alias("key"), *SUB_COLUMNS)
+
+    def dictionary(self) -> KeyDictionary | None:
+        """The dictionary of all keys, or None for a dimension over ``MAX_ROWS`` rows or ``MAX_BYTES``.
+
+        One job, which reads at most ``MAX_ROWS + 1`` rows of the five tables; both rows and bytes are checked."""
+        if self._dictionary is None and not self._too_large:
+            if self.local_rows is None:
+                plain = self._plain_rows().limit(MAX_ROWS + 1).toArrow()
+            else:
+                rows = [(kind, *r, *[None] * (3 - len(r))) for kind, found in self.local_rows.items() for r in found]
+                plain = pa.table({n: pa.array([r[i] for r in rows], pa.string()) for i, n in enumerate(("kind", "a", "b", "c"))})
+            if plain.num_rows > MAX_ROWS or plain.nbytes > MAX_BYTES:
+                self._too_large = True
+            else:
+                self._dictionary = KeyDictionary(self.districts.sparkSession, self._entries(plain.to_pylist()))
+        return self._dictionary
+
+    def _plain_rows(self) -> DataFrame:
+        def rows(kind: str, df: DataFrame, *cols: str) -> DataFrame:
+            cols = [F.col(c).cast("string") for c in cols] + [F.lit(None).cast("string")] * (3 - len(cols))
+            return df.select(F.lit(kind).alias("kind"), *[c.alias(n) for c, n in zip(cols, "abc", strict=True)])
+
+        return reduce(DataFrame.unionByName, [
+            rows("district", self.districts, "district_id", "district_name"), rows("district_alias", self.district_aliases, "alias", "district_id"),
+            rows("sub", self.subs, "sub_id", "sub_name", "district_id"), rows("sub_alias", self.sub_aliases, "alias", "sub_id"),
+            rows("legacy", self.legacy, "old_id", "sub_id")])
+
+    def _entries(self, plain: list[dict]) -> list[tuple]:
+        """(kind, key, district_id, district_name, sub_id, sub_name, parent_id) out of the five small tables, joined as in ``table``."""
+        districts = [(r["a"], r["b"]) for r in plain if r["kind"] == "district"]
+        aliases = {r["a"] for r in plain if r["kind"] == "district_alias"}
+        named: dict = {}
+        for i, name in districts:
+            named.setdefault(i, []).append((i, name))
+        subs: dict = {}
+        for r in plain:
+            if r["kind"] == "sub":
+                for d in named.get(r["c"], [(None, None)]):
+                    subs.setdefault(r["a"], []).append((*d, r["a"], r["b"], r["c"]))
+        out = [("district", i, i, name, None, None, None) for i, name in districts]
+        out += [("sub", i, *e) for i, found in subs.items() for e in found]
+        for r in plain:
+            if r["kind"] == "district_alias":
+                short = (r["a"] or "").removeprefix(self.district_name_prefix)
+                keys = [("district_alias", r["a"]), ("district_name", r["a"])] + [("district_name", short)] * (short not in aliases)
+                out += [(*k, *d, None, None, None) for k in keys for d in named.get(r["b"], [])]
+            elif r["kind"] in ("sub_alias", "legacy"):
+                out += [(r["kind"], r["a"], *e) for e in subs.get(r["b"], [])]
+        return [e for e in out if e[1] is not None]
 
     # -- integrity (V9) -------------------------------------------------------------
     def check(self) -> "Geography":
@@ -143,7 +192,10 @@ def from_tables(spark: SparkSession, districts, subs, district_aliases, sub_alia
     """Build from DataFrames or lists of tuples (same column order as documented)."""
     def df(x, schema):
         return x if isinstance(x, DataFrame) else local_table(spark, x, schema)
+    given = {"district": districts, "sub": subs, "district_alias": district_aliases, "sub_alias": sub_aliases, "legacy": legacy}
+    lists = {k: [tuple(r) for r in x] for k, x in given.items() if not isinstance(x, DataFrame)}
     return Geography(
+        local_rows=lists if len(lists) == len(given) else None,
         districts=df(districts, "district_id string, district_name string"),
         subs=df(subs, "sub_id string, sub_name string, district_id string"),
         district_aliases=df(district_aliases, "alias string, district_id string"),

@@ -1,8 +1,8 @@
 """Geography resolution: messy source codes and names -> canonical keys.
 
-Every lookup is a left join against a (size-checked, broadcast) dimension table
-on a normalised key, so resolution happens map-side in the scan stage: no
-shuffle, no Python.  Each resolver appends the four key columns
+Every lookup is an expression on the geography's key dictionary (``geo.dictionary``), so
+resolution happens map-side in the scan stage: no join, no shuffle, no Python.  A dimension too
+large for that is left-joined on the same keys, as Spark and AQE choose.  Each resolver appends the four key columns
 (district id/name, sub-district id/name) named by ``Keys``; a value that does not
 resolve gives NULLs (filter them with ``operators.filters.drop_unresolved``).
 
@@ -24,77 +24,91 @@ _counter = itertools.count()
 
 
 def _tag() -> str:
-    return f"_g{next(_counter)}_"
+    return f"_g{next(_counter)}"
 
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _lookup(df: DataFrame, key: Column, table: DataFrame, table_key: str, tag: str, geo: Geography) -> DataFrame:
-    """Left-join ``table`` on ``key``; its columns come back as ``<tag>_<name>``.
+class _Rows:
+    """A source with lookup columns that are still to be selected: one select for all lookups of a resolver."""
 
-    Spark broadcasts the dimension while its bytes are under the threshold; beyond it AQE chooses the join."""
-    renamed = table.select(*[F.col(c).alias(f"{tag}_{c}") for c in table.columns])
-    left = df.withColumn(f"{tag}__key", key)
-    out = left.join(renamed, F.col(f"{tag}__key") == F.col(f"{tag}_{table_key}"), "left")
-    return out.drop(f"{tag}__key")
+    def __init__(self, df: DataFrame):
+        self.df = df
+        self.columns: list[Column] = []
+        self.helpers: list[str] = []
 
+    def selected(self) -> DataFrame:
+        return self.df.select("*", *self.columns) if self.columns else self.df
 
-def zfill(c: Column, width: int) -> Column:
-    """Left-pad with zeros to ``width``; longer values are kept whole (``lpad`` would cut them)."""
-    return F.when(F.length(c) >= width, c).otherwise(F.lpad(c, width, "0"))
 
+def _rows(df) -> _Rows:
+    return df if isinstance(df, _Rows) else _Rows(df)
+
+
+def _with(df, name: str, value: Column) -> _Rows:
+    out = _rows(df)
+    out.columns.append(value.alias(name))
+    return out
 
-def sub_id_key(c) -> Column:
-    """Numeric sub-district id (101, 101.0, "0101") -> zero-padded 4-char key."""
-    as_long = _c(c).cast("string").try_cast("double").try_cast("long")
-    return zfill(as_long.cast("string"), 4)
 
+def _lookup(df, key: Column, kind: str, tag: str, geo: Geography) -> _Rows:
+    """Look ``key`` up among the keys of a kind; the struct of what it gives is column ``tag``, null for no hit."""
+    out = _rows(df)
+    known = geo.dictionary()
+    if known is not None:
+        columns, helpers = known.columns(kind, key, tag)
+        out.columns += columns
+        out.helpers += helpers
+        return out
+    table = geo.table(kind)
+    right = table.select(F.col("key").alias(f"{tag}_key"), F.struct(*[c for c in table.columns if c != "key"]).alias(tag))
+    left = out.selected().withColumn(f"{tag}_own", key)
+    joined = _Rows(left.join(right, F.col(f"{tag}_own") == F.col(f"{tag}_key"), "left"))
+    joined.helpers = [*out.helpers, f"{tag}_own", f"{tag}_key"]
+    return joined
 
-def _sub_table(geo: Geography) -> DataFrame:
-    return geo.sub_table()
+
+def zfill(c: Column, width: int) -> Column:
+    """Left-pad with zeros to ``width``; longer values are kept whole (``lpad`` would cut them)."""
+    return F.when(F.length(c) >= width, c).otherwise(F.lpad(c, width, "0"))
 
 
-def _sub_alias_table(geo: Geography) -> DataFrame:
-    return geo.sub_alias_table()
+def as_long(c) -> Column:
+    """int(float(x)) of a number or its text, null for anything else.
 
+    Text that cannot begin a number is sorted out before the cast, which would throw and catch an exception for each such row."""
+    text = _c(c).cast("string")
+    return F.when(text.rlike(r"^[\x00-\x20]*[+-]?[.0-9]"), text.try_cast("double").try_cast("long"))
 
-def _district_alias_table(geo: Geography) -> DataFrame:
-    return geo.district_alias_table()
+
+def sub_id_key(c) -> Column:
+    """Numeric sub-district id (101, 101.0, "0101") -> zero-padded 4-char key."""
+    return zfill(as_long(c).cast("string"), 4)
 
 
 # --- G1..G5: single lookups ------------------------------------------------------------
 
 def by_district_id(df, col, geo, tag=None):
     tag = tag or _tag()
-    return _lookup(df, _c(col).cast("string"), geo.district_table(), "district_id", tag, geo), tag
+    return _lookup(df, _c(col).cast("string"), "district", tag, geo), tag
 
 
 def by_district_name(df, col, geo, tag=None):
     """Name -> district via aliases; then ``prefix + name`` (e.g. "Frogner" -> "bydel frogner")."""
     tag = tag or _tag()
-    table = _district_alias_table(geo)
-    key = norm(_c(col))
-    a = _lookup(df, key, table, "alias", tag + "a", geo)
-    b = _lookup(a, F.concat(F.lit(geo.district_name_prefix), key), table, "alias", tag + "b", geo)
-    hit_a = F.col(f"{tag}a_district_id").isNotNull()
-    b = b.withColumns({
-        f"{tag}_district_id": F.when(hit_a, F.col(f"{tag}a_district_id")).otherwise(F.col(f"{tag}b_district_id")),
-        f"{tag}_district_name": F.when(hit_a, F.col(f"{tag}a_district_name"))
-        .otherwise(F.col(f"{tag}b_district_name")),
-    })
-    return b.drop(*[c for c in b.columns if c.startswith(tag + "a_") or c.startswith(tag + "b_")]), tag
+    return _lookup(df, norm(_c(col)), "district_name", tag, geo), tag
 
 
 def by_sub_id(df, col, geo, tag=None):
     tag = tag or _tag()
-    return _lookup(df, sub_id_key(col), _sub_table(geo), "sub_id", tag, geo), tag
+    return _lookup(df, sub_id_key(col), "sub", tag, geo), tag
 
 
 def by_sub_name(df, col, geo, tag=None):
     tag = tag or _tag()
-    return _lookup(df, norm(_c(col)), _sub_alias_table(geo), "alias", tag, geo), tag
+    return _lookup(df, norm(_c(col)), "sub_alias", tag, geo), tag
 
 
 def by_legacy_id(df, col, geo, tag=None):
@@ -103,14 +117,15 @@ def by_legacy_id(df, col, geo, tag=None):
     dtype = df.schema[col].dataType if isinstance(col, str) else T.StringType()
     key = (_c(col) if isinstance(dtype, T.StringType)
            else zfill(_c(col).try_cast("long").cast("string"), 3))
-    return _lookup(df, key, geo.legacy_table(), "old_id", tag, geo), tag
+    return _lookup(df, key, "legacy", tag, geo), tag
 
 
-def _finish(df: DataFrame, keys: Keys, did: Column, dname: Column, sid: Column, sname: Column,
+def _finish(df, keys: Keys, did: Column, dname: Column, sid: Column, sname: Column,
             *tags: str) -> DataFrame:
-    out = df.withColumns({keys.district_id: did, keys.district_name: dname, keys.sub_id: sid,
-                          keys.sub_name: sname})
-    return out.drop(*[c for c in out.columns if any(c.startswith(t) for t in tags)])
+    rows = _rows(df)
+    out = rows.selected().withColumns({keys.district_id: did, keys.district_name: dname, keys.sub_id: sid,
+                                       keys.sub_name: sname})
+    return out.drop(*tags, *rows.helpers)
 
 
 def _null() -> Column:
@@ -120,39 +135,37 @@ def _null() -> Column:
 def district_by_id(df: DataFrame, col, geo: Geography, keys: Keys = Keys()) -> DataFrame:
     """G1: exact 2-character id; 1 does not match "01"."""
     df, t = by_district_id(df, col, geo)
-    return _finish(df, keys, F.col(f"{t}_district_id"), F.col(f"{t}_district_name"), _null(), _null(), t)
+    return _finish(df, keys, F.col(t)["district_id"], F.col(t)["district_name"], _null(), _null(), t)
 
 
 def district_by_name(df: DataFrame, col, geo: Geography, keys: Keys = Keys()) -> DataFrame:
     """District by name only."""
     df, t = by_district_name(df, col, geo)
-    return _finish(df, keys, F.col(f"{t}_district_id"), F.col(f"{t}_district_name"), _null(), _null(), t)
+    return _finish(df, keys, F.col(t)["district_id"], F.col(t)["district_name"], _null(), _null(), t)
 
 
 def sub_by_legacy_id(df: DataFrame, col, geo: Geography, keys: Keys = Keys()) -> DataFrame:
     """Legacy id -> current sub-district (and its district)."""
     df, t = by_legacy_id(df, col, geo)
-    d, td = by_district_id(df, F.col(f"{t}_parent_id"), geo)
-    return _finish(d, keys, F.col(f"{t}_parent_id"), F.col(f"{td}_district_name"),
-                   F.col(f"{t}_sub_id"), F.col(f"{t}_sub_name"), t, td)
+    return _finish(df, keys, F.col(t)["parent_id"], F.col(t)["district_name"],
+                   F.col(t)["sub_id"], F.col(t)["sub_name"], t)
 
 
 # --- R1..R11: the compositions the sources need ---------------------------------------
 
 def _sub_then_parent_else_name(df, geo, keys, t_sub, name_col, default_city=False):
-    d_parent, tp = by_district_id(df, F.col(f"{t_sub}_parent_id"), geo)
-    d_name, tn = by_district_name(d_parent, name_col, geo) if name_col is not None else (d_parent, None)
-    hit = F.col(f"{t_sub}_sub_id").isNotNull()
-    did = F.when(hit, F.col(f"{tp}_district_id"))
-    dname = F.when(hit, F.col(f"{tp}_district_name"))
+    d_name, tn = by_district_name(df, name_col, geo) if name_col is not None else (df, None)
+    hit = F.col(t_sub)["sub_id"].isNotNull()
+    did = F.when(hit, F.col(t_sub)["district_id"])
+    dname = F.when(hit, F.col(t_sub)["district_name"])
     if tn is not None:
-        did = did.otherwise(F.col(f"{tn}_district_id"))
-        dname = dname.otherwise(F.col(f"{tn}_district_name"))
+        did = did.otherwise(F.col(tn)["district_id"])
+        dname = dname.otherwise(F.col(tn)["district_name"])
     if default_city:
         did = F.coalesce(did, F.lit(geo.city_id))
         dname = F.coalesce(dname, F.lit(geo.city_name))
-    return _finish(d_name, keys, did, dname, F.col(f"{t_sub}_sub_id"), F.col(f"{t_sub}_sub_name"),
-                   t_sub, tp, *([tn] if tn else []))
+    return _finish(d_name, keys, did, dname, F.col(t_sub)["sub_id"], F.col(t_sub)["sub_name"],
+                   t_sub, *([tn] if tn else []))
 
 
 def resolve_sub_id_with_fallback(df, sub_col, district_name_col, geo, keys=Keys(), default_city=False):
@@ -171,8 +184,8 @@ def resolve_sub_name_district_column(df, sub_col, district_name_col, geo, keys=K
     """Sub-district by name; the district only from the district-name column."""
     df, t = by_sub_name(df, sub_col, geo)
     df, tn = by_district_name(df, district_name_col, geo)
-    return _finish(df, keys, F.col(f"{tn}_district_id"), F.col(f"{tn}_district_name"),
-                   F.col(f"{t}_sub_id"), F.col(f"{t}_sub_name"), t, tn)
+    return _finish(df, keys, F.col(tn)["district_id"], F.col(tn)["district_name"],
+                   F.col(t)["sub_id"], F.col(t)["sub_name"], t, tn)
 
 
 def resolve_one_column(df, col, geo, keys=Keys()):
@@ -192,29 +205,28 @@ def resolve_labelled(df, col, geo, keys=Keys(), sub_keeps_district=True):
     prefix = geo.sub_label_prefix
     sub_name = F.when(text.startswith(prefix), F.substring(text, len(prefix) + 1, 1 << 20))
     df, ts = by_sub_name(df, sub_name, geo)
-    df, tp = by_district_id(df, F.col(f"{ts}_parent_id"), geo)
     df, tn = by_district_name(df, col, geo)
-    hit = F.col(f"{ts}_sub_id").isNotNull()
+    hit = F.col(ts)["sub_id"].isNotNull()
     if sub_keeps_district:
         is_city = text == F.lit(geo.city_name)
         is_unknown = text == F.lit(geo.unknown_label)
         did = (F.when(is_city, F.lit(geo.city_id)).when(is_unknown, F.lit(geo.unknown_id))
-               .when(hit, F.col(f"{tp}_district_id")).otherwise(F.col(f"{tn}_district_id")))
+               .when(hit, F.col(ts)["district_id"]).otherwise(F.col(tn)["district_id"]))
         dname = (F.when(is_city, F.lit(geo.city_name)).when(is_unknown, F.lit(geo.unknown_name))
-                 .when(hit, F.col(f"{tp}_district_name")).otherwise(F.col(f"{tn}_district_name")))
+                 .when(hit, F.col(ts)["district_name"]).otherwise(F.col(tn)["district_name"]))
         special = is_city | is_unknown
-        sid = F.when(~special & hit, F.col(f"{ts}_sub_id"))
-        sname = F.when(~special & hit, F.col(f"{ts}_sub_name"))
+        sid = F.when(~special & hit, F.col(ts)["sub_id"])
+        sname = F.when(~special & hit, F.col(ts)["sub_name"])
     else:
-        did = F.when(hit, _null()).otherwise(F.col(f"{tn}_district_id"))
-        dname = F.when(hit, _null()).otherwise(F.col(f"{tn}_district_name"))
-        sid, sname = F.col(f"{ts}_sub_id"), F.col(f"{ts}_sub_name")
-    return _finish(df, keys, did, dname, sid, sname, ts, tp, tn)
+        did = F.when(hit, _null()).otherwise(F.col(tn)["district_id"])
+        dname = F.when(hit, _null()).otherwise(F.col(tn)["district_name"])
+        sid, sname = F.col(ts)["sub_id"], F.col(ts)["sub_name"]
+    return _finish(df, keys, did, dname, sid, sname, ts, tn)
 
 
 def district_code_id(code, geo: Geography) -> Column:
     """``301XX`` -> ``XX``; other numbers zero-padded to 2."""
-    s = _c(code).cast("string").try_cast("double").try_cast("long").cast("string")
+    s = as_long(code).cast("string")
     p = geo.district_code_prefix
     return F.when(s.startswith(p), zfill(F.substring(s, len(p) + 1, 1 << 20), 2)).otherwise(zfill(s, 2))
 
@@ -228,18 +240,18 @@ def resolve_code_and_sub_id(df, code_col, sub_col, geo, keys=Keys(), id_from_cod
     code_id = district_code_id(code_col, geo)
     df, tc = by_district_id(df, code_id, geo)
     df, ts = by_sub_id(df, sub_col, geo)
-    hit = F.col(f"{ts}_sub_id").isNotNull()
+    hit = F.col(ts)["sub_id"].isNotNull()
     if id_from_code:
-        did = F.col(f"{tc}_district_id")
+        did = F.col(tc)["district_id"]
     else:
-        did = F.when(hit, F.col(f"{ts}_parent_id")).otherwise(code_id)
-    return _finish(df, keys, did, F.col(f"{tc}_district_name"), F.col(f"{ts}_sub_id"), F.col(f"{ts}_sub_name"),
+        did = F.when(hit, F.col(ts)["parent_id"]).otherwise(code_id)
+    return _finish(df, keys, did, F.col(tc)["district_name"], F.col(ts)["sub_id"], F.col(ts)["sub_name"],
                    tc, ts)
 
 
 def resolve_single_code(df, col, geo, keys=Keys(), city_code: int = 100000, district_codes: bool = True):
     """One numeric code: the city code, ``301XX`` districts (R8), else a sub-district id."""
-    n = _c(col).cast("string").try_cast("double").try_cast("long")
+    n = as_long(col)
     s = n.cast("string")
     p = geo.district_code_prefix
     is_city = n == F.lit(city_code)
@@ -247,15 +259,14 @@ def resolve_single_code(df, col, geo, keys=Keys(), city_code: int = 100000, dist
     code_id = zfill(F.substring(s, len(p) + 1, 1 << 20), 2)
     df, tc = by_district_id(df, F.when(is_district, code_id), geo)
     df, ts = by_sub_id(df, F.when(~is_city & ~is_district, n), geo)
-    df, tp = by_district_id(df, F.col(f"{ts}_parent_id"), geo)
-    hit = F.col(f"{ts}_sub_id").isNotNull()
+    hit = F.col(ts)["sub_id"].isNotNull()
     did = (F.when(is_city, F.lit(geo.city_id)).when(is_district, code_id)
-           .when(hit, F.col(f"{ts}_parent_id")))
+           .when(hit, F.col(ts)["parent_id"]))
     dname = (F.when(is_city, F.lit(geo.city_name))
              .when(is_district & (code_id == F.lit(geo.unknown_id)), F.lit(geo.unknown_name))
-             .when(is_district, F.col(f"{tc}_district_name"))
-             .when(hit, F.col(f"{tp}_district_name")))
-    return _finish(df, keys, did, dname, F.col(f"{ts}_sub_id"), F.col(f"{ts}_sub_name"), tc, ts, tp)
+             .when(is_district, F.col(tc)["district_name"])
+             .when(hit, F.col(ts)["district_name"]))
+    return _finish(df, keys, did, dname, F.col(ts)["sub_id"], F.col(ts)["sub_name"], tc, ts)
 
 
 def resolve_mixed(df, col, geo, keys=Keys(), city_code: int = 10000):
@@ -265,34 +276,36 @@ def resolve_mixed(df, col, geo, keys=Keys(), city_code: int = 10000):
     parent, else by name, else the city code or a ``301XX`` district code.
     """
     text = _c(col).cast("string")
+    number = _tag()
+    df = _with(df, number, as_long(text).cast("string"))  # read once for three uses
+    n = F.col(number)
     df, tsn = by_sub_name(df, text, geo)
-    df, tsi = by_sub_id(df, F.when(F.col(f"{tsn}_sub_id").isNull(), text), geo)
-    sid = F.coalesce(F.col(f"{tsn}_sub_id"), F.col(f"{tsi}_sub_id"))
-    sname = F.coalesce(F.col(f"{tsn}_sub_name"), F.col(f"{tsi}_sub_name"))
-    parent = F.coalesce(F.col(f"{tsn}_parent_id"), F.col(f"{tsi}_parent_id"))
-    df, tp = by_district_id(df, parent, geo)
+    tsi = _tag()
+    df = _lookup(df, F.when(F.col(tsn).isNull(), zfill(n, 4)), "sub", tsi, geo)
+    sid = F.coalesce(F.col(tsn)["sub_id"], F.col(tsi)["sub_id"])
+    sname = F.coalesce(F.col(tsn)["sub_name"], F.col(tsi)["sub_name"])
+    own = [F.when(F.col(tsn)["sub_id"].isNotNull(), F.col(tsn)[c]).otherwise(F.col(tsi)[c]) for c in ("district_id", "district_name")]
     df, tn = by_district_name(df, text, geo)
-    n = text.try_cast("double").try_cast("long").cast("string")
     p = geo.district_code_prefix
     is_code = n.startswith(p) & (F.length(n) == 5)
     df, tc = by_district_id(df, F.when(is_code, zfill(F.substring(n, len(p) + 1, 1 << 20), 2)), geo)
     hit = sid.isNotNull()
-    by_name = F.col(f"{tn}_district_id").isNotNull()
+    by_name = F.col(tn)["district_id"].isNotNull()
     is_city = n == F.lit(str(city_code))
-    did = (F.when(hit, F.col(f"{tp}_district_id")).when(by_name, F.col(f"{tn}_district_id"))
-           .when(is_city, F.lit(geo.city_id)).when(is_code, F.col(f"{tc}_district_id")))
-    dname = (F.when(hit, F.col(f"{tp}_district_name")).when(by_name, F.col(f"{tn}_district_name"))
-             .when(is_city, F.lit(geo.city_name)).when(is_code, F.col(f"{tc}_district_name")))
-    return _finish(df, keys, did, dname, sid, sname, tsn, tsi, tp, tn, tc)
+    did = (F.when(hit, own[0]).when(by_name, F.col(tn)["district_id"])
+           .when(is_city, F.lit(geo.city_id)).when(is_code, F.col(tc)["district_id"]))
+    dname = (F.when(hit, own[1]).when(by_name, F.col(tn)["district_name"])
+             .when(is_city, F.lit(geo.city_name)).when(is_code, F.col(tc)["district_name"]))
+    return _finish(df, keys, did, dname, sid, sname, number, tsn, tsi, tn, tc)
 
 
 def resolve_names_parent_id(df, district_col, sub_col, geo, keys=Keys()):
     """Names in two columns; id = the sub-district's parent, name from the district column."""
     df, tn = by_district_name(df, district_col, geo)
     df, ts = by_sub_name(df, sub_col, geo)
-    hit = F.col(f"{ts}_sub_id").isNotNull()
-    did = F.when(hit, F.col(f"{ts}_parent_id")).otherwise(F.col(f"{tn}_district_id"))
-    return _finish(df, keys, did, F.col(f"{tn}_district_name"), F.col(f"{ts}_sub_id"), F.col(f"{ts}_sub_name"),
+    hit = F.col(ts)["sub_id"].isNotNull()
+    did = F.when(hit, F.col(ts)["parent_id"]).otherwise(F.col(tn)["district_id"])
+    return _finish(df, keys, did, F.col(tn)["district_name"], F.col(ts)["sub_id"], F.col(ts)["sub_name"],
                    tn, ts)
 
 
@@ -304,12 +317,11 @@ def district_id_for_name(df: DataFrame, col, geo: Geography, out: str = "distric
     named = (F.when(text.startswith(geo.district_title_prefix) | text.isin(list(geo.special_district_names)), text)
              .otherwise(F.concat(F.lit(geo.district_title_prefix), text)))
     tag = _tag()
-    table = geo.district_alias_table()
-    df = _lookup(df, norm(named), table, "alias", tag, geo)
-    return (df.withColumn(out, F.when(F.col(f"{tag}_district_id").isNull() & text.isNotNull(),
+    df = _lookup(df, norm(named), "district_alias", tag, geo)
+    return (df.selected().withColumn(out, F.when(F.col(tag)["district_id"].isNull() & text.isNotNull(),
                                       F.raise_error(F.concat(F.lit("Unknown district: "), text)))
-                          .otherwise(F.col(f"{tag}_district_id")))
-            .drop(*[c for c in df.columns if c.startswith(tag)]))
+                          .otherwise(F.col(tag)["district_id"]))
+            .drop(tag, *df.helpers))
 
 
 def add_district_id(df: DataFrame, id_col: str, geo: Geography, district_column: str | None = None,

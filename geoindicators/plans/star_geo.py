@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoindicators.geo.dim import Geography, local_table
+from geoindicators.geo.dim import MAX_ROWS, Geography, from_tables
 from geoindicators.plans.star import _district_id, table
 
 CITY = ("00", "Oslo i alt")
@@ -18,34 +18,24 @@ FIXED_DISTRICT_ALIASES = [("oslo i alt", "00"), ("uoppgitt", "99"), ("uten regis
 
 
 def star_geography(spark: SparkSession, sf: str) -> Geography:
-    region = table(spark, sf, "region")
-    nation = table(spark, sf, "nation")
-    did = _district_id(F.col("r_regionkey"))
-    districts = region.select(did.alias("district_id"), F.col("r_name").alias("district_name")).unionByName(
-        local_table(spark, [CITY, UNKNOWN], "district_id string, district_name string"))
-    lowered = F.lower(F.col("r_name"))
-    district_aliases = (
-        region.select(F.concat(F.lit("bydel "), lowered).alias("alias"), did.alias("district_id"))
-        .unionByName(region.select(F.concat(F.lit("bydel "), F.regexp_replace(lowered, " ", "")).alias("alias"),
-                                   did.alias("district_id")))
-        .unionByName(local_table(spark, FIXED_DISTRICT_ALIASES, "alias string, district_id string"))
-        .distinct()
-    )
-    nr = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    sub_id = F.concat(did, F.lpad(F.col("n_nationkey").cast("string"), 2, "0"))
-    subs = nr.select(sub_id.alias("sub_id"), F.col("n_name").alias("sub_name"), did.alias("district_id"))
-    first_sub = (nation.groupBy("n_regionkey").agg(F.min("n_nationkey").alias("n_nationkey"))
-                 .join(nr.select("n_nationkey", "r_name", sub_id.alias("sub_id")), "n_nationkey"))
-    sub_aliases = (
-        nr.select(F.lower("n_name").alias("alias"), sub_id.alias("sub_id"))
-        .unionByName(nr.select(F.lower(F.regexp_replace("n_name", "_", " ")).alias("alias"), sub_id.alias("sub_id")))
-        # a sub-district sharing its district's name (sub-district wins)
-        .unionByName(first_sub.select(F.lower("r_name").alias("alias"), "sub_id"))
-        .distinct()
-    )
-    legacy = nr.select(F.lpad(F.col("n_nationkey").cast("string"), 3, "0").alias("old_id"), sub_id.alias("sub_id"))
-    return Geography(districts, subs, district_aliases, sub_aliases, legacy,
-                     city_id=CITY[0], city_name=CITY[1], unknown_id=UNKNOWN[0], unknown_name=UNKNOWN[1])
+    """The dimension out of region and nation: both are read once, in one bounded read."""
+    region, nation = table(spark, sf, "region"), table(spark, sf, "nation")
+    joined = region.join(nation, F.col("n_regionkey") == F.col("r_regionkey"), "left").select(
+        _district_id(F.col("r_regionkey")).alias("did"), "r_name", F.col("n_nationkey").cast("string").alias("nation"), "n_name")
+    rows = joined.limit(MAX_ROWS + 1).toArrow().to_pylist()
+    if len(rows) > MAX_ROWS:
+        raise ValueError("region and nation hold more rows than a dimension may")
+    regions = sorted({(r["did"], r["r_name"]) for r in rows})
+    nations = [(r["did"] + r["nation"].rjust(2, "0"), r) for r in rows if r["nation"] is not None]
+    aliases = {(f"bydel {x}", did) for did, name in regions for x in (name.lower(), name.lower().replace(" ", ""))}
+    first = {}
+    for sub_id, r in sorted(nations, key=lambda n: int(n[1]["nation"])):
+        first.setdefault(r["did"], (r["r_name"].lower(), sub_id))
+    # a sub-district sharing its district's name (sub-district wins)
+    sub_aliases = {(x, sub_id) for sub_id, r in nations for x in (r["n_name"].lower(), r["n_name"].lower().replace("_", " "))} | set(first.values())
+    return from_tables(spark, [*regions, CITY, UNKNOWN], sorted((sub_id, r["n_name"], r["did"]) for sub_id, r in nations),
+                       sorted(aliases) + FIXED_DISTRICT_ALIASES, sorted(sub_aliases), sorted((r["nation"].rjust(3, "0"), sub_id) for sub_id, r in nations),
+                       city_id=CITY[0], city_name=CITY[1], unknown_id=UNKNOWN[0], unknown_name=UNKNOWN[1])
 
 
 def raw_orders(spark: SparkSession, sf: str) -> DataFrame:

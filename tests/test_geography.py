@@ -91,3 +91,60 @@ def test_add_district_id(spark, geo):
     df = spark.createDataFrame([("030101",), ("0301",)], "id string")
     out = [r.district for r in R.add_district_id(df, "id", geo).collect()]
     assert out == ["01"]
+
+
+def _all_resolved(spark, geo):
+    text = ["Sagene", "  kampen ", "101", "0101", "101.0", "10000", "30105", "30199", "Bydel Alna", "Frogner", "Oslo i alt", "Delbydel Lodalen", "Uoppgitt",
+            "NaN", "1e2", "+101", "", " ", "Finnes ikke", None, "999", "district:01", "٣"]
+    df = spark.createDataFrame([(t, u) for t in text for u in ("Gamle Oslo", None, "Bydel Sagene")], "v string, w string")
+    k = Keys()
+    ways = [R.district_by_id(df, "v", geo, k), R.district_by_name(df, "v", geo, k), R.sub_by_legacy_id(df, "v", geo, k),
+            R.resolve_sub_id_with_fallback(df, "v", "w", geo, k, default_city=True), R.resolve_sub_name_with_fallback(df, "v", "w", geo, k),
+            R.resolve_sub_name_district_column(df, "v", "w", geo, k), R.resolve_one_column(df, "v", geo, k), R.resolve_labelled(df, "v", geo, k),
+            R.resolve_labelled(df, "v", geo, k, sub_keeps_district=False), R.resolve_code_and_sub_id(df, "v", "v", geo, k),
+            R.resolve_code_and_sub_id(df, "v", "v", geo, k, id_from_code=True), R.resolve_single_code(df, "v", geo, k), R.resolve_mixed(df, "v", geo, k),
+            R.resolve_names_parent_id(df, "w", "v", geo, k), R.district_id_for_name(df, "w", geo)]
+    return [sorted(map(tuple, d.collect()), key=str) for d in ways]
+
+
+def test_dictionary_and_joins_resolve_alike(spark, geo, monkeypatch):
+    from geoindicators.geo import dim
+    known = _all_resolved(spark, geo)
+    assert geo.dictionary() is not None
+    monkeypatch.setattr(dim, "MAX_ROWS", 3)  # a dimension over the bound is joined
+    large = oslo_geography(spark)
+    assert large.dictionary() is None
+    assert _all_resolved(spark, large) == known
+
+
+def test_dictionary_of_tables_equals_one_of_lists(spark, geo):
+    from geoindicators.geo.dim import Geography
+    tables = Geography(geo.districts, geo.subs, geo.district_aliases, geo.sub_aliases, geo.legacy)
+    assert geo.local_rows is not None and tables.local_rows is None
+    rows = [d.dictionary()._table.first() for d in (geo, tables)]
+    assert rows[0] == rows[1]
+
+
+def test_slots_hold_every_key():
+    import random
+
+    from geoindicators.geo.dictionary import _slots, place
+    rng = random.Random(1)
+    for n in (0, 1, 2, 7, 400, 20_000):
+        digests = [rng.getrandbits(64) for _ in range(n)]
+        digests += digests[:int(n > 2)]  # two keys of one hash
+        table = place(digests)
+        assert sorted(i for i in table if i >= 0) == list(range(len(digests))) and len(table) < 4 * max(8, len(digests))
+        assert all(table[_slots(len(table), d)[0]] == i or table[_slots(len(table), d)[1]] == i for i, d in enumerate(digests))
+
+
+def test_a_key_with_two_meanings_is_an_error(spark):
+    from geoindicators.geo.dim import from_tables
+    geo = from_tables(spark, [("01", "A"), ("02", "B")], [], [("x", "01"), ("x", "02")], [], [])
+    with pytest.raises(ValueError, match="more than one place"):
+        R.district_by_name(_one(spark, "x"), "v", geo)
+    with pytest.raises(ValueError, match="duplicate_district_aliases"):
+        geo.check()
+    assert from_tables(spark, [], [], [], [], []).dictionary().keys == 0
+    empty = from_tables(spark, [], [], [], [], [])
+    assert _resolved(R.resolve_mixed(_one(spark, "x"), "v", empty)) == (None, None)

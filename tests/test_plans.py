@@ -36,15 +36,15 @@ def test_projection_and_filters_reach_the_scan(spark):
     assert "PushedFilters: [IsNotNull(o_orderdate), IsNotNull(o_custkey)]" in plan
 
 
-def test_geography_lookups_are_broadcast(spark):
+def test_geography_is_resolved_without_a_join(spark):
     from geoindicators.geo import resolve as R
     from geoindicators.plans.star_geo import star_geography
     geo = star_geography(spark, SF_SMALL)
     df = spark.createDataFrame([("Africa",), ("NATION_3",)], "v string")
-    plan = _plan(R.resolve_one_column(df, "v", geo))
-    lookups = [line for line in plan.splitlines() if "LeftOuter" in line]
-    # every lookup of the source rows is a broadcast hash join (the dimension side may be prepared any way)
-    assert lookups and all("BroadcastHashJoin" in line for line in lookups)
+    for out in (R.resolve_one_column(df, "v", geo), R.resolve_mixed(df, "v", geo), R.resolve_sub_name_with_fallback(df, "v", "v", geo)):
+        plan = _plan(out)
+        assert "Join" not in plan and "Exchange" not in plan
+        assert out.columns == ["v", "district_id", "district_name", "sub_id", "sub_name"]
 
 
 def test_documents_read_materialized_rows_only(spark):
