@@ -4,7 +4,7 @@
 every source the dataset needs from ``landing/<source>/``, optionally writes the
 resolved canonical rows to ``intermediate/<dataset>/<source>/`` (Parquet by year; two
 datasets may resolve one source by different rules), builds the variants' documents
-and overwrites ``published/<dataset>/<variant>/``.  ``recompute_arrived`` does so for
+and commits them as a new version under ``published/<dataset>/`` (``publish.commit``).  ``recompute_arrived`` does so for
 every dataset that reads a source with new files (``streaming.arrivals``).
 """
 
@@ -18,10 +18,20 @@ from pyspark.sql import DataFrame, SparkSession
 from geoindicators import datasets
 from geoindicators.datasets.spec import normalise, run_all
 from geoindicators.geo.dim import Geography
+from geoindicators.publish import commit
+from geoindicators.publish.observe import Watch
 from geoindicators.sources import sinks, snapshots
 from geoindicators.streaming import arrivals
 
 
+class Published(dict):
+    """Variant -> directory of its documents; ``counts``: what was observed on the way (``publish.observe``), by source and rows."""
+
+    def __init__(self, folders: Mapping[str, str], counts: dict[str, dict[str, int]]):
+        super().__init__(folders)
+        self.counts = counts
+
+
 @dataclass(frozen=True)
 class Layout:
     landing: str
@@ -46,10 +56,11 @@ def read_sources(spark: SparkSession, layout: Layout, sources) -> dict[str, Data
 
 def publish_dataset(spark: SparkSession, layout: Layout, dataset: str, geo: Geography, published_date: str | None = None,
                     write_intermediate: bool = False, variants: Sequence[str] | None = None,
-                    on_invalid: str = "error") -> dict[str, str]:
-    """Build and write a dataset's variants (default: all) from one pass over its sources; returns their directories.
+                    on_invalid: str = "error") -> Published:
+    """Build a dataset's variants (default: all) from one pass over its sources and publish them at once; returns their
+    directories, with what the pass has counted.
 
-    The geography's integrity is checked first: an alias that maps to two geographies would fan out rows.
+    Variants that are not asked for stay as the current version has them.  A failing one leaves all as it was.  The geography's integrity is checked first: an alias that maps to two geographies would fan out rows.
     """
     geo.check()
     spec = datasets.get(dataset)
@@ -57,11 +68,9 @@ def publish_dataset(spark: SparkSession, layout: Layout, dataset: str, geo: Geog
     if write_intermediate and spec.intermediate:
         for source, df in normalise(spec, raw, geo).items():
             sinks.write_intermediate(df, f"{layout.intermediate}/{dataset}/{source}")
-    out = {}
-    for variant, docs in run_all(spec, raw, geo, published_date, True, variants, on_invalid).items():
-        out[variant] = f"{layout.published}/{dataset}/{variant}"
-        sinks.write_documents(docs, out[variant])
-    return out
+    watch = Watch()
+    docs = run_all(spec, raw, geo, published_date, True, variants, on_invalid, watch)
+    return Published(commit.publish_documents(docs, f"{layout.published}/{dataset}"), watch.counts())
 
 
 def publish(spark: SparkSession, layout: Layout, dataset: str, variant: str, geo: Geography,

@@ -23,6 +23,7 @@ from geoindicators.keys import OSLO_KEYS, Keys
 from geoindicators.operators import align
 from geoindicators.operators.scale import scale_min_max
 from geoindicators.publish import document as doc
+from geoindicators.publish.observe import Watch, invalid, unresolved
 from geoindicators.publish.templates import Template
 from geoindicators.session import materialize
 
@@ -83,10 +84,17 @@ def _rows(spec: DatasetSpec, inputs: dict[str, DataFrame], variant_name: str) ->
 
 def run_all(spec: DatasetSpec, raw: Mapping[str, DataFrame], geo: Geography, published_date: str | None = None,
             published_form: bool = False, variants: Sequence[str] | None = None,
-            on_invalid: str = "error") -> dict[str, DataFrame]:
+            on_invalid: str = "error", watch: Watch | None = None) -> dict[str, DataFrame]:
     """Documents of several variants (default: all): the sources are normalised, joined and rolled up once
-    for all variants that share their rows."""
+    for all variants that share their rows.
+
+    A ``watch`` observes the sources' rows as read and as resolved (what is missing there was rejected) and the indicator rows'
+    invalid numbers in the same passes."""
+    if watch is not None:
+        raw = {**raw, **{s: watch.on(raw[s], f"read {s}", rows=F.count(F.lit(1))) for s in spec.sources if s in raw}}
     inputs = normalise(spec, raw, geo)
+    if watch is not None:  # what a normaliser has left out is the difference of both counts
+        inputs = {s: watch.on(df, f"source {s}", **unresolved(df, spec.keys)) for s, df in inputs.items()}
     if spec.base is not None:
         inputs = {"base": materialize(spec.base(inputs))}
     shared: dict = {}
@@ -95,7 +103,8 @@ def run_all(spec: DatasetSpec, raw: Mapping[str, DataFrame], geo: Geography, pub
         spec.variant(name)
         key = spec.rows_key(name)
         if key not in shared:
-            shared[key] = materialize(_rows(spec, inputs, name))
+            rows = _rows(spec, inputs, name)
+            shared[key] = materialize(rows if watch is None else watch.on(rows, f"indicators {len(shared)}", **invalid(rows, spec.keys)))
         out[name] = documents(spec, name, shared[key], published_date, published_form, on_invalid)
     return out
 

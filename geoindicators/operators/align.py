@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -54,3 +54,15 @@ def keep_newest(df: DataFrame, date: str = "date", drop_date: bool = True) -> Da
 def shift_years(df: DataFrame, by: int, date: str = "date") -> DataFrame:
     """Move a measure to another reference year (e.g. a Q4 count to 1 January)."""
     return df.withColumn(date, F.col(date) + F.lit(by))
+
+
+def newest_of(df: DataFrame, *aggregates: Column, date: str = "date") -> DataFrame:
+    """One row with the aggregates over the rows of the newest year, in one pass over the input.
+
+    Every task carries one partial result a year (map-side); of the merged ones the newest year's is kept.  Rows without
+    a year don't count; without any year all aggregates are null.
+    """
+    by_year = df.filter(F.col(date).isNotNull()).groupBy(date).agg(*aggregates)
+    names = [c for c in by_year.columns if c != date]
+    newest = by_year.agg(F.max_by(F.struct(*names), F.col(date)).alias("_newest"))
+    return newest.select(*[F.col("_newest")[n].alias(n) for n in names])

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoindicators.keys import Keys
+from geoindicators.operators.align import newest_of
 from geoindicators.operators.filters import drop_non_residential
 
 
@@ -16,17 +17,11 @@ def scale_min_max(df: DataFrame, column: str, keys: Keys = Keys()) -> DataFrame:
     city and sub-district rows count.  A column that does not exist gives 0, 0.
     """
     rows = drop_non_residential(df, keys)
-    newest = rows.agg(F.max(keys.date)).scalar()
-    latest = rows.filter(F.col(keys.date) == newest)
 
-    def mm(name: str) -> list[Column]:
-        if name in df.columns:
-            return [F.min(name).cast("double"), F.max(name).cast("double")]
-        return [F.lit(0.0), F.lit(0.0)]
-
-    v, r = mm(column), mm(f"{column}_ratio")
-    return latest.agg(v[0].alias("value_min"), v[1].alias("value_max"),
-                      r[0].alias("ratio_min"), r[1].alias("ratio_max"))
+    names = {f"{kind}_{end}": (c, end) for kind, c in (("value", column), ("ratio", f"{column}_ratio")) for end in ("min", "max")}
+    there = {out: getattr(F, end)(c).cast("double").alias(out) for out, (c, end) in names.items() if c in df.columns}
+    newest = newest_of(rows, F.count(F.lit(1)).alias("_n"), *there.values(), date=keys.date)
+    return newest.select(*[F.col(out) if out in there else F.lit(0.0).alias(out) for out in names])
 
 
 def scale_struct(df: DataFrame, column: str, keys: Keys = Keys()) -> DataFrame:

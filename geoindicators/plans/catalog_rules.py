@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from geoindicators.geo import resolve
 from geoindicators.operators import filters, joins, pivot, population, relative, rollup
 from geoindicators.plans import star_sources as src
-from geoindicators.plans.common import K, conform, r4
+from geoindicators.plans.common import K, conform, r4, scratch
 from geoindicators.plans.star_geo import star_geography
 from geoindicators.plans.star_sources import BASE_SQL, KEYS_SQL, pick_sql
+from geoindicators.publish import commit
 from geoindicators.publish import document as doc
 from geoindicators.publish.templates import TemplateA
+from geoindicators.sources import sinks
 
 Q: dict = {}
 SQL: dict = {}
@@ -186,15 +188,15 @@ def geo_add_district_id_by_name(spark, sf):
     return conform(out.groupBy("district").agg(F.count(F.lit(1)).alias("n")))
 
 
-@register("documents_json", f""", {_ROLLED}, k AS (SELECT * FROM r WHERE district_id IS NOT NULL)
+_DOCUMENTS_SQL = f""", {_ROLLED}, k AS (SELECT * FROM r WHERE district_id IS NOT NULL)
 SELECT d.district_id AS name, d.district_name AS district, CASE WHEN d.district_id = '00' THEN 'oslo i alt' ELSE 'bydel' END AS scope, '[]' AS scale,
   CASE WHEN d.district_id = '00' THEN (SELECT count(DISTINCT district_id) FROM k WHERE district_id <> '05') ELSE 2 + (SELECT count(DISTINCT sub_id) FROM k s WHERE s.district_id = d.district_id) END AS entries,
   'Oslo i alt' AS last_geography, CAST((SELECT k.antall FROM k WHERE k.district_id = '00' ORDER BY date DESC LIMIT 1) AS BIGINT) AS last_value
-FROM (SELECT DISTINCT district_id, district_name FROM k WHERE district_id <> '05') d""")
-def documents_json(spark, sf):
+FROM (SELECT DISTINCT district_id, district_name FROM k WHERE district_id <> '05') d"""
+
+
+def _fields(js):
     """The published JSON text, read back field by field."""
-    docs = doc.build_documents(_levels(spark, sf), TemplateA(), ["antall"], doc.Metadata("H", [], "2026-01-01"), K)
-    js = doc.to_json_documents(docs)
     last = F.expr("size(variant_get(v, '$.data', 'array<variant>')) - 1")
     data = F.expr("variant_get(v, '$.data', 'array<variant>')")
     values = F.variant_get(F.get(data, last), "$.values", "array<variant>")
@@ -203,3 +205,20 @@ def documents_json(spark, sf):
         F.to_json(F.variant_get("v", "$.meta.scale", "variant")).alias("scale"), F.size(data).alias("entries"),
         F.variant_get(F.get(data, last), "$.geography", "string").alias("last_geography"),
         F.variant_get(F.get(values, F.size(values) - 1), "$.value", "long").alias("last_value")))
+
+
+def _documents(spark, sf):
+    return doc.build_documents(_levels(spark, sf), TemplateA(), ["antall"], doc.Metadata("H", [], "2026-01-01"), K)
+
+
+@register("documents_json", _DOCUMENTS_SQL)
+def documents_json(spark, sf):
+    return _fields(doc.to_json_documents(_documents(spark, sf)))
+
+
+@register("documents_committed", _DOCUMENTS_SQL)
+def documents_committed(spark, sf):
+    """The documents published as a committed version and read back from their files."""
+    root = scratch(spark, "published")
+    commit.publish_documents({"status": _documents(spark, sf)}, root)
+    return _fields(sinks.read_documents(spark, commit.published_dir(spark, root, "status")))

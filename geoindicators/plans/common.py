@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +11,7 @@ from pyspark.sql import types as T
 from geoindicators.functions.nulls import round4
 from geoindicators.plans import star
 from geoindicators.plans.star import KEYS, FACT_SQL, table
+from geoindicators.session import ensure_checkpoint_dir
 
 K = KEYS
 KEY_COLS = K.all()
@@ -25,6 +28,11 @@ def conform(df: DataFrame) -> DataFrame:
     return df.withColumns(cols) if cols else df
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path in the cluster's checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def facts(spark: SparkSession, sf: str, *extra: str) -> DataFrame:
     return star.order_facts(spark, sf, tuple(extra))
 
@@ -100,4 +108,4 @@ def rollup_sql(src: str, measures: dict[str, str], extra: list[str] | None = Non
 
 
 __all__ = ["K", "KEY_COLS", "conform", "facts", "line_facts", "FACT_SQL", "line_sql", "r4", "rollup_sql",
-           "table", "star"]
+           "scratch", "table", "star"]

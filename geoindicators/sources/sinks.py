@@ -4,8 +4,8 @@
   by year, so later reads prune by year, or as ";"-separated CSV with header
   (``fmt="csv"``, ``partition_by=()`` for plain files).
 * ``write_documents``: one JSON document per district (plus the city), each in
-  its own ``name=<id>`` partition directory.  ``build_documents`` rejects non-finite
-  numbers on the typed columns.
+  its own ``name=<id>`` partition directory (``publish.commit`` writes them as ``<id>.json`` files
+  of one committed version).  ``build_documents`` rejects non-finite numbers on the typed columns.
 """
 
 from __future__ import annotations
@@ -34,8 +34,10 @@ def write_documents(docs: DataFrame, output_dir: str) -> None:
 
 
 def read_documents(spark, output_dir: str) -> DataFrame:
-    """(name, json) of published documents; the name is taken from the directory as
+    """(name, json) of published documents; the name is taken from the file or directory as
     written (no type inference, so "01" stays "01")."""
     df = spark.read.text(output_dir)
-    name = F.regexp_extract(F.col("_metadata.file_path"), r"name=([^/]+)/[^/]*$", 1)
+    path = F.col("_metadata.file_path")
+    name = F.when(path.endswith(".json"), F.url_decode(F.regexp_replace(F.regexp_extract(path, r"([^/]+)\.json$", 1), r"\+", "%2B"))).otherwise(
+        F.regexp_extract(path, r"name=([^/]+)/[^/]*$", 1))
     return df.select(name.alias("name"), F.col("value").alias("json"))

@@ -3,9 +3,11 @@ import os
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from geoindicators.keys import Keys
 from geoindicators.operators import rollup
+from geoindicators.publish import commit
 from geoindicators.publish import document as doc
 from geoindicators.publish.templates import TemplateA
 from geoindicators.publish.validate import assert_finite
@@ -195,3 +197,73 @@ def test_template_g_published_form(spark):
                                published_form=True)
     got = {r.name: json.loads(r.json) for r in doc.to_json_documents(docs).collect()}
     assert got["01"]["data"][0]["values"] == [12.0, [10.0, 11.0, 12.0], 2020]
+
+
+def _some_documents(spark, value, ids=("01", "St. Hans å+b"), bad=False):
+    df = spark.createDataFrame([(i, f"Bydel {i}", value) for i in ids], "id string, district string, v double")
+    return df.withColumn("v", F.when(F.lit(bad), F.raise_error(F.lit("no good"))).otherwise(F.col("v")))
+
+
+def test_committed_versions_appear_at_once_and_failures_leave_the_old_one(spark, tmp_path):
+    root = str(tmp_path / "published" / "neets")
+    assert commit.current_version(spark, root) is None
+    with pytest.raises(FileNotFoundError):
+        commit.published_dir(spark, root, "status")
+    out = commit.publish_documents({"status": _some_documents(spark, 1.0), "historisk": _some_documents(spark, 2.0)}, root)
+    assert out["status"] == commit.published_dir(spark, root, "status")
+    assert sorted(f for f in os.listdir(out["status"]) if not f.startswith(".")) == ["01.json", "St. Hans å+b.json"]
+    with open(f"{out['status']}/St. Hans å+b.json", encoding="utf-8") as f:
+        assert json.load(f) == {"id": "St. Hans å+b", "district": "Bydel St. Hans å+b", "v": 1.0}
+
+    def now(variant):
+        got = sinks.read_documents(spark, commit.published_dir(spark, root, variant)).collect()
+        return {r.name: json.loads(r.json)["v"] for r in got}
+
+    assert now("status") == {"01": 1.0, "St. Hans å+b": 1.0}
+    for broken in (_some_documents(spark, 3.0, bad=True), _some_documents(spark, 3.0, ("a/b",)), _some_documents(spark, 3.0, ("01", "01"))):
+        with pytest.raises(Exception):
+            commit.publish_documents({"status": _some_documents(spark, 3.0), "historisk": broken}, root)
+        assert now("status")["01"] == 1.0 and now("historisk")["01"] == 2.0  # no variant of a failed run shows
+        assert len(os.listdir(f"{root}/_versions")) == 1
+    commit.publish_documents({"status": _some_documents(spark, 4.0, ("01",))}, root)
+    assert now("status") == {"01": 4.0} and now("historisk")["01"] == 2.0  # not part of the run: carried over
+    for v in (5.0, 6.0):
+        commit.publish_documents({"status": _some_documents(spark, v)}, root)
+    assert len(os.listdir(f"{root}/_versions")) == 3 and now("status")["01"] == 6.0 and now("historisk")["01"] == 2.0
+
+
+def test_publishing_returns_what_it_counted(spark, tmp_path):
+    from geoindicators.datasets.runner import Layout, publish_dataset
+    from geoindicators.geo.oslo import oslo_geography
+
+    landing = tmp_path / "landing"
+    _land(landing, "neets", _columns("neets"))
+    path = landing / "neets" / "2024.csv"
+    text = path.read_text(encoding="utf-8")
+    last = text.strip().splitlines()[-1].split(";")
+    names = text.splitlines()[0].split(";")
+    i = next(n for n, c in enumerate(names) if "eografi" in c or "ydel" in c)
+    last[i] = "Ingensteds"
+    _write(path, text + ";".join(last) + "\n")
+    out = publish_dataset(spark, Layout(str(landing), str(tmp_path / "i"), str(tmp_path / "p")), "neets", oslo_geography(spark), "2024-01-01")
+    n = len(text.strip().splitlines())
+    assert out.counts["read neets"] == {"rows": n}
+    source = out.counts["source neets"]  # the row without a known place is rejected
+    assert source["rows"] == n - 1 and source["no_district"] == 0 and source["no_sub_district"] == 9
+    found = out.counts["indicators 0"]
+    assert found["rows"] > 0 and found["non_finite"] == 0 and found["extra_names"] == 0
+    assert all(os.path.exists(f"{d}/00.json") for d in out.values())
+
+
+def test_observed_counts_of_invalid_rows(spark):
+    from geoindicators.publish.observe import Watch, invalid
+    df = spark.createDataFrame([("01", "A", 1.0, None), ("01", "B", float("nan"), 0.5), ("02", "C", None, None), (None, "X", float("inf"), 1.0)],
+                               "district_id string, district_name string, a double, a_ratio double")
+    watch = Watch()
+    seen = watch.on(df, "x", **invalid(df, Keys()))
+    unused = watch.on(df, "never run", n=F.count(F.lit(1)))
+    assert unused.columns == df.columns
+    assert seen.count() == 4
+    assert watch.counts() == {"x": {"rows": 4, "non_finite": 2, "no_ratio": 1, "extra_names": 1}}
+    with pytest.raises(ValueError):
+        watch.on(df, "x", n=F.count(F.lit(1)))
