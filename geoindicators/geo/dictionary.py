@@ -1,9 +1,12 @@
-"""A key dictionary inside the plan: constant-time lookups as plain expressions, without a join.
+"""One key dictionary for all lookups of a geography.
 
-The entries of all kinds of keys lie in one array of slots (a cuckoo table: a key is in one of two slots, given by the two
-halves of its 64-bit hash).  The array is one value, an uncorrelated scalar subquery over a local relation, so Spark evaluates it once and
-ships it with the tasks.  A lookup is two array accesses and two comparisons inside whole-stage code generation; a row may do
-several of them with any precedence, where joins would cost one pass over the row each.
+All kinds of keys (ids, aliases, names without their prefix, legacy ids) are entries of one table, keyed by "kind:key".  An entry
+holds the whole place: district, sub-district and the sub-district's own district; so a lookup never needs a second one for its
+parent or for another spelling.  The table is a local relation whose bytes Spark knows: a lookup is a broadcast hash
+join in the scan stage, and all lookups of a plan share the one broadcast.
+
+(Lookups as expressions on an array of slots need no join at all, but every filter on a resolved column is then pushed below the
+lookup and repeats it for each reference: 1,400 CASE branches for two chained lookups.  Joins keep each lookup a column.)
 
 Its size is the dictionary's alone: the caller checks rows and bytes before it builds one.
 """
@@ -15,34 +18,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FIELDS = ("district_id", "district_name", "sub_id", "sub_name", "parent_id")
-_LOW = (1 << 32) - 1
-
-
-def _slots(size: int, digest: int) -> tuple[int, int]:
-    return (digest & _LOW) % size, ((digest >> 32) & _LOW) % size
-
-
-def place(digests: list[int]) -> list[int]:
-    """Slot -> place in ``digests`` (-1: empty), every digest in one of its two slots; the table is as wide as it needs to be."""
-    size = max(2, int(2.3 * len(digests)) | 1)
-    while True:
-        table = [-1] * size
-        if all(_insert(table, digests, i) for i in range(len(digests))):
-            return table
-        size = (size * 5 // 4) | 1
-        if size > 64 * max(8, len(digests)):
-            raise ValueError("three keys of the dictionary have one hash")
-
-
-def _insert(table: list[int], digests: list[int], i: int) -> bool:
-    slot = _slots(len(table), digests[i])[0]
-    for _ in range(500):
-        i, table[slot] = table[slot], i
-        if i < 0:
-            return True
-        first, second = _slots(len(table), digests[i])  # the one that was thrown out goes to its other slot
-        slot = second if slot == first else first
-    return False
 
 
 class KeyDictionary:
@@ -54,27 +29,13 @@ class KeyDictionary:
             name = f"{kind}:{key}"
             if found.setdefault(name, tuple(fields)) != tuple(fields):
                 raise ValueError(f"the geography's {kind} {key!r} leads to more than one place")
-        keys = sorted(found)
-        named = pa.table({"key": pa.array(keys, pa.string())})
-        # Spark's own hash, so that tasks and driver agree (folded while planning: no job)
-        digests = [r["h"] for r in spark.createDataFrame(named).select(F.xxhash64("key").alias("h")).collect()]
-        table = place([h & ((1 << 64) - 1) for h in digests])
-        self.size = len(table)
-        self.keys = len(keys)
-        slots = [None if i < 0 else {"key": keys[i], **dict(zip(FIELDS, found[keys[i]], strict=True))} for i in table]
-        kind = pa.struct([(n, pa.string()) for n in ("key", *FIELDS)])
-        one = pa.table({"slots": pa.array([slots], pa.list_(kind))})
-        self._table: DataFrame = spark.createDataFrame(one)
-
-    def columns(self, kind: str, key: Column, out: str) -> tuple[list[Column], list[str]]:
-        """(columns to select, in this order, helper names to drop): column ``out`` is the entry (a struct of key and FIELDS) of a
-        row's key, null for an unknown or a null key.
-
-        The columns build on each other by lateral aliases, so Catalyst computes each once a row, and lookups may
-        use what earlier ones of the same select have found."""
-        name, digest, first, second = (f"{out}_{x}" for x in ("k", "h", "1", "2"))
-        slots = self._table.select("slots").scalar()
-        halves = F.col(digest).bitwiseAND(F.lit(_LOW)), F.shiftrightunsigned(digest, 32)
-        at = [F.element_at(slots, (half % F.lit(self.size) + 1).cast("int")) for half in halves]
-        hit = F.when(F.col(first)["key"] == F.col(name), F.col(first)).when(F.col(second)["key"] == F.col(name), F.col(second))
-        return [F.concat(F.lit(f"{kind}:"), key).alias(name), F.xxhash64(name).alias(digest), at[0].alias(first), at[1].alias(second), hit.alias(out)], [name, digest, first, second]
+        self.keys = len(found)
+        names = sorted(found)
+        columns = {"key": pa.array(names, pa.string()), **{f: pa.array([found[n][i] for n in names], pa.string()) for i, f in enumerate(FIELDS)}}
+        self.table: DataFrame = spark.createDataFrame(pa.table(columns))
+
+    def find(self, df: DataFrame, kind: str, key: Column, out: str) -> DataFrame:
+        """Add column ``out``: the entry (a struct of FIELDS) of a row's key, null for an unknown or a null key."""
+        right = self.table.select(F.col("key").alias(f"{out}_key"), F.struct(*FIELDS).alias(out))
+        left = df.withColumn(f"{out}_own", F.concat(F.lit(f"{kind}:"), key))
+        return left.join(right, F.col(f"{out}_own") == F.col(f"{out}_key"), "left").drop(f"{out}_own", f"{out}_key")

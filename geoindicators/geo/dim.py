@@ -3,8 +3,8 @@
 The dimension is an *input* (a handful of small tables), not code: any
 region -> sub-region hierarchy works.  Each table has one row per geography or
 alias, hundreds of rows at most, so after a size check the whole dimension becomes
-one key dictionary (``geo.dictionary``): every lookup is an expression on it, and a
-resolver's plan has no join.  A larger dimension stays a plan and is joined.
+one key dictionary (``geo.dictionary``), which is broadcast once and serves every lookup.
+A larger dimension stays a plan and is joined table by table.
 
 Tables (all ids are strings):
 
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from geoindicators.geo.dictionary import KeyDictionary
 
-# what the five tables together may hold to become one dictionary in the plan
+# what the five tables together may hold to become one dictionary
 MAX_ROWS = 100_000
 MAX_BYTES = 8 << 20
 DISTRICT_COLUMNS = ("district_id", "district_name")

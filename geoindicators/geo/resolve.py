@@ -1,8 +1,8 @@
 """Geography resolution: messy source codes and names -> canonical keys.
 
-Every lookup is an expression on the geography's key dictionary (``geo.dictionary``), so
-resolution happens map-side in the scan stage: no join, no shuffle, no Python.  A dimension too
-large for that is left-joined on the same keys, as Spark and AQE choose.  Each resolver appends the four key columns
+Every lookup is a broadcast join with the geography's one key dictionary (``geo.dictionary``), so
+resolution happens map-side in the scan stage: no shuffle, no Python.  A dimension too
+large for that is left-joined table by table, as Spark and AQE choose.  Each resolver appends the four key columns
 (district id/name, sub-district id/name) named by ``Keys``; a value that does not
 resolve gives NULLs (filter them with ``operators.filters.drop_unresolved``).
 
@@ -31,43 +31,15 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-class _Rows:
-    """A source with lookup columns that are still to be selected: one select for all lookups of a resolver."""
-
-    def __init__(self, df: DataFrame):
-        self.df = df
-        self.columns: list[Column] = []
-        self.helpers: list[str] = []
-
-    def selected(self) -> DataFrame:
-        return self.df.select("*", *self.columns) if self.columns else self.df
-
-
-def _rows(df) -> _Rows:
-    return df if isinstance(df, _Rows) else _Rows(df)
-
-
-def _with(df, name: str, value: Column) -> _Rows:
-    out = _rows(df)
-    out.columns.append(value.alias(name))
-    return out
-
-
-def _lookup(df, key: Column, kind: str, tag: str, geo: Geography) -> _Rows:
+def _lookup(df: DataFrame, key: Column, kind: str, tag: str, geo: Geography) -> DataFrame:
     """Look ``key`` up among the keys of a kind; the struct of what it gives is column ``tag``, null for no hit."""
-    out = _rows(df)
     known = geo.dictionary()
     if known is not None:
-        columns, helpers = known.columns(kind, key, tag)
-        out.columns += columns
-        out.helpers += helpers
-        return out
+        return known.find(df, kind, key, tag)
     table = geo.table(kind)
     right = table.select(F.col("key").alias(f"{tag}_key"), F.struct(*[c for c in table.columns if c != "key"]).alias(tag))
-    left = out.selected().withColumn(f"{tag}_own", key)
-    joined = _Rows(left.join(right, F.col(f"{tag}_own") == F.col(f"{tag}_key"), "left"))
-    joined.helpers = [*out.helpers, f"{tag}_own", f"{tag}_key"]
-    return joined
+    out = df.withColumn(f"{tag}_own", key)
+    return out.join(right, F.col(f"{tag}_own") == F.col(f"{tag}_key"), "left").drop(f"{tag}_own", f"{tag}_key")
 
 
 def zfill(c: Column, width: int) -> Column:
@@ -122,10 +94,9 @@ def by_legacy_id(df, col, geo, tag=None):
 
 def _finish(df, keys: Keys, did: Column, dname: Column, sid: Column, sname: Column,
             *tags: str) -> DataFrame:
-    rows = _rows(df)
-    out = rows.selected().withColumns({keys.district_id: did, keys.district_name: dname, keys.sub_id: sid,
-                                       keys.sub_name: sname})
-    return out.drop(*tags, *rows.helpers)
+    out = df.withColumns({keys.district_id: did, keys.district_name: dname, keys.sub_id: sid,
+                          keys.sub_name: sname})
+    return out.drop(*tags)
 
 
 def _null() -> Column:
@@ -277,7 +248,7 @@ def resolve_mixed(df, col, geo, keys=Keys(), city_code: int = 10000):
     """
     text = _c(col).cast("string")
     number = _tag()
-    df = _with(df, number, as_long(text).cast("string"))  # read once for three uses
+    df = df.withColumn(number, as_long(text).cast("string"))  # read once for three uses
     n = F.col(number)
     df, tsn = by_sub_name(df, text, geo)
     tsi = _tag()
@@ -318,10 +289,10 @@ def district_id_for_name(df: DataFrame, col, geo: Geography, out: str = "distric
              .otherwise(F.concat(F.lit(geo.district_title_prefix), text)))
     tag = _tag()
     df = _lookup(df, norm(named), "district_alias", tag, geo)
-    return (df.selected().withColumn(out, F.when(F.col(tag)["district_id"].isNull() & text.isNotNull(),
+    return (df.withColumn(out, F.when(F.col(tag)["district_id"].isNull() & text.isNotNull(),
                                       F.raise_error(F.concat(F.lit("Unknown district: "), text)))
                           .otherwise(F.col(tag)["district_id"]))
-            .drop(tag, *df.helpers))
+            .drop(tag))
 
 
 def add_district_id(df: DataFrame, id_col: str, geo: Geography, district_column: str | None = None,

@@ -21,6 +21,7 @@ from geoindicators.sources.normalise import FLYTT_INN, FLYTT_UT
 
 Q: dict = {}
 SQL: dict = {}
+ROWS: dict[str, str] = {}   # the common tables up to ``rows`` of each dataset, for its other variants
 ENTRY = ["doc_id", "geo_id", "geography", "avg_row", "total_row"]
 
 
@@ -90,6 +91,7 @@ def plain(name: str, variant: str, ctes: str, series: list[str], ratios: bool =
     """Register a dataset whose rows are the CTE ``rows`` and whose template is A, B, J or C."""
     cols = ", ".join(["date", *series, *([f"{s}_ratio" for s in series] if ratios else [])])
     newest = "WHERE date = (SELECT max(date) FROM rows)" if status else ""
+    ROWS[name] = ctes
     SQL[f"dataset_{name}"] = f"WITH {BASE_SQL},{ctes}, r AS (SELECT * FROM rows {newest}),{values_sql(series, ratios, nested, cols)}"
 
     def query(spark, sf):

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 _MODULES = ["geoindicators.plans.catalog_core", "geoindicators.plans.catalog_more",
             "geoindicators.plans.catalog_docs", "geoindicators.plans.catalog_docs2",
             "geoindicators.plans.catalog_geo", "geoindicators.plans.catalog_datasets",
-            "geoindicators.plans.catalog_rules", "geoindicators.plans.catalog_state"]
+            "geoindicators.plans.catalog_rules", "geoindicators.plans.catalog_state",
+            "geoindicators.plans.catalog_variants"]
 
 
 def _load():

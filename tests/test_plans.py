@@ -36,14 +36,18 @@ def test_projection_and_filters_reach_the_scan(spark):
     assert "PushedFilters: [IsNotNull(o_orderdate), IsNotNull(o_custkey)]" in plan
 
 
-def test_geography_is_resolved_without_a_join(spark):
+def test_geography_lookups_share_one_broadcast_dictionary(spark):
     from geoindicators.geo import resolve as R
     from geoindicators.plans.star_geo import star_geography
     geo = star_geography(spark, SF_SMALL)
     df = spark.createDataFrame([("Africa",), ("NATION_3",)], "v string")
-    for out in (R.resolve_one_column(df, "v", geo), R.resolve_mixed(df, "v", geo), R.resolve_sub_name_with_fallback(df, "v", "v", geo)):
+    # one lookup for each thing that is looked up: a parent or another spelling needs none of its own
+    for out, lookups in ((R.district_by_name(df, "v", geo), 1), (R.resolve_one_column(df, "v", geo), 2), (R.sub_by_legacy_id(df, "v", geo), 1),
+                         (R.resolve_sub_name_with_fallback(df, "v", "v", geo), 2), (R.resolve_mixed(df, "v", geo), 4)):
         plan = _plan(out)
-        assert "Join" not in plan and "Exchange" not in plan
+        joins = [line for line in plan.splitlines() if "Join" in line]
+        assert len(joins) == lookups and all("BroadcastHashJoin" in line and "LeftOuter" in line for line in joins)
+        assert "Exchange hashpartitioning" not in plan
         assert out.columns == ["v", "district_id", "district_name", "sub_id", "sub_name"]
 
 
