@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from geoindicators.llm.common import numbered, without
 from geoindicators.llm.tokens import NOT_WORD, U, mix, split_words, text_chunks
@@ -49,8 +50,36 @@ def _windows(words: list[int], free: list[bool], s: int):
             yield i - s + 1, h
 
 
+def _runs(free: list[bool]) -> list[int]:
+    """Free words in a row from each place on."""
+    out = [0] * (len(free) + 1)
+    for i in range(len(free) - 1, -1, -1):
+        out[i] = out[i + 1] + 1 if free[i] else 0
+    return out
+
+
+def _common(item: list[int], text: list[int], i: int, t: int, most: int) -> int:
+    """Equal words from both places on, ``most`` at most; slices of doubling and then halving length are compared."""
+    n, step = 0, 8
+    while n < most:
+        step = min(step, most - n)
+        if item[i + n:i + n + step] == text[t + n:t + n + step]:
+            n, step = n + step, 2 * step
+        elif step == 1:
+            break
+        else:
+            step //= 2
+            while step > 1 and item[i + n:i + n + step] != text[t + n:t + n + step]:
+                step //= 2
+    return n
+
+
 def greedy_tiles(item: list[int], text: list[int], min_match: int = MIN_MATCH) -> list[tuple[int, int, int]]:
-    """Tiles (place in item, place in text, length), longest first; negative words in ``text`` never match."""
+    """Tiles (place in item, place in text, length), longest first; negative words in ``text`` never match.
+
+    Only maximal matches are collected: one that lies within a match starting a word earlier is that match's part, and parts come
+    back when a longer tile cuts it.  A match over twice the search length raises that length at once.
+    """
     free_i, free_t = [True] * len(item), [w >= 0 for w in text]
     tiles, s = [], max(min_match, min(FIRST_SEARCH, len(item)))
     while True:
@@ -59,14 +88,18 @@ def greedy_tiles(item: list[int], text: list[int], min_match: int = MIN_MATCH) -
             places.setdefault(h, []).append(i)
         found, longest = [], 0
         if places:
+            run_i, run_t = _runs(free_i), _runs(free_t)
             for t, h in _windows(text, free_t, s):
+                before = text[t - 1] if t and free_t[t - 1] else None
                 for i in places.get(h, ()):
-                    n = 0
-                    while i + n < len(item) and t + n < len(text) and free_i[i + n] and free_t[t + n] and item[i + n] == text[t + n]:
-                        n += 1
+                    if before is not None and i and free_i[i - 1] and item[i - 1] == before:
+                        continue
+                    n = _common(item, text, i, t, min(run_i[i], run_t[t]))
                     if n >= s:
                         found.append((-n, i, t))
                         longest = max(longest, n)
+                if longest > 2 * s:
+                    break
         if longest > 2 * s:
             s = longest
             continue
@@ -92,7 +125,7 @@ def greedy_tiles(item: list[int], text: list[int], min_match: int = MIN_MATCH) -
 
 
 class _Index:
-    """Items of a block: their words, and the sorted seeds of all with the (item, place) of each."""
+    """Items of a block: their words, and the sorted seeds of all with the item and the places in it of each."""
 
     def __init__(self, items: list[tuple], min_match: int):
         kept = [(i, t) for i, t in items if t]
@@ -115,10 +148,15 @@ class _Index:
                     place.append(np.arange(len(s)))
         self.sizes = sorted(set(self.min_match) - {0})
         seed = np.concatenate(seeds) if seeds else np.zeros(0, dtype=U)
-        order = np.argsort(seed, kind="stable")
-        self.seed = seed[order]
-        self.owner = np.concatenate(owner)[order] if owner else np.zeros(0, int)
+        owner = np.concatenate(owner) if owner else np.zeros(0, int)
+        order = np.lexsort((owner, seed))
+        seed, owner = seed[order], owner[order]
         self.place = np.concatenate(place)[order] if place else np.zeros(0, int)
+        # an entry per seed and item, with all its places: a seed that an item repeats meets a text's place once
+        new = np.r_[True, (seed[1:] != seed[:-1]) | (owner[1:] != owner[:-1])] if len(seed) else np.zeros(0, bool)
+        self.low = np.flatnonzero(new)
+        self.high = np.r_[self.low[1:], len(seed)] if len(seed) else self.low
+        self.seed, self.owner = seed[self.low], owner[self.low]
 
 
 _STEP = [U(pow(0x9E3779B97F4A7C15, i, 1 << 64)) for i in range(1, 64)]
@@ -136,7 +174,7 @@ def _tile_chunk(index: _Index, data, offsets, min_coverage: float):
         return
     w = split_words(data, offsets, NOT_WORD)
     own = w.hash >> U(2)
-    hits_t, hits_s, hits_k = [], [], []
+    hits_t, hits_s = [], []
     for k in index.sizes:
         s = seed_hash(own, k)
         whole = w.row[:len(s)] == w.row[k - 1:] if len(s) else np.zeros(0, bool)
@@ -146,25 +184,26 @@ def _tile_chunk(index: _Index, data, offsets, min_coverage: float):
         t = np.flatnonzero(ok)
         hits_t.append(t)
         hits_s.append(s[t])
-        hits_k.append(np.full(len(t), k))
-    t, s, k = np.concatenate(hits_t), np.concatenate(hits_s), np.concatenate(hits_k)
+    t, s = np.concatenate(hits_t), np.concatenate(hits_s)
     if not len(t):
         return
-    # every (place in text, place in item) that shares a seed
+    # every (place in text, item) that shares a seed
     low, high = np.searchsorted(index.seed, s, "left"), np.searchsorted(index.seed, s, "right")
     n = high - low
     at = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    t, k, owner, place = np.repeat(t, n), np.repeat(k, n), index.owner[at], index.place[at]
+    t, owner = np.repeat(t, n), index.owner[at]
     row = w.row[t]
     order = np.lexsort((t, owner, row))
-    t, k, owner, place, row = t[order], k[order], owner[order], place[order], row[order]
+    t, at, owner, row = t[order], at[order], owner[order], row[order]
     border = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (owner[1:] != owner[:-1])])
     for a, b in zip(border, np.r_[border[1:], len(row)], strict=True):
         item, size = owner[a], index.min_match[owner[a]]
         # tiles lie within shared seeds: a bound from above, and all the text that matters
         covered = np.zeros(index.length[item], dtype=bool)
-        for i in range(size):
-            covered[place[a:b] + i] = True
+        for e in np.unique(at[a:b]):
+            here = index.place[index.low[e]:index.high[e]]
+            for i in range(size):
+                covered[here + i] = True
         if covered.sum() < min_coverage * len(covered):
             continue
         places = np.unique((t[a:b][:, None] + np.arange(size)).ravel())
@@ -182,7 +221,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     Columns id_col, item_id, coverage, n_tiles, longest_tile (words).  Null and empty documents and items match
     nothing; an item of fewer than ``min_match`` words must occur whole.  Repeated documents or items are
-    judged each; an empty table on either side gives no rows; other columns are ignored.
+    judged each; an empty table on either side gives no rows; other columns are ignored.  Ids are of any type.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_id).alias("item_id"), F.lower(F.col(item_text)).alias("t")).where("t is not null and t != ''")
@@ -190,6 +229,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     blocks = -(-mass // block_bytes)
     own = docs.select(F.col(id_col), F.lower(F.col(text_col)).alias("_t"))
     id_type, item_type = own.schema[id_col].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()
+    item_arrow = to_arrow_type(items.schema["item_id"].dataType)
     schema = f"`{id_col}` {id_type}, item_id {item_type}, coverage double, n_tiles int, longest_tile int"
 
     def tiled(block: int) -> DataFrame:
@@ -209,7 +249,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                         count.append(len(tiles))
                         longest.append(tiles[0][2])
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(pa.array(at, pa.int64())), _typed(item, item_type), pa.array(coverage, pa.float64()), pa.array(count, pa.int32()), pa.array(longest, pa.int32())],
+                    [b.column(0).take(pa.array(at, pa.int64())), pa.array(item, item_arrow), pa.array(coverage, pa.float64()), pa.array(count, pa.int32()), pa.array(longest, pa.int32())],
                     names=[id_col, "item_id", "coverage", "n_tiles", "longest_tile"])
 
         return own.mapInArrow(tile, schema)
@@ -219,10 +259,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return reduce(DataFrame.unionByName, [tiled(i) for i in range(blocks)])
 
 
-def _typed(values: list, kind: str) -> pa.Array:
-    return pa.array(values, {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind])
-
-
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
     """The documents that cover no benchmark item, row by row: ids may repeat or be null."""
     rows = numbered(docs)

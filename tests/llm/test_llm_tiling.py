@@ -1,6 +1,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from geoindicators.llm.tiling import contaminated, drop_contaminated, greedy_tiles
 from tests.llm.corpus_fixtures import EXTRA, gaps, messy, text, words
 
@@ -87,3 +89,27 @@ def test_gaps_and_empty_tables(spark):
     assert sorted(str((r.doc_id, r.item_id)) for r in got) == sorted(map(str, [(1, 1), (2, 1), (2, 1), (None, 1), (9, 2), (9, 2), (9, None)]))
     assert contaminated(docs.limit(0), b).collect() == [] and contaminated(docs, b.limit(0)).collect() == []
     assert len(EXTRA) and drop_contaminated(docs.where("doc_id != 2"), b).columns == docs.columns
+
+
+def test_repetitive_texts_take_little_time():
+    import time
+
+    rng = random.Random(9)
+    start = time.process_time()
+    assert greedy_tiles([1] * 400, [1] * 20_000) == [(0, 0, 400)]
+    assert sum(x[2] for x in greedy_tiles([1, 2] * 300, [1, 2] * 9_000 + [3])) == 600
+    broken = [w for _ in range(300) for w in [1] * 30 + [rng.randrange(5, 9)]]
+    assert sum(x[2] for x in greedy_tiles([1] * 400, broken)) == 400
+    assert time.process_time() - start < 6
+    for _ in range(300):  # many ties and cut matches: equal to brute force
+        item, text_ = [rng.randrange(2) for _ in range(rng.randrange(1, 14))], [rng.randrange(2) for _ in range(rng.randrange(1, 22))]
+        assert sum(x[2] for x in greedy_tiles(item, text_, 2)) == brute_tiles(item, text_, 2)
+
+
+def test_repetitive_items_and_texts_and_ids_of_any_type(spark):
+    docs = messy(spark, [(1, "la " * 30_000), (2, "la la la"), (3, "one two three four five")])
+    bench = spark.createDataFrame([(1, "la " * 5_000), (2, "one two three four"), (None, "la la la la la")], "item_id smallint, text string")
+    got = sorted((r["doc_id"], r["item_id"] or 0) for r in contaminated(docs, bench).collect())
+    assert got == [(1, 0), (1, 1), (3, 2)]
+    dates = bench.withColumn("item_id", F.to_date(F.lit("2024-01-01")))
+    assert contaminated(docs, dates).count() == 3
