@@ -12,8 +12,9 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, comp): comp is the least node of the component; edges (a, b) of any comparable type.
 
     Alternates large-star and small-star steps until the edges no longer change: the number of rounds grows with the
-    logarithm of the longest path.  A step takes the least neighbour of each node (aggregated map-side) and joins it back,
-    so a node with very many neighbours is one row per task in the shuffle and a skewed join that AQE splits.
+    logarithm of the longest path.  A step takes the least neighbour of each node (aggregated map-side), writes it and joins it back.
+    It is written because the exchange of an aggregate would serve the join too, and AQE splits only a join's own exchanges: so
+    a node with very many neighbours is split.
     Null ends and loops don't count; without edges there are no rows.
     """
     edges = table(edges.where("a is not null and b is not null and a != b").select(
@@ -36,12 +37,12 @@ def _shape(edges: DataFrame) -> tuple:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each node links its larger neighbours to the least of itself and its neighbours."""
     both = edges.select(F.col("a").alias("n"), F.col("b").alias("m")).unionByName(edges.select(F.col("b").alias("n"), F.col("a").alias("m")))
-    least = both.groupBy("n").agg(F.min("m").alias("l")).select("n", F.least("n", "l").alias("l"))
+    least = table(both.groupBy("n").agg(F.min("m").alias("l")).select("n", F.least("n", "l").alias("l")), "least")
     return both.join(least, "n").where("m > n and m != l").select(F.col("m").alias("a"), F.col("l").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each node links itself and its smaller neighbours to the least of them; edges hold a > b."""
-    least = edges.groupBy("a").agg(F.min("b").alias("l"))
+    least = table(edges.groupBy("a").agg(F.min("b").alias("l")), "least")
     moved = edges.join(least, "a").where("b != l").select(F.col("b").alias("a"), F.col("l").alias("b"))
     return moved.unionByName(least.select("a", F.col("l").alias("b"))).distinct()
