@@ -61,7 +61,7 @@ def _members(prepared: DataFrame, first_digit: int) -> DataFrame:
     """(_rid, _n, _keep) of the rows (_rid, _id, _body) with an equal one: group size, and the row that stays."""
     members = table(radix_groups(prepared, first_digit), "members")
     first = F.min(F.struct(F.col("_id").isNull().alias("last"), F.col("_id").alias("id"), F.col("_rid").alias("rid")))
-    stats = members.groupBy("_gid").agg(F.count(F.lit(1)).alias("_n"), first.alias("_keep"))
+    stats = table(members.groupBy("_gid").agg(F.count(F.lit(1)).alias("_n"), first.alias("_keep")), "stats")  # as in _split
     return members.join(stats, "_gid").select("_rid", "_n", "_keep")
 
 
