@@ -132,7 +132,8 @@ def write_warc(pages: DataFrame, path: str | None = None, id_col: str = "page_id
     low, high = narrow.agg(F.min("id"), F.max("id")).first()
     low, high = (0, 0) if low is None else (low, high)
     width = -(-(high - low + 1) // CELLS)
-    cell = F.coalesce(F.floor((F.col("id") - F.lit(low)) / F.lit(width)), F.lit(0)).cast("int")
+    # in doubles: ids may be further apart than a long, and only the order of the cells matters
+    cell = F.coalesce(F.floor((F.col("id").cast("double") - F.lit(float(low))) / F.lit(float(width))), F.lit(0)).cast("int")
     mass = {r["cell"]: r["b"] for r in narrow.groupBy(cell.alias("cell")).agg(F.sum(F.col("size") + 512).alias("b")).collect()}
     shard_of, shard, filled = [], 0, 0
     for c in range(max(mass, default=0) + 1):
@@ -142,7 +143,8 @@ def write_warc(pages: DataFrame, path: str | None = None, id_col: str = "page_id
         shard_of.append(shard)
     large = narrow.where(F.col("size") >= min_revisit)
     last = large.groupBy("digest", "size").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct(F.col("id").isNotNull(), "id"))["id"].alias("refers_to"))
-    refs = large.join(last.where("n > 1").drop("n"), ["digest", "size"]).where(~F.col("id").eqNullSafe(F.col("refers_to"))).distinct()
+    last = table(last.where("n > 1").drop("n"), "warc-last")  # else its exchange serves the join too, and AQE can't split a hot payload
+    refs = large.join(last, ["digest", "size"]).where(~F.col("id").eqNullSafe(F.col("refers_to"))).distinct()
     both = rows.select("id", "digest", F.lit(1).alias("tag"), "size", "url", "body", F.lit(None).cast("long").alias("refers_to")).unionByName(
         refs.select("id", "digest", F.lit(0).alias("tag"), "size", "refers_to"), allowMissingColumns=True)
     both = both.withColumn("shard", F.get(F.lit(shard_of), cell))

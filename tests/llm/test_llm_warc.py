@@ -79,3 +79,11 @@ def test_a_very_long_page(spark, tmp_path):
     folder, manifest = write_warc(frame(spark, [(1, "u", "z" * 5_000_000)]), str(tmp_path / "l"))
     [r] = read_warc(folder, manifest).collect()
     assert r.payload_bytes == 5_000_000
+
+
+def test_ids_at_both_ends_of_a_long(spark):
+    big = (1 << 63) - 1
+    rows = [(-big, "u", "a" * 2000), (0, "u", "b"), (1, "u", "a" * 2000), (big, "u", "a" * 2000), (big - 1, "u", "c"), (None, "u", "d")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in read_warc(*write_warc(pages)).collect()}
+    assert got == {-big: ("revisit", big), 0: ("response", None), 1: ("revisit", big), big: ("response", None), big - 1: ("response", None), None: ("response", None)}
