@@ -269,18 +269,17 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     with removed false are the first places.  Null and empty texts give no units; a
     repeated row is a document of its own; null ids sort last.  An empty table gives no rows; other columns are ignored.
     """
-    own = with_row_id(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")))
+    own = table(with_row_id(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))), "own")  # row ids hold only once written
     id_type = own.schema["_id"].dataType.simpleString()
     schema = "_rid bigint, start bigint, end bigint, n_words int, piece boolean, cls bigint, keys array<bigint>"
     units = table(own.select("_rid", "_t").mapInArrow(_units, schema), "units")
-    ids = table(own.select("_rid", "_id"), "ids")
+    ids = own.select("_rid", "_id")
     bands = units.where("not piece").groupBy("cls").agg(F.first("keys").alias("keys"))
 
     def profile_of(nodes: DataFrame) -> DataFrame:
         where = units.where("not piece").join(nodes, "cls", "left_semi").groupBy("cls").agg(F.min(F.struct("_rid", "start", "end")).alias("w"))
-        where = where.select("cls", F.col("w._rid").alias("_rid"), "w.start", "w.end").join(ids, "_rid").drop("_rid")
-        text = docs.select(F.col(id_col).alias("_id"), F.encode(F.col(text_col), "UTF-8").alias("_b"))
-        found = text.join(where, text["_id"].eqNullSafe(where["_id"])).select(
+        where = where.select("cls", F.col("w._rid").alias("_rid"), "w.start", "w.end")
+        found = own.select("_rid", F.encode("_t", "UTF-8").alias("_b")).join(where, "_rid").select(
             "cls", F.expr("substring(_b, cast(start + 1 as int), cast(end - start as int))").cast("string").alias("_p"))
         made = found.mapInArrow(_profiles, "cls bigint, profile binary, fine array<array<bigint>>")
         return made.groupBy("cls").agg(F.first("profile").alias("profile"), F.first("fine").alias("fine"))

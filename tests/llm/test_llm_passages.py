@@ -57,3 +57,18 @@ def test_passages_across_line_ends(spark):
     want = brute_covered(rows)
     assert {i for i, _ in want} == {1001 + 10 * k for k in range(20)} | {2001}
     assert removed_words(rows, repeated_passages(messy(spark, rows)).collect()) == want
+
+
+def test_spans_go_to_their_documents_on_shuffled_input(spark):
+    rng = random.Random(41)
+    shared = [words(rng, 70) for _ in range(4)]
+    docs = [(i, " ".join([*words(rng, 30), *shared[i % 4], *words(rng, 30)])) for i in range(60)]
+    scanned = messy(spark, docs)
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+    try:
+        shuffled = scanned.repartition(13, "doc_id")
+        got = [sorted(map(tuple, repeated_passages(d).collect()), key=str) for d in (scanned, shuffled)]
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    assert got[0] == got[1] and len({r[0] for r in got[0]}) == 60
