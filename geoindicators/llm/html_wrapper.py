@@ -5,8 +5,8 @@ markup belongs to the slot, end tags that HTML lets authors omit are dropped.  A
 into repeated groups, so pages of one template share a skeleton however many paragraphs they have.  The distinct
 skeletons of a host (counted map-side) are aligned one after the other: equal parts stay, a part that only
 one side has becomes optional, a run beside its repeated group joins it.  The result is a union-free regular
-expression over tokens: tags, slots, ``(...)+`` and ``(...)?``.  It is compiled to a Python pattern in
-which the article region is a group.
+expression over tokens: tags, slots, ``(...)+`` and ``(...)?``.  Its position automaton reads a page in one
+pass (no backtracking) and tells where the article region begins and ends.
 
 Extraction matches each page against its host's wrapper and takes the text slots of the article group without
 the boilerplate elements inside (menus, notices, adverts, forms, comments).  Hosts whose wrapper has
@@ -235,35 +235,85 @@ class Wrapper:
     constant: frozenset  # paths whose text never differs between pages
 
     def __post_init__(self):
-        keys = sorted(set(_keys(self.nodes)))
-        self.code = {k: chr(0xE000 + i) for i, k in enumerate(keys)}
+        keys = set(_keys(self.nodes))
         self.container = next((c for c in CONTAINERS if any(_is(k, c) for k in keys)), None)
         # the article group must open and close on one level of the expression
         opens = [i for i, k in enumerate(self.nodes) if isinstance(k, str) and _is(k, self.container)]
         closes = [i for i, k in enumerate(self.nodes) if k == f"/{self.container}"]
-        span = (opens[0], closes[-1] + 1) if len(opens) == 1 and closes and closes[-1] > opens[0] else None
-        self.pattern = re.compile(self._text(self.nodes, span)) if len(keys) < 6000 else None
-
-    def _text(self, nodes: list, span=None) -> str:
-        out = []
-        for i, x in enumerate(nodes):
-            if span and i == span[0]:
-                out.append("(?P<main>")
-            out.append(self.code[x] if isinstance(x, str) else f"(?:{self._text(x[1])}){x[0]}")
-            if span and i == span[1] - 1:
-                out.append(")")
-        return "".join(out)
+        self.span = (opens[0], closes[-1]) if len(opens) == 1 and closes and closes[-1] > opens[0] else None
+        self._positions(self.nodes)
+
+    def _positions(self, nodes: list) -> None:
+        """The expression as sets of its tokens' positions (bits): the position automaton, which reads a page in one pass."""
+        self.at: dict[str, int] = {}       # key -> its positions
+        self.next: list[int] = []          # position -> those that may follow
+        self.top: dict[int, int] = {}      # place in ``nodes`` of a token on the highest level -> its position
+
+        def sequence(nodes: list, top: bool) -> tuple[bool, int, int]:
+            """(may be empty, positions it may begin with, and end with)"""
+            empty, first, last = True, 0, 0
+            for i, x in enumerate(nodes):
+                if isinstance(x, str):
+                    bit = 1 << len(self.next)
+                    if top:
+                        self.top[i] = len(self.next)
+                    self.at[x] = self.at.get(x, 0) | bit
+                    self.next.append(0)
+                    e, f, z = False, bit, bit
+                else:
+                    e, f, z = sequence(x[1], False)
+                    if x[0] == "+":
+                        self._link(z, f)
+                    e = e or x[0] == "?"
+                self._link(last, f)
+                first = first | f if empty else first
+                last = last | z if e else z
+                empty = empty and e
+            return empty, first, last
+
+        self.empty, self.first, self.last = sequence(nodes, True)
+
+    def _link(self, ends: int, begins: int) -> None:
+        for p in _bits(ends):
+            self.next[p] |= begins
+
+    def _paths(self, flat: list[str]) -> list[int] | None:
+        """The positions that each token may stand for on a path through the whole expression; None if there is none.
+
+        Time is the number of tokens times the positions that are open at once."""
+        ahead, sets = self.first, []
+        for k in flat:
+            now = ahead & self.at.get(k, 0)
+            if not now:
+                return None
+            sets.append(now)
+            ahead = 0
+            for p in _bits(now):
+                ahead |= self.next[p]
+        if not sets or not sets[-1] & self.last:
+            return None
+        sets[-1] &= self.last
+        for i in range(len(sets) - 2, -1, -1):
+            after = sets[i + 1]
+            sets[i] = sum(1 << p for p in _bits(sets[i]) if self.next[p] & after)
+        return sets
 
     def region(self, toks: list[Token]) -> tuple[int, int] | None:
-        """Places of the tokens of the article group, if the page matches the wrapper."""
+        """Places of the tokens of the article group, if the page matches the wrapper: the first that may open it, the last that may close it."""
         flat = stream(toks)
-        if self.pattern is None or any(k not in self.code for k, _ in flat):
-            return None
-        m = self.pattern.fullmatch("".join(self.code[k] for k, _ in flat))
-        if not m or "main" not in self.pattern.groupindex or m["main"] is None:
+        if self.span is None or (sets := self._paths([k for k, _ in flat])) is None:
             return None
-        a, b = m.span("main")
-        return flat[a][1], flat[b - 1][1] + 1
+        opens, closes = (1 << self.top[i] for i in self.span)
+        a = next(i for i, now in enumerate(sets) if now & opens)
+        b = next(i for i in range(len(sets) - 1, -1, -1) if sets[i] & closes)
+        return flat[a][1], flat[b][1] + 1
+
+
+def _bits(x: int):
+    while x:
+        low = x & -x
+        yield low.bit_length() - 1
+        x ^= low
 
 
 def _is(key: str, name: str | None) -> bool:

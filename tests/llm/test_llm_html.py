@@ -113,3 +113,41 @@ def test_copies_and_equal_blocks_without_an_article_element_keep_their_text(spar
     assert all(got[20 + i] == [f"Title {i}", f"block {i}"] for i in range(3))                  # the constant slot is template
     assert got[30] == ["All rights reserved"]
     assert all(got[40 + i] == ["No url", f"block {i}", "All rights reserved"] for i in range(3))
+
+
+def test_long_irregular_pages_match_in_linear_time():
+    import time
+
+    rng = random.Random(5)
+    start, pages = time.process_time(), 0
+    for _ in range(6):
+        kinds = [f"<p class='k{i}'>x{i}</p>" for i in range(4)] + ["<ul><li>a</li><li>b</li></ul>", "<div><p>q</p></div>", "<h2>t</h2>", "<table><tr><td>1</td></tr></table>"]
+        toks = [H.tokens("<html><body><div>menu</div><article>" + "".join(rng.choice(kinds) for _ in range(rng.randrange(20, 60))) + "</article><div>foot</div></body></html>") for _ in range(6)]
+        nodes = H.skeleton(toks[0])
+        for t in toks[1:]:
+            nodes = H.align(nodes, H.skeleton(t))
+        w = H.Wrapper(nodes, frozenset())
+        for t in toks:  # every page that the wrapper comes from matches it
+            region = w.region(t)
+            assert region is not None and t[region[0]].name == "article"
+            pages += 1
+    assert pages == 36 and time.process_time() - start < 60
+
+
+def test_wrapper_accepts_what_its_expression_says():
+    import re
+
+    rng = random.Random(6)
+
+    def build(depth):
+        return [rng.choice("ab") if depth == 0 or rng.random() < 0.6 else [rng.choice("?+"), build(depth - 1)] for _ in range(rng.randrange(1, 4))]
+
+    def text(nodes):
+        return "".join(x if isinstance(x, str) else f"(?:{text(x[1])}){x[0]}" for x in nodes)
+
+    for _ in range(400):
+        nodes = build(2)
+        w = H.Wrapper(nodes, frozenset())
+        for _ in range(20):
+            s = "".join(rng.choice("ab") for _ in range(rng.randrange(1, 9)))
+            assert (w._paths(list(s)) is not None) == bool(re.fullmatch(text(nodes), s))
