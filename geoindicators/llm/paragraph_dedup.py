@@ -10,23 +10,36 @@ winnowing: of every ``WINDOW`` places in a row the one with the least hash of th
 around them only, and any passage of PIECE + WINDOW - 1 = 51 words holds a whole piece, so it gives that piece
 wherever it stands.
 
-Pieces in two documents or more are seeds: every run of PIECE words that begins less than WINDOW places before or after
-one is compared by a 96-bit hash, and equal runs form a class.  A shared passage of 51 words or more has a seed within
-reach of each of its places, so its runs cover it from the first word to the last, whichever documents share it.
+Documents of 51 words or more with the same words are told first: all but the first are removed whole and give no units.
+Pieces that two documents or more have are seeds.  Shared text is told from a seed to the next, and word by word only
+where such a stretch ends:
+
+* A chunk is the words from a seed to the end of the next one, at most WINDOW words on; equal chunks form a class.
+* Where the seeds of a class go on differently, to the right or to the left, each is followed over the WINDOW - 1 words
+  beyond it.  Seeds with all of these words alike need it once, for the first of them.  How far a seed's words are an
+  earlier document's, or any other's, is searched in two rounds, as who shares n words beyond a seed shares fewer too: every
+  ``STRIDE`` words, then word by word beyond the step at which a seed stops, with all seeds that are alike up to there.
+
+In a shared passage of 51 words or more both documents have the same seeds from the first to the last that a whole
+window of the passage chooses, and both ends are at most WINDOW - 1 words beyond these, so it is covered from the first
+word to the last, whichever documents share it.
 
 A class counts if it occurs in two documents or more.  Its first place (least document, then position) stays, the
 others are to be removed; overlapping places in a document are joined into spans.
 
 Scale: a unit is one narrow row; counting and joining go by its 64-bit content hash with map-side aggregation, so a line
 that a third of the documents share is one row per task, and its hand-out a skewed join for AQE.  Texts travel only for
-one representative of each colliding paragraph, and for documents with a seed.  Runs are a row a word, only around seeds.
+one representative of each colliding paragraph, and for documents with a seed.  A shared text costs about one row every
+13 words, its ends some ten rows each.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geoindicators.llm.common import parts, table, with_row_id
@@ -40,6 +53,8 @@ BANDS, ROWS = 8, 3
 FINE_BANDS = 6
 PIECE = 20
 WINDOW = 32  # PIECE + WINDOW - 1 = 51: a passage of 51 words shares a piece for certain
+REACH = WINDOW - 1
+STRIDE = 6
 _CHUNK = 1 << 20
 _STEP = [U(pow(0x9E3779B97F4A7C15, i, 1 << 64)) for i in range(1, 64)]
 
@@ -131,31 +146,99 @@ def _run_hash(place: np.ndarray, a: np.ndarray, turn: int = 0) -> np.ndarray:
     return mix(sum(place[a + i] * _STEP[i + 5 + turn] for i in range(0, PIECE, SHINGLE)) ^ U(PIECE))
 
 
-def _runs(batches):
-    """_rid, _id, start, end (bytes), cls, more (content hashes) of the runs of PIECE words around the seeds, ``at`` their first bytes."""
+def _wholes(batches):
+    """_rid, _id, start, end (bytes), cls, more (content hashes) of the words of each document of PIECE + REACH words or more."""
+    for b in batches:
+        for at, _, data, offsets in text_chunks(b.column("_t"), _CHUNK):
+            w = split_words(data, offsets)
+            border = w.first()
+            own = np.flatnonzero(np.diff(border) >= PIECE + REACH)
+            if not len(own):
+                continue
+            a, z = border[own], border[own + 1]
+            take = pa.array(at + own)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("_rid").take(take), b.column("_id").take(take), pa.array((w.start[a] - offsets[own]).astype(np.int64)),
+                 pa.array((w.end[z - 1] - offsets[own]).astype(np.int64)), pa.array(_content(w.hash, a, z).view(np.int64)),
+                 pa.array(_content(mix(w.hash ^ _STEP[3]), a, z).view(np.int64))], names=["_rid", "_id", "start", "end", "cls", "more"])
+
+
+def _marks(batches):
+    """One row per seed; ``at``: first bytes of a document's seeds.
+
+    chunk: hash of the words up to the end of the next seed (null: none in WINDOW words), chunk_end; prev: that of the chunk that ends
+    here; right, right_end: hash of the seed and the REACH words after it (as far as there are any), left, left_start: before it.
+    """
+    for b in batches:
+        seeds = b.column("at")
+        for at, rows, data, offsets in text_chunks(b.column("_t"), _CHUNK):
+            w = split_words(data, offsets)
+            border = w.first()
+            a = np.sort(_word_at(w, offsets, seeds.slice(at, rows)))
+            if not len(a):
+                continue
+            line = w.row[a]
+            low, high = border[line], border[line + 1]
+            after = np.r_[a[1:], a[-1:]]
+            linked = (np.r_[line[1:], -1] == line) & (after - a <= WINDOW)
+            end = np.where(linked, after, a) + PIECE
+            chunk, right_end, left_start = _content(w.hash, a, end), np.minimum(a + PIECE + REACH, high), np.maximum(a - REACH, low)
+            before = np.r_[False, linked[:-1]]
+            take = pa.array(at + line)
+            byte = lambda x: pa.array((x - offsets[line]).astype(np.int64))  # noqa: E731, B023
+            yield pa.RecordBatch.from_arrays(
+                [b.column("_rid").take(take), b.column("_id").take(take), byte(w.start[a]), byte(w.end[a + PIECE - 1]), *_seed_keys(w, a),
+                 pa.array(chunk.view(np.int64), mask=~linked), byte(w.end[end - 1]), pa.array(np.r_[chunk[:1], chunk[:-1]].view(np.int64), mask=~before),
+                 pa.array(_content(w.hash, a, right_end).view(np.int64)), byte(w.end[right_end - 1]),
+                 pa.array(_content(w.hash, left_start, a + PIECE).view(np.int64)), byte(w.start[left_start])], names=_MARK)
+
+
+_MARK = ["_rid", "_id", "start", "end", "cls", "more", "chunk", "chunk_end", "prev", "right", "right_end", "left", "left_start"]
+
+
+def _word_at(w: Words, offsets: np.ndarray, starts: pa.ListArray) -> np.ndarray:
+    """The words at the given first bytes of each row."""
+    row = np.repeat(np.arange(len(starts)), np.diff(starts.offsets.to_numpy()))
+    return np.searchsorted(w.start, starts.flatten().to_numpy() + offsets[row])
+
+
+def _seed_keys(w: Words, a: np.ndarray) -> list[pa.Array]:
+    """Two independent hashes of the pieces at ``a``."""
+    more = _run_hash(_shingle_keys(w, PIECE), a, 1) >> U(32)
+    return [pa.array(_run_hash(_shingle_keys(w), a).view(np.int64)), pa.array(more.astype(np.uint32).view(np.int32))]
+
+
+def _arms(batches):
+    """_rid, _id, start, end, cls, more of seeds and, for one side of each, ext: hashes of the 1, 2, ... words beyond it, far: the byte
+    where these end (to the left: begin).  ``at``, ``side``, ``wide``: the seeds' first bytes, whether to the right, passed on."""
+    step = np.arange(REACH)
     for b in batches:
         seeds = b.column("at")
         for at, rows, data, offsets in text_chunks(b.column("_t"), _CHUNK):
             w = split_words(data, offsets)
             border = w.first()
             own = seeds.slice(at, rows)
-            n = np.diff(own.offsets.to_numpy())
-            row = np.repeat(np.arange(rows), n)
-            seed = np.searchsorted(w.start, own.flatten().to_numpy() + offsets[row])
-            # a place is in reach if more stretches have begun than ended
-            step = np.zeros(len(w.hash) + 1, np.int64)
-            np.add.at(step, np.maximum(seed - WINDOW + 1, border[row]), 1)
-            np.add.at(step, np.maximum(np.minimum(seed + WINDOW - 1, border[row + 1] - PIECE), seed) + 1, -1)
-            a = np.flatnonzero(np.cumsum(step[:-1]) > 0)
+            a = _word_at(w, offsets, own)
             if not len(a):
                 continue
-            place, line = _shingle_keys(w), w.row[a]
-            more = _shingle_keys(w, PIECE)
+            side, wide = (b.column(c).slice(at, rows).flatten() for c in ("side", "wide"))
+            to_right = side.to_numpy(zero_copy_only=False)[:, None]
+            line = w.row[a]
+            word = np.where(to_right, a[:, None] + PIECE + step, a[:, None] - 1 - step)
+            inside = np.where(to_right, word < border[line + 1][:, None], word >= border[line][:, None])
+            word = np.where(inside, word, 0)
+            ext = mix(np.cumsum(w.hash[word] * np.array(_STEP[:REACH], U), axis=1, dtype=U) ^ step.astype(U)) >> U(32)
+            far = np.where(to_right, w.end[word], w.start[word]) - offsets[line][:, None]
+            borders = pa.array(np.r_[0, np.cumsum(inside.sum(axis=1))], pa.int32())
             take = pa.array(at + line)
             yield pa.RecordBatch.from_arrays(
                 [b.column("_rid").take(take), b.column("_id").take(take), pa.array((w.start[a] - offsets[line]).astype(np.int64)),
-                 pa.array((w.end[a + PIECE - 1] - offsets[line]).astype(np.int64)), pa.array(_run_hash(place, a).view(np.int64)),
-                 pa.array((_run_hash(more, a, 1) >> U(32)).astype(np.uint32).view(np.int32))], names=["_rid", "_id", "start", "end", "cls", "more"])
+                 pa.array((w.end[a + PIECE - 1] - offsets[line]).astype(np.int64)), *_seed_keys(w, a), side, wide,
+                 pa.ListArray.from_arrays(borders, pa.array(ext[inside].astype(np.uint32).view(np.int32))),
+                 pa.ListArray.from_arrays(borders, pa.array(far[inside].astype(np.int64)))], names=_ARM)
+
+
+_ARM = ["_rid", "_id", "start", "end", "cls", "more", "side", "wide", "ext", "far"]
 
 
 def _shingle_keys(w: Words, turn: int = 0) -> np.ndarray:
@@ -262,6 +345,98 @@ def _without(span: list, cuts: list) -> list:
     return [*out, [start, end, first]] if start < end else out
 
 
+def _place() -> Column:
+    """Places in order: by document, those without an id last, then by position."""
+    return F.struct(F.col("_id").isNull().alias("last"), F.col("_id").alias("id"), F.col("_rid").alias("rid"), F.col("start").alias("start"))
+
+
+def _is_first() -> Column:
+    return (F.col("_rid") == F.col("f.rid")) & (F.col("start") == F.col("f.start"))
+
+
+def _firsts(places: DataFrame, *key: str) -> DataFrame:
+    """The key and the first place f of the classes that two rows or more have."""
+    found = places.groupBy(*key).agg(F.min("_rid").alias("a"), F.max("_rid").alias("b"), F.min(_place()).alias("f")).where("a != b")
+    return table(found.drop("a", "b"), "class-firsts")
+
+
+def _verdicts(places: DataFrame, far: bool = False) -> DataFrame:
+    """Places with the first place f of their class: doc_rid, start, end, first_doc_id, removed; ``far``: stretched to that byte."""
+    start, end = (F.least("start", "far"), F.greatest("end", "far")) if far else (F.col("start"), F.col("end"))
+    return places.select(F.col("_rid").alias("doc_rid"), start.alias("start"), end.alias("end"), F.col("f.id").cast("string").alias("first_doc_id"),
+                         (~_is_first()).alias("removed"))
+
+
+def _judged(places: DataFrame, firsts: DataFrame, *key: str) -> DataFrame:
+    return _verdicts(places.join(firsts, list(key)))
+
+
+def _shared_runs(own: DataFrame, pieces: DataFrame) -> DataFrame:
+    """Verdicts on the words that documents share at and around seeds; pieces: (_rid, start, cls)."""
+    id_type = own.schema["_id"].dataType.simpleString()
+    seeds = table(pieces.groupBy("cls").agg(F.min("_rid").alias("a"), F.max("_rid").alias("b")).where("a != b").select("cls"), "seeds")
+    seeded = table(pieces.join(seeds, "cls").groupBy("_rid").agg(F.collect_list("start").alias("at")), "seeded")
+    schema = (f"_rid bigint, _id {id_type}, start bigint, end bigint, cls bigint, more int, chunk bigint, chunk_end bigint, prev bigint, "
+              "right bigint, right_end bigint, left bigint, left_start bigint")
+    marks = table(own.join(seeded, "_rid").select("_rid", "_id", "_t", "at").mapInArrow(_marks, schema), "marks")
+
+    key = ["cls", "more"]
+    parted = lambda c: (F.min(c) != F.max(c)) | (F.count_if(F.col(c).isNull()) > 0)
+    same = marks.groupBy(*key).agg(F.min("_rid").alias("a"), F.max("_rid").alias("b"), F.min(_place()).alias("f"),
+                                   parted("chunk").alias("parts_right"), parted("prev").alias("parts_left"))
+    same = table(same.where("a != b").drop("a", "b"), "seed-firsts")
+    chunks = marks.where("chunk is not null").select("_rid", "_id", "start", F.col("chunk_end").alias("end"), "cls", "chunk")
+    out = [_judged(marks.select("_rid", "start", "end", *key), same, *key), _judged(chunks, _firsts(chunks, "cls", "chunk"), "cls", "chunk")]
+
+    # seeds whose classes go on differently: alike in all words in reach, or to be followed
+    each = F.explode(F.array(F.struct(F.lit(True).alias("side"), F.col("right").alias("ctx"), F.col("right_end").alias("far"), F.col("parts_right").alias("on")),
+                             F.struct(F.lit(False).alias("side"), F.col("left").alias("ctx"), F.col("left_start").alias("far"), F.col("parts_left").alias("on"))))
+    sides = marks.join(same.where("parts_right or parts_left").drop("f"), key).select("_rid", "_id", "start", "end", *key, each.alias("x"))
+    sides = table(sides.where("x.on").select("_rid", "_id", "start", "end", *key, "x.side", "x.ctx", "x.far"), "sides")
+    alike = sides.join(_firsts(sides, *key, "side", "ctx"), [*key, "side", "ctx"], "left")
+    out.append(_verdicts(alike.where("f is not null"), far=True))
+    follow = alike.where(F.col("f").isNull() | _is_first()).groupBy("_rid").agg(
+        F.collect_list(F.struct("start", "side", F.col("f").isNotNull().alias("wide"))).alias("x"))
+    follow = own.join(follow, "_rid").select("_rid", "_id", "_t", F.col("x.start").alias("at"), F.col("x.side").alias("side"), F.col("x.wide").alias("wide"))
+    arms = table(follow.mapInArrow(_arms, f"_rid bigint, _id {id_type}, start bigint, end bigint, cls bigint, more int, side boolean, wide boolean, "
+                                          "ext array<int>, far array<bigint>"), "arms")
+
+    who = ["_rid", "_id", "start", "end", *key, "side", "wide"]
+    # 1: every STRIDE words
+    steps = F.transform(F.sequence(F.lit(STRIDE), F.lit(REACH), F.lit(STRIDE)),
+                        lambda n: F.struct(n.alias("n"), F.get("ext", n - 1).alias("ext"), F.get("far", n - 1).alias("far")))
+    coarse = _followed(arms.select(*who, F.explode(steps).alias("x")).where("x.far is not null").select(*who, "x.*"))
+    # 2: word by word beyond the step where a seed stops, for all seeds that are alike up to there
+    known = coarse.select("_rid", "start", "side", F.col("shared.n").alias("s"), F.col("earlier.n").alias("e"))
+    at = F.explode(F.array_distinct(F.array(F.coalesce("s", F.lit(0)), F.coalesce("e", F.lit(0))))).alias("n")
+    stops = arms.join(known, ["_rid", "start", "side"], "left").select(*key, "side", "ext", at)
+    stops = table(stops.select(*key, "side", "n", F.coalesce(F.get("ext", F.col("n") - 1), F.lit(0)).alias("step")).distinct(), "stops")
+    steps = F.transform(F.sequence(F.lit(0), F.lit(REACH - 1), F.lit(STRIDE)), lambda n: F.struct(
+        n.alias("n"), F.coalesce(F.get("ext", n - 1), F.lit(0)).alias("step"),
+        F.arrays_zip(F.slice("ext", n + 1, STRIDE - 1).alias("ext"), F.slice("far", n + 1, STRIDE - 1).alias("far")).alias("tail")))
+    tails = arms.select(*who, F.explode(steps).alias("x")).where("size(x.tail) > 0").select(*who, "x.*")
+    tails = table(tails.join(stops, [*key, "side", "n", "step"]).drop("step"), "tails")
+    fine = tails.select(*who, "n", F.posexplode("tail").alias("i", "x"))
+    fine = _followed(fine.select(*who, (F.col("n") + F.col("i") + 1).alias("n"), F.col("x.ext").alias("ext"), F.col("x.far").alias("far")))
+    for found in (coarse, fine):
+        for c in ("shared", "earlier"):
+            have = found.where(F.col(c).isNotNull()).select("_rid", "start", f"{c}.far", f"{c}.end", f"{c}.f")
+            out.append(_verdicts(have, far=True).where("removed" if c == "earlier" else "not removed"))
+    return reduce(DataFrame.unionByName, out)
+
+
+def _followed(rows: DataFrame) -> DataFrame:
+    """(_rid, start, side, shared, earlier): the most words n beyond a seed that another document has too, and that an earlier place
+    has; each with far, end and the first place f, or null.  rows: seeds (``_arms``), and the hash ext of n words beyond them, to far."""
+    key = ["cls", "more", "side", "n", "ext"]
+    # one of several places alike stands for all ("wide"): what it has is shared, even if no other seed is followed that far
+    same = rows.groupBy(*key).agg(F.min("_rid").alias("a"), F.max("_rid").alias("b"), F.max("wide").alias("w"), F.min(_place()).alias("f"))
+    same = table(same.where("a != b or w").drop("a", "b", "w"), "arm-firsts")
+    best = F.struct("n", "far", "end", "f")
+    found = rows.join(same, key).groupBy("_rid", "start", "side").agg(F.max(best).alias("shared"), F.max(F.when(~_is_first(), best)).alias("earlier"))
+    return table(found, "followed")
+
+
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One row per repeated span: id_col, start, end (bytes of the UTF-8 text, end exclusive), removed, first_doc_id.
 
@@ -271,8 +446,11 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     own = table(with_row_id(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))), "own")  # row ids hold only once written
     id_type = own.schema["_id"].dataType.simpleString()
+    wholes = table(own.mapInArrow(_wholes, f"_rid bigint, _id {id_type}, start bigint, end bigint, cls bigint, more bigint"), "wholes")
+    wholes = table(_judged(wholes, _firsts(wholes, "cls", "more"), "cls", "more"), "equal-documents")
+    fresh = own.join(wholes.where("removed").select(F.col("doc_rid").alias("_rid")), "_rid", "left_anti")
     schema = "_rid bigint, start bigint, end bigint, n_words int, piece boolean, cls bigint, keys array<bigint>"
-    units = table(own.select("_rid", "_t").mapInArrow(_units, schema), "units")
+    units = table(fresh.select("_rid", "_t").mapInArrow(_units, schema), "units")
     ids = own.select("_rid", "_id")
     bands = units.where("not piece").groupBy("cls").agg(F.first("keys").alias("keys"))
 
@@ -293,23 +471,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     hits = lines.select("_rid", "start", "end", "cls").join(several, "cls").join(comps, "cls", "left")
     hits = hits.join(ids, "_rid").select("_rid", "_id", "start", "end", F.coalesce("comp", "cls").alias("class"))
     hits = table(hits, "hits")
-    place = F.struct(F.col("_id").isNull().alias("last"), F.col("_id").alias("id"), F.col("_rid").alias("rid"), F.col("start").alias("start"))
-    first = table(hits.groupBy("class").agg(F.min(place).alias("f")), "firsts")
-    # runs of words around the pieces that two rows or more have
+    first = table(hits.groupBy("class").agg(F.min(_place()).alias("f")), "firsts")
     pieces = units.where("piece").select("_rid", "start", "cls")
-    seeds = table(pieces.groupBy("cls").agg(F.min("_rid").alias("a"), F.max("_rid").alias("b")).where("a != b").select("cls"), "seeds")
-    seeded = table(pieces.join(seeds, "cls").groupBy("_rid").agg(F.collect_list("start").alias("at")), "seeded")
-    runs = own.where("_t is not null").join(seeded, "_rid").select("_rid", "_id", "_t", "at")
-    runs = table(runs.mapInArrow(_runs, f"_rid bigint, _id {id_type}, start bigint, end bigint, cls bigint, more int"), "runs")
-    same = runs.groupBy("cls", "more").agg(F.min("_rid").alias("a"), F.max("_rid").alias("b"), F.min(place).alias("f")).where("a != b")
-    same = table(same.select("cls", "more", "f"), "run-firsts")
-
-    def judged(places: DataFrame) -> DataFrame:
-        return places.select(
-            F.col("_rid").alias("doc_rid"), "start", "end", F.col("f.id").cast("string").alias("first_doc_id"),
-            (~((F.col("_rid") == F.col("f.rid")) & (F.col("start") == F.col("f.start")))).alias("removed"))
-
-    hits = judged(hits.join(first, "class")).unionByName(judged(runs.join(same, ["cls", "more"])))
+    hits = _verdicts(hits.join(first, "class")).unionByName(wholes).unionByName(_shared_runs(own, pieces))
     placed = hits.repartition(parts(docs.sparkSession), "doc_rid").sortWithinPartitions("doc_rid", "start", "end", "first_doc_id")
     spans = placed.mapInArrow(_document_spans, "doc_rid bigint, start bigint, end bigint, removed boolean, first_doc_id string")
     return spans.join(ids, spans["doc_rid"] == ids["_rid"]).select(

@@ -6,13 +6,13 @@ from geoindicators.llm.paragraph_dedup import repeated_passages
 from tests.llm.corpus_fixtures import messy, words
 
 
-def brute_covered(rows, k=51):
-    """(doc, word) of all windows of k words that an earlier document has, line ends as white space."""
+def brute_covered(rows, k=51, own=False):
+    """(doc, word) of all windows of k words that an earlier document has (``own``: or an earlier place), line ends as white space."""
     seen, out = {}, set()
     for i, t in sorted(rows):
         w = (t or "").split()
         for j in range(len(w) - k + 1):
-            if seen.setdefault(tuple(w[j:j + k]), i) != i:
+            if seen.setdefault(tuple(w[j:j + k]), (i, j)) != (i, j) and (own or seen[tuple(w[j:j + k])][0] != i):
                 out |= {(i, x) for x in range(j, j + k)}
     return out
 
@@ -72,3 +72,22 @@ def test_spans_go_to_their_documents_on_shuffled_input(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
     assert got[0] == got[1] and len({r[0] for r in got[0]}) == 60
+
+
+def test_stretches_that_go_on_differently_in_several_documents(spark):
+    """Documents are overlapping cuts of a few long texts, so a seed's class goes on in many ways on either side."""
+    rng = random.Random(43)
+    bases = [words(rng, 400) for _ in range(5)]
+    rows = []
+    for i in range(90):
+        w = []
+        for _ in range(rng.randrange(1, 5)):
+            base, n = rng.choice(bases), rng.randrange(15, 130)
+            at = rng.randrange(400 - n)
+            w += base[at:at + n] + words(rng, rng.choice([0, 0, 3, 30]))
+        rows.append((i, " ".join(w)))
+    rows += [(100 + i, t.replace(" ", "\n", 3)) for i, t in rows[:8]] + [(200, " ".join(["w"] * 90)), (201, " ".join(["w"] * 130))]
+    got = repeated_passages(messy(spark, rows)).collect()
+    removed = removed_words(rows, got)
+    assert brute_covered(rows) <= removed <= brute_covered(rows, 20, own=True)
+    assert all(r.first_doc_id <= r.doc_id for r in got)
