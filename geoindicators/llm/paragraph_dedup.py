@@ -378,7 +378,8 @@ def _shared_runs(own: DataFrame, pieces: DataFrame) -> DataFrame:
     seeded = table(pieces.join(seeds, "cls").groupBy("_rid").agg(F.collect_list("start").alias("at")), "seeded")
     schema = (f"_rid bigint, _id {id_type}, start bigint, end bigint, cls bigint, more int, chunk bigint, chunk_end bigint, prev bigint, "
               "right bigint, right_end bigint, left bigint, left_start bigint")
-    marks = table(own.join(seeded, "_rid").select("_rid", "_id", "_t", "at").mapInArrow(_marks, schema), "marks")
+    texts = table(own.join(seeded, "_rid").select("_rid", "_id", "_t", "at"), "seeded-texts")  # read again for the arms
+    marks = table(texts.mapInArrow(_marks, schema), "marks")
 
     key = ["cls", "more"]
     parted = lambda c: (F.min(c) != F.max(c)) | (F.count_if(F.col(c).isNull()) > 0)
@@ -397,7 +398,7 @@ def _shared_runs(own: DataFrame, pieces: DataFrame) -> DataFrame:
     out.append(_verdicts(alike.where("f is not null"), far=True))
     follow = alike.where(F.col("f").isNull() | _is_first()).groupBy("_rid").agg(
         F.collect_list(F.struct("start", "side", F.col("f").isNotNull().alias("wide"))).alias("x"))
-    follow = own.join(follow, "_rid").select("_rid", "_id", "_t", F.col("x.start").alias("at"), F.col("x.side").alias("side"), F.col("x.wide").alias("wide"))
+    follow = texts.join(follow, "_rid").select("_rid", "_id", "_t", F.col("x.start").alias("at"), F.col("x.side").alias("side"), F.col("x.wide").alias("wide"))
     arms = table(follow.mapInArrow(_arms, f"_rid bigint, _id {id_type}, start bigint, end bigint, cls bigint, more int, side boolean, wide boolean, "
                                           "ext array<int>, far array<bigint>"), "arms")
 
