@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 WHITE = r"[\x20\x09-\x0D]+"
 NOT_WHITE = r"[^\x20\x09-\x0D]"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -36,10 +37,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back: cuts the lineage, survives executor loss."""
+    """Write ``df`` as Parquet to the shared folder and read it back: cuts the lineage, survives executor loss.
+
+    The write's own shuffle files go once it has ended, as nothing else reads them; else they stay until the driver's garbage collection.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
