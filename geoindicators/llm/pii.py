@@ -8,8 +8,9 @@ a logistic curve on held-out candidates calibrates the scores and per kind the l
 is ``PRECISION`` or more selects the redactions.  Of overlapping selected candidates the likeliest stays; none touches a base span.
 
 The trees learn from the corpus itself: candidates that are a base span are positive, others negative; each positive
-is also shown rewritten (other signs and separators: positive) and spoilt (a failing check or no separators: negative).  The sample is
-bounded: ``MAX_POSITIVE`` and ``MAX_NEGATIVE`` candidates a kind, chosen by hash over all documents; they are all that reaches the driver.
+is also shown rewritten (other signs and separators: positive) and spoilt (a failing check or no separators: negative).  All candidates of
+all documents count, in the trees' cuts and histograms, the calibration and the thresholds; what reaches the driver are sums of
+bounded number (``boosting``).
 
 Texts are read whole.  All patterns take time linear in the text.  Places are code points.
 """
@@ -26,13 +27,13 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoindicators.llm.boosting import Boosted, calibrate, fit
+from geoindicators.llm.boosting import FEW, GRID, Boosted, calibrate_margins, encode, fit_rows, quantiles
+from geoindicators.llm.common import table
 
 KINDS = ("email", "ip", "card", "phone")
-MAX_POSITIVE, MAX_NEGATIVE = 1000, 2000
 PRECISION = 0.98
 LEAST_HELD_OUT = 20
 AROUND = 40
@@ -216,10 +217,34 @@ def _proposals(texts: pa.Array) -> Iterator[tuple]:
                 yield c[0], label, left, s, right, zlib.crc32(f"{left}|{s}|{right}".encode())
 
 
-def train_pii_model(docs: DataFrame, text_col: str = "text", max_positive: int = MAX_POSITIVE, max_negative: int = MAX_NEGATIVE) -> PiiModel:
-    """Fits the trees on a bounded sample of the documents' own candidates (see above); without candidates nothing is added to the base.
+def _examples(batches):
+    """(kind, y, held, x) of each writing of the proposals."""
+    for b in batches:
+        kinds, y, held, x = [], [], [], []
+        for row in b.to_pylist():
+            for s, label in [(row["span"], row["label"])] + (_writings(row) if row["label"] else []):
+                t = row["left"] + s + row["right"]
+                mine = (row["kind"], len(row["left"]), len(row["left"]) + len(s))
+                for c in candidates(t):
+                    if c[0] == row["kind"] and _overlap(c, mine) >= 0.8:
+                        x.append(features(t, c))
+                        y.append(label)
+                        kinds.append(c[0])
+                        held.append(row["h"] % 3 == 0)
+        yield pa.record_batch({"kind": pa.array(kinds, pa.string()), "y": pa.array(y, pa.int32()), "held": pa.array(held, pa.bool_()), "x": pa.array(x, pa.list_(pa.float64()))})
 
-    Null and empty texts have no candidates; equal candidates in equal surroundings count once.
+
+def _cuts(examples: DataFrame) -> list[np.ndarray]:
+    """The different quantiles of each feature over all rows that aren't held out, from the counts of its values."""
+    values = examples.where("not held").select(F.posexplode("x").alias("f", "v")).groupBy("f", "v").agg(F.count(F.lit(1)).alias("n"))
+    found = values.groupBy("f").agg(F.percentile("v", F.array(*map(F.lit, quantiles().tolist())), F.col("n")).alias("cuts")).collect()
+    return [np.unique(r["cuts"]) for r in sorted(found, key=lambda r: r["f"])]
+
+
+def train_pii_model(docs: DataFrame, text_col: str = "text", few: int = FEW) -> PiiModel:
+    """Fits the trees on all of the documents' own candidates (see above); without candidates nothing is added to the base.
+
+    Null and empty texts have no candidates; equal candidates in equal surroundings count once.  ``few``: see ``fit_rows``.
     """
     def propose(batches):
         for b in batches:
@@ -228,29 +253,30 @@ def train_pii_model(docs: DataFrame, text_col: str = "text", max_positive: int =
                 [("kind", pa.string()), ("label", pa.int32()), ("left", pa.string()), ("span", pa.string()), ("right", pa.string()), ("h", pa.int64())])})
 
     found = docs.select(docs[text_col].cast("string").alias("_t")).mapInArrow(propose, "kind string, label int, left string, span string, right string, h bigint")
-    order = Window.partitionBy("kind", "label").orderBy("h", "left", "span", "right")
-    # a rank, not a row number: equal candidates share one and are taken once
-    best = found.select("*", F.dense_rank().over(order).alias("r")).where(F.col("r") <= F.when(F.col("label") == 1, max_positive).otherwise(max_negative))
-    sample = best.dropDuplicates(["kind", "label", "r"]).toArrow().to_pylist()
-    x, y, kinds, held = [], [], [], []
-    for row in sorted(sample, key=lambda r: (r["kind"], r["label"], r["r"])):
-        texts = [(row["span"], row["label"])] + (_writings(row) if row["label"] else [])
-        for s, label in texts:
-            t = row["left"] + s + row["right"]
-            mine = (row["kind"], len(row["left"]), len(row["left"]) + len(s))
-            for c in candidates(t):
-                if c[0] == row["kind"] and _overlap(c, mine) >= 0.8:
-                    x.append(features(t, c))
-                    y.append(label)
-                    kinds.append(c[0])
-                    held.append(row["h"] % 3 == 0)
-    if not x:
+    examples = table(found.distinct().mapInArrow(_examples, "kind string, y int, held boolean, x array<double>"), "pii-examples")
+    cuts = _cuts(examples)
+    if not cuts:
         return PiiModel()
-    x, y, kinds, held = np.array(x), np.array(y, dtype=float), np.array(kinds), np.array(held)
-    trees = fit(x[~held], y[~held])
-    calibrate(trees, x[held], y[held])
-    p = trees.probability(x[held]) if held.any() else np.zeros(0)
-    thresholds = {k: c for k in KINDS if (c := _threshold(p[kinds[held] == k], y[held][kinds[held] == k])) is not None}
+
+    def code(batches):
+        for b in batches:
+            x = b["x"].flatten().to_numpy().reshape(-1, len(cuts))
+            yield pa.record_batch({"codes": pa.array([r.tobytes() for r in encode(x, cuts)], pa.binary()), "y": b["y"]})
+
+    coded = examples.where("not held").select("x", "y").mapInArrow(code, "codes binary, y int")
+    trees = fit_rows(table(coded.groupBy("codes", "y").agg(F.count(F.lit(1)).alias("w")), "pii-codes"), cuts, few=few)
+
+    def score(batches):
+        for b in batches:
+            x = b["x"].flatten().to_numpy().reshape(-1, len(cuts))
+            yield pa.record_batch({"kind": b["kind"], "y": b["y"], "m": pa.array(np.rint(trees.margin(x) * GRID).astype(np.int64))})
+
+    held = examples.where("held").select("kind", "y", "x").mapInArrow(score, "kind string, y int, m bigint")
+    held = held.groupBy("kind", "y", "m").agg(F.count(F.lit(1)).alias("w")).orderBy("kind", "y", "m").toArrow()
+    kinds, y, m, w = np.array(held["kind"].to_pylist(), dtype=object), held["y"].to_numpy().astype(float), held["m"].to_numpy() / GRID, held["w"].to_numpy().astype(float)
+    calibrate_margins(trees, m, y, w)
+    p = trees.chance(m)
+    thresholds = {k: c for k in KINDS if (c := _threshold(p[kinds == k], y[kinds == k], w[kinds == k])) is not None}
     return PiiModel(trees, thresholds)
 
 
@@ -259,12 +285,12 @@ def _writings(row: dict) -> list[tuple[str, int]]:
     return rewritten(row["kind"], row["span"]) if base and base[0][0] == row["kind"] and base[0][1:] == (0, len(row["span"])) else []
 
 
-def _threshold(p: np.ndarray, y: np.ndarray) -> float | None:
-    """The least score, 0.5 at least, from which the share of positives upwards is PRECISION or more; None without enough held-out rows."""
-    if len(y) < LEAST_HELD_OUT or not y.any():
+def _threshold(p: np.ndarray, y: np.ndarray, w: np.ndarray) -> float | None:
+    """The least score, 0.5 at least, from which the share of positives upwards is PRECISION or more; None without enough held-out rows (w of each)."""
+    if w.sum() < LEAST_HELD_OUT or not y.any():
         return None
     order = np.argsort(-p, kind="stable")
-    precise = np.cumsum(y[order]) / np.arange(1, len(y) + 1)
+    precise = np.cumsum((w * y)[order]) / np.cumsum(w[order])
     last = np.r_[p[order][1:] != p[order][:-1], True]  # ties stand or fall together
     good = np.flatnonzero((precise >= PRECISION) & last)
     return max(0.5, float(p[order][good[-1]])) if len(good) else None

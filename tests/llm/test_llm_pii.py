@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from geoindicators.llm import boosting, pii
@@ -134,3 +135,32 @@ def test_boosted_trees_learn_and_are_calibrated():
 def _calibration_error(p, y):
     bins = np.minimum((p * 5).astype(int), 4)
     return sum(abs(p[bins == k].mean() - y[bins == k].mean()) * (bins == k).mean() for k in range(5) if (bins == k).any())
+
+
+def test_trees_learn_from_all_candidates(spark):
+    rng = random.Random(5)
+    rows = corpus(210) + [(1000 + i, f"{fx.words(rng, 1)[0]} {300 + i % 600}.{i % 256}.{i // 256}.9 seen") for i in range(4000)]
+    found = {c for _, t in rows for c in pii._proposals(pa.array([t]))}
+    assert sum(c[0] == "ip" and not c[1] for c in found) > 4000
+    names = ("kind", "label", "left", "span", "right", "h")
+    examples = next(pii._examples([pa.RecordBatch.from_pylist([dict(zip(names, c, strict=True)) for c in found])])).to_pylist()
+    y = [e["y"] for e in examples if not e["held"]]
+    model = pii.train_pii_model(fx.messy(spark, rows + rows[:50]).repartition(3))
+    assert model.trees.start == pytest.approx(np.log(sum(y) / (len(y) - sum(y))))
+    x = np.array([e["x"] for e in examples if not e["held"]])
+    for got, want in zip(model.trees.trees, boosting.fit(x, np.array(y, float)).trees, strict=True):
+        assert all(np.array_equal(a, b) for a, b in zip(got, want, strict=True))
+
+
+def test_spark_grows_the_trees_that_the_driver_grows(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(3000, 4))
+    y = (x[:, 0] * x[:, 1] > 0).astype(int)
+    cuts = [np.unique(np.quantile(c, boosting.quantiles())) for c in x.T]
+    coded = [(c.tobytes(), int(v), 1 + i % 3) for i, (c, v) in enumerate(zip(boosting.encode(x, cuts), y, strict=True))]
+    rows = spark.createDataFrame(coded, "codes binary, y int, w bigint").repartition(3)
+    here, there = (boosting.fit_rows(rows, cuts, rounds=3, few=few) for few in (3000, 0))
+    again = boosting.fit(np.repeat(x, 1 + np.arange(3000) % 3, axis=0), np.repeat(y, 1 + np.arange(3000) % 3).astype(float), rounds=3)
+    assert here.start == there.start and len(here.trees) == len(there.trees) == 3 and (here.trees[0][0] >= 0).any()
+    assert all(np.array_equal(a, b) for s, t in zip(here.trees, there.trees, strict=True) for a, b in zip(s, t, strict=True))
+    assert again.start == here.start
