@@ -18,7 +18,8 @@ where such a stretch ends:
 * Where the seeds of a class go on differently, to the right or to the left, each is followed over the WINDOW - 1 words
   beyond it.  Seeds with all of these words alike need it once, for the first of them.  How far a seed's words are an
   earlier document's, or any other's, is searched in two rounds, as who shares n words beyond a seed shares fewer too: every
-  ``STRIDE`` words, then word by word beyond the step at which a seed stops, with all seeds that are alike up to there.
+  ``STRIDE`` words, then word by word beyond the step at which a seed stops, with all seeds that are alike up to there.  The second
+  round takes a share of the classes after the other, which bounds what lies on disk at a time.
 
 In a shared passage of 51 words or more both documents have the same seeds from the first to the last that a whole
 window of the passage chooses, and both ends are at most WINDOW - 1 words beyond these, so it is covered from the first
@@ -55,6 +56,7 @@ PIECE = 20
 WINDOW = 32  # PIECE + WINDOW - 1 = 51: a passage of 51 words shares a piece for certain
 REACH = WINDOW - 1
 STRIDE = 6
+SHARES = 4  # of the classes, one after the other where seeds are followed word by word
 _CHUNK = 1 << 20
 _STEP = [U(pow(0x9E3779B97F4A7C15, i, 1 << 64)) for i in range(1, 64)]
 
@@ -416,16 +418,23 @@ def _shared_runs(own: DataFrame, pieces: DataFrame) -> DataFrame:
         n.alias("n"), F.coalesce(F.get("ext", n - 1), F.lit(0)).alias("step"),
         F.arrays_zip(F.slice("ext", n + 1, STRIDE - 1).alias("ext"), F.slice("far", n + 1, STRIDE - 1).alias("far")).alias("tail")))
     tails = arms.select(*who, F.explode(steps).alias("x")).where("size(x.tail) > 0").select(*who, "x.*")
-    tails = table(tails.join(stops, [*key, "side", "n", "step"]).drop("step"), "tails")
-    fine = tails.select(*who, "n", F.posexplode("tail").alias("i", "x"))
-    fine = _followed(fine.select(*who, (F.col("n") + F.col("i") + 1).alias("n"), F.col("x.ext").alias("ext"), F.col("x.far").alias("far")))
-    for found in (coarse, fine):
+    # this is the widest step; seeds of different classes have nothing to do with each other, so it goes share by share of the classes
+    share = F.pmod(F.xxhash64(F.lit(2), "cls"), F.lit(SHARES))
+    fine = [_word_by_word(tails.where(share == i), stops.where(share == i), who) for i in range(SHARES)]
+    for found in (coarse, reduce(DataFrame.unionByName, fine)):
         for c in ("shared", "earlier"):
             have = found.where(F.col(c).isNotNull()).select("_rid", "start", f"{c}.far", f"{c}.end", f"{c}.f")
             out.append(_verdicts(have, far=True).where("removed" if c == "earlier" else "not removed"))
     return reduce(DataFrame.unionByName, out)
 
 
+def _word_by_word(tails: DataFrame, stops: DataFrame, who: list[str]) -> DataFrame:
+    """``_followed`` for each word of the tails at the stops (cls, more, side, n, step)."""
+    tails = table(tails.join(stops, stops.columns).drop("step"), "tails")
+    fine = tails.select(*who, "n", F.posexplode("tail").alias("i", "x"))
+    return _followed(fine.select(*who, (F.col("n") + F.col("i") + 1).alias("n"), F.col("x.ext").alias("ext"), F.col("x.far").alias("far")))
+
+
 def _followed(rows: DataFrame) -> DataFrame:
     """(_rid, start, side, shared, earlier): the most words n beyond a seed that another document has too, and that an earlier place
     has; each with far, end and the first place f, or null.  rows: seeds (``_arms``), and the hash ext of n words beyond them, to far."""

@@ -78,3 +78,23 @@ def test_jaccard():
     a, b = (unpack(np.array(x, "<u8").tobytes()) for x in ([1, 2, 3, 4], [3, 4, 5]))
     how = Profiles(unpack, 0.8)
     assert how.similarity(a, b) == 2 / 5 and how.similarity(a, a) == 1
+
+
+def test_shares_of_the_classes_bound_a_step_and_change_nothing(spark, monkeypatch):
+    from geoindicators.llm import paragraph_dedup
+
+    rng = random.Random(21)
+    passages = [" ".join(words(rng, rng.randrange(51, 70))) for _ in range(12)]
+    rows = [(i, " ".join(words(rng, 40) + [rng.choice(passages)] + words(rng, rng.randrange(40)))) for i in range(60)]
+    docs = messy(spark, rows)
+    whole, found = [], {}
+    followed = paragraph_dedup._followed
+    monkeypatch.setattr(paragraph_dedup, "_followed", lambda r: whole.append(r.count()) or followed(r))
+    for shares in (1, paragraph_dedup.SHARES):
+        whole.clear()
+        monkeypatch.setattr(paragraph_dedup, "SHARES", shares)
+        found[shares] = sorted(map(tuple, repeated_passages(docs).collect()))
+        coarse, *fine = whole
+        found[shares, "steps"] = fine
+    assert found[1] == found[4] and len(found[1]) > 50
+    assert len(found[4, "steps"]) == 4 and sum(found[4, "steps"]) == sum(found[1, "steps"]) > 2 * max(found[4, "steps"])
