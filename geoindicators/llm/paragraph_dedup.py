@@ -17,9 +17,11 @@ where such a stretch ends:
 * A chunk is the words from a seed to the end of the next one, at most WINDOW words on; equal chunks form a class.
 * Where the seeds of a class go on differently, to the right or to the left, each is followed over the WINDOW - 1 words
   beyond it.  Seeds with all of these words alike need it once, for the first of them.  How far a seed's words are an
-  earlier document's, or any other's, is searched in two rounds, as who shares n words beyond a seed shares fewer too: every
-  ``STRIDE`` words, then word by word beyond the step at which a seed stops, with all seeds that are alike up to there.  The second
-  round takes a share of the classes after the other, which bounds what lies on disk at a time.
+  earlier document's, or any other's, is told word by word with the seeds of a class side by side in one task, many classes at a time.
+* A class of more than ``CROWD`` seeds is not put into one task: there it is searched in two rounds of joins, as who shares n words
+  beyond a seed shares fewer too: every ``STRIDE`` words, then word by word beyond the step at which a seed stops, with all seeds that
+  are alike up to there.  This round, and the classes of few seeds, go a share of the classes after the other, which bounds what lies
+  on disk at a time.
 
 In a shared passage of 51 words or more both documents have the same seeds from the first to the last that a whole
 window of the passage chooses, and both ends are at most WINDOW - 1 words beyond these, so it is covered from the first
@@ -31,7 +33,7 @@ others are to be removed; overlapping places in a document are joined into spans
 Scale: a unit is one narrow row; counting and joining go by its 64-bit content hash with map-side aggregation, so a line
 that a third of the documents share is one row per task, and its hand-out a skewed join for AQE.  Texts travel only for
 one representative of each colliding paragraph, and for documents with a seed.  A shared text costs about one row every
-13 words, its ends some ten rows each.
+13 words, its ends one row each, in a crowded class some ten.
 """
 
 from __future__ import annotations
@@ -57,6 +59,7 @@ WINDOW = 32  # PIECE + WINDOW - 1 = 51: a passage of 51 words shares a piece for
 REACH = WINDOW - 1
 STRIDE = 6
 SHARES = 4  # of the classes, one after the other where seeds are followed word by word
+CROWD = 1024  # seeds of a class that are followed side by side in one task at most
 _CHUNK = 1 << 20
 _STEP = [U(pow(0x9E3779B97F4A7C15, i, 1 << 64)) for i in range(1, 64)]
 
@@ -212,7 +215,7 @@ def _seed_keys(w: Words, a: np.ndarray) -> list[pa.Array]:
 
 def _arms(batches):
     """_rid, _id, start, end, cls, more of seeds and, for one side of each, ext: hashes of the 1, 2, ... words beyond it, far: the byte
-    where these end (to the left: begin).  ``at``, ``side``, ``wide``: the seeds' first bytes, whether to the right, passed on."""
+    where these end (to the left: begin).  ``at``, ``side``, ``wide``, ``crowd``: the seeds' first bytes, whether to the right, passed on."""
     step = np.arange(REACH)
     for b in batches:
         seeds = b.column("at")
@@ -223,7 +226,7 @@ def _arms(batches):
             a = _word_at(w, offsets, own)
             if not len(a):
                 continue
-            side, wide = (b.column(c).slice(at, rows).flatten() for c in ("side", "wide"))
+            side, wide, crowd = (b.column(c).slice(at, rows).flatten() for c in ("side", "wide", "crowd"))
             to_right = side.to_numpy(zero_copy_only=False)[:, None]
             line = w.row[a]
             word = np.where(to_right, a[:, None] + PIECE + step, a[:, None] - 1 - step)
@@ -235,12 +238,12 @@ def _arms(batches):
             take = pa.array(at + line)
             yield pa.RecordBatch.from_arrays(
                 [b.column("_rid").take(take), b.column("_id").take(take), pa.array((w.start[a] - offsets[line]).astype(np.int64)),
-                 pa.array((w.end[a + PIECE - 1] - offsets[line]).astype(np.int64)), *_seed_keys(w, a), side, wide,
+                 pa.array((w.end[a + PIECE - 1] - offsets[line]).astype(np.int64)), *_seed_keys(w, a), side, wide, crowd,
                  pa.ListArray.from_arrays(borders, pa.array(ext[inside].astype(np.uint32).view(np.int32))),
-                 pa.ListArray.from_arrays(borders, pa.array(far[inside].astype(np.int64)))], names=_ARM)
+                 pa.ListArray.from_arrays(borders, pa.array(far[inside].astype(np.int32)))], names=_ARM)
 
 
-_ARM = ["_rid", "_id", "start", "end", "cls", "more", "side", "wide", "ext", "far"]
+_ARM = ["_rid", "_id", "start", "end", "cls", "more", "side", "wide", "crowd", "ext", "far"]
 
 
 def _shingle_keys(w: Words, turn: int = 0) -> np.ndarray:
@@ -290,61 +293,60 @@ def _profiles(batches):
                 [pa.array(cls[at + own]), pa.array(blobs, pa.binary()), fine_sets(fine)], names=["cls", "profile", "fine"])
 
 
-def _spans(places: list[tuple]) -> list[tuple]:
-    """Join the overlapping places (start, end, removed, first) of one document, sorted: those to be removed, and what they
-    leave of the first places.  The leftmost place of a span names the first document."""
-    out, cuts = [], []
-    for removed in (True, False):
-        spans: list = []
-        for start, end, gone, first in places:
-            if gone != removed:
-                continue
-            if spans and start <= spans[-1][1]:
-                spans[-1][1] = max(spans[-1][1], end)
-            else:
-                spans.append([start, end, first])
-        if removed:
-            cuts = spans
-        else:
-            spans = [piece for x in spans for piece in _without(x, cuts)]
-        out += [(a, z, removed, first) for a, z, first in spans]
-    return out
+def _new(b: pa.RecordBatch, *key: str) -> np.ndarray:
+    """Whether a row's key is another than that of the row before it; the first row's is."""
+    return np.r_[True, np.any([(x := b.column(c).to_numpy(zero_copy_only=False))[1:] != x[:-1] for c in key], axis=0)]
+
+
+def _whole_groups(batches, *key: str):
+    """The rows of batches sorted by the key, those of one key in one batch; holds one group of rows beside a batch."""
+    rest = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        b = pa.Table.from_batches([*rest, b]).combine_chunks().to_batches()[0]
+        last = int(np.flatnonzero(_new(b, *key))[-1])
+        if last:
+            yield b.slice(0, last)
+        rest = [b.slice(last)]
+    yield from rest
 
 
 def _document_spans(batches):
-    """Spans of rows (doc_rid, start, end, removed, first_doc_id) sorted by document and place; holds one document's places."""
-    rid, places = None, []
+    """Spans of rows (doc_rid, start, end, removed, first_doc_id) sorted by document and place: the overlapping places to be removed
+    joined, and what they leave of the first places, joined too.  The leftmost place of a span names the first document."""
+    for b in _whole_groups(batches, "doc_rid"):
+        gone = b.column("removed").to_numpy(zero_copy_only=False)
+        start, end = b.column("start").to_numpy(), b.column("end").to_numpy()
+        shift = (np.cumsum(_new(b, "doc_rid")) - 1) * (end.max() + 2)  # so that documents don't touch
+        cut, keep = (_joined(at, start[at] + shift[at], end[at] + shift[at]) for at in (np.flatnonzero(gone), np.flatnonzero(~gone)))
+        for removed, (at, a, z) in ((True, cut), (False, _without(keep, cut))):
+            take = pa.array(at)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_rid").take(take), pa.array(a - shift[at]), pa.array(z - shift[at]), pa.array(np.full(len(at), removed)),
+                 b.column("first_doc_id").take(take)], names=["doc_rid", "start", "end", "removed", "first_doc_id"])
 
-    def batch(done):
-        rows = [(r, *x) for r, own in done for x in _spans(own)]
-        columns = list(zip(*rows, strict=True)) or [()] * 5
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.string()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_rid", "start", "end", "removed", "first_doc_id"])
 
-    for b in batches:
-        done = []
-        for r, *place in zip(*(b.column(c).to_pylist() for c in ("doc_rid", "start", "end", "removed", "first_doc_id")), strict=True):
-            if r != rid:
-                if places:
-                    done.append((rid, places))
-                rid, places = r, []
-            places.append(tuple(place))
-        yield batch(done)
-    if places:
-        yield batch([(rid, places)])
-
-
-def _without(span: list, cuts: list) -> list:
-    """The parts of a span outside the cuts (sorted, disjoint)."""
-    start, end, first = span
-    out = []
-    for a, z, _ in cuts:
-        if z <= start or a >= end:
-            continue
-        if a > start:
-            out.append([start, a, first])
-        start = max(start, z)
-    return [*out, [start, end, first]] if start < end else out
+def _joined(at: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places in order as spans: overlapping and touching ones are joined; ``at`` is that of the first."""
+    if not len(at):
+        return at, start, end
+    first = np.flatnonzero(np.r_[True, start[1:] > np.maximum.accumulate(end)[:-1]])
+    return at[first], start[first], np.maximum.reduceat(end, first)
+
+
+def _without(spans: tuple, cuts: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The parts of the spans outside the cuts; both sorted and disjoint."""
+    (at, start, end), (_, a, z) = spans, cuts
+    low = np.searchsorted(z, start, "right")
+    n = np.searchsorted(a, end, "left") - low  # cuts in each span, which leave a part more
+    own = np.repeat(np.arange(len(at)), n + 1)
+    part = np.arange(len(own)) - np.repeat(np.cumsum(n + 1) - n - 1, n + 1)
+    left, right = start[own], end[own]
+    after, before = part > 0, part < n[own]
+    left[after], right[before] = z[(low[own] + part - 1)[after]], a[(low[own] + part)[before]]
+    some = left < right
+    return at[own[some]], left[some], right[some]
 
 
 def _place() -> Column:
@@ -386,7 +388,7 @@ def _shared_runs(own: DataFrame, pieces: DataFrame) -> DataFrame:
     key = ["cls", "more"]
     parted = lambda c: (F.min(c) != F.max(c)) | (F.count_if(F.col(c).isNull()) > 0)
     same = marks.groupBy(*key).agg(F.min("_rid").alias("a"), F.max("_rid").alias("b"), F.min(_place()).alias("f"),
-                                   parted("chunk").alias("parts_right"), parted("prev").alias("parts_left"))
+                                   parted("chunk").alias("parts_right"), parted("prev").alias("parts_left"), (F.count(F.lit(1)) > CROWD).alias("crowd"))
     same = table(same.where("a != b").drop("a", "b"), "seed-firsts")
     chunks = marks.where("chunk is not null").select("_rid", "_id", "start", F.col("chunk_end").alias("end"), "cls", "chunk")
     out = [_judged(marks.select("_rid", "start", "end", *key), same, *key), _judged(chunks, _firsts(chunks, "cls", "chunk"), "cls", "chunk")]
@@ -394,33 +396,38 @@ def _shared_runs(own: DataFrame, pieces: DataFrame) -> DataFrame:
     # seeds whose classes go on differently: alike in all words in reach, or to be followed
     each = F.explode(F.array(F.struct(F.lit(True).alias("side"), F.col("right").alias("ctx"), F.col("right_end").alias("far"), F.col("parts_right").alias("on")),
                              F.struct(F.lit(False).alias("side"), F.col("left").alias("ctx"), F.col("left_start").alias("far"), F.col("parts_left").alias("on"))))
-    sides = marks.join(same.where("parts_right or parts_left").drop("f"), key).select("_rid", "_id", "start", "end", *key, each.alias("x"))
-    sides = table(sides.where("x.on").select("_rid", "_id", "start", "end", *key, "x.side", "x.ctx", "x.far"), "sides")
+    sides = marks.join(same.where("parts_right or parts_left").drop("f"), key).select("_rid", "_id", "start", "end", *key, "crowd", each.alias("x"))
+    sides = table(sides.where("x.on").select("_rid", "_id", "start", "end", *key, "crowd", "x.side", "x.ctx", "x.far"), "sides")
     alike = sides.join(_firsts(sides, *key, "side", "ctx"), [*key, "side", "ctx"], "left")
     out.append(_verdicts(alike.where("f is not null"), far=True))
     follow = alike.where(F.col("f").isNull() | _is_first()).groupBy("_rid").agg(
-        F.collect_list(F.struct("start", "side", F.col("f").isNotNull().alias("wide"))).alias("x"))
-    follow = texts.join(follow, "_rid").select("_rid", "_id", "_t", F.col("x.start").alias("at"), F.col("x.side").alias("side"), F.col("x.wide").alias("wide"))
+        F.collect_list(F.struct("start", "side", F.col("f").isNotNull().alias("wide"), "crowd")).alias("x"))
+    follow = texts.join(follow, "_rid").select("_rid", "_id", "_t", F.col("x.start").alias("at"), *(F.col(f"x.{c}").alias(c) for c in ("side", "wide", "crowd")))
     arms = table(follow.mapInArrow(_arms, f"_rid bigint, _id {id_type}, start bigint, end bigint, cls bigint, more int, side boolean, wide boolean, "
-                                          "ext array<int>, far array<bigint>"), "arms")
-
-    who = ["_rid", "_id", "start", "end", *key, "side", "wide"]
-    # 1: every STRIDE words
-    steps = F.transform(F.sequence(F.lit(STRIDE), F.lit(REACH), F.lit(STRIDE)),
-                        lambda n: F.struct(n.alias("n"), F.get("ext", n - 1).alias("ext"), F.get("far", n - 1).alias("far")))
-    coarse = _followed(arms.select(*who, F.explode(steps).alias("x")).where("x.far is not null").select(*who, "x.*"))
+                                          "crowd boolean, ext array<int>, far array<int>"), "arms")
+
+    who = ["_rid", "_id", "start", "end", *key, "side", "wide", "crowd"]
+    crowds = arms.where("crowd")
+    # crowds 1: every STRIDE words
+    steps = F.transform(F.sequence(F.lit(STRIDE), F.lit(REACH), F.lit(STRIDE)), lambda n: F.struct(
+        (n - 1).alias("n"), F.slice("ext", n, 1).alias("ext"), F.slice("far", n, 1).alias("far")))
+    coarse = _followed(crowds.select(*who, F.explode(steps).alias("x")).select(*who, "x.*"))
     # 2: word by word beyond the step where a seed stops, for all seeds that are alike up to there
     known = coarse.select("_rid", "start", "side", F.col("shared.n").alias("s"), F.col("earlier.n").alias("e"))
     at = F.explode(F.array_distinct(F.array(F.coalesce("s", F.lit(0)), F.coalesce("e", F.lit(0))))).alias("n")
-    stops = arms.join(known, ["_rid", "start", "side"], "left").select(*key, "side", "ext", at)
+    stops = crowds.join(known, ["_rid", "start", "side"], "left").select(*key, "side", "ext", at)
     stops = table(stops.select(*key, "side", "n", F.coalesce(F.get("ext", F.col("n") - 1), F.lit(0)).alias("step")).distinct(), "stops")
     steps = F.transform(F.sequence(F.lit(0), F.lit(REACH - 1), F.lit(STRIDE)), lambda n: F.struct(
         n.alias("n"), F.coalesce(F.get("ext", n - 1), F.lit(0)).alias("step"),
-        F.arrays_zip(F.slice("ext", n + 1, STRIDE - 1).alias("ext"), F.slice("far", n + 1, STRIDE - 1).alias("far")).alias("tail")))
-    tails = arms.select(*who, F.explode(steps).alias("x")).where("size(x.tail) > 0").select(*who, "x.*")
+        F.slice("ext", n + 1, STRIDE - 1).alias("ext"), F.slice("far", n + 1, STRIDE - 1).alias("far")))
+    tails = crowds.select(*who, F.explode(steps).alias("x")).select(*who, "x.*").where("size(ext) > 0")
+    few = arms.where("not crowd").withColumn("n", F.lit(0))
     # this is the widest step; seeds of different classes have nothing to do with each other, so it goes share by share of the classes
     share = F.pmod(F.xxhash64(F.lit(2), "cls"), F.lit(SHARES))
-    fine = [_word_by_word(tails.where(share == i), stops.where(share == i), who) for i in range(SHARES)]
+    fine = []
+    for i in range(SHARES):
+        some = table(tails.where(share == i).join(stops.where(share == i), stops.columns).drop("step"), "tails")
+        fine.append(_followed(few.where(share == i).unionByName(some)))
     for found in (coarse, reduce(DataFrame.unionByName, fine)):
         for c in ("shared", "earlier"):
             have = found.where(F.col(c).isNotNull()).select("_rid", "start", f"{c}.far", f"{c}.end", f"{c}.f")
@@ -428,23 +435,66 @@ def _shared_runs(own: DataFrame, pieces: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, out)
 
 
-def _word_by_word(tails: DataFrame, stops: DataFrame, who: list[str]) -> DataFrame:
-    """``_followed`` for each word of the tails at the stops (cls, more, side, n, step)."""
-    tails = table(tails.join(stops, stops.columns).drop("step"), "tails")
-    fine = tails.select(*who, "n", F.posexplode("tail").alias("i", "x"))
-    return _followed(fine.select(*who, (F.col("n") + F.col("i") + 1).alias("n"), F.col("x.ext").alias("ext"), F.col("x.far").alias("far")))
-
-
 def _followed(rows: DataFrame) -> DataFrame:
     """(_rid, start, side, shared, earlier): the most words n beyond a seed that another document has too, and that an earlier place
-    has; each with far, end and the first place f, or null.  rows: seeds (``_arms``), and the hash ext of n words beyond them, to far."""
+    has; each with far, end and the first place f, or null.  rows: seeds (``_arms``) and, for n + 1, n + 2, ... words beyond
+    them, their hashes ext, to far; from n = 0 on where the class is no crowd."""
+    rows = rows.where("size(ext) > 0")
+    key = ["cls", "more", "side"]
+    dealt = rows.where("not crowd").repartition(parts(rows.sparkSession), *key).sortWithinPartitions(*key, F.col("_id").isNull(), "_id", "_rid", "start")
+    best = f"struct<n: int, far: int, end: bigint, f: struct<last: boolean, id: {rows.schema['_id'].dataType.simpleString()}, rid: bigint, start: bigint>>"
+    few = dealt.mapInArrow(_side_by_side, f"_rid bigint, start bigint, side boolean, shared {best}, earlier {best}")
+    return table(few.unionByName(_followed_by_joins(rows.where("crowd"))), "followed")
+
+
+def _followed_by_joins(rows: DataFrame) -> DataFrame:
+    """``_followed`` for crowds: a row a word, counted and joined back, so that a class of any size is many tasks."""
+    who = ["_rid", "_id", "start", "end", "cls", "more", "side", "wide"]
+    rows = rows.select(*who, "n", F.posexplode(F.arrays_zip("ext", "far")).alias("i", "x"))
+    rows = rows.select(*who, (F.col("n") + F.col("i") + 1).alias("n"), "x.*")
     key = ["cls", "more", "side", "n", "ext"]
     # one of several places alike stands for all ("wide"): what it has is shared, even if no other seed is followed that far
     same = rows.groupBy(*key).agg(F.min("_rid").alias("a"), F.max("_rid").alias("b"), F.max("wide").alias("w"), F.min(_place()).alias("f"))
     same = table(same.where("a != b or w").drop("a", "b", "w"), "arm-firsts")
     best = F.struct("n", "far", "end", "f")
-    found = rows.join(same, key).groupBy("_rid", "start", "side").agg(F.max(best).alias("shared"), F.max(F.when(~_is_first(), best)).alias("earlier"))
-    return table(found, "followed")
+    return rows.join(same, key).groupBy("_rid", "start", "side").agg(F.max(best).alias("shared"), F.max(F.when(~_is_first(), best)).alias("earlier"))
+
+
+def _side_by_side(batches):
+    """``_followed`` for classes of few seeds, sorted by class, side and place: of all that are alike so far, the next word tells who still is."""
+    for b in _whole_groups(batches, "cls", "more", "side"):
+        rid, wide = b.column("_rid").to_numpy(), b.column("wide").to_numpy(zero_copy_only=False)
+        border = b.column("ext").offsets.to_numpy()
+        begin, size = border[:-1], np.diff(border)
+        word = b.column("ext").values.to_numpy().view(np.uint32)
+        group = np.cumsum(_new(b, "cls", "more", "side")).astype(U)
+        most, first = np.zeros((2, len(rid)), int), np.zeros((2, len(rid)), int)  # shared, earlier
+        n, live = 0, np.arange(len(rid))
+        while len(live := live[size[live] > n]):
+            alike = group[live] << U(32) | word[begin[live] + n]
+            order = np.argsort(alike, kind="stable")  # so each group still begins with its first place
+            live, alike = live[order], alike[order]
+            new = np.r_[True, alike[1:] != alike[:-1]]
+            at, own = np.flatnonzero(new), np.cumsum(new) - 1
+            several = (np.minimum.reduceat(rid[live], at) != np.maximum.reduceat(rid[live], at)) | np.logical_or.reduceat(wide[live], at)
+            f, on = live[at][own], several[own]
+            n += 1
+            group[live] = own
+            live, f = live[on], f[on]
+            for i, those in enumerate((live == live, live != f)):
+                most[i, live[those]], first[i, live[those]] = n, f[those]
+            live = np.sort(live)
+        ids, starts = b.column("_id"), b.column("start")
+        places = pa.StructArray.from_arrays([ids.is_null(), ids, b.column("_rid"), starts], names=["last", "id", "rid", "start"])
+        own = np.flatnonzero(most[0])
+        far = b.column("far").values.to_numpy()
+        best = []
+        for k, f in zip(most[:, own], first[:, own], strict=True):
+            values = [pa.array(k.astype(np.int32)), pa.array(far[b.column("far").offsets.to_numpy()[own] + np.maximum(k, 1) - 1]), b.column("end").take(pa.array(own)),
+                      places.take(pa.array(f))]
+            best.append(pa.StructArray.from_arrays(values, names=["n", "far", "end", "f"], mask=pa.array(k == 0)))
+        yield pa.RecordBatch.from_arrays(
+            [b.column(c).take(pa.array(own)) for c in ("_rid", "start", "side")] + best, names=["_rid", "start", "side", "shared", "earlier"])
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

@@ -91,3 +91,48 @@ def test_stretches_that_go_on_differently_in_several_documents(spark):
     removed = removed_words(rows, got)
     assert brute_covered(rows) <= removed <= brute_covered(rows, 20, own=True)
     assert all(r.first_doc_id <= r.doc_id for r in got)
+
+
+def test_classes_of_few_seeds_are_followed_by_a_row_a_seed_with_what_joins_find(spark, monkeypatch):
+    from geoindicators.llm import paragraph_dedup
+
+    rng = random.Random(44)
+    bases = [words(rng, 300) for _ in range(3)]
+    rows = []
+    for i in range(40):
+        base, n = rng.choice(bases), rng.randrange(51, 130)
+        at = rng.randrange(300 - n)
+        rows.append((None if i % 13 == 5 else i % 30, " ".join(words(rng, 30) + base[at:at + n] + words(rng, rng.randrange(60)))))
+    docs = messy(spark, rows)
+    seen, got = [], {}
+    followed = paragraph_dedup._followed
+    monkeypatch.setattr(paragraph_dedup, "_followed", lambda r: seen.append(r.cache().select("cls", "start", "_rid", "side").distinct().count() / max(1, r.count())) or followed(r))
+    for crowd in (paragraph_dedup.CROWD, 6):
+        seen.clear()
+        monkeypatch.setattr(paragraph_dedup, "CROWD", crowd)
+        got[crowd] = sorted(map(tuple, repeated_passages(docs).collect()), key=str)
+        if crowd == 1024:
+            assert set(seen[1:]) == {1.0}
+    assert len(got[1024]) > 40 and got[1024] == got[6]
+
+
+def test_spans_of_a_document_are_joined_and_cut():
+    import pyarrow as pa
+
+    from geoindicators.llm.paragraph_dedup import _document_spans
+
+    rng = random.Random(45)
+    names = ["doc_rid", "start", "end", "removed", "first_doc_id"]
+    places = [(d, a := rng.randrange(300), a + rng.randrange(1, 40), rng.random() < 0.4, f"{rng.randrange(9)}") for d in range(60) for _ in range(rng.randrange(1, 20))]
+    places = sorted(places, key=lambda x: (x[0], x[1], x[2], x[4]))
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*places[i:i + 7], strict=True)], names=names) for i in range(0, len(places), 7)]
+    got = [tuple(r.values()) for b in _document_spans(iter([*batches[:3], batches[0].slice(0, 0), *batches[3:]])) for r in b.to_pylist()]
+    for d in range(60):
+        own = [x for x in places if x[0] == d]
+        cut = {p for x in own if x[3] for p in range(x[1], x[2])}
+        keep = {p for x in own if not x[3] for p in range(x[1], x[2])} - cut
+        for removed, want in ((True, cut), (False, keep)):
+            spans = [x for x in got if x[0] == d and x[3] == removed]
+            assert sorted(p for x in spans for p in range(x[1], x[2])) == sorted(want)
+            assert all(any(y[3] == removed and y[4] == x[4] and (y[1] == x[1] if removed else y[1] <= x[1]) for y in own) for x in spans)
+    assert not any(a[0] == b[0] and a[2] == b[1] for a in got for b in got if a[3] and b[3])
