@@ -36,9 +36,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
 
 
-def table(df: DataFrame, name: str) -> DataFrame:
+def table(df: DataFrame, name: str, *by: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: cuts the lineage, survives executor loss.
 
+    by: columns whose values get folders of their own, so that a filter on them reads no others.
     The write's own shuffle files go once it has ended, as nothing else reads them; else they stay until the driver's garbage collection.
     """
     spark = df.sparkSession
@@ -46,7 +47,7 @@ def table(df: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(CLEANUP)
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.option("compression", "zstd").parquet(path, partitionBy=[*by] or None)
     finally:
         spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -18,10 +18,10 @@ where such a stretch ends:
 * Where the seeds of a class go on differently, to the right or to the left, each is followed over the WINDOW - 1 words
   beyond it.  Seeds with all of these words alike need it once, for the first of them.  How far a seed's words are an
   earlier document's, or any other's, is told word by word with the seeds of a class side by side in one task, many classes at a time.
-* A class of more than ``CROWD`` seeds is not put into one task: there it is searched in two rounds of joins, as who shares n words
-  beyond a seed shares fewer too: every ``STRIDE`` words, then word by word beyond the step at which a seed stops, with all seeds that
-  are alike up to there.  This round, and the classes of few seeds, go a share of the classes after the other, which bounds what lies
-  on disk at a time.
+* A class of more than ``CROWD`` seeds is not put into one task: its seeds are sorted by the words beyond them and dealt in ranges, as
+  those alike so far then stand in a row.  Seeds as far alike as the first or last of a range may have others in other ranges; what
+  each range knows of these, a row a word, is put together and handed back.
+* Classes of few seeds go a share of the classes after the other, which bounds what lies on disk at a time.
 
 In a shared passage of 51 words or more both documents have the same seeds from the first to the last that a whole
 window of the passage chooses, and both ends are at most WINDOW - 1 words beyond these, so it is covered from the first
@@ -33,7 +33,7 @@ others are to be removed; overlapping places in a document are joined into spans
 Scale: a unit is one narrow row; counting and joining go by its 64-bit content hash with map-side aggregation, so a line
 that a third of the documents share is one row per task, and its hand-out a skewed join for AQE.  Texts travel only for
 one representative of each colliding paragraph, and for documents with a seed.  A shared text costs about one row every
-13 words, its ends one row each, in a crowded class some ten.
+13 words, its ends one row each.
 """
 
 from __future__ import annotations
@@ -42,6 +42,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,10 +58,10 @@ FINE_BANDS = 6
 PIECE = 20
 WINDOW = 32  # PIECE + WINDOW - 1 = 51: a passage of 51 words shares a piece for certain
 REACH = WINDOW - 1
-STRIDE = 6
 SHARES = 4  # of the classes, one after the other where seeds are followed word by word
 CROWD = 1024  # seeds of a class that are followed side by side in one task at most
 _CHUNK = 1 << 20
+_ODD, _EVEN_OUT = U(0x9E3779B97F4A7C15), U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))  # their product is 1
 _STEP = [U(pow(0x9E3779B97F4A7C15, i, 1 << 64)) for i in range(1, 64)]
 
 
@@ -92,41 +93,32 @@ def _bands(key: np.ndarray, first: np.ndarray, last: np.ndarray, samples: range,
 
 
 def _content(word_hash: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """64-bit hash of the words of each run, order included."""
-    power = np.cumprod(np.r_[U(1), np.full(int((last - first).max()) - 1, 0x9E3779B97F4A7C15, dtype=U)], dtype=U)
-    size = last - first
-    begin = np.cumsum(size) - size
-    at = np.arange(int(size.sum())) - np.repeat(begin, size)
-    return mix(np.add.reduceat(word_hash[at + np.repeat(first, size)] * power[at], begin) ^ size.astype(U))
+    """64-bit hash of the words of each run, order included: a difference of running sums, turned back by the power of its first word."""
+    power, back = (np.cumprod(np.r_[U(1), np.full(len(word_hash), x, dtype=U)], dtype=U) for x in (_ODD, _EVEN_OUT))
+    sums = np.r_[U(0), np.cumsum(word_hash * power[:-1], dtype=U)]
+    return mix((sums[last] - sums[first]) * back[first] ^ (last - first).astype(U))
 
 
 def _anchors(words: Words, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """First words of the pieces, by winnowing: the place with the least three-word hash of each ``WINDOW`` places in a row.
 
-    A place is the least of some window if the stretch around it in which it is the least has WINDOW places.
+    Of equal ones in a window the leftmost counts, so later windows never choose earlier places.
     """
     h = words.hash
     long = last - first >= WINDOW + PIECE - 1
     if not long.any():
         return np.zeros(0, int)
-    value = mix(h * _STEP[0] + np.r_[h[1:], h[:1]] * _STEP[1] + np.r_[h[2:], h[:2]] * _STEP[2])
-    begin, end = first[long], last[long] - PIECE + 1
-    size = end - begin
-    at = np.arange(int(size.sum())) + np.repeat(begin - np.r_[0, np.cumsum(size)[:-1]], size)
-    low, high = np.repeat(begin, size), np.repeat(end, size)
-    reach = np.ones(len(at), dtype=np.int64)
-    for sign in (-1, 1):
-        live = np.arange(len(at))
-        for d in range(1, WINDOW):
-            other = at[live] + sign * d
-            inside = (other >= low[live]) & (other < high[live])
-            live, other = live[inside], other[inside]
-            mine, its = value[at[live]], value[other]
-            live = live[(mine < its) if sign < 0 else (mine <= its)]
-            reach[live] += 1
-            if not len(live):
-                break
-    return at[reach >= WINDOW]
+    least = mix(h * _STEP[0] + np.r_[h[1:], h[:1]] * _STEP[1] + np.r_[h[2:], h[:2]] * _STEP[2])
+    place, wide = np.arange(len(h)), 1
+    while wide < WINDOW:  # the least of windows of ever more places, by the place they begin at
+        step = min(wide, WINDOW - wide)
+        later = least[step:] < least[:-step]
+        place, least = np.where(later, place[step:], place[:-step]), np.minimum(least[step:], least[:-step])
+        wide += step
+    begin = first[long]
+    size = last[long] - PIECE + 1 - WINDOW + 1 - begin
+    at = place[np.arange(int(size.sum())) + np.repeat(begin - np.r_[0, np.cumsum(size)[:-1]], size)]
+    return at[np.r_[True, at[1:] != at[:-1]]]
 
 
 def _units(batches):
@@ -403,32 +395,12 @@ def _shared_runs(own: DataFrame, pieces: DataFrame) -> DataFrame:
     follow = alike.where(F.col("f").isNull() | _is_first()).groupBy("_rid").agg(
         F.collect_list(F.struct("start", "side", F.col("f").isNotNull().alias("wide"), "crowd")).alias("x"))
     follow = texts.join(follow, "_rid").select("_rid", "_id", "_t", F.col("x.start").alias("at"), *(F.col(f"x.{c}").alias(c) for c in ("side", "wide", "crowd")))
-    arms = table(follow.mapInArrow(_arms, f"_rid bigint, _id {id_type}, start bigint, end bigint, cls bigint, more int, side boolean, wide boolean, "
-                                          "crowd boolean, ext array<int>, far array<int>"), "arms")
-
-    who = ["_rid", "_id", "start", "end", *key, "side", "wide", "crowd"]
-    crowds = arms.where("crowd")
-    # crowds 1: every STRIDE words
-    steps = F.transform(F.sequence(F.lit(STRIDE), F.lit(REACH), F.lit(STRIDE)), lambda n: F.struct(
-        (n - 1).alias("n"), F.slice("ext", n, 1).alias("ext"), F.slice("far", n, 1).alias("far")))
-    coarse = _followed(crowds.select(*who, F.explode(steps).alias("x")).select(*who, "x.*"))
-    # 2: word by word beyond the step where a seed stops, for all seeds that are alike up to there
-    known = coarse.select("_rid", "start", "side", F.col("shared.n").alias("s"), F.col("earlier.n").alias("e"))
-    at = F.explode(F.array_distinct(F.array(F.coalesce("s", F.lit(0)), F.coalesce("e", F.lit(0))))).alias("n")
-    stops = crowds.join(known, ["_rid", "start", "side"], "left").select(*key, "side", "ext", at)
-    stops = table(stops.select(*key, "side", "n", F.coalesce(F.get("ext", F.col("n") - 1), F.lit(0)).alias("step")).distinct(), "stops")
-    steps = F.transform(F.sequence(F.lit(0), F.lit(REACH - 1), F.lit(STRIDE)), lambda n: F.struct(
-        n.alias("n"), F.coalesce(F.get("ext", n - 1), F.lit(0)).alias("step"),
-        F.slice("ext", n + 1, STRIDE - 1).alias("ext"), F.slice("far", n + 1, STRIDE - 1).alias("far")))
-    tails = crowds.select(*who, F.explode(steps).alias("x")).select(*who, "x.*").where("size(ext) > 0")
-    few = arms.where("not crowd").withColumn("n", F.lit(0))
-    # this is the widest step; seeds of different classes have nothing to do with each other, so it goes share by share of the classes
-    share = F.pmod(F.xxhash64(F.lit(2), "cls"), F.lit(SHARES))
-    fine = []
-    for i in range(SHARES):
-        some = table(tails.where(share == i).join(stops.where(share == i), stops.columns).drop("step"), "tails")
-        fine.append(_followed(few.where(share == i).unionByName(some)))
-    for found in (coarse, reduce(DataFrame.unionByName, fine)):
+    arms = follow.mapInArrow(_arms, f"_rid bigint, _id {id_type}, start bigint, end bigint, cls bigint, more int, side boolean, wide boolean, "
+                                    "crowd boolean, ext array<int>, far array<int>").where("size(ext) > 0")
+    # seeds of different classes have nothing to do with each other, so they go share by share of the classes
+    share = F.when(F.col("crowd"), -1).otherwise(F.pmod(F.xxhash64(F.lit(2), "cls"), F.lit(SHARES)).cast("int"))
+    arms = table(arms.withColumn("share", share), "arms", "crowd", "share")
+    for found in [_followed(arms.where("crowd"))] + [_followed(arms.where(f"not crowd and share = {i}")) for i in range(SHARES)]:
         for c in ("shared", "earlier"):
             have = found.where(F.col(c).isNotNull()).select("_rid", "start", f"{c}.far", f"{c}.end", f"{c}.f")
             out.append(_verdicts(have, far=True).where("removed" if c == "earlier" else "not removed"))
@@ -437,27 +409,49 @@ def _shared_runs(own: DataFrame, pieces: DataFrame) -> DataFrame:
 
 def _followed(rows: DataFrame) -> DataFrame:
     """(_rid, start, side, shared, earlier): the most words n beyond a seed that another document has too, and that an earlier place
-    has; each with far, end and the first place f, or null.  rows: seeds (``_arms``) and, for n + 1, n + 2, ... words beyond
-    them, their hashes ext, to far; from n = 0 on where the class is no crowd."""
+    has; each with far, end and the first place f, or null.  rows: seeds (``_arms``) and, for 1, 2, ... words beyond them, their hashes
+    ext, to far."""
+    id_type = rows.schema["_id"].dataType.simpleString()
+    place = f"struct<last: boolean, id: {id_type}, rid: bigint, start: bigint>"
+    best = f"struct<n: int, far: int, end: bigint, f: {place}>"
+    schema = f"_rid bigint, start bigint, side boolean, shared {best}, earlier {best}"
     rows = rows.where("size(ext) > 0")
     key = ["cls", "more", "side"]
-    dealt = rows.where("not crowd").repartition(parts(rows.sparkSession), *key).sortWithinPartitions(*key, F.col("_id").isNull(), "_id", "_rid", "start")
-    best = f"struct<n: int, far: int, end: bigint, f: struct<last: boolean, id: {rows.schema['_id'].dataType.simpleString()}, rid: bigint, start: bigint>>"
-    few = dealt.mapInArrow(_side_by_side, f"_rid bigint, start bigint, side boolean, shared {best}, earlier {best}")
-    return table(few.unionByName(_followed_by_joins(rows.where("crowd"))), "followed")
-
-
-def _followed_by_joins(rows: DataFrame) -> DataFrame:
-    """``_followed`` for crowds: a row a word, counted and joined back, so that a class of any size is many tasks."""
-    who = ["_rid", "_id", "start", "end", "cls", "more", "side", "wide"]
-    rows = rows.select(*who, "n", F.posexplode(F.arrays_zip("ext", "far")).alias("i", "x"))
-    rows = rows.select(*who, (F.col("n") + F.col("i") + 1).alias("n"), "x.*")
-    key = ["cls", "more", "side", "n", "ext"]
+    few, crowds = rows.where("not crowd"), rows.where("crowd")
+    dealt = few.repartition(parts(rows.sparkSession), *key).sortWithinPartitions(*key, F.col("_id").isNull(), "_id", "_rid", "start")
+    found = dealt.mapInArrow(_side_by_side, schema)
+    if not crowds.isEmpty():
+        found = found.unionByName(_followed_in_ranges(crowds, schema, place))
+    return table(found, "followed")
+
+
+def _followed_in_ranges(rows: DataFrame, schema: str, place: str) -> DataFrame:
+    """``_followed`` for classes of any size: sorted by their words, those alike so far stand in a row, so a task gets a range of them.
+
+    Only places that are as far alike as the first or the last of a range may have others in other ranges; what a range knows
+    of these is a row for each of their words, put together over all ranges and handed back.
+    """
+    key = ["cls", "more", "side"]
+    dealt = rows.repartitionByRange(parts(rows.sparkSession), *key, "ext").sortWithinPartitions(*key, "ext")
+    dealt = dealt.select("_rid", "_id", "start", "end", *key, "wide", "ext", "far", F.spark_partition_id().alias("range"))
+    found = table(dealt.mapInArrow(_side_by_side_in_range, f"{schema}, border bigint, n int, end bigint, far array<int>, cls bigint, more int, "
+                                                           f"ext int, a bigint, b bigint, w boolean, f {place}"), "ranges")
+    words = found.where("f is not null").select("border", *key, "n", "ext", "a", "b", "w", "f")
+    key = [*key, "n", "ext"]
     # one of several places alike stands for all ("wide"): what it has is shared, even if no other seed is followed that far
-    same = rows.groupBy(*key).agg(F.min("_rid").alias("a"), F.max("_rid").alias("b"), F.max("wide").alias("w"), F.min(_place()).alias("f"))
-    same = table(same.where("a != b or w").drop("a", "b", "w"), "arm-firsts")
-    best = F.struct("n", "far", "end", "f")
-    return rows.join(same, key).groupBy("_rid", "start", "side").agg(F.max(best).alias("shared"), F.max(F.when(~_is_first(), best)).alias("earlier"))
+    same = words.groupBy(*key).agg(F.min("a").alias("a"), F.max("b").alias("b"), F.max("w").alias("w"), F.min("f").alias("f"))
+    same = table(same.where("a != b or w").drop("a", "b", "w"), "border-firsts")
+    known = words.select("border", *key).join(same, key).groupBy("border").agg(F.sort_array(F.collect_list(F.struct("n", "f"))).alias("known"))
+
+    def best(c: str, which) -> Column:
+        fit = F.filter("known", lambda x: (x["n"] <= F.col("n")) & which(x["f"]))
+        x = F.get(fit, F.size(fit) - 1)
+        return F.coalesce(c, F.when(x.isNotNull(), F.struct(x["n"].alias("n"), F.get("far", x["n"] - 1).alias("far"), F.col("end"), x["f"].alias("f")))).alias(c)
+
+    own = found.where("f is null")
+    rest = own.where("border is not null").join(table(known, "borders"), "border", "left").select(
+        "_rid", "start", "side", best("shared", lambda f: F.lit(True)), best("earlier", lambda f: (f["rid"] != F.col("_rid")) | (f["start"] != F.col("start"))))
+    return own.where("border is null").select(*rest.columns).unionByName(rest)
 
 
 def _side_by_side(batches):
@@ -484,17 +478,109 @@ def _side_by_side(batches):
             for i, those in enumerate((live == live, live != f)):
                 most[i, live[those]], first[i, live[those]] = n, f[those]
             live = np.sort(live)
-        ids, starts = b.column("_id"), b.column("start")
-        places = pa.StructArray.from_arrays([ids.is_null(), ids, b.column("_rid"), starts], names=["last", "id", "rid", "start"])
         own = np.flatnonzero(most[0])
-        far = b.column("far").values.to_numpy()
-        best = []
-        for k, f in zip(most[:, own], first[:, own], strict=True):
-            values = [pa.array(k.astype(np.int32)), pa.array(far[b.column("far").offsets.to_numpy()[own] + np.maximum(k, 1) - 1]), b.column("end").take(pa.array(own)),
-                      places.take(pa.array(f))]
-            best.append(pa.StructArray.from_arrays(values, names=["n", "far", "end", "f"], mask=pa.array(k == 0)))
         yield pa.RecordBatch.from_arrays(
-            [b.column(c).take(pa.array(own)) for c in ("_rid", "start", "side")] + best, names=["_rid", "start", "side", "shared", "earlier"])
+            [b.column(c).take(pa.array(own)) for c in ("_rid", "start", "side")] + [_best(b, k, f, own) for k, f in zip(most, first, strict=True)],
+            names=["_rid", "start", "side", "shared", "earlier"])
+
+
+def _places(b: pa.RecordBatch, at: np.ndarray) -> pa.StructArray:
+    """``_place`` of some rows."""
+    rid, ids, start = (b.column(c).take(pa.array(at)) for c in ("_rid", "_id", "start"))
+    return pa.StructArray.from_arrays([ids.is_null(), ids, rid, start], names=["last", "id", "rid", "start"])
+
+
+def _best(b: pa.RecordBatch, most: np.ndarray, first: np.ndarray, own: np.ndarray) -> pa.StructArray:
+    """The most words beyond some rows with far, end and the first place that has them; null for none."""
+    k, far = most[own], b.column("far")
+    values = [pa.array(k.astype(np.int32)), far.values.take(pa.array(far.offsets.to_numpy()[own] + np.maximum(k, 1) - 1)), b.column("end").take(pa.array(own)),
+              _places(b, first[own])]
+    return pa.StructArray.from_arrays(values, names=["n", "far", "end", "f"], mask=pa.array(k == 0))
+
+
+def _side_by_side_in_range(batches):
+    """As ``_side_by_side``, for a range of rows sorted by class, side and words.  Beside the verdicts, two kinds of rows more: what the range knows
+    of the places that are alike with its first or last one (``border``) in n words (a, b: least and greatest document, w: wide, f: first place);
+    and the rows that may need to hear of it, with the border that they share the most words n with."""
+    key = ["cls", "more", "side"]
+    ahead, is_first = None, True
+    for b in _with_end(_whole_groups(batches, *key)):
+        b, ahead = ahead, b
+        if b is None:
+            continue
+        yield from _in_range(b, is_first, ahead is _END)
+        is_first = False
+
+
+_END = object()
+
+
+def _with_end(items):
+    yield from items
+    yield _END
+
+
+def _in_range(b: pa.RecordBatch, is_first: bool, is_last: bool):
+    key = ["cls", "more", "side"]
+    rid, wide, start = b.column("_rid").to_numpy(), b.column("wide").to_numpy(zero_copy_only=False), b.column("start").to_numpy()
+    border = b.column("ext").offsets.to_numpy()
+    begin, size = border[:-1], np.diff(border)
+    word = b.column("ext").values.to_numpy().view(np.uint32)
+    group = np.cumsum(_new(b, *key)).astype(U)
+    order = np.lexsort((start, rid, pc.rank(b.column("_id"), "ascending", null_placement="at_end", tiebreaker="dense").to_numpy()))
+    rank = np.empty(len(order), int)
+    rank[order] = np.arange(len(order))
+
+    # places alike with the first or last one of the range
+    open_to, at_border = np.zeros((2, len(rid)), int)
+    told = []
+    for last, i in ((0, 0),) * is_first + ((1, len(rid) - 1),) * is_last:
+        alike = np.flatnonzero(group == group[i])
+        for n in range(size[i]):
+            alike = alike[size[alike] > n]
+            alike = alike[word[begin[alike] + n] == word[begin[i] + n]]
+            further = alike[open_to[alike] <= n]
+            open_to[further], at_border[further] = n + 1, last
+            told.append((last, i, n, rid[alike].min(), rid[alike].max(), bool(wide[alike].any()), order[rank[alike].min()]))
+
+    most, first = np.zeros((2, len(rid)), int), np.zeros((2, len(rid)), int)  # shared, earlier
+    n, live = 0, np.arange(len(rid))
+    while len(live := live[size[live] > n]):
+        alike = group[live] << U(32) | word[begin[live] + n]
+        new = np.r_[True, alike[1:] != alike[:-1]]
+        at, own = np.flatnonzero(new), np.cumsum(new) - 1
+        several = (np.minimum.reduceat(rid[live], at) != np.maximum.reduceat(rid[live], at)) | np.logical_or.reduceat(wide[live], at)
+        f, on = order[np.minimum.reduceat(rank[live], at)][own], several[own]
+        group[live] = own
+        known = open_to[live] <= n  # all places alike are here
+        n += 1
+        for i, those in enumerate((on & known, on & known & (live != f))):
+            most[i, live[those]], first[i, live[those]] = n, f[those]
+        live = live[on | ~known]
+
+    asks = (open_to > 0) & (most[1] == 0)
+    own = np.flatnonzero(asks | (most[0] > 0))
+    asks, part, take = asks[own], b.column("range").to_numpy().astype(np.int64) * 2, pa.array(own)
+    length = np.where(asks, open_to[own], 0)
+    borders = np.r_[0, np.cumsum(length)]
+    at = np.arange(borders[-1]) - np.repeat(borders[:-1], length) + np.repeat(b.column("far").offsets.to_numpy()[own], length)
+    place = _places(b, np.zeros(0, int)).type
+    yield pa.RecordBatch.from_arrays(
+        [*(b.column(c).take(take) for c in ("_rid", "start", "side")), *(_best(b, k, f, own) for k, f in zip(most, first, strict=True)),
+         pa.array((part + at_border)[own], mask=~asks), pa.array(length.astype(np.int32)), b.column("end").take(take),
+         pa.ListArray.from_arrays(pa.array(borders, pa.int32()), b.column("far").values.take(pa.array(at))), *(pa.nulls(len(own), t) for t in (
+             pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), place))], names=_RANGE)
+    if told:
+        last, i, n, low, high, any_wide, f = map(np.array, zip(*told, strict=True))
+        best = _best(b, most[0], first[0], own[:0]).type
+        take, none = pa.array(i), lambda t: pa.nulls(len(i), t)
+        yield pa.RecordBatch.from_arrays(
+            [none(pa.int64()), none(pa.int64()), b.column("side").take(take), none(best), none(best), pa.array(part[i] + last), pa.array((n + 1).astype(np.int32)),
+             none(pa.int64()), none(pa.list_(pa.int32())), b.column("cls").take(take), b.column("more").take(take), pa.array(word[begin[i] + n].view(np.int32)),
+             pa.array(low), pa.array(high), pa.array(any_wide), _places(b, f)], names=_RANGE)
+
+
+_RANGE = ["_rid", "start", "side", "shared", "earlier", "border", "n", "end", "far", "cls", "more", "ext", "a", "b", "w", "f"]
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

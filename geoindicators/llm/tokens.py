@@ -22,6 +22,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 _POW = _powers(0x100000001B3, _TABLE)
+_BACK = _powers(pow(0x100000001B3, -1, 1 << 64), _TABLE)
 _STEP = _powers(0xD6E8FEB86659FD93, 64)
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -85,14 +86,34 @@ def split_words(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = I
     if len(data):
         after[:-1] = inside[1:] & before[1:]
     end = np.flatnonzero(inside & ~after) + 1
-    row = np.searchsorted(offsets, start, "right") - 1
+    row = np.repeat(np.arange(rows), np.diff(np.searchsorted(start, offsets)))
     return Words(row, start, end, _hash(data, start, end), rows)
 
 
 def _hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Polynomial hash of the bytes of each word: a difference of running sums, turned back by the power of the place it starts at."""
     if not len(start):
         return np.zeros(0, dtype=U)
     size = end - start
+    if 4 * int(size.sum()) < len(data):
+        return _hash_each(data, start, size)
+    sums = np.zeros(len(data) + 1, dtype=U)
+    value = sums[1:]
+    np.add(data, U(1), out=value)
+    whole = len(data) - len(data) % _TABLE
+    value[:whole].reshape(-1, _TABLE)[:] *= _POW
+    value[whole:] *= _POW[:len(data) - whole]
+    np.cumsum(value, out=value)
+    total = (sums[end] - sums[start]) * _BACK[start & (_TABLE - 1)]
+    out = mix(total ^ (size.astype(U) * _ODD))
+    over = np.flatnonzero(start // _TABLE != (end - 1) // _TABLE)  # there the powers begin anew
+    if len(over):
+        out[over] = _hash_each(data, start[over], size[over])
+    return out
+
+
+def _hash_each(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``_hash`` from the words' own bytes only, of any size."""
     first = np.cumsum(size) - size
     at = np.arange(int(size.sum())) - np.repeat(first, size)
     value = (data[at + np.repeat(start, size)].astype(U) + U(1)) * _POW[at & (_TABLE - 1)]

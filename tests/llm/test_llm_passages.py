@@ -136,3 +136,78 @@ def test_spans_of_a_document_are_joined_and_cut():
             assert sorted(p for x in spans for p in range(x[1], x[2])) == sorted(want)
             assert all(any(y[3] == removed and y[4] == x[4] and (y[1] == x[1] if removed else y[1] <= x[1]) for y in own) for x in spans)
     assert not any(a[0] == b[0] and a[2] == b[1] for a in got for b in got if a[3] and b[3])
+
+
+def test_crowded_classes_are_followed_by_a_row_a_seed_in_ranges(spark, monkeypatch):
+    from geoindicators.llm import paragraph_dedup
+
+    rng = random.Random(46)
+    rows = []
+    for rid in range(400):   # few words, so that many go on alike; documents without an id, ids that repeat, several seeds of a document
+        for start in range(rng.choice((1, 1, 2))):
+            ext = [0]
+            for _ in range(rng.randrange(12)):
+                ext.append(hash((ext[-1], rng.choice((1, 1, 1, 1, 1, 1, 2, 3)))) % 2**31)
+            rows.append((rid, None if rid % 17 == 3 else rid * 7 % 150, start, start + 9, rid % 5 // 4, 1, start == 0, rng.random() < 0.1, True, ext[1:], [20 + k for k in range(len(ext) - 1)]))
+    docs = spark.createDataFrame(rows, "_rid bigint, _id bigint, start bigint, end bigint, cls bigint, more int, side boolean, wide boolean, crowd boolean, ext array<int>, far array<int>")
+    want = {}
+    place = lambda r: (r[1] is None, r[1] or 0, r[0], r[2])
+    for r in rows:
+        best = [None, None]
+        for n in range(1, len(r[9]) + 1):
+            alike = [o for o in rows if o[4:7] == r[4:7] and o[9][:n] == r[9][:n]]
+            if len({o[0] for o in alike}) > 1 or any(o[7] for o in alike):
+                f = min(alike, key=place)
+                for i in range(2 if f != r else 1):
+                    best[i] = (n, 19 + n, r[3], (f[1] is None, f[1], f[0], f[2]))
+        if best[0]:
+            want[r[0], r[2], r[6]] = tuple(best)
+    written = []
+    table = paragraph_dedup.table
+    monkeypatch.setattr(paragraph_dedup, "table", lambda df, *a: (out := table(df, *a), written.append(out.count()))[0])
+    for n in (1, 7, 60):
+        monkeypatch.setattr(paragraph_dedup, "parts", lambda s, n=n: n)
+        written.clear()
+        got = paragraph_dedup._followed(docs).collect()
+        assert {(r._rid, r.start, r.side): tuple(x and (*x[:3], tuple(x[3])) for x in (r.shared, r.earlier)) for r in got if r.shared} == want and len(got) >= len(want) > 200
+        assert max(written) <= len(rows) + 2 * 12 * n   # a row a seed, and a word of a range's borders; not a row a word
+
+
+def test_crowded_and_other_classes_are_both_a_row_a_seed(spark, monkeypatch):
+    from geoindicators.llm import paragraph_dedup
+
+    rng = random.Random(47)
+    base = words(rng, 200)
+    rows = []
+    for i in range(30):
+        at = rng.randrange(100)
+        rows.append((i, " ".join(words(rng, 30) + base[at:at + rng.randrange(51, 100)] + words(rng, 20))))
+    seen, followed = [], paragraph_dedup._followed
+    monkeypatch.setattr(paragraph_dedup, "CROWD", 8)
+    monkeypatch.setattr(paragraph_dedup, "_followed", lambda r: seen.append((r.count(), r.select("cls", "more", "side", "_rid", "start").distinct().count())) or followed(r))
+    assert brute_covered(rows) <= removed_words(rows, repeated_passages(messy(spark, rows)).collect())
+    assert seen[0][0] > 8 and all(n == seeds for n, seeds in seen)
+
+
+def test_word_hashes_by_running_sums_are_those_of_the_words_alone():
+    import numpy as np
+    import pyarrow as pa
+
+    from geoindicators.llm.paragraph_dedup import PIECE, WINDOW, _anchors, _content
+    from geoindicators.llm.tokens import U, _hash_each, mix, split_words, text_chunks
+
+    rng = random.Random(48)
+    texts = ["", None, "x" * 70000 + " y " + "z" * 65536, *(" ".join(words(rng, rng.randrange(200)) + ["ab"] * rng.randrange(90)) for _ in range(300))]
+    for _, _, data, offsets in text_chunks(pa.array(texts)):
+        w = split_words(data, offsets)
+        assert np.array_equal(w.hash, _hash_each(data, w.start, w.end - w.start)) and len(w.hash) > 20000
+        assert np.array_equal(w.row, np.searchsorted(offsets, w.start, "right") - 1)
+        first = w.first()
+        a = _anchors(w, first[:-1], first[1:])
+        power = [pow(0x9E3779B97F4A7C15, i, 1 << 64) for i in range(PIECE)]
+        want = [sum(int(h) * p for h, p in zip(w.hash[i:i + PIECE], power, strict=True)) % (1 << 64) ^ PIECE for i in a]
+        assert np.array_equal(_content(w.hash, a, a + PIECE), mix(np.array(want, U)))
+        for r in range(w.rows):   # an anchor in each window, none where no window is
+            places, own = first[r + 1] - first[r] - PIECE + 1, a[(a >= first[r]) & (a < first[r + 1])] - first[r]
+            assert (len(own) > 0) == (places >= WINDOW)
+            assert not len(own) or max(np.diff(np.r_[-1, own, places])) <= WINDOW
